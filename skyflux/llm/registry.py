@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import op02_gif, op04_sharding, op06_url_filter
+from . import op10_quality, op05_decontamination, op02_gif, op04_sharding, op06_url_filter
 
 
 def _sharding(spark, sf_dir: str):
@@ -10,7 +10,7 @@ def _sharding(spark, sf_dir: str):
 
 
 def queries() -> dict:
-    return {"op2_gif": op02_gif.query, "op4_sharding": _sharding, "op6_url_filter": op06_url_filter.query}
+    return {"op5_decontamination": op05_decontamination.query, "op2_gif": op02_gif.query, "op4_sharding": _sharding, "op6_url_filter": op06_url_filter.query}
 
 
 def oracle_sql() -> dict[str, str]:

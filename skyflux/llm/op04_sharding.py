@@ -55,3 +55,7 @@ def shard_documents(docs: DataFrame, shards: int = 16, rows_a_bucket: int = ROWS
     buckets = max(1, -(-docs.count() // (rows_a_bucket * shards)))
     out = sharded(rows, "doc_id", shards, ["size", "text_crc32"], buckets)
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+def query(spark, sf_dir: str) -> DataFrame:
+    return shard_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from . import op10_quality, op05_decontamination, op02_gif, op04_sharding, op06_url_filter
-
-
-def _sharding(spark, sf_dir: str):
-    return op04_sharding.shard_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+from . import op02_gif, op04_sharding, op05_decontamination, op06_url_filter, op09_packing, op10_quality
 
 
 def queries() -> dict:
-    return {"op5_decontamination": op05_decontamination.query, "op2_gif": op02_gif.query, "op4_sharding": _sharding, "op6_url_filter": op06_url_filter.query}
+    return {
+        "op2_gif": op02_gif.query,
+        "op4_sharding": op04_sharding.query,
+        "op5_decontamination": op05_decontamination.query,
+        "op6_url_filter": op06_url_filter.query,
+        "op9_packing": op09_packing.query,
+        "op10_quality": op10_quality.query,
+    }
 
 
 def oracle_sql() -> dict[str, str]:

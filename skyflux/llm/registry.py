@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import op02_gif, op04_sharding, op05_decontamination, op06_url_filter, op09_packing, op10_quality
+from . import op02_gif, op04_sharding, op05_decontamination, op06_url_filter, op07_jaccard_join, op09_packing, op10_quality
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op4_sharding": op04_sharding.query,
         "op5_decontamination": op05_decontamination.query,
         "op6_url_filter": op06_url_filter.query,
+        "op7_jaccard_join": op07_jaccard_join.query,
         "op9_packing": op09_packing.query,
         "op10_quality": op10_quality.query,
     }

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import op02_gif, op03_substring_dedup, op04_sharding, op05_decontamination, op06_url_filter, op07_jaccard_join, op09_packing, op10_quality
+from . import op01_toxicity, op02_gif, op03_substring_dedup, op04_sharding, op05_decontamination, op06_url_filter, op07_jaccard_join, op09_packing, op10_quality
 
 
 def queries() -> dict:
     return {
+        "op1_toxicity": op01_toxicity.query,
         "op2_gif": op02_gif.query,
         "op3_substring_dedup": op03_substring_dedup.query,
         "op4_sharding": op04_sharding.query,

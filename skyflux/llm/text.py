@@ -49,6 +49,7 @@ class Words:
     end: np.ndarray
     doc: np.ndarray
     hash: np.ndarray
+    offsets: np.ndarray | None = None  # row borders in bytes
 
     def bytes_of(self, a: int, b: int) -> bytes:
         """Words a up to b, joined by one space each."""
@@ -78,12 +79,12 @@ def words(column: pa.Array, lower: bool = False, chunk_bytes: int = 1 << 20) ->
         lo = hi
 
 
-def _words(lo: int, hi: int, raw: np.ndarray, off: np.ndarray, table: np.ndarray) -> Words:
+def _words(lo: int, hi: int, raw: np.ndarray, off: np.ndarray, table: np.ndarray, space: np.ndarray = _SPACE, first_chars: int = 0) -> Words:
     size = len(raw)
     if size == 0:
         none = np.zeros(0, np.int64)
-        return Words(lo, hi, raw, none, none, np.zeros(hi - lo + 1, np.int64), np.zeros(0, np.uint64))
-    full = ~_SPACE[raw]
+        return Words(lo, hi, raw, none, none, np.zeros(hi - lo + 1, np.int64), np.zeros(0, np.uint64), off)
+    full = ~space[raw]
     edge = np.zeros(size + 1, dtype=bool)
     edge[off] = True
     first = full.copy()
@@ -93,7 +94,7 @@ def _words(lo: int, hi: int, raw: np.ndarray, off: np.ndarray, table: np.ndarray
     start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
     doc = np.searchsorted(start, off)
     if not len(start):
-        return Words(lo, hi, raw, start, end, doc, np.zeros(0, np.uint64))
+        return Words(lo, hi, raw, start, end, doc, np.zeros(0, np.uint64), off)
     longest = int((end - start).max())
     at = np.arange(size, dtype=np.int64)
     at -= np.maximum.accumulate(np.where(first, at, 0))
@@ -101,7 +102,11 @@ def _words(lo: int, hi: int, raw: np.ndarray, off: np.ndarray, table: np.ndarray
     power = _POW if longest < len(_POW) else _powers(longest)
     value = table[raw] * power[at]
     value[~full] = 0
-    return Words(lo, hi, raw, start, end, doc, mixed(np.add.reduceat(value, start)))
+    if first_chars:  # only so many characters of a word count
+        lead = np.cumsum((raw & 0xC0) != 0x80)
+        lead -= np.maximum.accumulate(np.where(first, lead - 1, 0))
+        value[lead > first_chars] = 0
+    return Words(lo, hi, raw, start, end, doc, mixed(np.add.reduceat(value, start)), off)
 
 
 def grams(h: np.ndarray, k: int) -> np.ndarray:

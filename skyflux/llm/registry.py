@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import op01_toxicity, op02_gif, op03_substring_dedup, op04_sharding, op05_decontamination, op06_url_filter, op07_jaccard_join, op09_packing, op10_quality
+from . import op01_toxicity, op02_gif, op03_substring_dedup, op04_sharding, op05_decontamination, op06_url_filter, op07_jaccard_join, op08_licences, op09_packing, op10_quality
 
 
 def queries() -> dict:
@@ -14,6 +14,7 @@ def queries() -> dict:
         "op5_decontamination": op05_decontamination.query,
         "op6_url_filter": op06_url_filter.query,
         "op7_jaccard_join": op07_jaccard_join.query,
+        "op8_licences": op08_licences.query,
         "op9_packing": op09_packing.query,
         "op10_quality": op10_quality.query,
     }

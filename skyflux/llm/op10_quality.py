@@ -183,7 +183,7 @@ def perplexities(docs: DataFrame, model: Model, payload: list[str]) -> DataFrame
 def judged(docs: DataFrame, trusted: DataFrame, high: float = HIGH, margin: float = MARGIN, prior: int = PRIOR) -> DataFrame:
     """doc_id, lang, n_bytes, perplexity, its value with the prior (adjusted), the bound (high), trusted and keep of every row. trusted: a doc_id column."""
     ids = trusted.select("doc_id").where("doc_id IS NOT NULL").distinct()
-    model = trained(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"))
+    model = trained(docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi"))  # the list grows with the corpus: never broadcast
     scored = perplexities(docs, model, ["doc_id", "lang"]).join(ids.withColumn("trusted", F.lit(True)), "doc_id", "left")
     scored = written(scored, "perplexities")
     pair = F.percentile_approx(F.when(F.col("trusted"), F.col("perplexity")), F.array(F.lit(0.5), F.lit(high)), F.lit(10_000))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import coordinates, haversine_km, off_origin, position_label
+from ..functions.geo import coordinates, haversine_km, let, off_origin, position_label
 from ..functions.timefn import floor_to, parsed
 
 STATIONS_MAX = 100_000
@@ -48,9 +48,11 @@ def nearest_by_km(files: DataFrame, stations: DataFrame, tolerance: float = TOLE
 def legacy_files(paths: DataFrame) -> DataFrame:
     """path, version, ts, lat, lon of the second and third generation's files; names that don't fit are left out."""
     name = F.element_at(F.split(F.regexp_replace("path", r"\\", "/"), "/"), -1)
-    part = [F.regexp_extract(name, LEGACY_NAME, i) for i in (2, 3)]
+    stamp = let(name, lambda n: F.concat(F.regexp_extract(n, LEGACY_NAME, 2), F.regexp_extract(n, LEGACY_NAME, 3)))
     lat, lon = coordinates(name)
-    out = paths.select("path", F.when(F.lower("path").contains("scintpi2"), "SC2").otherwise("SC3").alias("version"), parsed(F.concat(*part), "yyyyMMddHHmm").alias("ts"), lat.alias("lat"), lon.alias("lon"))
+    of = F.struct(F.when(F.lower("path").contains("scintpi2"), "SC2").otherwise("SC3").alias("version"), parsed(stamp, "yyyyMMddHHmm").alias("ts"), lat.alias("lat"), lon.alias("lon"))
+    # one row of an exploded array of one: a border that keeps filters from copying the parsing
+    out = paths.select("path", F.explode(F.array(of)).alias("f")).select("path", "f.*")
     return out.where(F.col("ts").isNotNull() & F.col("lat").isNotNull() & off_origin(F.col("lat"), F.col("lon")))
 
 

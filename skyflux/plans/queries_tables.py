@@ -169,7 +169,7 @@ def missing_fraction(spark, sf):
 
 def missing_inputs(spark, sf):
     i = table(spark, sf, "customer").select(F.col("c_name").alias("path"), F.col("c_custkey").cast("string").alias("output"))
-    o = table(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("path")).distinct()
+    o = table(spark, sf, "orders").where("o_totalprice > 150000").select(F.col("o_custkey").cast("string").alias("path")).distinct()
     return missing(i, o)
 
 
@@ -245,7 +245,7 @@ QUERIES |= {
     "missing_days": (missing_days, f"{_DAYS}, {_STATIONS}, e AS (SELECT ord, unnest(generate_series(TIMESTAMP '2024-01-02', TIMESTAMP '2024-01-15', INTERVAL 1 DAY)) AS day FROM st WHERE ord < 20) SELECT ord, day FROM e ANTI JOIN dy USING (ord, day)"),
     "station_labels": (station_labels, f"WITH {_STATIONS} SELECT ord, '[' || s_version || '] ' || s_code || ', ' || s_name || ' (' || printf('%.3f', abs(s_lat)) || '°N, ' || printf('%.3f', abs(s_lon)) || '°E)' AS label FROM st"),
     "missing_fraction": (missing_fraction, f"WITH {SQL}, m AS (SELECT max(value) AS v FROM obs GROUP BY user_id, day) SELECT round(1 - avg((v > 50)::INTEGER), 6) + 0.0 AS missing FROM m"),
-    "missing_inputs": (missing_inputs, "SELECT c_name AS path, c_custkey::VARCHAR AS output FROM customer ANTI JOIN orders ON c_custkey = o_custkey"),
+    "missing_inputs": (missing_inputs, "SELECT c_name AS path, c_custkey::VARCHAR AS output FROM customer ANTI JOIN (SELECT o_custkey FROM orders WHERE o_totalprice > 150000) ON c_custkey = o_custkey"),
     "chunk_assign": (chunk_assign, "SELECT s_suppkey, ntile(7) OVER (ORDER BY s_name)::INTEGER AS part FROM supplier"),
     "signal_join": (signal_join, "WITH e AS (SELECT user_id, date_trunc('hour', ts)::TIMESTAMP AS hour, event_type, value FROM events), a AS (SELECT user_id, hour, max(value) AS a FROM e WHERE event_type = 'click' GROUP BY ALL), b AS (SELECT user_id, hour, max(value) AS b FROM e WHERE event_type = 'view' GROUP BY ALL) SELECT user_id, hour, a, b FROM a JOIN b USING (user_id, hour)"),
     "restored_rows": (restored_rows, "WITH f AS (SELECT min(event_id) AS event_id, count(*) AS n FROM events GROUP BY user_id, date_trunc('hour', ts)) SELECT e.event_id, f.n FROM events e LEFT JOIN f USING (event_id)"),

@@ -190,13 +190,26 @@ def repeated(docs: DataFrame, shard: int = SHARD, hot: int = HOT) -> DataFrame:
     return out
 
 
+def fresh(names: list[str], taken: list[str]) -> list[str]:
+    """The names, each with as many underscores in front as it takes to be new."""
+    known = {t.lower() for t in taken}
+    out = []
+    for name in names:
+        while name.lower() in known:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """All rows and columns of docs, with n_words, n_removed and kept_text (the words kept, joined by one space)."""
-    cuts = written(repeated(docs).groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("_cuts")).withColumnRenamed("doc_id", "_cut_id"), "cuts")
-    small = cuts.count() <= SEND_MAX and (cuts.agg(F.sum(F.size("_cuts"))).first()[0] or 0) <= 8 * SEND_MAX
-    rows = docs.join(F.broadcast(cuts) if small else cuts, docs.doc_id == F.col("_cut_id"), "left").drop("_cut_id")
-    fields = [f for f in docs.schema.fields]
+    """All rows and columns of docs, and three more at the end: n_words, n_removed and kept_text (the words kept, joined by one space);
+    where docs has such names, theirs begin with underscores."""
+    fields = docs.schema.fields
     names = [f.name for f in fields]
+    cut_id, cut_list, n_words, n_removed, kept_text = fresh(["cut_id", "cut_list", "n_words", "n_removed", "kept_text"], names)
+    cuts = written(repeated(docs).groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias(cut_list)).withColumnRenamed("doc_id", cut_id), "cuts")
+    small = cuts.count() <= SEND_MAX and (cuts.agg(F.sum(F.size(cut_list))).first()[0] or 0) <= 8 * SEND_MAX
+    rows = docs.join(F.broadcast(cuts) if small else cuts, docs.doc_id == F.col(cut_id), "left")
     where = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,10 +233,10 @@ def deduplicated(docs: DataFrame) -> DataFrame:
                 for r in range(w.hi - w.lo):
                     texts.append(b" ".join(pieces[at[r] : at[r + 1]]))
                 kept = pa.array(texts, pa.binary()).cast(pa.string())
-                yield pa.RecordBatch.from_arrays([*[batch.column(i)[w.lo : w.hi] for i in range(len(names))], pa.array(n), pa.array(n - (sums[w.doc[1:]] - sums[w.doc[:-1]])), kept], [*names, "n_words", "n_removed", "kept_text"])
+                yield pa.RecordBatch.from_arrays([*[batch.column(i)[w.lo : w.hi] for i in range(len(names))], pa.array(n), pa.array(n - (sums[w.doc[1:]] - sums[w.doc[:-1]])), kept], [*names, n_words, n_removed, kept_text])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return rows.select(*names, "_cuts").mapInArrow(run, f"{kinds}, n_words long, n_removed long, kept_text string")
+    return rows.select(*names, cut_list).mapInArrow(run, f"{kinds}, `{n_words}` long, `{n_removed}` long, `{kept_text}` string")
 
 
 def digests(docs: DataFrame) -> DataFrame:

@@ -134,8 +134,12 @@ def _edges_of_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield of(*held)
 
 
-def _answers(table: pa.Table) -> pa.Table:
-    """A task's links: digest, root (a linked set's digest or its own) and links, a sum of the linked sets' weights."""
+def _answers(key: tuple, table: pa.Table) -> pa.Table:
+    """A task's links: digest, root (a linked set's digest or its own) and links, a sum of the linked sets' weights.
+
+    A task of two blocks counts links between them only, also if one is empty; those within a block have a task of their own."""
+    _, k1, b1, k2, b2 = (x.as_py() for x in key)
+    cross = (k1, b1) != (k2, b2)
     side = table.column("side").to_numpy()
     digest, weight = table.column("digest").to_numpy(), table.column("weight").to_numpy()
     _, keep = np.unique(digest, return_index=True)
@@ -166,7 +170,6 @@ def _answers(table: pa.Table) -> pa.Table:
         local.append(at[shared[at] == s] if len(shared) else at[:0])
     overlap = np.zeros((m, m), np.int32)
     label, links = np.arange(m), np.zeros(m, np.int64)
-    cross = len(np.unique(side)) > 1
     for y in range(m):
         base = int(overlap[:y, y].argmax()) if y else -1
         if base >= 0 and size[base] + size[y] - 2 * overlap[base, y] < size[y] // 2:

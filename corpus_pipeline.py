@@ -29,10 +29,11 @@ def near_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     cut = op03_substring_dedup.deduplicated(docs)
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    size = F.when(F.col("n_removed") > 0, F.length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")) if "n_chars" in docs.columns else None
-    columns = {"text": text} | ({"n_chars": size} if size is not None else {})
-    return cut.where("n_words = 0 OR n_removed < n_words").select(*[columns.get(c, F.col(c)).alias(c) for c in docs.columns])
+    n_words, n_removed, kept_text = (F.col(c) for c in cut.columns[-3:])
+    columns = {"text": F.when(n_removed > 0, kept_text).otherwise(F.col("text"))}
+    if "n_chars" in docs.columns:
+        columns["n_chars"] = F.when(n_removed > 0, F.length(kept_text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return cut.where((n_words == 0) | (n_removed < n_words)).select(*[columns.get(c, F.col(c)).alias(c) for c in docs.columns])
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

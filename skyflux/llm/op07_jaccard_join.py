@@ -252,7 +252,7 @@ def joined(docs: DataFrame, frequent: int = FREQUENT, frequent_max: int = FREQUE
     named = classes.join(label, classes.digest == label.node, "left").select("digest", "rep", "weight", F.coalesce("label", "digest").alias("label"))
     least = named.groupBy("label").agg(F.min("rep").alias("component_id"))
     named = named.join(least, "label").join(links, "digest", "left").select("digest", "component_id", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    return members.join(named, "digest", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
+    return members.join(named, "digest", "left").select("doc_id", F.col("n_shingles").cast("bigint").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:

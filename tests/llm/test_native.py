@@ -124,3 +124,11 @@ def test_licences(spark):
     assert got["top.py"]["found"] is None
     assert op08_licences.licensed(df.limit(0), templates).count() == 0
     assert op08_licences.licensed(df, templates.limit(0)).where("found IS NOT NULL").count() == 0
+
+
+def test_native_plans(spark, docs_of):
+    """No Python on the executors, and scans of the needed columns only."""
+    templates = spark.createDataFrame(op08_licences.TEMPLATES, "licence string, text string")
+    files = docs_of(["x"]).selectExpr("source AS path", "text")
+    for df in (op04_sharding.shard_documents(docs_of(["x"])), op08_licences.licensed(files, templates)):
+        assert not re.search("Python|Pandas|InArrow", df._jdf.queryExecution().executedPlan().toString().replace("PythonRDD", ""))

@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Paths of the tables that this process has written and not deleted, in order.
+MADE: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a local folder only where none is configured (tests)."""
     known = spark.conf.get("spark.checkpoint.dir", None)
@@ -27,15 +31,28 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/skyflux-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    MADE.append(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._skyflux_path = path
     return back
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    if path in MADE:
+        MADE.remove(path)
+
+
 def dropped(df: DataFrame) -> None:
     """Deletes a table made by written() once nothing reads it any more."""
     path = getattr(df, "_skyflux_path", None)
     if path:
-        spark = df.sparkSession
-        at = spark._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        _delete(df.sparkSession, path)
+
+
+def drop_all_but(kept: DataFrame, since: int) -> None:
+    """Deletes the tables written since MADE had so many, except kept: kept no longer reads them once it is written itself."""
+    for path in MADE[since:]:
+        if path != kept._skyflux_path:
+            _delete(kept.sparkSession, path)

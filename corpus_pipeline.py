@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyflux.llm import op03_substring_dedup, op05_decontamination, op07_jaccard_join, op09_packing, op10_quality
-from skyflux.llm.store import written
+from skyflux.llm.store import MADE, drop_all_but, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,8 +49,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows; every stage's output is written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The last stage's rows; every stage's output is written to the shared folder and read again, and what it was made from deleted."""
+    docs, since = spark.read.parquet(f"{sf_dir}/documents.parquet"), len(MADE)
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
+        drop_all_but(docs, since)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -45,20 +45,22 @@ def nearest_by_km(files: DataFrame, stations: DataFrame, tolerance: float = TOLE
     return nearest(files, stations, kilometres_apart(), tolerance, 0.1, key=key)
 
 
-def legacy_files(paths: DataFrame) -> DataFrame:
-    """path, version, ts, lat, lon of the second and third generation's files; names that don't fit are left out."""
+def legacy_files(paths: DataFrame, second: str) -> DataFrame:
+    """path, version, ts, lat, lon of the second and third generation's files; names that don't fit are left out.
+
+    second: what the paths of the second generation contain, in lower case."""
     name = F.element_at(F.split(F.regexp_replace("path", r"\\", "/"), "/"), -1)
     stamp = let(name, lambda n: F.concat(F.regexp_extract(n, LEGACY_NAME, 2), F.regexp_extract(n, LEGACY_NAME, 3)))
     lat, lon = coordinates(name)
-    of = F.struct(F.when(F.lower("path").contains("scintpi2"), "SC2").otherwise("SC3").alias("version"), parsed(stamp, "yyyyMMddHHmm").alias("ts"), lat.alias("lat"), lon.alias("lon"))
+    of = F.struct(F.when(F.lower("path").contains(second), "SC2").otherwise("SC3").alias("version"), parsed(stamp, "yyyyMMddHHmm").alias("ts"), lat.alias("lat"), lon.alias("lon"))
     # one row of an exploded array of one: a border that keeps filters from copying the parsing
     out = paths.select("path", F.explode(F.array(of)).alias("f")).select("path", "f.*")
     return out.where(F.col("ts").isNotNull() & F.col("lat").isNotNull() & off_origin(F.col("lat"), F.col("lon")))
 
 
-def legacy_days(paths: DataFrame, stations: DataFrame, cutoff: Column) -> DataFrame:
+def legacy_days(paths: DataFrame, stations: DataFrame, cutoff: Column, second: str) -> DataFrame:
     """(ord, day) with files since the cutoff's midnight: a file belongs to the nearest station of its version."""
-    files = legacy_files(paths).where(F.col("ts") >= floor_to("day", cutoff))
+    files = legacy_files(paths, second).where(F.col("ts") >= floor_to("day", cutoff))
     near = nearest(files, stations, degrees_apart(), TOLERANCE_DEG, 0.05, F.col("version") == F.col("s_version"))
     return files.join(near, "path").select("ord", floor_to("day", F.col("ts")).alias("day")).distinct()
 

@@ -134,13 +134,13 @@ def dip_latitude(spark, sf):
     return events(spark, sf).select("event_id", r(geo.dip_latitude(F.col("user_id") % 170 - 85.0), "dip"))
 
 
-_NAME = "concat('/data/', CASE WHEN user_id % 3 = 0 THEN 'scintpi2' ELSE 'scintpi3' END, '_20240511_0800_', CASE WHEN user_id % 2 = 0 THEN '756582.5000W' ELSE '87.16004E' END, '_', CASE WHEN user_id % 5 = 0 THEN '414055.0312N' WHEN user_id % 5 = 1 THEN 'x' ELSE '14.09419S' END, '_v325.bin.zip')"
+_NAME = "concat('/data/', CASE WHEN user_id % 3 = 0 THEN 'receiver2' ELSE 'receiver3' END, '_20240511_0800_', CASE WHEN user_id % 2 = 0 THEN '756582.5000W' ELSE '87.16004E' END, '_', CASE WHEN user_id % 5 = 0 THEN '414055.0312N' WHEN user_id % 5 = 1 THEN 'x' ELSE '14.09419S' END, '_v325.bin.zip')"
 
 
 def filename_coords(spark, sf):
     e = events(spark, sf).withColumn("name", F.expr(_NAME))
     lat, lon = geo.coordinates(F.col("name"))
-    return e.select("event_id", r(lat, "lat"), r(lon, "lon"), F.regexp_extract("name", r"_v(\d+)", 1).alias("version"), F.when(F.lower("name").contains("scintpi2"), "SC2").otherwise("SC3").alias("tag"))
+    return e.select("event_id", r(lat, "lat"), r(lon, "lon"), F.regexp_extract("name", r"_v(\d+)", 1).alias("version"), F.when(F.lower("name").contains("receiver2"), "SC2").otherwise("SC3").alias("tag"))
 
 
 def file_kinds(spark, sf):
@@ -209,7 +209,7 @@ QUERIES = {
     "elevation_circle": (elevation_circle, "WITH o AS (SELECT n_nationkey, point, radians((n_nationkey * 4 - 50)::DOUBLE) AS lat1, radians((n_nationkey * 10 - 120)::DOUBLE) AS lon1, radians(30::DOUBLE) AS el, radians(point * (360.0::DOUBLE / 35)) AS az FROM nation, (SELECT unnest(range(36))::INTEGER AS point)), " + _pierce_sql("o", "n_nationkey, point") + " SELECT n_nationkey, point, round(ipp_lat, 6) + 0.0 AS circle_lat, round(ipp_lon, 6) + 0.0 AS circle_lon FROM f"),
     "dip_latitude": (dip_latitude, "SELECT event_id, round(degrees(atan(0.5 * tan(radians((user_id % 170 - 85)::DOUBLE)))), 6) + 0.0 AS dip FROM events"),
     "filename_coords": (filename_coords, f"""WITH n AS (SELECT event_id, {_NAME} AS name FROM events), m AS (SELECT event_id, name, nullif(regexp_extract(name, '_([0-9]+(?:\\.[0-9]+)?)([EW])_([0-9]+(?:\\.[0-9]+)?)([NS])', 1), '')::DOUBLE AS lo, regexp_extract(name, '_([0-9]+(?:\\.[0-9]+)?)([EW])_([0-9]+(?:\\.[0-9]+)?)([NS])', 2) AS lh, nullif(regexp_extract(name, '_([0-9]+(?:\\.[0-9]+)?)([EW])_([0-9]+(?:\\.[0-9]+)?)([NS])', 3), '')::DOUBLE AS la, regexp_extract(name, '_([0-9]+(?:\\.[0-9]+)?)([EW])_([0-9]+(?:\\.[0-9]+)?)([NS])', 4) AS th FROM n)
-SELECT event_id, round(CASE WHEN la > 90 THEN la / 1e4 ELSE la END * CASE WHEN th = 'S' THEN -1 ELSE 1 END, 6) + 0.0 AS lat, round(CASE WHEN lo > 180 THEN lo / 1e4 ELSE lo END * CASE WHEN lh = 'W' THEN -1 ELSE 1 END, 6) + 0.0 AS lon, regexp_extract(name, '_v(\\d+)', 1) AS version, CASE WHEN lower(name) LIKE '%scintpi2%' THEN 'SC2' ELSE 'SC3' END AS tag FROM m"""),
+SELECT event_id, round(CASE WHEN la > 90 THEN la / 1e4 ELSE la END * CASE WHEN th = 'S' THEN -1 ELSE 1 END, 6) + 0.0 AS lat, round(CASE WHEN lo > 180 THEN lo / 1e4 ELSE lo END * CASE WHEN lh = 'W' THEN -1 ELSE 1 END, 6) + 0.0 AS lon, regexp_extract(name, '_v(\\d+)', 1) AS version, CASE WHEN lower(name) LIKE '%receiver2%' THEN 'SC2' ELSE 'SC3' END AS tag FROM m"""),
     "file_kinds": (file_kinds, "SELECT event_id, CASE user_id % 6 WHEN 0 THEN 'binzip' WHEN 1 THEN 'bin' WHEN 2 THEN 'lvl0' WHEN 3 THEN 'lvl2' WHEN 4 THEN 'pq' END AS kind FROM events"),
     "log_line_clean": (log_line_clean, "WITH l AS (SELECT event_id, concat(event_type, CASE event_id % 4 WHEN 0 THEN ',,' WHEN 1 THEN ' Error ' ELSE ',' END, user_id::VARCHAR) AS value FROM events) SELECT * FROM l WHERE NOT regexp_matches(value, '\\bError\\b|,,')"),
     "station_dimension": (station_dimension, "SELECT row_number() OVER (ORDER BY s_suppkey % 17 - 8 DESC, s_suppkey) - 1 AS ord, trim(s_name) AS s_name, (s_suppkey % 17 - 8)::DOUBLE AS s_lat, (s_nationkey * 5 % 11)::DOUBLE AS s_lon, CASE WHEN s_suppkey % 4 = 0 THEN '' ELSE 'C' || s_suppkey::VARCHAR END AS s_code, CASE WHEN s_suppkey % 5 = 0 THEN 'UNK' ELSE 'SC3' END AS s_version FROM supplier WHERE s_suppkey % 9 <> 0 AND NOT (s_suppkey % 17 = 8 AND s_nationkey * 5 % 11 = 0)"),

@@ -127,14 +127,14 @@ def nearest_station_km(spark, sf):
 
 
 def _listing(spark, sf):
-    path = F.concat(F.lit("/d/"), F.when(F.col("user_id") % 3 == 0, "scintpi2").otherwise("scintpi3"), F.lit("_"), F.date_format("ts", "yyyyMMdd_HHmm"), F.lit("_"), F.format_string("%.3f", F.col("user_id") * 11 % 40 / 100.0 + 0.001), F.lit("E_"), F.format_string("%.3f", F.col("user_id") * 7 % 40 / 100.0 + 0.001), F.when(F.col("event_id") % 8 == 0, "").otherwise("N"), F.lit("_v325.bin.zip"))
+    path = F.concat(F.lit("/d/"), F.when(F.col("user_id") % 3 == 0, "receiver2").otherwise("receiver3"), F.lit("_"), F.date_format("ts", "yyyyMMdd_HHmm"), F.lit("_"), F.format_string("%.3f", F.col("user_id") * 11 % 40 / 100.0 + 0.001), F.lit("E_"), F.format_string("%.3f", F.col("user_id") * 7 % 40 / 100.0 + 0.001), F.when(F.col("event_id") % 8 == 0, "").otherwise("N"), F.lit("_v325.bin.zip"))
     return events(spark, sf).select(path.alias("path"))
 
 
 def availability_days(spark, sf):
     stations = _stations(spark, sf).where("ord < 40")
     cut = F.lit("2024-01-08 15:00:00").cast("timestamp_ntz")
-    return availability.legacy_days(_listing(spark, sf), stations, cut)
+    return availability.legacy_days(_listing(spark, sf), stations, cut, "receiver2")
 
 
 def sc4_days(spark, sf):

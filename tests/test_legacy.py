@@ -57,17 +57,17 @@ def test_reference(spark):
 
 def test_station_enrichment(spark):
     stations = spark.createDataFrame([(0, 41.40551, -75.65826, "US-PA1", 50.0), (1, 10.0, 10.0, "XX", 1.0)], "ord int, s_lat double, s_lon double, s_code string, dip0 double")
-    rows = spark.createDataFrame([("/d/scintpi3_20240511_0800_756582.5000W_414055.0312N_v325.bin.zip", 1.0), ("/d/none.bin", 2.0)], "file_id string, x double")
+    rows = spark.createDataFrame([("/d/receiver3_20240511_0800_756582.5000W_414055.0312N_v325.bin.zip", 1.0), ("/d/none.bin", 2.0)], "file_id string, x double")
     got = legacy.enriched_by_station(rows, stations).collect()
     assert len(got) == 1 and got[0]["code"] == "US-PA1" and got[0]["dip0"] == 50.0 and abs(got[0]["lat0"] - 41.4055) < 1e-3
 
 
 def test_availability(spark):
-    names = ["/a/scintpi3_20240511_0800_87.16004W_14.09419N_v326f.bin.zip", "/a/scintpi3_20240511_0900_87.16004W_14.09419N_v326f.bin.zip", "/a/SCINTPI2/scintpi2_20240512_0000_87.16004W_14.09419N.dat.zip", "/a/scintpi3_20231301_0800_87.1W_14.0N_v325.bin.zip", "/a/scintpi3_20240513_0800_0.0W_0.0N_v325.bin.zip", "/a/readme.txt"]
+    names = ["/a/receiver3_20240511_0800_87.16004W_14.09419N_v326f.bin.zip", "/a/receiver3_20240511_0900_87.16004W_14.09419N_v326f.bin.zip", "/a/RECEIVER2/receiver2_20240512_0000_87.16004W_14.09419N.dat.zip", "/a/receiver3_20231301_0800_87.1W_14.0N_v325.bin.zip", "/a/receiver3_20240513_0800_0.0W_0.0N_v325.bin.zip", "/a/readme.txt"]
     paths = spark.createDataFrame([(n,) for n in names], "path string")
     stations = spark.createDataFrame([(0, 14.094, -87.16, "SC3", "H1", "A"), (1, 14.094, -87.16, "SC3", "H2", "B"), (2, 14.094, -87.16, "SC2", "H3", "C")], "ord int, s_lat double, s_lon double, s_version string, s_code string, s_name string")
     cut, now = F.lit("2024-05-11 12:00:00").cast(NTZ), F.lit("2024-05-13 06:00:00").cast(NTZ)
-    days = availability.legacy_days(paths, stations, cut)
+    days = availability.legacy_days(paths, stations, cut, "receiver2")
     assert sorted((r["ord"], r["day"].day) for r in days.collect()) == [(0, 11), (2, 12)]
     assert availability.missing_days(days, stations, cut, now).count() == 7
     assert {r["end"] for r in availability.intervals(days, F.lit("2024-05-12 06:00:00").cast(NTZ)).collect()} == {dt.datetime(2024, 5, 12), dt.datetime(2024, 5, 12, 6)}

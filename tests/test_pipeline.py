@@ -68,7 +68,7 @@ def expected(rows):
 @pytest.fixture(scope="module")
 def made(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("raw")
-    rows = receiver_file(root / "scintpi3_20240511_0800_756582.5000W_414055.0312N_v325.bin")
+    rows = receiver_file(root / "receiver3_20240511_0800_756582.5000W_414055.0312N_v325.bin")
     (root / "bad_v326.bin").write_bytes(b"short")
     return root, rows, pipeline.process(spark, [str(p) for p in root.iterdir()] + ["x.txt"])
 
@@ -103,7 +103,7 @@ def test_unknown_rate_gives_nulls(spark, tmp_path):
 
 def test_written_and_read_again(spark, made, tmp_path):
     root, _, out = made
-    lvl0, _ = pipeline.convert(spark, [str(p) for p in root.iterdir() if "scintpi3" in p.name])
+    lvl0, _ = pipeline.convert(spark, [str(p) for p in root.iterdir() if "receiver3" in p.name])
     lvl0.drop("file_id", "row_id").coalesce(1).write.parquet(str(tmp_path / "a_lvl0.parquet"))
     again = pipeline.process(spark, str(tmp_path / "a_lvl0.parquet"), "lvl3").lvl3
     a = again.orderBy("minbin", "prn").select("minbin", "prn", "s4_1", "n_1").toPandas()

@@ -247,3 +247,15 @@ def digests(docs: DataFrame) -> DataFrame:
 
 def query(spark, sf_dir: str) -> DataFrame:
     return digests(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+#: The same by hashes of all windows.
+SQL = r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+v AS (SELECT doc_id, unnest(range(1, len(w) - 48)) AS j, w FROM d WHERE len(w) >= 50), h AS (SELECT doc_id, j, md5(array_to_string(w[j:j + 49], ' ')) AS h FROM v),
+f AS (SELECT h, min(doc_id) AS first FROM h GROUP BY h), r AS (SELECT doc_id, j FROM h JOIN f USING (h) WHERE doc_id > first),
+x AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j FROM d),
+y AS (SELECT x.doc_id, x.word, x.j, max(r.j) OVER (PARTITION BY x.doc_id ORDER BY x.j) AS last FROM x LEFT JOIN r ON r.doc_id = x.doc_id AND r.j = x.j),
+z AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE last >= j - 49) AS n_removed, string_agg(word, ' ' ORDER BY j) FILTER (WHERE last IS NULL OR last < j - 49) AS kept FROM y GROUP BY doc_id)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN z USING (doc_id)
+"""

@@ -263,3 +263,17 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
 def query(spark, sf_dir: str) -> DataFrame:
     return joined(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+#: The same by counting all common shingles and walking all links.
+SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [hash(array_to_string(w, ' '))] ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: hash(array_to_string(w[i:i + 4], ' ')))) END AS g FROM d),
+n AS (SELECT doc_id, len(g) AS n FROM s), e AS (SELECT doc_id, unnest(g) AS g FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+h AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 80 * (x.n + y.n - o)),
+l AS (SELECT a, b FROM h UNION ALL SELECT b, a FROM h),
+c AS (SELECT doc_id, doc_id AS root FROM n UNION SELECT l.b, c.root FROM c JOIN l ON l.a = c.doc_id),
+m AS (SELECT doc_id, min(root) AS component_id FROM c GROUP BY doc_id), k AS (SELECT a AS doc_id, count(*) AS n_links FROM l GROUP BY a)
+SELECT doc_id, n AS n_shingles, component_id, coalesce(n_links, 0) AS n_links FROM n JOIN m USING (doc_id) LEFT JOIN k USING (doc_id)
+"""

@@ -108,3 +108,26 @@ def query(spark, sf_dir: str) -> DataFrame:
     templates = spark.createDataFrame(TEMPLATES, "licence string, text string")
     out = licensed(docs.select(path.alias("path"), "text"), templates)
     return out.select(F.regexp_extract("path", r"(-?\d+)\.txt$", 1).cast("bigint").alias("doc_id"), "path", "licence", F.round("score", 6).alias("score"), "found", "licensed_by")
+
+
+#: The same over all lines, without anchors.
+_SQL = r"""
+WITH t(licence, text) AS (VALUES {values}),
+tw AS (SELECT licence, term, count(*) AS tf FROM (SELECT licence, unnest(string_split_regex(lower(text), '[^\p{{L}}\p{{N}}]+')) AS term FROM t) WHERE term <> '' GROUP BY ALL),
+f AS (SELECT concat_ws('/', coalesce(source, ''), coalesce(lang, ''), (doc_id // 100)::VARCHAR, doc_id::VARCHAR || '.txt') AS path, doc_id, text FROM documents),
+l AS (SELECT path, unnest(ls) AS line, unnest(range(len(ls))) AS line_no, len(ls) AS n_lines FROM (SELECT path, list_filter(string_split(text, chr(10)), lambda x: length(trim(x)) > 0) AS ls FROM f)),
+lw AS (SELECT path, line_no, n_lines, term, count(*) AS tf FROM (SELECT path, line_no, n_lines, unnest(string_split_regex(lower(line), '[^\p{{L}}\p{{N}}]+')) AS term FROM l) WHERE term <> '' GROUP BY ALL),
+n AS (SELECT count(*) AS n FROM l), df AS (SELECT term, count(*) AS df FROM lw GROUP BY term),
+idf AS (SELECT term, ln((1 + n)::DOUBLE / (1 + coalesce(df, 0))) + 1 AS idf FROM (SELECT DISTINCT term FROM tw) LEFT JOIN df USING (term), n),
+tv AS (SELECT licence, term, tf * idf AS w FROM tw JOIN idf USING (term)), tn AS (SELECT licence, sqrt(sum(w * w)) AS norm FROM tv GROUP BY licence),
+lv AS (SELECT path, line_no, n_lines, term, tf * coalesce(idf, ln((1 + n)::DOUBLE) + 1) AS w FROM lw LEFT JOIN idf USING (term), n),
+ln AS (SELECT path, line_no, any_value(n_lines) AS n_lines, sqrt(sum(w * w)) AS norm FROM lv GROUP BY path, line_no),
+c AS (SELECT path, line_no, ln.n_lines, licence, round(dot / tn.norm / ln.norm, 9) AS score FROM (SELECT path, line_no, licence, sum(lv.w * tv.w) AS dot FROM lv JOIN tv USING (term) GROUP BY ALL) JOIN ln USING (path, line_no) JOIN tn USING (licence)),
+own AS (SELECT path, first(licence ORDER BY score DESC, licence) AS licence, max(score) AS score, 2 * count(DISTINCT line_no) >= max(n_lines) AS whole FROM c WHERE score >= 0.6 GROUP BY path),
+home AS (SELECT regexp_replace(path, '/[^/]*$', '') AS dir, first({{'path': path, 'licence': licence, 'score': score}} ORDER BY path) AS o FROM own WHERE whole GROUP BY dir),
+up AS (SELECT f.path, o, length(dir) AS depth FROM f JOIN home ON starts_with(f.path, dir || '/') WHERE f.path NOT IN (SELECT path FROM own)),
+inh AS (SELECT path, first(o ORDER BY depth DESC) AS o FROM up GROUP BY path)
+SELECT f.doc_id, f.path, coalesce(own.licence, inh.o.licence) AS licence, round(coalesce(own.score, inh.o.score), 6) AS score, CASE WHEN own.path IS NOT NULL THEN 'own' WHEN inh.path IS NOT NULL THEN 'inherited' END AS found, CASE WHEN own.path IS NOT NULL THEN f.path ELSE inh.o.path END AS licensed_by
+FROM f LEFT JOIN own ON own.path = f.path LEFT JOIN inh ON inh.path = f.path
+"""
+SQL = _SQL.format(values=", ".join(f"('{a}', '{b}')" for a, b in TEMPLATES))

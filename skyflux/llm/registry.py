@@ -21,4 +21,9 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_url_filter": op06_url_filter.SQL}
+    return {
+        "op3_substring_dedup": op03_substring_dedup.SQL,
+        "op6_url_filter": op06_url_filter.SQL,
+        "op7_jaccard_join": op07_jaccard_join.SQL,
+        "op8_licences": op08_licences.SQL,
+    }

@@ -101,8 +101,7 @@ def regular_grid(spark, sf):
 
 
 def iir_cascade(spark, sf):
-    e = events(spark, sf).where("user_id % 10 = 0 OR user_id % 10 = 3")
-    return filters.highpassed(e.select("event_id", "user_id", "ts", "value"), KEY, ORDER, "value", 10.0).select("event_id", r(F.col("filtered"), "filtered", 5))
+    return filters.highpassed(events(spark, sf).select("event_id", "user_id", "ts", "value"), KEY, ORDER, "value", 10.0).select("event_id", r(F.col("filtered"), "filtered", 5))
 
 
 def _iir_sql(fs: float) -> str:
@@ -113,7 +112,7 @@ def _iir_sql(fs: float) -> str:
 
     u, v = step("x", "x1", "x2", "u1", "u2", b1, a1), step("u", "u1", "u2", "v1", "v2", b2, a2)
     y = step("v", "v1", "v2", "y1", "y2", b3, a3)
-    return f"""WITH RECURSIVE s AS (SELECT event_id, user_id, value AS x, row_number() OVER {W} AS rn FROM events WHERE user_id % 10 = 0 OR user_id % 10 = 3),
+    return f"""WITH RECURSIVE s AS (SELECT event_id, user_id, value AS x, row_number() OVER {W} AS rn FROM events),
 f AS (SELECT user_id, 0::BIGINT AS rn, 0::BIGINT AS event_id, 0.0::DOUBLE AS x1, 0.0::DOUBLE AS x2, 0.0::DOUBLE AS u1, 0.0::DOUBLE AS u2, 0.0::DOUBLE AS v1, 0.0::DOUBLE AS v2, 0.0::DOUBLE AS y1, 0.0::DOUBLE AS y2 FROM (SELECT DISTINCT user_id FROM s)
 UNION ALL SELECT user_id, rn, event_id, x AS x1, x1 AS x2, u AS u1, u1 AS u2, v AS v1, v1 AS v2, ({y})::DOUBLE AS y1, y1 AS y2
 FROM (SELECT *, ({v})::DOUBLE AS v FROM (SELECT f.user_id, s.rn, s.event_id, s.x, x1, x2, u1, u2, v1, v2, y1, y2, ({u.replace("* x ", "* s.x ")})::DOUBLE AS u FROM f JOIN s ON s.user_id = f.user_id AND s.rn = f.rn + 1)))

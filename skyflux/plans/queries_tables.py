@@ -132,7 +132,7 @@ def _listing(spark, sf):
 
 
 def availability_days(spark, sf):
-    stations = _stations(spark, sf).where("ord < 40")
+    stations = _stations(spark, sf)
     cut = F.lit("2024-01-08 15:00:00").cast("timestamp_ntz")
     return availability.legacy_days(_listing(spark, sf), stations, cut, "receiver2")
 
@@ -144,7 +144,7 @@ def sc4_days(spark, sf):
 
 
 def _days(spark, sf):
-    return events(spark, sf).where("user_id % 6 = 0").select((F.col("user_id") % 20).alias("ord"), "day").distinct()
+    return events(spark, sf).where("event_type = 'error'").select((F.col("user_id") % 100).alias("ord"), "day").distinct()
 
 
 def availability_intervals(spark, sf):
@@ -152,7 +152,7 @@ def availability_intervals(spark, sf):
 
 
 def missing_days(spark, sf):
-    s = _stations(spark, sf).where("ord < 20")
+    s = _stations(spark, sf)
     a, b = F.lit("2024-01-02 05:00:00").cast("timestamp_ntz"), F.lit("2024-01-15 06:00:00").cast("timestamp_ntz")
     return availability.missing_days(_days(spark, sf), s, a, b)
 
@@ -235,14 +235,14 @@ _STATIONS = "st AS (SELECT s_suppkey - 1 AS ord, s_suppkey * 7 % 40 / 100.0::DOU
 _PLACES = "pl AS (SELECT event_id, user_id * 3 % 400 / 1000.0::DOUBLE + 0.0005 AS lat, user_id * 7 % 400 / 1000.0::DOUBLE + 0.0003 AS lon, CASE WHEN user_id % 2 = 0 THEN 'SC2' ELSE 'SC3' END AS version FROM events)"
 _DEG = "sqrt(pow(lat - s_lat, 2) + pow(lon - s_lon, 2))"
 _KM = "2 * 6371.0088 * atan2(sqrt(h), sqrt(1 - h))"
-_DAYS = f"WITH {SQL}, dy AS (SELECT DISTINCT user_id % 20 AS ord, day FROM obs WHERE user_id % 6 = 0)"
+_DAYS = f"WITH {SQL}, dy AS (SELECT DISTINCT user_id % 100 AS ord, day FROM obs WHERE event_type = 'error')"
 QUERIES |= {
     "nearest_station": (nearest_station, f"WITH {_STATIONS}, {_PLACES}, d AS (SELECT event_id, ord, round({_DEG}, 9) AS distance FROM pl JOIN st ON version = s_version) SELECT event_id, first(ord ORDER BY distance, ord) AS ord, round(min(distance), 6) + 0.0 AS distance FROM d WHERE distance <= 0.02 GROUP BY event_id"),
     "nearest_station_km": (nearest_station_km, f"WITH {_STATIONS}, {_PLACES}, h AS (SELECT event_id, ord, pow(sin((radians(s_lat) - radians(lat)) / 2), 2) + cos(radians(lat)) * cos(radians(s_lat)) * pow(sin(radians(s_lon - lon) / 2), 2) AS h FROM pl, st), d AS (SELECT event_id, ord, round({_KM}, 6) AS km FROM h) SELECT event_id, first(ord ORDER BY km, ord) AS ord, round(min(km), 4) + 0.0 AS km FROM d WHERE km <= 1 GROUP BY event_id"),
-    "availability_days": (availability_days, f"WITH {SQL}, {_STATIONS}, f AS (SELECT event_id, CASE WHEN user_id % 3 = 0 THEN 'SC2' ELSE 'SC3' END AS version, day, (user_id * 7 % 40 / 100.0 + 0.001)::DOUBLE AS lat, (user_id * 11 % 40 / 100.0 + 0.001)::DOUBLE AS lon FROM obs WHERE event_id % 8 <> 0 AND date_trunc('minute', ts) >= TIMESTAMP '2024-01-08'), d AS (SELECT event_id, day, ord, round({_DEG}, 9) AS distance FROM f JOIN st ON version = s_version AND ord < 40), n AS (SELECT event_id, any_value(day) AS day, first(ord ORDER BY distance, ord) AS ord FROM d WHERE distance <= 0.02 GROUP BY event_id) SELECT DISTINCT ord, day FROM n"),
+    "availability_days": (availability_days, f"WITH {SQL}, {_STATIONS}, f AS (SELECT event_id, CASE WHEN user_id % 3 = 0 THEN 'SC2' ELSE 'SC3' END AS version, day, (user_id * 7 % 40 / 100.0 + 0.001)::DOUBLE AS lat, (user_id * 11 % 40 / 100.0 + 0.001)::DOUBLE AS lon FROM obs WHERE event_id % 8 <> 0 AND date_trunc('minute', ts) >= TIMESTAMP '2024-01-08'), d AS (SELECT event_id, day, ord, round({_DEG}, 9) AS distance FROM f JOIN st ON version = s_version), n AS (SELECT event_id, any_value(day) AS day, first(ord ORDER BY distance, ord) AS ord FROM d WHERE distance <= 0.02 GROUP BY event_id) SELECT DISTINCT ord, day FROM n"),
     "sc4_days": (sc4_days, f"WITH {SQL}, {_STATIONS}, c AS (SELECT s_code, min(ord) AS ord FROM st GROUP BY s_code) SELECT DISTINCT c.ord, day FROM obs JOIN c ON s_code = CASE user_id % 4 WHEN 0 THEN 'C3' WHEN 1 THEN 'C7' END WHERE day >= TIMESTAMP '2024-01-10'"),
     "availability_intervals": (availability_intervals, f"{_DAYS} SELECT ord, day AS start, least(day + INTERVAL 1 DAY, TIMESTAMP '2024-01-15 06:00:00') AS \"end\" FROM dy WHERE day < TIMESTAMP '2024-01-15 06:00:00'"),
-    "missing_days": (missing_days, f"{_DAYS}, {_STATIONS}, e AS (SELECT ord, unnest(generate_series(TIMESTAMP '2024-01-02', TIMESTAMP '2024-01-15', INTERVAL 1 DAY)) AS day FROM st WHERE ord < 20) SELECT ord, day FROM e ANTI JOIN dy USING (ord, day)"),
+    "missing_days": (missing_days, f"{_DAYS}, {_STATIONS}, e AS (SELECT ord, unnest(generate_series(TIMESTAMP '2024-01-02', TIMESTAMP '2024-01-15', INTERVAL 1 DAY)) AS day FROM st) SELECT ord, day FROM e ANTI JOIN dy USING (ord, day)"),
     "station_labels": (station_labels, f"WITH {_STATIONS} SELECT ord, '[' || s_version || '] ' || s_code || ', ' || s_name || ' (' || printf('%.3f', abs(s_lat)) || '°N, ' || printf('%.3f', abs(s_lon)) || '°E)' AS label FROM st"),
     "missing_fraction": (missing_fraction, f"WITH {SQL}, m AS (SELECT max(value) AS v FROM obs GROUP BY user_id, day) SELECT round(1 - avg((v > 50)::INTEGER), 6) + 0.0 AS missing FROM m"),
     "missing_inputs": (missing_inputs, "SELECT c_name AS path, c_custkey::VARCHAR AS output FROM customer ANTI JOIN (SELECT o_custkey FROM orders WHERE o_totalprice > 150000) ON c_custkey = o_custkey"),

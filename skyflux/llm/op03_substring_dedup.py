@@ -33,7 +33,7 @@ from .fm_index import FMIndex, matched_windows
 from .store import dropped, written
 from .text import Words, grams, mixed, words
 
-WINDOW, GRAM, RUN, SHARD, HOT, SEND_MAX = 50, 16, 200, 4000, 4096, 500_000
+WINDOW, GRAM, RUN, SHARD, HOT, SEND_MAX = 50, 16, 200, 4000, 4096, 200_000
 _STEP, _BACK = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 OCCURRENCE = ["anchor", "seg", "doc_id", "start", "windows"]
 

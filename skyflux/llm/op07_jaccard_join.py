@@ -32,7 +32,7 @@ from .components import components
 from .store import dropped, written
 from .text import mixed, shingle_sets, words
 
-FREQUENT, FREQUENT_MAX, BLOCK, SEND_MAX = 32, 1_000_000, 1024, 2_000_000
+FREQUENT, FREQUENT_MAX, BLOCK, SEND_MAX = 32, 1_000_000, 1024, 500_000
 _PLAIN = np.zeros(0, np.uint64)
 
 

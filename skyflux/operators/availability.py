@@ -10,6 +10,7 @@ from ..functions.timefn import floor_to, parsed
 
 STATIONS_MAX = 100_000
 TOLERANCE_DEG, TOLERANCE_KM = 0.02, 1.0
+CELL_DEG = 0.021  # a little wider than the tolerance, so that rounding at a border costs no pair
 LEGACY_NAME = r"(\w+?)_(\d{8})_(\d{4})_([\d.]+[WE]_[\d.]+[NS]).*\.zip$"
 
 
@@ -61,7 +62,7 @@ def legacy_files(paths: DataFrame, second: str) -> DataFrame:
 def legacy_days(paths: DataFrame, stations: DataFrame, cutoff: Column, second: str) -> DataFrame:
     """(ord, day) with files since the cutoff's midnight: a file belongs to the nearest station of its version."""
     files = legacy_files(paths, second).where(F.col("ts") >= floor_to("day", cutoff))
-    near = nearest(files, stations, degrees_apart(), TOLERANCE_DEG, 0.05, F.col("version") == F.col("s_version"))
+    near = nearest(files, stations, degrees_apart(), TOLERANCE_DEG, CELL_DEG, F.col("version") == F.col("s_version"))
     return files.join(near, "path").select("ord", floor_to("day", F.col("ts")).alias("day")).distinct()
 
 

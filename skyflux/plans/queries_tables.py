@@ -117,7 +117,7 @@ def _places(spark, sf):
 
 
 def nearest_station(spark, sf):
-    n = availability.nearest(_places(spark, sf), _stations(spark, sf), F.round(availability.degrees_apart(), 9), 0.02, 0.05, F.col("version") == F.col("s_version"))
+    n = availability.nearest(_places(spark, sf), _stations(spark, sf), F.round(availability.degrees_apart(), 9), 0.02, availability.CELL_DEG, F.col("version") == F.col("s_version"))
     return n.select(F.col("path").alias("event_id"), "ord", r(F.col("distance"), "distance"))
 
 

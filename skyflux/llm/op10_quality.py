@@ -1,20 +1,22 @@
-"""Quality by perplexity under an interpolated modified Kneser-Ney n-gram model of trusted text.
+"""Quality by perplexity under an interpolated modified Kneser-Ney model of the words of trusted text.
 
-Symbols are 64 classes of UTF-8 bytes: each ASCII letter, a class each for newline, other blanks, digits, '.', ',', four kinds of other
-punctuation and control, and three for bytes beyond ASCII. The model has orders 4 to 1, so it has at most 64**4 n-grams whatever the
-corpus: that bounds what is collected and broadcast.
+Words are runs of bytes that aren't blank; the model has word n-grams of orders WORDS to 1 over an open vocabulary, so it grows with the corpus
+and is never collected: n-grams are 64-bit hashes, and counts, contexts and probabilities are DataFrames sharded by them. A text has two
+signs before its first word and an end after its last. What the unigrams leave goes to the spelling of the word, which gives any word
+a probability: a Kneser-Ney model of orders 4 to 1 over 64 classes of bytes (each ASCII letter, a class each for newline, other blanks, digits,
+'.', ',', four kinds of other punctuation and control, three for bytes beyond ASCII), equal shares within a class. It is bounded and broadcast.
 
-Training: documents join the trusted ids (labels with quality 1), each task counts its text's 4-grams, and the counts are summed by
-n-gram over the cluster. Counts, contexts' totals and numbers of contexts with 1, 2 and more counts, and continuation counts of the
-lower orders are DataFrames, sharded by n-gram or context, and join to give each n-gram its discounted share and each context its
-back-off weight. A document's perplexity is that of each of its bytes after the three before it. The join of documents' n-grams with the
-model is made on the executors against the broadcast table, since a shuffled join would move every byte of the corpus.
+Training: documents join the trusted ids (labels with quality 1); their n-grams are counted by document and summed over the cluster.
+ln p of a word is its spelling's, plus ln of the weights of its contexts, plus a correction for each order whose n-gram is known. So a
+document's n-grams, counted within it, join the model once, each by its hash, and what they find is added up. An n-gram that only the
+scored document itself brought into the model counts as unknown: else trusted documents would set the bounds by having been learnt.
+Perplexity is per byte of words, with one blank for each and the end.
 
 Decision: per language the quantile HIGH of the trusted documents' perplexities, times MARGIN, is the most that a document may have.
 A short text says little, so PRIOR bytes at the language's median perplexity are counted in with each document. Languages without
 trusted documents use the quantiles over all trusted ones; without any, all is kept.
 
-Null and empty texts have null perplexity and are rejected (they hold no text to train on). Null languages are a language of their
+Null, empty and blank texts have null perplexity and are rejected (they hold no text to train on). Null languages are a language of their
 own. Repeated rows stay and are scored each; other columns stay in kept() and are not looked at.
 """
 
@@ -27,10 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import written
-from .text import offsets_and_bytes
+from .store import dropped, written
+from .text import _GRAM, Words, mixed, offsets_and_bytes, words
 
-ORDER, CLASSES = 4, 64
+ORDER, CLASSES, WORDS = 4, 64, 3
 HIGH, MARGIN, PRIOR = 0.99, 1.03, 64
 CHUNK = 1 << 20
 
@@ -64,6 +66,10 @@ def _classes() -> np.ndarray:
 
 
 CLASS = _classes()
+#: ln of how many bytes share a byte's class; a blank ends a word and is alone, since words hold none.
+SHARED = np.log(np.bincount(CLASS, minlength=CLASSES)[CLASS])
+SHARED[ord(" ")] = 0.0
+BEFORE, END = mixed(np.array([1, 2], np.uint64))
 
 
 def _grams_of(off: np.ndarray, data: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -85,23 +91,42 @@ def _grams_of(off: np.ndarray, data: np.ndarray) -> Iterator[tuple[int, int, np.
         lo = hi
 
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """n-gram counts of a task's texts."""
+def _letters(w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Borders and bytes of the words of a chunk, each with a blank after it."""
+    size = w.end - w.start
+    off = np.concatenate([[0], np.cumsum(size + 1)])
+    data = np.full(off[-1], 32, np.uint8)
+    at = np.arange(size.sum()) + np.repeat(np.arange(len(size)), size)
+    data[at] = w.raw[at - np.repeat(off[:-1] - w.start, size)]
+    return off, data
+
+
+def _counts(batches: Iterator[pa.RecordBatch], by_word: bool = False) -> Iterator[pa.RecordBatch]:
+    """n-gram counts of a task's texts, or of their words."""
     total = np.zeros(0, np.int64)
     for batch in batches:
-        for _, _, key, _ in _grams_of(*offsets_and_bytes(batch.column(0))):
-            total = total if len(total) else np.zeros(CLASSES**ORDER, np.int64)
-            g, c = np.unique(key, return_counts=True)
-            total[g] += c
+        for part in (_letters(w) for w in words(batch.column(0))) if by_word else [offsets_and_bytes(batch.column(0))]:
+            for _, _, key, _ in _grams_of(*part):
+                total = total if len(total) else np.zeros(CLASSES**ORDER, np.int64)
+                g, c = np.unique(key, return_counts=True)
+                total[g] += c
     g = np.flatnonzero(total)
     for lo in range(0, len(g), 100_000):
         part = g[lo : lo + 100_000]
         yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(total[part])], ["g", "c"])
 
 
-def ngram_counts(texts: DataFrame) -> DataFrame:
-    """g (key of a 4-gram) and c over all rows of the column text."""
-    return texts.select("text").mapInArrow(_counts, "g long, c long").groupBy("g").agg(F.sum("c").alias("c"))
+def ngram_counts(texts: DataFrame, by_word: bool = False) -> DataFrame:
+    """g (key of a 4-gram) and c over all rows of the column text, or over their words."""
+    return texts.select("text").mapInArrow(lambda batches: _counts(batches, by_word), "g long, c long").groupBy("g").agg(F.sum("c").alias("c"))
+
+
+def _discounts(counts: DataFrame) -> list:
+    n = counts.agg(*[F.coalesce(F.sum((F.col("c") == i).cast("double")), F.lit(0.0)).alias(f"n{i}") for i in (1, 2, 3, 4)])
+    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+    enough = (F.col("n1") > 0) & (F.col("n2") > 0) & (F.col("n3") > 0) & (F.col("n4") > 0)
+    d = n.select(*[F.when(enough, F.greatest(F.lit(0.0), F.least(F.lit(float(i)), i - (i + 1) * y * F.col(f"n{i + 1}") / F.col(f"n{i}")))).otherwise(F.lit(i / 2)).alias(f"d{i}") for i in (1, 2, 3)])
+    return [d.select(f"d{i}").scalar() for i in (1, 2, 3)]
 
 
 def kneser_ney(top: DataFrame) -> list[DataFrame]:
@@ -111,11 +136,7 @@ def kneser_ney(top: DataFrame) -> list[DataFrame]:
     to tell, 0.5, 1 and 1.5 are used. The context of a key is the key without its last symbol, the next order's n-gram the key without its first."""
     out, counts = [], top
     for order in range(ORDER, 0, -1):
-        n = counts.agg(*[F.coalesce(F.sum((F.col("c") == i).cast("double")), F.lit(0.0)).alias(f"n{i}") for i in (1, 2, 3, 4)])
-        y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
-        enough = (F.col("n1") > 0) & (F.col("n2") > 0) & (F.col("n3") > 0) & (F.col("n4") > 0)
-        d = n.select(*[F.when(enough, F.greatest(F.lit(0.0), F.least(F.lit(float(i)), i - (i + 1) * y * F.col(f"n{i + 1}") / F.col(f"n{i}")))).otherwise(F.lit(i / 2)).alias(f"d{i}") for i in (1, 2, 3)])
-        d1, d2, d3 = (d.select(f"d{i}").scalar() for i in (1, 2, 3))
+        d1, d2, d3 = _discounts(counts)
         context = F.shiftrightunsigned("g", 6)
         kinds = [(F.col("c") == 1), (F.col("c") == 2), (F.col("c") >= 3)]
         of = counts.groupBy(context.alias("h")).agg(F.sum("c").alias("total"), *[F.sum(k.cast("double")).alias(f"k{i + 1}") for i, k in enumerate(kinds)])
@@ -149,12 +170,12 @@ class Model:
         return self._dense
 
 
-def trained(texts: DataFrame) -> Model:
+def trained(texts: DataFrame, by_word: bool = False) -> Model:
     def table(df: DataFrame):
         rows = df.toArrow()
         return tuple(rows.column(i).to_numpy() for i in range(3))
 
-    counts = ngram_counts(texts).persist()
+    counts = ngram_counts(texts, by_word).persist()
     try:
         return Model([table(df) for df in kneser_ney(counts)])
     finally:
@@ -180,12 +201,162 @@ def perplexities(docs: DataFrame, model: Model, payload: list[str]) -> DataFrame
     return docs.select(*payload, "text").mapInArrow(run, f"{kinds}, n_bytes long, perplexity double")
 
 
+def _sequences(w: Words, spelling: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, keys of orders 1 to 3, ln p of the spelling, bytes) of every place of the rows that have words: two signs, the words, the end."""
+    n = np.diff(w.doc)
+    full = np.flatnonzero(n)
+    first = np.cumsum(n[full] + 3) - (n[full] + 3)
+    row = np.repeat(full, n[full] + 3)
+    at = np.arange(len(w.hash)) + 2 + 3 * np.repeat(np.arange(len(full)), n[full])
+    end = first + n[full] + 2
+    h, size = np.full(len(row), BEFORE, np.uint64), np.zeros(len(row), np.int64)
+    h[at], h[end] = w.hash, END
+    off, data = _letters(w)
+    size[at], size[end] = np.diff(off), 1
+    off, data = np.concatenate([off, [off[-1] + 1]]), np.concatenate([data, np.full(1, 32, np.uint8)])  # the end is an empty word
+    p, dense = [], spelling.dense()
+    for _, _, key, cut in _grams_of(off, data):
+        p.append((cut, dense[key]))
+    each = np.concatenate([np.add.reduceat(x.astype(np.float64), cut[:-1]) for cut, x in p]) - np.add.reduceat(SHARED[data], off[:-1])
+    s = np.zeros(len(row))
+    s[at], s[end] = each[:-1], each[-1]
+    keys = np.zeros((WORDS, len(row)), np.uint64)
+    keys[0] = h
+    for k in range(1, WORDS):
+        sums = h * _GRAM[0] + np.uint64(k)
+        for back in range(1, k + 1):
+            sums[back:] += h[:-back] * _GRAM[back]
+        keys[k] = mixed(sums)
+    return row, keys, s, size
+
+
+def _place(row: np.ndarray) -> np.ndarray:
+    """How far a place is from its row's first."""
+    start = np.concatenate([[True], row[1:] != row[:-1]])
+    at = np.arange(len(row))
+    return at - np.maximum.accumulate(np.where(start, at, 0))
+
+
+def _once(row: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first place, count) of each key within each row."""
+    order = np.lexsort((key, row))
+    r, k = row[order], key[order]
+    first = np.flatnonzero(np.concatenate([[True], (r[1:] != r[:-1]) | (k[1:] != k[:-1])]))
+    return order[first], np.diff(np.concatenate([first, [len(r)]]))
+
+
+def _long(x: np.ndarray) -> pa.Array:
+    return pa.array(x.view(np.int64))
+
+
+def document_grams(docs: DataFrame, spelling, places: bool) -> DataFrame:
+    """g, doc and c of each n-gram within each text of docs (doc, text); with places those of the highest order alone,
+    with context (h), the next order's n-gram (s), that one's context (v) and word (w), and the word's spelling."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc = batch.column(0).to_numpy()
+            for w in words(batch.column(1)):
+                if not len(w.hash):
+                    continue
+                row, keys, spelt, _ = _sequences(w, spelling.value)
+                place = _place(row)
+                for k in (WORDS - 1,) if places else range(WORDS):
+                    some = np.flatnonzero(place >= max(k, 1))
+                    i, c = _once(row[some], keys[k][some])
+                    i = some[i]
+                    out = [_long(keys[k][i]), pa.array(doc[w.lo + row[i]]), pa.array(c.astype(np.int64))]
+                    if places:
+                        out += [_long(keys[1][i - 1]), _long(keys[1][i]), _long(keys[0][i - 1]), _long(keys[0][i]), pa.array(spelt[i])]
+                    for lo in range(0, len(i), 100_000):
+                        yield pa.RecordBatch.from_arrays([x[lo : lo + 100_000] for x in out], ["g", "doc", "c", "h", "s", "v", "w", "spelt"][: len(out)])
+
+    return docs.select("doc", "text").mapInArrow(run, "g long, doc long, c long" + (", h long, s long, v long, w long, spelt double" if places else ""))
+
+
+def word_model(grams: DataFrame) -> tuple[DataFrame, float]:
+    """(g, value, only) and the share that unigrams leave to spelling, from document_grams() with places. A value is the correction of ln p for a known
+    n-gram and ln of its weight as a context; only: the one document that has it, or null."""
+    one = [F.min("lo").alias("lo"), F.max("hi").alias("hi")]
+    top = grams.withColumns({"lo": F.col("doc"), "hi": F.col("doc")}).groupBy("g").agg(F.sum("c").alias("c"), *one, *[F.first(x).alias(x) for x in ("h", "s", "v", "w", "spelt")])
+    top = written(top, "trigrams")
+    two = written(top.groupBy(F.col("s").alias("g")).agg(F.count("*").alias("c"), *one, *[F.first(x).alias(x) for x in ("v", "w", "spelt")]), "bigrams")
+    words_ = written(two.groupBy(F.col("w").alias("g")).agg(F.count("*").alias("c"), *one, F.first("spelt").alias("spelt")), "unigrams")
+
+    def shares(counts: DataFrame, context: str | None):
+        """counts with a, the discounted share, and the contexts' tables of weights b."""
+        d1, d2, d3 = _discounts(counts)
+        kinds = [(F.col("c") == 1), (F.col("c") == 2), (F.col("c") >= 3)]
+        sums = [F.sum("c").alias("total"), *[F.sum(k.cast("double")).alias(f"k{i + 1}") for i, k in enumerate(kinds)], *one]
+        of = counts.groupBy(F.col(context).alias("_h") if context else F.lit(0).alias("_h")).agg(*sums)
+        b = F.greatest((d1 * F.col("k1") + d2 * F.col("k2") + d3 * F.col("k3")) / F.col("total"), F.lit(1e-9))
+        of = of.select("_h", "total", b.alias("b"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi"))
+        taken = F.when(kinds[0], d1).when(kinds[1], d2).otherwise(d3)
+        return F.greatest(F.col("c") - taken, F.lit(0.0)), of
+
+    less, of = shares(words_, None)
+    of = of.first()
+    if of is None:
+        return top.select("g", F.lit(0.0).alias("value"), F.lit(None).cast("long").alias("only")).limit(0), 1.0
+    left = float(of["b"])
+    base = F.exp("spelt") * left
+    p1 = words_.withColumn("a", less / float(of["total"])).select("g", "lo", "hi", (F.col("a") + base).alias("p"), F.log1p(F.col("a") / base).alias("more"))
+    less, of2 = shares(two, "v")
+    p2 = two.join(of2.hint("merge"), two["v"] == of2["_h"]).join(p1.select(F.col("g").alias("_w"), F.col("p").alias("lower")).hint("merge"), F.col("w") == F.col("_w"))
+    p2 = p2.withColumns({"a": less / F.col("total"), "base": F.col("b") * F.col("lower")})
+    p2 = written(p2.select("g", "lo", "hi", (F.col("a") + F.col("base")).alias("p"), F.log1p(F.col("a") / F.col("base")).alias("more")), "bigram-shares")
+    less, of3 = shares(top, "h")
+    p3 = top.join(of3.hint("merge"), top["h"] == of3["_h"]).join(p2.select(F.col("g").alias("_s"), F.col("p").alias("lower")).hint("merge"), F.col("s") == F.col("_s"))
+    p3 = p3.select("g", "lo", "hi", F.log1p(less / F.col("total") / (F.col("b") * F.col("lower"))).alias("more"))
+    parts = [p3, p2.select("g", "lo", "hi", "more"), p1.select("g", "lo", "hi", "more")]
+    parts += [x.select(F.col("_h").alias("g"), F.col("_lo").alias("lo"), F.col("_hi").alias("hi"), F.ln("b").alias("more")) for x in (of3, of2)]
+    every = parts[0]
+    for x in parts[1:]:
+        every = every.unionAll(x)
+    out = every.groupBy("g").agg(F.sum("more").alias("value"), *one).select("g", "value", F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("only"))
+    out = written(out, "words")
+    for x in (top, two, words_, p2):
+        dropped(x)
+    return out, left
+
+
+def word_perplexities(docs: DataFrame, texts: DataFrame, payload: list[str]) -> DataFrame:
+    """payload, n_bytes and perplexity (null for texts without words) of every row of docs under the model of texts; both have doc_id and text."""
+    key = F.xxhash64("doc_id", "text").alias("doc")
+    spelling = docs.sparkSession.sparkContext.broadcast(trained(texts, by_word=True))
+    model, left = word_model(document_grams(texts.select(key, "text"), spelling, True))
+    found = document_grams(docs.select(key, "text"), spelling, False).join(model.hint("merge"), "g").where("only IS NULL OR only <> doc")
+    # copies of a row have one key; each has the sign before a text once
+    copies = F.sum(F.when(F.col("g") == int(BEFORE.view(np.int64)), F.col("c")))
+    found = found.groupBy("doc").agg((F.sum(F.col("c") * F.col("value")) / F.coalesce(copies, F.lit(1))).alias("known"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            off, _ = offsets_and_bytes(batch.column(len(payload) + 1))
+            n, spelt, size = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
+            for w in words(batch.column(len(payload) + 1)):
+                if len(w.hash):
+                    row, _, s, b = _sequences(w, spelling.value)
+                    n[w.lo : w.hi] = np.where(np.diff(w.doc) > 0, np.diff(w.doc) + 1, 0)
+                    spelt[w.lo : w.hi] = np.bincount(row, s, w.hi - w.lo)
+                    size[w.lo : w.hi] = np.bincount(row, b, w.hi - w.lo)
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(payload) + 1], pa.array(np.diff(off)), pa.array(n), pa.array(spelt), pa.array(size)], [*payload, "doc", "n_bytes", "n", "spelt", "size"])
+
+    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in payload)
+    base = docs.select(*payload, key, "text").mapInArrow(run, f"{kinds}, doc long, n_bytes long, n long, spelt double, size long")
+    total = F.col("spelt") + F.col("n") * float(np.log(left)) + F.coalesce("known", F.lit(0.0))
+    out = base.join(found, "doc", "left").select(*payload, "n_bytes", F.when(F.col("n") > 0, F.exp(-total / F.col("size"))).alias("perplexity"))
+    out = written(out, "perplexities")
+    dropped(model)
+    return out
+
+
 def judged(docs: DataFrame, trusted: DataFrame, high: float = HIGH, margin: float = MARGIN, prior: int = PRIOR) -> DataFrame:
     """doc_id, lang, n_bytes, perplexity, its value with the prior (adjusted), the bound (high), trusted and keep of every row. trusted: a doc_id column."""
     ids = trusted.select("doc_id").where("doc_id IS NOT NULL").distinct()
-    model = trained(docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi"))  # the list grows with the corpus: never broadcast
-    scored = perplexities(docs, model, ["doc_id", "lang"]).join(ids.withColumn("trusted", F.lit(True)), "doc_id", "left")
-    scored = written(scored, "perplexities")
+    texts = written(docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi"), "trusted")  # the list grows with the corpus: never broadcast
+    scored = word_perplexities(docs, texts, ["doc_id", "lang"]).join(ids.withColumn("trusted", F.lit(True)), "doc_id", "left")
+    dropped(texts)
     pair = F.percentile_approx(F.when(F.col("trusted"), F.col("perplexity")), F.array(F.lit(0.5), F.lit(high)), F.lit(10_000))
     by_lang = scored.groupBy("lang").agg(pair.alias("own")).withColumnRenamed("lang", "_lang")
     rows = scored.join(by_lang, F.col("lang").eqNullSafe(F.col("_lang")), "left").withColumn("own", F.coalesce("own", scored.agg(pair.alias("q")).scalar()))

@@ -235,6 +235,52 @@ def test_perplexity(docs_of):
     np.testing.assert_allclose(every, 1, rtol=1e-4)
 
 
+def test_word_perplexity(docs_of):
+    """Against the recursive definition over words; the vocabulary is open and no script's words are alike."""
+    rng = random.Random(8)
+    v = [*vocabulary(rng, 25), "тест", "слово", "書物", "1999", "2024"]
+    texts = [" ".join(rng.choice(v) for _ in range(rng.randrange(1, 30))) for _ in range(50)] + ["слово новое", "аааа  2025\nтест", "é"]
+    docs = docs_of([*texts, texts[45], None, " "])
+    docs = docs.unionAll(docs.where("doc_id = 46"))
+    train = docs.where("doc_id < 40")
+    got = {r["doc_id"]: r["perplexity"] for r in qual.word_perplexities(docs, train, ["doc_id"]).collect()}
+    dense = qual.trained(train, by_word=True).dense()
+
+    def spelt(word):
+        b = [int(qual.CLASS[x]) for x in (word + " ").encode()]
+        keys = [sum(x << 6 * (3 - i) for i, x in enumerate(([0, 0, 0, *b])[k : k + 4])) for k in range(len(b))]
+        return math.exp(sum(float(dense[k]) for k in keys) - sum(math.log((qual.CLASS == c).sum()) for c in b[:-1]))
+
+    grams = [collections.Counter() for _ in range(4)]
+    for t in texts[:40]:
+        s = ("<", "<", *t.split(), "")
+        grams[3].update(s[i - 2 : i + 1] for i in range(2, len(s)))
+    for k in (2, 1):
+        grams[k].update(g[1:] for g in grams[k + 1])
+    discounts, follow = [None], collections.defaultdict(list)
+    for k in (1, 2, 3):
+        c = collections.Counter(grams[k].values())
+        y = c[1] / (c[1] + 2 * c[2]) if c[1] else 0
+        discounts.append([0, *[min(i, max(0.0, i - (i + 1) * y * c[i + 1] / c[i])) for i in (1, 2, 3)]] if all(c[i] for i in (1, 2, 3, 4)) else [0, 0.5, 1, 1.5])
+        for g, c in grams[k].items():
+            follow[g[:-1], k].append(c)
+
+    def p(g):
+        k, counts = len(g), follow[g[:-1], len(g)]
+        lower = spelt(g[0]) if k == 1 else p(g[1:])
+        if not counts:
+            return lower
+        d, c = discounts[k], grams[k][g]
+        return (max(c - d[min(c, 3)], 0) + sum(d[min(x, 3)] for x in counts) * lower) / sum(counts)
+
+    for i, t in enumerate(texts):
+        if i >= 40:
+            s = ("<", "<", *t.split(), "")
+            size = sum(len(w.encode()) + 1 for w in s[2:])
+            assert got[i] == pytest.approx(math.exp(-sum(math.log(p(s[k - 2 : k + 1])) for k in range(2, len(s))) / size), rel=1e-4), t
+    assert got[53] == pytest.approx(got[45]) and got[54] is None and got[55] is None
+
+
 def test_quality(spark, docs_of):
     rng = random.Random(5)
     v = vocabulary(rng, 40)

@@ -3,7 +3,8 @@
 1. Language model: trigrams of letters (a-z, other letters as one, and a word border) are counted over all texts; 28**3 counts at most.
 2. Channel: a suspicious stretch (a word with digits or signs for letters between letters, a letter three times or more in a row, or a run of
    single letters) is a lattice: each symbol stands for itself, for letters that it imitates, for nothing (separators), or for one more of the
-   letter before it. Viterbi keeps the BEAM best letter strings under language model and channel costs; the READINGS best are the restored words.
+   letter before it. Viterbi keeps the BEAM best letter strings under language model and channel costs; the READINGS best are the restored words. Stretches
+   have any length (the search is linear in it); a symbol, or a symbol and a separator, more than three times in a row stands there three times.
 3. Score: words and restored words are looked up by their stems (their first STEM letters, without case) among cues, stems that are learnt from
    labelled documents. A cue's weight is ln of its rate in toxic over its rate in other documents; other words weigh what is left, a little below 0, and FLOOR at least.
    Documents that agree in their smallest 5-word shingle count once, so copies prove nothing. The score is the logistic of the prior's logit
@@ -17,7 +18,9 @@ and all scores are 0. Repeated rows stay. Other columns are not looked at.
 from __future__ import annotations
 
 import heapq
+import re
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +31,12 @@ from .store import dropped, written
 from .text import _LOWER, _SPACE, Words, _words, offsets_and_bytes, shingle_sets, words
 
 LABELLED, CUES, SUPPORT, LEAST, BEAM, READINGS, HELD_OUT, STEM, DAMPED = 50_000, 2_000, 3, 2.0, 12, 4, 2, 5, 0.5
-THRESHOLD, CACHE, LONGEST, FLOOR = 0.3, 100_000, 40, -0.02
+THRESHOLD, CACHE, CACHED, FLOOR = 0.3, 100_000, 64, -0.02
 #: What a symbol may stand for (fixed values).
 IMITATES = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e"}
 SEPARATORS = frozenset("._-*~'`,/ ")
 COST = {"same": 0.0, "imitates": 0.7, "nothing": 1.0, "again": 0.4, "twice": 1.5}
+_REPEATS = re.compile(r"(.[" + re.escape("".join(sorted(SEPARATORS))) + r"]?)\1{3,}", re.DOTALL)
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
 _BETWEEN = ~_LETTER
@@ -82,30 +86,29 @@ def _class(c: str) -> int:
 
 def restored(stretch: str, model: np.ndarray, beam: int = BEAM, readings: int = READINGS) -> list[str]:
     """The best letter strings for a stretch of symbols, by Viterbi over (last two classes, last letter, in a run or not), `beam` of them a step."""
-    states: dict[tuple, tuple[float, str]] = {(0, 0, ""): (0.0, "")}
-    for c in stretch.lower():
-        nxt: dict[tuple, list[tuple[float, str]]] = {}
-
-        def put(key, cost, text, nxt=nxt):
-            nxt.setdefault(key, []).append((cost, text))
-
-        for (a, b, last), ways in states.items():
-            for cost, text in ways if isinstance(ways, list) else [ways]:
-                letters = ([(c, COST["same"])] if c.isalpha() else []) + [(x, COST["imitates"]) for x in IMITATES.get(c, "")]
-                for x, more in letters:
-                    k = _class(x)
-                    again = COST["twice"] if x == last else 0.0
-                    put((b, k, x), cost + more + again - model[a, b, k], text + x)
-                    if x == last:
-                        put((a, b, last), cost + more + COST["again"], text)
-                if c in SEPARATORS or not letters:
-                    put((a, b, last), cost + COST["nothing"], text)
-        best = heapq.nsmallest(beam, ((cost, text, key) for key, ways in nxt.items() for cost, text in ways))
-        states = {}
-        for cost, text, key in best:
-            states.setdefault(key, []).append((cost, text))
-    ends = [(cost - model[a, b, 0], text) for (a, b, _), ways in states.items() for cost, text in (ways if isinstance(ways, list) else [ways])]
-    return list(dict.fromkeys(t for _, t in heapq.nsmallest(readings, ends) if t))
+    states: list[tuple] = [(0.0, None, 0, 0, "")]  # cost, letters as (those before, last), last two classes, last letter
+    for c in _REPEATS.sub(r"\1\1\1", stretch.lower()):
+        letters = ([(c, COST["same"])] if c.isalpha() else []) + [(x, COST["imitates"]) for x in IMITATES.get(c, "")]
+        nxt = []
+        for cost, text, a, b, last in states:
+            for x, more in letters:
+                k = _class(x)
+                nxt.append((cost + more + (COST["twice"] if x == last else 0.0) - model[a, b, k], (text, x), b, k, x))
+                if x == last:
+                    nxt.append((cost + more + COST["again"], text, a, b, last))
+            if c in SEPARATORS or not letters:
+                nxt.append((cost + COST["nothing"], text, a, b, last))
+        states = heapq.nsmallest(beam, nxt, key=itemgetter(0))
+    ends = heapq.nsmallest(readings, ((cost - model[a, b, 0], i) for i, (cost, text, a, b, _) in enumerate(states) if text))
+    return list(dict.fromkeys(_string(states[i][1]) for _, i in ends))
+
+
+def _string(text: tuple | None) -> str:
+    out = []
+    while text:
+        text, x = text
+        out.append(x)
+    return "".join(reversed(out))
 
 
 def suspicious(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -123,7 +126,7 @@ def suspicious(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     letters = np.add.reduceat(letter.astype(np.int32), w.start)
     size = w.end - w.start
     row = np.repeat(np.arange(len(w.doc) - 1), np.diff(w.doc))
-    words_at = np.flatnonzero(has_odd & (letters >= 2) & (size <= LONGEST))
+    words_at = np.flatnonzero(has_odd & (letters >= 2))
     one = (size == 1) & ((letters == 1) | _SIGN[raw[w.start]])
     joined = one.copy()
     joined[1:] &= row[1:] == row[:-1]
@@ -131,7 +134,7 @@ def suspicious(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     first = np.flatnonzero(begins)
     ends = one & ~np.concatenate([one[1:] & (row[1:] == row[:-1]), [False]])
     last = np.flatnonzero(ends)
-    long = (last - first >= 2) & (last - first < LONGEST)
+    long = last - first >= 2
     first, last = first[long], last[long]
     return np.concatenate([row[words_at], row[first]]), np.concatenate([w.start[words_at], w.start[first]]), np.concatenate([w.end[words_at], w.end[last]])
 
@@ -152,7 +155,9 @@ class Model:
         if got is None:
             if len(self._cache) >= CACHE:
                 self._cache.clear()
-            got = self._cache[stretch] = restored(stretch, self.trigrams)
+            got = restored(stretch, self.trigrams)
+            if len(stretch) <= CACHED:  # longer ones hardly recur
+                self._cache[stretch] = got
         return got
 
     def found(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -46,6 +46,12 @@ def test_restored(docs_of, toxic, word):
     assert score["predicted"] == 1 and plain["predicted"] == 0 and score["score"] > plain["score"]
 
 
+@pytest.mark.parametrize("word", ["i" * 60 + "diot", "i" + "-" * 60 + "d-i-o-t", "I " * 50 + "D I O T", "i.-" * 30 + "d10t", "1" * 50 + "d10t"])
+def test_long_stretches(docs_of, toxic, word):
+    """A cue stretched to any length."""
+    assert tox.scored(docs_of([f"abcde fghij {word} bcdea"]), toxic[1]).first()["predicted"] == 1
+
+
 def test_viterbi_finds_the_best_path():
     """Against all readings of a lattice, by cost."""
     model = tox.letter_trigrams_of = np.log(np.random.default_rng(0).dirichlet(np.ones(28), (28, 28)))

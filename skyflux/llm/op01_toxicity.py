@@ -1,11 +1,11 @@
 """Toxicity of texts behind a noisy-channel deobfuscator.
 
 1. Language model: trigrams of letters (a-z, other letters as one, and a word border) are counted over all texts; 28**3 counts at most.
-2. Channel: a suspicious stretch (a word with digits or signs for letters between letters, a letter three times or more in a row, or a run of
-   single letters) is a lattice: each symbol stands for itself, for letters that it imitates, for nothing (separators), or for one more of the
-   letter before it. Viterbi keeps the BEAM best letter strings under language model and channel costs; the READINGS best are the restored words. Stretches
+2. Channel: a suspicious stretch (a word with digits or signs for letters beside letters, a letter three times or more in a row, or a run of
+   single letters) is a lattice: each symbol stands for itself, for letters that it imitates, for nothing (separators, brackets and the like), for a
+   word border (separators), or for one more of the letter before it. Viterbi keeps the BEAM best letter strings under language model and channel costs; the READINGS best are the restored words. Stretches
    have any length (the search is linear in it); a symbol, or a symbol and a separator, more than three times in a row stands there three times.
-3. Score: words and restored words are looked up by their stems (their first STEM letters, without case) among cues, stems that are learnt from
+3. Score: words and all words of the reading with most cues are looked up by their stems (their first STEM letters, without case) among cues, stems that are learnt from
    labelled documents. A cue's weight is ln of its rate in toxic over its rate in other documents; other words weigh what is left, a little below 0, and FLOOR at least.
    Documents that agree in their smallest 5-word shingle count once, so copies prove nothing. The score is the logistic of the prior's logit
    and DAMPED times the text's weights, where a cue that comes c times counts log2(1 + c) times.
@@ -35,13 +35,16 @@ THRESHOLD, CACHE, CACHED, FLOOR = 0.3, 100_000, 64, -0.02
 #: What a symbol may stand for (fixed values).
 IMITATES = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e"}
 SEPARATORS = frozenset("._-*~'`,/ ")
-COST = {"same": 0.0, "imitates": 0.7, "nothing": 1.0, "again": 0.4, "twice": 1.5}
+#: Signs that may stand for a letter or for nothing.
+LOOSE = frozenset("!(|+")
+COST = {"same": 0.0, "imitates": 0.7, "nothing": 1.0, "border": 1.0, "again": 0.4, "twice": 1.5}
 _REPEATS = re.compile(r"(.[" + re.escape("".join(sorted(SEPARATORS))) + r"]?)\1{3,}", re.DOTALL)
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
 _BETWEEN = ~_LETTER
 _SIGN = np.zeros(256, bool)
 _SIGN[[ord(c) for c in IMITATES if ord(c) < 128]] = True
+_IMITATES = _SIGN.copy()
 _SIGN[[ord(c) for c in "._-*~"]] = True
 _CODE = np.zeros(256, np.int64)
 _CODE[97:123] = _CODE[65:91] = np.arange(1, 27)
@@ -84,8 +87,9 @@ def _class(c: str) -> int:
     return ord(c) - 96 if "a" <= c <= "z" else 27
 
 
-def restored(stretch: str, model: np.ndarray, beam: int = BEAM, readings: int = READINGS) -> list[str]:
-    """The best letter strings for a stretch of symbols, by Viterbi over (last two classes, last letter, in a run or not), `beam` of them a step."""
+def restored(stretch: str, model: np.ndarray | list, beam: int = BEAM, readings: int = READINGS, borders: bool = False) -> list[str]:
+    """The best letter strings for a stretch of symbols, by Viterbi over (last two classes, last letter, in a run or not), `beam` of them a step;
+    with borders they may be several words, joined by blanks."""
     states: list[tuple] = [(0.0, None, 0, 0, "")]  # cost, letters as (those before, last), last two classes, last letter
     for c in _REPEATS.sub(r"\1\1\1", stretch.lower()):
         letters = ([(c, COST["same"])] if c.isalpha() else []) + [(x, COST["imitates"]) for x in IMITATES.get(c, "")]
@@ -93,14 +97,16 @@ def restored(stretch: str, model: np.ndarray, beam: int = BEAM, readings: int =
         for cost, text, a, b, last in states:
             for x, more in letters:
                 k = _class(x)
-                nxt.append((cost + more + (COST["twice"] if x == last else 0.0) - model[a, b, k], (text, x), b, k, x))
+                nxt.append((cost + more + (COST["twice"] if x == last else 0.0) - model[a][b][k], (text, x), b, k, x))
                 if x == last:
                     nxt.append((cost + more + COST["again"], text, a, b, last))
-            if c in SEPARATORS or not letters:
+            if c in SEPARATORS or c in LOOSE or not letters:
                 nxt.append((cost + COST["nothing"], text, a, b, last))
+            if borders and b and (c in SEPARATORS or c.isspace()):
+                nxt.append((cost + COST["border"] - model[a][b][0], (text, " "), b, 0, ""))
         states = heapq.nsmallest(beam, nxt, key=itemgetter(0))
-    ends = heapq.nsmallest(readings, ((cost - model[a, b, 0], i) for i, (cost, text, a, b, _) in enumerate(states) if text))
-    return list(dict.fromkeys(_string(states[i][1]) for _, i in ends))
+    ends = heapq.nsmallest(readings, ((cost - (model[a][b][0] if b else 0.0), i) for i, (cost, text, a, b, _) in enumerate(states) if text))
+    return list(dict.fromkeys(_string(states[i][1]).rstrip() for _, i in ends))
 
 
 def _string(text: tuple | None) -> str:
@@ -120,13 +126,14 @@ def suspicious(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     letter, sign = _LETTER[raw], _SIGN[raw]
     odd = np.zeros(len(raw), bool)
     odd[:-1] |= sign[:-1] & letter[1:]  # a sign before a letter
+    odd[1:] |= _IMITATES[raw[1:]] & letter[:-1]  # or for one after it
     low = _CODE[raw]
     odd[2:] |= (low[2:] == low[1:-1]) & (low[2:] == low[:-2]) & (low[2:] > 0) & (low[2:] < 27)
     has_odd = np.add.reduceat(odd.astype(np.int32), w.start) > 0
     letters = np.add.reduceat(letter.astype(np.int32), w.start)
     size = w.end - w.start
     row = np.repeat(np.arange(len(w.doc) - 1), np.diff(w.doc))
-    words_at = np.flatnonzero(has_odd & (letters >= 2))
+    words_at = np.flatnonzero(has_odd & (letters >= 1))
     one = (size == 1) & ((letters == 1) | _SIGN[raw[w.start]])
     joined = one.copy()
     joined[1:] &= row[1:] == row[:-1]
@@ -144,20 +151,30 @@ class Model:
 
     def __init__(self, trigrams: np.ndarray, cues: dict[int, float], every: float, prior: float):
         self.trigrams, self.every, self.prior = trigrams, every, prior
-        self._cache: dict[str, list[str]] = {}
+        self._nested = trigrams.tolist()  # quicker to look up one by one
+        self._cache: dict[str, list[tuple[int, str]]] = {}
         self.stems = np.sort(np.array(list(cues), np.int64).view(np.uint64))
         self.weights = np.array([cues[int(x)] for x in self.stems.view(np.int64)])
         self._bits = np.zeros(1 << 16, bool)
         self._bits[(self.stems & np.uint64(0xFFFF)).astype(np.int64)] = True
 
-    def readings(self, stretch: str) -> list[str]:
+    def cues_in(self, stretch: str) -> list[tuple[int, str]]:
+        """(cue, word) of the cues in the reading that has most."""
         got = self._cache.get(stretch)
-        if got is None:
-            if len(self._cache) >= CACHE:
-                self._cache.clear()
-            got = restored(stretch, self.trigrams)
-            if len(stretch) <= CACHED:  # longer ones hardly recur
-                self._cache[stretch] = got
+        if got is not None:
+            return got
+        if len(self._cache) >= CACHE:
+            self._cache.clear()
+        got = []
+        for x in _stems(pa.array(restored(stretch, self._nested, borders=True), pa.string())):
+            i, k = self.found(x.hash)
+            of = np.searchsorted(x.doc, i, "right") - 1
+            for t in np.unique(of):
+                mine = np.flatnonzero(of == t)
+                if len(mine) > len(got):
+                    got = [(int(k[j]), x.raw[x.start[i[j]] : x.end[i[j]]].tobytes().decode("utf-8", "replace")) for j in mine]
+        if len(stretch) <= CACHED:  # longer ones hardly recur
+            self._cache[stretch] = got
         return got
 
     def found(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -181,13 +198,15 @@ class Model:
             plain = Words(w.lo, w.hi, w.raw, *_word_borders(w), w.hash)
             more: list[tuple[int, int]] = []
             for r, a, b in zip(*suspicious(plain), strict=True):
-                texts = self.readings(w.raw[a:b].tobytes().decode("utf-8", "replace"))
-                for x in _stems(pa.array(texts, pa.string())):
-                    _, k = self.found(x.hash)
-                    if len(k):
-                        more.append((int(r), int(k[0])))
-                        seen[w.lo + int(r)].append(texts[int(self.found(x.hash)[0][0])])
-                        break
+                best = self.cues_in(w.raw[a:b].tobytes().decode("utf-8", "replace"))
+                if best:
+                    known = cue[np.searchsorted(w.start[at], a) : np.searchsorted(w.start[at], b)].tolist()  # these are counted as they stand
+                    for k, word in best:
+                        if k in known:
+                            known.remove(k)
+                        else:
+                            more.append((int(r), k))
+                            seen[w.lo + int(r)].append(word)
             row = np.concatenate([row, np.array([x[0] for x in more], np.int64)])
             cue = np.concatenate([cue, np.array([x[1] for x in more], np.int64)])
             pair, count = np.unique(row * len(self.stems) + cue, return_counts=True)

@@ -52,6 +52,23 @@ def test_long_stretches(docs_of, toxic, word):
     assert tox.scored(docs_of([f"abcde fghij {word} bcdea"]), toxic[1]).first()["predicted"] == 1
 
 
+@pytest.mark.parametrize("word", ["j i h g f i d i o t", "fghij,1d10t", "fghij_1d10t", "(1d10t)", "1d10t!", "!1d10t", "idi07", "id107", "a.b.c.d.e i.d.i.o.t"])
+def test_words_of_a_reading(docs_of, toxic, word):
+    """Word borders within a stretch, signs that stand for nothing, and signs at a word's end."""
+    got = tox.scored(docs_of([f"abcde fghij {word} bcdea", "abcde fghij idiot! bcdea", "abcde fghij idiot bcdea"]), toxic[1]).orderBy("doc_id").collect()
+    assert got[0]["predicted"] == 1 and [x[:5] for x in got[0]["restored"]] == ["idiot"]
+    assert got[1]["score"] == got[2]["score"] and got[1]["restored"] == []
+
+
+@pytest.mark.parametrize("text", ["you are a i d i o t", "y o u i d i o t", "you,1d10t", "you_1d10t", "w e t o l d t h e m t h a t y o u a r e a b i g i d i o t a n d h e i s a f o o l"])
+def test_borders_in_prose(docs_of, toxic, text):
+    """With trigrams of prose, which has words of one letter."""
+    prose = "you are a big dog and he is a fool so we told them that you are an idiot and a cat sat on the mat but i did not see it"
+    model = tox.Model(tox.letter_trigrams(docs_of([prose] * 50)), {int(h): w for h, w in zip(toxic[1].stems.view(np.int64), toxic[1].weights, strict=True)}, toxic[1].every, toxic[1].prior)
+    got = tox.scored(docs_of([text]), model).first()
+    assert got["predicted"] == 1 and got["restored"] == ["idiot"]
+
+
 def test_viterbi_finds_the_best_path():
     """Against all readings of a lattice, by cost."""
     model = tox.letter_trigrams_of = np.log(np.random.default_rng(0).dirichlet(np.ones(28), (28, 28)))

@@ -5,8 +5,8 @@ so copies cost one row each and nothing more. Two sets are linked when 100 * |A
 
 1. Order. Shingles are ordered by hash, frequent ones last. A shingle is frequent if it is in more than FREQUENT sets' prefixes; as many
    as FREQUENT_MAX are sent to the executors, and the bound on the count is raised in powers of two until they are that few. Any order is right.
-2. Index lists by position. Linked sets share a shingle among the first |A| - ceil(0.8 |A|) + 1. Lists are sorted by set size; blocks of
-   a list whose sizes are too far apart are skipped. A short list gives its pairs, which are added up, and a pair stays a candidate if its shared prefix and
+2. Prefix lists. Linked sets share a shingle among the first |A| - ceil(0.8 |A|) + 1. Lists are sorted by set size, and
+   hold no positions. A short list gives its pairs, those whose sizes are too far apart are dropped, the others are added up, and a pair stays a candidate if its shared prefix and
    all that lies behind it could reach the overlap that it needs. A long list only chains its sets in order of size: one edge for each.
 3. Candidate clusters are the components of these edges; no linked pair crosses one. A cluster's sets meet in one task, or, where it has more
    than BLOCK sets, in a task for each pair of blocks of equal or neighbouring size classes.

@@ -1,23 +1,27 @@
-"""Quality by perplexity under an interpolated modified Kneser-Ney model of the words of trusted text.
-
-Words are runs of bytes that aren't blank; the model has word n-grams of orders WORDS to 1 over an open vocabulary, so it grows with the corpus
-and is never collected: n-grams are 64-bit hashes, and counts, contexts and probabilities are DataFrames sharded by them. A text has two
-signs before its first word and an end after its last. What the unigrams leave goes to the spelling of the word, which gives any word
-a probability: a Kneser-Ney model of orders 4 to 1 over 64 classes of bytes (each ASCII letter, a class each for newline, other blanks, digits,
-'.', ',', four kinds of other punctuation and control, three for bytes beyond ASCII), equal shares within a class. It is bounded and broadcast.
-
-Training: documents join the trusted ids (labels with quality 1); their n-grams are counted by document and summed over the cluster.
-ln p of a word is its spelling's, plus ln of the weights of its contexts, plus a correction for each order whose n-gram is known. So a
-document's n-grams, counted within it, join the model once, each by its hash, and what they find is added up. An n-gram that only the
-scored document itself brought into the model counts as unknown: else trusted documents would set the bounds by having been learnt.
-Perplexity is per byte of words, with one blank for each and the end.
-
-Decision: per language the quantile HIGH of the trusted documents' perplexities, times MARGIN, is the most that a document may have.
-A short text says little, so PRIOR bytes at the language's median perplexity are counted in with each document. Languages without
-trusted documents use the quantiles over all trusted ones; without any, all is kept.
-
-Null, empty and blank texts have null perplexity and are rejected (they hold no text to train on). Null languages are a language of their
-own. Repeated rows stay and are scored each; other columns stay in kept() and are not looked at.
+"""Quality by perplexity under an interpolated modified Kneser-Ney model of the characters of trusted text.
+
+The model has n-grams of whole Unicode characters, orders ORDER to 1, over an open alphabet (what the unigrams leave goes to all code points alike).
+It has no bound: n-grams are strings, and their counts, contexts and probabilities are DataFrames sharded by them, so what is gathered
+grows with the corpus and is never collected or broadcast. A text has ORDER - 1 signs BEFORE in front of it.
+
+1. Folds. Every text belongs to one of two folds by its hash. There are two models, each of the trusted texts (labels with quality 1) of one fold, and
+   a text is scored by the model of the other one; no text is judged by a model that has learnt it or a copy of it.
+2. Counting. Each task counts the distinct n-grams of its texts, and how often they stand in trusted texts of each fold; these are added up by n-gram.
+3. Probabilities. From ORDER down, each order's table holds all n-grams that scoring needs (suffixes of those in any text) with their counts or
+   continuation counts; from 1 up, each is joined with its context's sums and with its suffix's probability.
+4. Scoring. Tasks' texts are put together to blocks of about BLOCK bytes and packed. The probabilities that a block needs (its distinct n-grams) are joined from
+   the sharded table, shipped to the block, and added up along its texts. So what is moved is one packed copy of the texts and
+   the distinct n-grams of each block, not those of each document.
+
+Perplexity is per character. Decision: per language the quantile HIGH of the trusted documents' perplexities (of texts that their model doesn't know), times MARGIN, is the most
+that a document may have. A short text says little, so PRIOR characters at the language's median perplexity are counted in with each document.
+Languages without trusted documents use the quantiles over all trusted ones; without any, all is kept.
+
+docs must give the same rows in the same partitions when it is read twice (files do; write other plans to a table first); a block whose n-grams
+don't fit its texts raises an error. Trusted ids are broadcast only while there are at most SEND_MAX; beyond that docs is joined with them by a shuffle and written.
+
+Null and empty texts have null perplexity and are rejected (they hold no text to train on); blank ones are scored by their blanks. Null languages are a language of
+their own. Repeated rows stay and are judged each, rows of one doc_id each by its own text; other columns stay in kept() and are not looked at.
 """
 
 from __future__ import annotations
@@ -26,350 +30,229 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .store import dropped, written
-from .text import _GRAM, Words, mixed, offsets_and_bytes, words
+from .text import mixed
 
-ORDER, CLASSES, WORDS = 4, 64, 3
+ORDER, BEFORE, CODE_POINTS = 5, 0xFFFF, 0x110000
 HIGH, MARGIN, PRIOR = 0.99, 1.03, 64
-CHUNK = 1 << 20
-
-
-def _classes() -> np.ndarray:
-    """The class of every byte; 0 is what stands before a text."""
-    out = np.zeros(256, np.uint8)
-    for b in range(256):
-        c = chr(b)
-        if b >= 0x80:
-            out[b] = 61 + b % 3
-        elif c.isupper():
-            out[b] = 1 + b - 65
-        elif c.islower():
-            out[b] = 27 + b - 97
-        elif c.isdigit():
-            out[b] = 53
-        elif c == "\n":
-            out[b] = 54
-        elif c in " \t\r\v\f":
-            out[b] = 55
-        elif c in ".,":
-            out[b] = 56 + ".,".index(c)
-        elif c in "'\"-:;?()":
-            out[b] = 58
-        elif c in "!#$%&*":
-            out[b] = 59
-        else:
-            out[b] = 60
-    return out
+BLOCK, CHUNK, MERGE, SEND_MAX = 96 << 20, 1 << 20, 1_500_000, 2_000_000
+_FACTORS = [mixed(np.arange(1, ORDER + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(s)) | np.uint64(1) for s in (1, 2)]
+
+
+def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in parts of about CHUNK bytes of a text column; a longer text is a part of its own."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    lo = 0
+    while lo < batch.num_rows:
+        before = size[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(size, before + CHUNK, "right")))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
 
 
-CLASS = _classes()
-#: ln of how many bytes share a byte's class; a blank ends a word and is alone, since words hold none.
-SHARED = np.log(np.bincount(CLASS, minlength=CLASSES)[CLASS])
-SHARED[ord(" ")] = 0.0
-BEFORE, END = mixed(np.array([1, 2], np.uint64))
-
-
-def _grams_of(off: np.ndarray, data: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, last row, keys of all their bytes' 4-grams, row borders) in chunks of rows; a text starts with three symbols 0."""
-    n, lo = len(off) - 1, 0
-    while lo < n:
-        hi = min(n, max(lo + 1, int(np.searchsorted(off, off[lo] + CHUNK, "right")) - 1))
-        c = CLASS[data[off[lo] : off[hi]]].astype(np.int32)
-        cut = off[lo : hi + 1] - off[lo]
-        key = c.copy()
-        for back in range(1, ORDER):
-            before = np.zeros_like(c)
-            before[back:] = c[:-back] if back < len(c) else c[:0]
-            for j in range(back):  # symbols of the text before
-                at = cut[:-1] + j
-                before[at[at < cut[1:]]] = 0
-            key += before << 6 * back
-        yield lo, hi, key, cut
-        lo = hi
+def _sequence(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(code points, each text after ORDER - 1 signs BEFORE; row and place of each character)."""
+    pad = chr(BEFORE) * (ORDER - 1)
+    points = np.frombuffer("".join(pad + t for t in texts if t).encode("utf-32-le", "surrogatepass"), np.uint32)
+    n = np.array([len(t) if t else 0 for t in texts], np.int64)
+    row = np.repeat(np.arange(len(texts)), n)
+    skipped = np.cumsum(np.where(n > 0, ORDER - 1, 0))
+    return points, row, np.arange(len(row)) + skipped[row]
+
+
+def _hashes(points: np.ndarray, at: np.ndarray, seed: int) -> np.ndarray:
+    """A hash of the ORDER characters that end at each place."""
+    wide, total = points.astype(np.uint64), np.zeros(len(at), np.uint64)
+    for back in range(ORDER):
+        total += wide[at - back] * _FACTORS[seed][back]
+    return mixed(total)
+
+
+def _strings(points: np.ndarray) -> pa.Array:
+    """Rows of ORDER code points as strings."""
+    flat = np.ascontiguousarray(points, np.uint32).reshape(-1)
+    width = 1 + (flat >= 0x80).astype(np.int64) + (flat >= 0x800) + (flat >= 0x10000)
+    ends = np.concatenate([[0], np.cumsum(width)])[::ORDER].astype(np.int32)
+    data = flat.tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
+    return pa.StringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends.tobytes()), pa.py_buffer(data))
+
 
+def _summed(hashes: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
+    """One row for each hash: the first row's points, and the sums of the other columns."""
+    order = np.argsort(hashes, kind="stable")
+    first = np.flatnonzero(np.concatenate([[True], np.diff(hashes[order]) != 0]))
+    return (hashes[order][first], columns[0][order[first]], *[np.add.reduceat(c[order], first) for c in columns[1:]])
 
-def _letters(w: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Borders and bytes of the words of a chunk, each with a blank after it."""
-    size = w.end - w.start
-    off = np.concatenate([[0], np.cumsum(size + 1)])
-    data = np.full(off[-1], 32, np.uint8)
-    at = np.arange(size.sum()) + np.repeat(np.arange(len(size)), size)
-    data[at] = w.raw[at - np.repeat(off[:-1] - w.start, size)]
-    return off, data
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (text, trusted, fold, block): the task's distinct n-grams with their counts in trusted texts of fold 0 and 1."""
+    held: list[tuple] = []
 
-def _counts(batches: Iterator[pa.RecordBatch], by_word: bool = False) -> Iterator[pa.RecordBatch]:
-    """n-gram counts of a task's texts, or of their words."""
-    total = np.zeros(0, np.int64)
+    def merged() -> tuple:
+        return _summed(*[np.concatenate(x) for x in zip(*held, strict=True)])
+
+    block, limit = 0, MERGE
     for batch in batches:
-        for part in (_letters(w) for w in words(batch.column(0))) if by_word else [offsets_and_bytes(batch.column(0))]:
-            for _, _, key, _ in _grams_of(*part):
-                total = total if len(total) else np.zeros(CLASSES**ORDER, np.int64)
-                g, c = np.unique(key, return_counts=True)
-                total[g] += c
-    g = np.flatnonzero(total)
-    for lo in range(0, len(g), 100_000):
-        part = g[lo : lo + 100_000]
-        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(total[part])], ["g", "c"])
-
-
-def ngram_counts(texts: DataFrame, by_word: bool = False) -> DataFrame:
-    """g (key of a 4-gram) and c over all rows of the column text, or over their words."""
-    return texts.select("text").mapInArrow(lambda batches: _counts(batches, by_word), "g long, c long").groupBy("g").agg(F.sum("c").alias("c"))
-
-
-def _discounts(counts: DataFrame) -> list:
-    n = counts.agg(*[F.coalesce(F.sum((F.col("c") == i).cast("double")), F.lit(0.0)).alias(f"n{i}") for i in (1, 2, 3, 4)])
-    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
-    enough = (F.col("n1") > 0) & (F.col("n2") > 0) & (F.col("n3") > 0) & (F.col("n4") > 0)
-    d = n.select(*[F.when(enough, F.greatest(F.lit(0.0), F.least(F.lit(float(i)), i - (i + 1) * y * F.col(f"n{i + 1}") / F.col(f"n{i}")))).otherwise(F.lit(i / 2)).alias(f"d{i}") for i in (1, 2, 3)])
-    return [d.select(f"d{i}").scalar() for i in (1, 2, 3)]
-
-
-def kneser_ney(top: DataFrame) -> list[DataFrame]:
-    """For orders 4 to 1: g, its discounted share a, and its context's back-off weight b, from counts of the highest order.
-
-    Discounts D1, D2, D3 of each order come from its numbers of n-grams with count 1 to 4 (Chen and Goodman); where those are too few
-    to tell, 0.5, 1 and 1.5 are used. The context of a key is the key without its last symbol, the next order's n-gram the key without its first."""
-    out, counts = [], top
-    for order in range(ORDER, 0, -1):
-        d1, d2, d3 = _discounts(counts)
-        context = F.shiftrightunsigned("g", 6)
-        kinds = [(F.col("c") == 1), (F.col("c") == 2), (F.col("c") >= 3)]
-        of = counts.groupBy(context.alias("h")).agg(F.sum("c").alias("total"), *[F.sum(k.cast("double")).alias(f"k{i + 1}") for i, k in enumerate(kinds)])
-        of = of.select("h", "total", ((d1 * F.col("k1") + d2 * F.col("k2") + d3 * F.col("k3")) / F.col("total")).alias("b"))
-        taken = F.when(kinds[0], d1).when(kinds[1], d2).otherwise(d3)
-        out.append(counts.withColumn("h", context).join(of, "h").select("g", (F.greatest(F.col("c") - taken, F.lit(0.0)) / F.col("total")).alias("a"), "b"))
-        counts = counts.select(F.col("g").bitwiseAND(F.lit(CLASSES ** (order - 1) - 1)).alias("g")).groupBy("g").agg(F.count("*").alias("c"))
+        for part in _slices(batch, 0):
+            block = part.column(3)[0].as_py()
+            points, row, at = _sequence(part.column(0).to_pylist())
+            if not len(at):
+                continue
+            label = np.where(part.column(1).to_numpy(zero_copy_only=False), 1 + part.column(2).to_numpy(), 0)[row]
+            h = _hashes(points, at, 0)
+            order = np.argsort(h, kind="stable")
+            first = np.flatnonzero(np.concatenate([[True], np.diff(h[order]) != 0]))
+            counts = [np.add.reduceat((label[order] == 1 + f).astype(np.int64), first) for f in (0, 1)]
+            ends = at[order[first]]
+            held.append((h[order[first]], points[ends[:, None] - np.arange(ORDER - 1, -1, -1)], *counts))
+            if sum(len(x[0]) for x in held) > limit:
+                held = [merged()]
+                limit = max(MERGE, 2 * len(held[0][0]))
+    if held:
+        _, points, c0, c1 = merged()
+        for lo in range(0, len(c0), 100_000):
+            hi = min(len(c0), lo + 100_000)
+            yield pa.RecordBatch.from_arrays([_strings(points[lo:hi]), pa.array(np.full(hi - lo, block, np.int32)), pa.array(c0[lo:hi]), pa.array(c1[lo:hi])], ["g", "block", "c0", "c1"])
+
+
+def _discounts(table: DataFrame) -> list[list[float]]:
+    """D1, D2 and D3 of each fold, from the numbers of n-grams with count 1 to 4 (Chen and Goodman); where those are too few to tell, 0.5, 1 and 1.5."""
+    n = table.agg(*[F.count_if(F.col(f"c{f}") == i).alias(f"n{f}{i}") for f in (0, 1) for i in (1, 2, 3, 4)]).first()
+    out = []
+    for f in (0, 1):
+        n1, n2, n3, n4 = (n[f"n{f}{i}"] for i in (1, 2, 3, 4))
+        if min(n1, n2, n3, n4) > 0:
+            y = n1 / (n1 + 2 * n2)
+            out.append([max(0.0, min(i, i - (i + 1) * y * b / a)) for i, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))])
+        else:
+            out.append([0.5, 1.0, 1.5])
     return out
 
 
-class Model:
-    """The orders' tables; dense() gives ln p of every 4-gram."""
-
-    def __init__(self, orders: list[tuple[np.ndarray, np.ndarray, np.ndarray]]):
-        self.orders, self._dense = orders, None
-
-    def __getstate__(self):
-        return {"orders": self.orders, "_dense": None}
-
-    def dense(self) -> np.ndarray:
-        if self._dense is None:
-            p = np.full(1, 1 / CLASSES, np.float32)
-            for order, (g, a, b) in zip(range(1, ORDER + 1), reversed(self.orders), strict=True):
-                weight = np.ones(CLASSES ** (order - 1), np.float32)
-                weight[g >> 6] = b
-                lower = np.broadcast_to(p, (CLASSES, len(p))).reshape(CLASSES ** (order - 1), -1) if order > 1 else np.broadcast_to(p, (1, CLASSES))
-                p = (weight[:, None] * lower).reshape(-1)
-                p[g] += a.astype(np.float32)
-            np.log(np.maximum(p, 1e-12), out=p)
-            self._dense = p
-        return self._dense
-
-
-def trained(texts: DataFrame, by_word: bool = False) -> Model:
-    def table(df: DataFrame):
-        rows = df.toArrow()
-        return tuple(rows.column(i).to_numpy() for i in range(3))
-
-    counts = ngram_counts(texts, by_word).persist()
-    try:
-        return Model([table(df) for df in kneser_ney(counts)])
-    finally:
-        counts.unpersist()
-
-
-def perplexities(docs: DataFrame, model: Model, payload: list[str]) -> DataFrame:
-    """payload, n_bytes and perplexity (null for texts without bytes) of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            off, data = offsets_and_bytes(batch.column(len(payload)))
-            size, out = np.diff(off), np.full(batch.num_rows, np.nan)
-            for lo, hi, key, cut in _grams_of(off, data):
-                total = np.concatenate([[0.0], np.cumsum(shared.value.dense()[key], dtype=np.float64)])
-                n = np.diff(cut)
+def probabilities(top: DataFrame) -> DataFrame:
+    """g and p0, p1: the probability of its last character after the others under the model of each fold. top: g (ORDER characters) and its counts c0, c1;
+    n-grams without counts take part, to be given a probability."""
+    tables = [written(top, "order")]
+    for order in range(ORDER - 1, 0, -1):
+        lower = tables[-1].groupBy(F.substring("g", 2, order).alias("g")).agg(*[F.count_if(F.col(f"c{f}") > 0).alias(f"c{f}") for f in (0, 1)])
+        tables.append(written(lower, "order"))
+    p = None
+    for order, table in zip(range(1, ORDER + 1), reversed(tables), strict=True):
+        less = _discounts(table)
+        sums, now = [], []
+        for f in (0, 1):
+            c, (d1, d2, d3) = F.col(f"c{f}"), less[f]
+            taken = F.when(c == 0, 0.0).when(c == 1, d1).when(c == 2, d2).otherwise(d3)
+            sums += [F.sum(c).alias(f"total{f}"), F.sum(taken).alias(f"left{f}")]
+            share = (c - taken + F.col(f"left{f}") * F.col(f"lower{f}")) / F.col(f"total{f}")
+            now.append(F.when(F.col(f"total{f}") > 0, share).otherwise(F.col(f"lower{f}")).alias(f"p{f}"))
+        contexts = table.groupBy(F.substring("g", 1, order - 1).alias("h")).agg(*sums)
+        rows = table.withColumns({"h": F.substring("g", 1, order - 1), "s": F.substring("g", 2, order - 1)}).join(contexts, "h")
+        if p is None:
+            rows = rows.withColumns({"lower0": F.lit(1 / CODE_POINTS), "lower1": F.lit(1 / CODE_POINTS)})
+        else:
+            rows = rows.join(p.select(F.col("g").alias("s"), F.col("p0").alias("lower0"), F.col("p1").alias("lower1")), "s")
+        before, p = p, rows.select("g", *now)
+        if order < ORDER:
+            p = written(p, "shares")
+        del before
+    return p
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with the block last, in compressed pieces: block, size and bytes."""
+    codec = pa.Codec("zstd", compression_level=3)
+    for batch in batches:
+        for part in _slices(batch, batch.num_columns - 2):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, part.schema) as out:
+                out.write_batch(pa.RecordBatch.from_arrays([pa.array(c.to_pylist(), c.type) if c.offset else c for c in part.columns], schema=part.schema))
+            raw = sink.getvalue()
+            yield pa.RecordBatch.from_arrays([part.column(part.num_columns - 1)[:1], pa.array([raw.size], pa.int64()), pa.array([codec.compress(raw, asbytes=True)], pa.binary())], ["block", "size", "packed"])
+
+
+def _points(strings: pa.ChunkedArray) -> np.ndarray:
+    """The code points of strings of ORDER characters."""
+    return np.frombuffer("".join(strings.to_pylist()).encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def perplexities(docs: DataFrame, trusted: DataFrame, payload: list[str], block: int = BLOCK, send_max: int = SEND_MAX) -> DataFrame:
+    """payload, trusted, n_chars and perplexity (null for null and empty texts) of every row of docs. trusted: distinct ids in a column doc_id."""
+    names = [f"c{i}" for i in range(len(payload))]
+    few = trusted.count() <= send_max
+    marks = trusted.select(F.col("doc_id").alias("_id"), F.lit(True).alias("_mark"))
+    rows = docs.join(F.broadcast(marks) if few else marks, F.col("doc_id") == F.col("_id"), "left")
+    rows = rows.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(payload, names, strict=True)], F.coalesce("_mark", F.lit(False)).alias("trusted"), F.pmod(F.xxhash64("text"), F.lit(2)).cast("int").alias("fold"), "text")
+    rows = rows if few else written(rows, "marked")
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, round(total / block))
+    rows = rows.withColumn("block", F.pmod(F.spark_partition_id(), F.lit(blocks)))
+
+    grams = rows.select("text", "trusted", "fold", "block").mapInArrow(_counted, "g string, block int, c0 long, c1 long")
+    grams = written(grams.groupBy("g", "block").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")), "grams")
+    p = probabilities(grams.groupBy("g").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")))
+    needed = grams.select("g", "block").join(p, "g").select("block", "g", F.ln("p0").cast("float").alias("l0"), F.ln("p1").cast("float").alias("l1"))
+    kinds = ", ".join(f"{n} {docs.schema[c].dataType.simpleString()}" for c, n in zip(payload, names, strict=True))
+    packed = rows.mapInArrow(_packed, "block int, size long, packed binary")
+
+    def scored(pieces: pa.Table, known: pa.Table) -> pa.Table:
+        points = _points(known.column("g"))
+        hashes = _hashes(points, np.arange(ORDER - 1, len(points), ORDER), 1)
+        order = np.argsort(hashes)
+        hashes = hashes[order]
+        if (np.diff(hashes) == 0).any():
+            raise ValueError("two n-grams have one hash")
+        logs = [known.column(f"l{1 - f}").to_numpy()[order].astype(float) for f in (0, 1)]  # a fold is scored by the other one's model
+        codec, out = pa.Codec("zstd"), []
+        for size, piece in zip(pieces.column("size").to_pylist(), pieces.column("packed"), strict=True):
+            for batch in pa.ipc.open_stream(pa.py_buffer(codec.decompress(piece.as_buffer(), size, asbytes=True))):
+                texts, fold = batch.column(len(names) + 2).to_pylist(), batch.column(len(names) + 1).to_numpy()
+                chars, row, at = _sequence(texts)
+                h = _hashes(chars, at, 1)
+                k = np.minimum(np.searchsorted(hashes, h), max(0, len(hashes) - 1))
+                if len(h) and (not len(hashes) or (hashes[k] != h).any()):
+                    raise ValueError("texts have n-grams that weren't counted: docs gave other partitions when it was read again")
+                n = np.bincount(row, minlength=len(texts))
+                sums = np.bincount(row, np.where(fold[row] == 0, logs[0][k], logs[1][k]) if len(k) else None, len(texts))
                 with np.errstate(divide="ignore", invalid="ignore"):
-                    out[lo:hi] = np.where(n > 0, np.exp(-(total[cut[1:]] - total[cut[:-1]]) / n), np.nan)
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(payload)], pa.array(size, pa.int64()), pa.array(out, mask=np.isnan(out))], [*payload, "n_bytes", "perplexity"])
-
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in payload)
-    return docs.select(*payload, "text").mapInArrow(run, f"{kinds}, n_bytes long, perplexity double")
-
-
-def _sequences(w: Words, spelling: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, keys of orders 1 to 3, ln p of the spelling, bytes) of every place of the rows that have words: two signs, the words, the end."""
-    n = np.diff(w.doc)
-    full = np.flatnonzero(n)
-    first = np.cumsum(n[full] + 3) - (n[full] + 3)
-    row = np.repeat(full, n[full] + 3)
-    at = np.arange(len(w.hash)) + 2 + 3 * np.repeat(np.arange(len(full)), n[full])
-    end = first + n[full] + 2
-    h, size = np.full(len(row), BEFORE, np.uint64), np.zeros(len(row), np.int64)
-    h[at], h[end] = w.hash, END
-    off, data = _letters(w)
-    size[at], size[end] = np.diff(off), 1
-    off, data = np.concatenate([off, [off[-1] + 1]]), np.concatenate([data, np.full(1, 32, np.uint8)])  # the end is an empty word
-    p, dense = [], spelling.dense()
-    for _, _, key, cut in _grams_of(off, data):
-        p.append((cut, dense[key]))
-    each = np.concatenate([np.add.reduceat(x.astype(np.float64), cut[:-1]) for cut, x in p]) - np.add.reduceat(SHARED[data], off[:-1])
-    s = np.zeros(len(row))
-    s[at], s[end] = each[:-1], each[-1]
-    keys = np.zeros((WORDS, len(row)), np.uint64)
-    keys[0] = h
-    for k in range(1, WORDS):
-        sums = h * _GRAM[0] + np.uint64(k)
-        for back in range(1, k + 1):
-            sums[back:] += h[:-back] * _GRAM[back]
-        keys[k] = mixed(sums)
-    return row, keys, s, size
-
-
-def _place(row: np.ndarray) -> np.ndarray:
-    """How far a place is from its row's first."""
-    start = np.concatenate([[True], row[1:] != row[:-1]])
-    at = np.arange(len(row))
-    return at - np.maximum.accumulate(np.where(start, at, 0))
-
-
-def _once(row: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(first place, count) of each key within each row."""
-    order = np.lexsort((key, row))
-    r, k = row[order], key[order]
-    first = np.flatnonzero(np.concatenate([[True], (r[1:] != r[:-1]) | (k[1:] != k[:-1])]))
-    return order[first], np.diff(np.concatenate([first, [len(r)]]))
-
-
-def _long(x: np.ndarray) -> pa.Array:
-    return pa.array(x.view(np.int64))
-
-
-def document_grams(docs: DataFrame, spelling, places: bool) -> DataFrame:
-    """g, doc and c of each n-gram within each text of docs (doc, text); with places those of the highest order alone,
-    with context (h), the next order's n-gram (s), that one's context (v) and word (w), and the word's spelling."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            doc = batch.column(0).to_numpy()
-            for w in words(batch.column(1)):
-                if not len(w.hash):
-                    continue
-                row, keys, spelt, _ = _sequences(w, spelling.value)
-                place = _place(row)
-                for k in (WORDS - 1,) if places else range(WORDS):
-                    some = np.flatnonzero(place >= max(k, 1))
-                    i, c = _once(row[some], keys[k][some])
-                    i = some[i]
-                    out = [_long(keys[k][i]), pa.array(doc[w.lo + row[i]]), pa.array(c.astype(np.int64))]
-                    if places:
-                        out += [_long(keys[1][i - 1]), _long(keys[1][i]), _long(keys[0][i - 1]), _long(keys[0][i]), pa.array(spelt[i])]
-                    for lo in range(0, len(i), 100_000):
-                        yield pa.RecordBatch.from_arrays([x[lo : lo + 100_000] for x in out], ["g", "doc", "c", "h", "s", "v", "w", "spelt"][: len(out)])
-
-    return docs.select("doc", "text").mapInArrow(run, "g long, doc long, c long" + (", h long, s long, v long, w long, spelt double" if places else ""))
-
-
-def word_model(grams: DataFrame) -> tuple[DataFrame, float]:
-    """(g, value, only) and the share that unigrams leave to spelling, from document_grams() with places. A value is the correction of ln p for a known
-    n-gram and ln of its weight as a context; only: the one document that has it, or null."""
-    one = [F.min("lo").alias("lo"), F.max("hi").alias("hi")]
-    top = grams.withColumns({"lo": F.col("doc"), "hi": F.col("doc")}).groupBy("g").agg(F.sum("c").alias("c"), *one, *[F.first(x).alias(x) for x in ("h", "s", "v", "w", "spelt")])
-    top = written(top, "trigrams")
-    two = written(top.groupBy(F.col("s").alias("g")).agg(F.count("*").alias("c"), *one, *[F.first(x).alias(x) for x in ("v", "w", "spelt")]), "bigrams")
-    words_ = written(two.groupBy(F.col("w").alias("g")).agg(F.count("*").alias("c"), *one, F.first("spelt").alias("spelt")), "unigrams")
-
-    def shares(counts: DataFrame, context: str | None):
-        """counts with a, the discounted share, and the contexts' tables of weights b."""
-        d1, d2, d3 = _discounts(counts)
-        kinds = [(F.col("c") == 1), (F.col("c") == 2), (F.col("c") >= 3)]
-        sums = [F.sum("c").alias("total"), *[F.sum(k.cast("double")).alias(f"k{i + 1}") for i, k in enumerate(kinds)], *one]
-        of = counts.groupBy(F.col(context).alias("_h") if context else F.lit(0).alias("_h")).agg(*sums)
-        b = F.greatest((d1 * F.col("k1") + d2 * F.col("k2") + d3 * F.col("k3")) / F.col("total"), F.lit(1e-9))
-        of = of.select("_h", "total", b.alias("b"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi"))
-        taken = F.when(kinds[0], d1).when(kinds[1], d2).otherwise(d3)
-        return F.greatest(F.col("c") - taken, F.lit(0.0)), of
-
-    less, of = shares(words_, None)
-    of = of.first()
-    if of is None:
-        return top.select("g", F.lit(0.0).alias("value"), F.lit(None).cast("long").alias("only")).limit(0), 1.0
-    left = float(of["b"])
-    base = F.exp("spelt") * left
-    p1 = words_.withColumn("a", less / float(of["total"])).select("g", "lo", "hi", (F.col("a") + base).alias("p"), F.log1p(F.col("a") / base).alias("more"))
-    less, of2 = shares(two, "v")
-    p2 = two.join(of2.hint("merge"), two["v"] == of2["_h"]).join(p1.select(F.col("g").alias("_w"), F.col("p").alias("lower")).hint("merge"), F.col("w") == F.col("_w"))
-    p2 = p2.withColumns({"a": less / F.col("total"), "base": F.col("b") * F.col("lower")})
-    p2 = written(p2.select("g", "lo", "hi", (F.col("a") + F.col("base")).alias("p"), F.log1p(F.col("a") / F.col("base")).alias("more")), "bigram-shares")
-    less, of3 = shares(top, "h")
-    p3 = top.join(of3.hint("merge"), top["h"] == of3["_h"]).join(p2.select(F.col("g").alias("_s"), F.col("p").alias("lower")).hint("merge"), F.col("s") == F.col("_s"))
-    p3 = p3.select("g", "lo", "hi", F.log1p(less / F.col("total") / (F.col("b") * F.col("lower"))).alias("more"))
-    parts = [p3, p2.select("g", "lo", "hi", "more"), p1.select("g", "lo", "hi", "more")]
-    parts += [x.select(F.col("_h").alias("g"), F.col("_lo").alias("lo"), F.col("_hi").alias("hi"), F.ln("b").alias("more")) for x in (of3, of2)]
-    every = parts[0]
-    for x in parts[1:]:
-        every = every.unionAll(x)
-    out = every.groupBy("g").agg(F.sum("more").alias("value"), *one).select("g", "value", F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("only"))
-    out = written(out, "words")
-    for x in (top, two, words_, p2):
-        dropped(x)
-    return out, left
-
-
-def word_perplexities(docs: DataFrame, texts: DataFrame, payload: list[str]) -> DataFrame:
-    """payload, n_bytes and perplexity (null for texts without words) of every row of docs under the model of texts; both have doc_id and text."""
-    key = F.xxhash64("doc_id", "text").alias("doc")
-    spelling = docs.sparkSession.sparkContext.broadcast(trained(texts, by_word=True))
-    model, left = word_model(document_grams(texts.select(key, "text"), spelling, True))
-    found = document_grams(docs.select(key, "text"), spelling, False).join(model.hint("merge"), "g").where("only IS NULL OR only <> doc")
-    # copies of a row have one key; each has the sign before a text once
-    copies = F.sum(F.when(F.col("g") == int(BEFORE.view(np.int64)), F.col("c")))
-    found = found.groupBy("doc").agg((F.sum(F.col("c") * F.col("value")) / F.coalesce(copies, F.lit(1))).alias("known"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            off, _ = offsets_and_bytes(batch.column(len(payload) + 1))
-            n, spelt, size = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
-            for w in words(batch.column(len(payload) + 1)):
-                if len(w.hash):
-                    row, _, s, b = _sequences(w, spelling.value)
-                    n[w.lo : w.hi] = np.where(np.diff(w.doc) > 0, np.diff(w.doc) + 1, 0)
-                    spelt[w.lo : w.hi] = np.bincount(row, s, w.hi - w.lo)
-                    size[w.lo : w.hi] = np.bincount(row, b, w.hi - w.lo)
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(payload) + 1], pa.array(np.diff(off)), pa.array(n), pa.array(spelt), pa.array(size)], [*payload, "doc", "n_bytes", "n", "spelt", "size"])
-
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in payload)
-    base = docs.select(*payload, key, "text").mapInArrow(run, f"{kinds}, doc long, n_bytes long, n long, spelt double, size long")
-    total = F.col("spelt") + F.col("n") * float(np.log(left)) + F.coalesce("known", F.lit(0.0))
-    out = base.join(found, "doc", "left").select(*payload, "n_bytes", F.when(F.col("n") > 0, F.exp(-total / F.col("size"))).alias("perplexity"))
-    out = written(out, "perplexities")
-    dropped(model)
-    return out
+                    value = np.exp(-sums / n)
+                out.append(pa.RecordBatch.from_arrays([*batch.columns[: len(names) + 1], pa.array(n), pa.array(value, mask=n == 0)], [*names, "trusted", "n_chars", "perplexity"]))
+        return pa.Table.from_batches(out)
+
+    schema = f"{kinds}, trusted boolean, n_chars long, perplexity double"
+    found = packed.groupBy("block").cogroup(needed.groupBy("block")).applyInArrow(scored, schema)
+    found = written(found.select(*[F.col(n).alias(c) for c, n in zip(payload, names, strict=True)], "trusted", "n_chars", "perplexity"), "perplexities")
+    dropped(grams)
+    return found
 
 
-def judged(docs: DataFrame, trusted: DataFrame, high: float = HIGH, margin: float = MARGIN, prior: int = PRIOR) -> DataFrame:
-    """doc_id, lang, n_bytes, perplexity, its value with the prior (adjusted), the bound (high), trusted and keep of every row. trusted: a doc_id column."""
+def judged(docs: DataFrame, trusted: DataFrame, high: float = HIGH, margin: float = MARGIN, prior: int = PRIOR, payload: tuple[str, ...] = ("doc_id", "lang"), block: int = BLOCK, send_max: int = SEND_MAX) -> DataFrame:
+    """payload (with lang among it), n_chars, perplexity, its value with the prior (adjusted), the bound (high), trusted and keep of every row. trusted: a doc_id column."""
     ids = trusted.select("doc_id").where("doc_id IS NOT NULL").distinct()
-    texts = written(docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi"), "trusted")  # the list grows with the corpus: never broadcast
-    scored = word_perplexities(docs, texts, ["doc_id", "lang"]).join(ids.withColumn("trusted", F.lit(True)), "doc_id", "left")
-    dropped(texts)
+    scored = perplexities(docs, ids, list(payload), block, send_max)
     pair = F.percentile_approx(F.when(F.col("trusted"), F.col("perplexity")), F.array(F.lit(0.5), F.lit(high)), F.lit(10_000))
     by_lang = scored.groupBy("lang").agg(pair.alias("own")).withColumnRenamed("lang", "_lang")
-    rows = scored.join(by_lang, F.col("lang").eqNullSafe(F.col("_lang")), "left").withColumn("own", F.coalesce("own", scored.agg(pair.alias("q")).scalar()))
+    rows = scored.join(F.broadcast(by_lang) if by_lang.count() <= 100_000 else by_lang, F.col("lang").eqNullSafe(F.col("_lang")), "left").withColumn("own", F.coalesce("own", scored.agg(pair.alias("q")).scalar()))
     middle, most = F.get("own", F.lit(0)), F.get("own", F.lit(1)) * margin
-    adjusted = F.exp((F.col("n_bytes") * F.ln("perplexity") + prior * F.ln(middle)) / (F.col("n_bytes") + prior))
-    rows = rows.select("doc_id", "lang", "n_bytes", "perplexity", F.coalesce(adjusted, F.col("perplexity")).alias("adjusted"), most.alias("high"), F.coalesce("trusted", F.lit(False)).alias("trusted"))
+    adjusted = F.exp((F.col("n_chars") * F.ln("perplexity") + prior * F.ln(middle)) / (F.col("n_chars") + prior))
+    rows = rows.select(*payload, "n_chars", "perplexity", F.coalesce(adjusted, F.col("perplexity")).alias("adjusted"), most.alias("high"), "trusted")
     return rows.withColumn("keep", F.col("perplexity").isNotNull() & (F.col("high").isNull() | (F.col("adjusted") <= F.col("high"))))
 
 
-def kept(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """The rows of docs, all columns, whose document is kept."""
-    good = judged(docs, trusted).where("keep").select("doc_id").distinct()
-    return docs.join(good, "doc_id", "left_semi").select(*docs.columns)
+def kept(docs: DataFrame, trusted: DataFrame, send_max: int = SEND_MAX) -> DataFrame:
+    """The rows of docs, all columns, that are kept: each row by its own text and language, whatever other rows have its doc_id."""
+    key = {"_k1": F.xxhash64("text"), "_k2": F.xxhash64(F.lit(1), "text")}
+    columns = ["doc_id", "lang", "_k1", "_k2"]
+    own = docs.select("doc_id", "lang", "text").withColumns(key)
+    gone = judged(own, trusted, payload=tuple(columns)).where("NOT keep").select(*[F.col(c).alias(f"_{c}_gone") for c in columns]).distinct()
+    gone = written(gone, "rejected")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}_gone")) for c in columns]
+    gone = F.broadcast(gone) if gone.count() <= send_max else gone
+    return docs.withColumns(key).join(gone, same, "left_anti").select(*docs.columns)
 
 
 def trusted_ids(spark, sf_dir: str) -> DataFrame:

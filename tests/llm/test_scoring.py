@@ -205,103 +205,106 @@ def test_packing(docs_of):
     assert pack.pack_documents(docs_of(["a b"] * 3, ids=[1, 1, 1], source=[None] * 3)).select("bin").distinct().count() == 3
 
 
-def kneser_ney(texts, n=4):
-    """Probability of every n-gram of classes, by dictionaries and the recursive definition."""
+def kneser_ney(texts, n=qual.ORDER):
+    """Probability of the last of n characters after the others, by dictionaries and the recursive definition."""
     grams = [collections.Counter() for _ in range(n + 1)]
     for t in texts:
-        s = (0,) * (n - 1) + tuple(int(qual.CLASS[b]) for b in t.encode())
-        for i in range(n - 1, len(s)):
-            grams[n][s[i - n + 1 : i + 1]] += 1
+        s = chr(qual.BEFORE) * (n - 1) + t
+        grams[n].update(s[i - n + 1 : i + 1] for i in range(n - 1, len(s)))
     for k in range(n - 1, 0, -1):
-        for g in grams[k + 1]:
-            grams[k][g[1:]] += 1
-    discounts = [None]
+        grams[k].update(g[1:] for g in grams[k + 1])
+    discounts, follow = [None], collections.defaultdict(list)
     for k in range(1, n + 1):
         c = collections.Counter(grams[k].values())
-        if all(c[i] for i in (1, 2, 3, 4)):
-            y = c[1] / (c[1] + 2 * c[2])
-            discounts.append([0.0] + [min(i, max(0.0, i - (i + 1) * y * c[i + 1] / c[i])) for i in (1, 2, 3)])
-        else:
-            discounts.append([0.0, 0.5, 1.0, 1.5])
-    follow = collections.defaultdict(list)
-    for k in range(1, n + 1):
+        y = c[1] / (c[1] + 2 * c[2]) if c[1] else 0
+        discounts.append([0, *[min(i, max(0.0, i - (i + 1) * y * c[i + 1] / c[i])) for i in (1, 2, 3)]] if all(c[i] for i in (1, 2, 3, 4)) else [0, 0.5, 1.0, 1.5])
         for g, c in grams[k].items():
             follow[g[:-1], k].append(c)
 
     def p(g):
         k = len(g)
         if not k:
-            return 1 / qual.CLASSES
+            return 1 / qual.CODE_POINTS
         counts = follow[g[:-1], k]
         if not counts:
             return p(g[1:])
-        d, total, c = discounts[k], sum(counts), grams[k][g]
-        return max(c - d[min(c, 3)], 0) / total + sum(d[min(x, 3)] for x in counts) / total * p(g[1:])
+        d, c = discounts[k], grams[k][g]
+        return (max(c - d[min(c, 3)], 0) + sum(d[min(x, 3)] for x in counts) * p(g[1:])) / sum(counts)
 
     return p
 
 
-def test_perplexity(docs_of):
-    rng = random.Random(4)
-    v = vocabulary(rng, 30)
-    texts = [" ".join(rng.choice(v) for _ in range(rng.randrange(1, 30))) for _ in range(60)] + ["É 12.!", "a"]
-    docs = docs_of([*texts, None, ""])
-    model = qual.trained(docs.where("doc_id < 40"))
-    got = {r["doc_id"]: r["perplexity"] for r in qual.perplexities(docs, model, ["doc_id"]).collect()}
-    p = kneser_ney(texts[:40])
-    for i, t in enumerate(texts):
-        s = (0, 0, 0, *(int(qual.CLASS[b]) for b in t.encode()))
-        want = math.exp(-sum(math.log(p(s[k - 3 : k + 1])) for k in range(3, len(s))) / (len(s) - 3))
-        assert got[i] == pytest.approx(want, rel=1e-4)
-    assert got[len(texts)] is None and got[len(texts) + 1] is None
-    every = np.exp(model.dense().reshape(-1, qual.CLASSES)).sum(axis=1)
-    np.testing.assert_allclose(every, 1, rtol=1e-4)
+def perplexity(p, text, n=qual.ORDER):
+    s = chr(qual.BEFORE) * (n - 1) + text
+    return math.exp(-sum(math.log(p(s[i - n + 1 : i + 1])) for i in range(n - 1, len(s))) / len(text))
 
 
-def test_word_perplexity(docs_of):
-    """Against the recursive definition over words; the vocabulary is open and no script's words are alike."""
+@pytest.fixture(scope="module")
+def scripts(spark, docs_of):
+    """Texts of two languages and three scripts, null, empty and repeated ones, and their folds."""
     rng = random.Random(8)
-    v = [*vocabulary(rng, 25), "тест", "слово", "書物", "1999", "2024"]
-    texts = [" ".join(rng.choice(v) for _ in range(rng.randrange(1, 30))) for _ in range(50)] + ["слово новое", "аааа  2025\nтест", "é"]
-    docs = docs_of([*texts, texts[45], None, " "])
-    docs = docs.unionAll(docs.where("doc_id = 46"))
-    train = docs.where("doc_id < 40")
-    got = {r["doc_id"]: r["perplexity"] for r in qual.word_perplexities(docs, train, ["doc_id"]).collect()}
-    dense = qual.trained(train, by_word=True).dense()
-
-    def spelt(word):
-        b = [int(qual.CLASS[x]) for x in (word + " ").encode()]
-        keys = [sum(x << 6 * (3 - i) for i, x in enumerate(([0, 0, 0, *b])[k : k + 4])) for k in range(len(b))]
-        return math.exp(sum(float(dense[k]) for k in keys) - sum(math.log((qual.CLASS == c).sum()) for c in b[:-1]))
-
-    grams = [collections.Counter() for _ in range(4)]
-    for t in texts[:40]:
-        s = ("<", "<", *t.split(), "")
-        grams[3].update(s[i - 2 : i + 1] for i in range(2, len(s)))
-    for k in (2, 1):
-        grams[k].update(g[1:] for g in grams[k + 1])
-    discounts, follow = [None], collections.defaultdict(list)
-    for k in (1, 2, 3):
-        c = collections.Counter(grams[k].values())
-        y = c[1] / (c[1] + 2 * c[2]) if c[1] else 0
-        discounts.append([0, *[min(i, max(0.0, i - (i + 1) * y * c[i + 1] / c[i])) for i in (1, 2, 3)]] if all(c[i] for i in (1, 2, 3, 4)) else [0, 0.5, 1, 1.5])
-        for g, c in grams[k].items():
-            follow[g[:-1], k].append(c)
-
-    def p(g):
-        k, counts = len(g), follow[g[:-1], len(g)]
-        lower = spelt(g[0]) if k == 1 else p(g[1:])
-        if not counts:
-            return lower
-        d, c = discounts[k], grams[k][g]
-        return (max(c - d[min(c, 3)], 0) + sum(d[min(x, 3)] for x in counts) * lower) / sum(counts)
-
+    v = [*vocabulary(rng, 25), "тест", "слово", "書物", "1999", "2024", "😀", "naïve"]
+    texts = [" ".join(rng.choice(v) for _ in range(rng.randrange(1, 30))) for _ in range(60)] + ["слово новое", "аааа  2025\nтест", "é", "\x00a", None, "", " "]
+    docs = docs_of(texts)
+    docs = docs.unionAll(docs.where("doc_id = 41")).withColumn("lang", F.expr("CASE WHEN doc_id % 7 = 0 THEN NULL WHEN doc_id % 2 = 0 THEN 'en' ELSE 'xx' END"))
+    fold = {r[0]: r[1] for r in docs.select("doc_id", F.pmod(F.xxhash64("text"), F.lit(2))).collect()}
+    return texts, docs, fold
+
+
+@pytest.mark.parametrize(("block", "chunk", "send"), [(1 << 20, 1 << 20, 1000), (400, 100, 0)])
+def test_perplexity(spark, scripts, monkeypatch, block, chunk, send):
+    """Each text under the model of the other fold's trusted texts, by the recursive definition; in one block and in many."""
+    monkeypatch.setattr(qual, "CHUNK", chunk)
+    texts, docs, fold = scripts
+    ids = spark.createDataFrame([(i,) for i in range(40)], "doc_id long")
+    got = collections.defaultdict(list)
+    for r in qual.perplexities(docs.repartition(3, "doc_id"), ids, ["doc_id"], block, send).collect():
+        got[r["doc_id"]].append(r)
+    p = [kneser_ney([t for i, t in enumerate(texts[:40]) if fold[i] != f]) for f in (0, 1)]
+    assert len(got) == len(texts) and len(got[41]) == 2
     for i, t in enumerate(texts):
-        if i >= 40:
-            s = ("<", "<", *t.split(), "")
-            size = sum(len(w.encode()) + 1 for w in s[2:])
-            assert got[i] == pytest.approx(math.exp(-sum(math.log(p(s[k - 2 : k + 1])) for k in range(2, len(s))) / size), rel=1e-4), t
-    assert got[53] == pytest.approx(got[45]) and got[54] is None and got[55] is None
+        for r in got[i]:
+            assert r["trusted"] == (i < 40) and r["n_chars"] == len(t or "")
+            assert r["perplexity"] == (pytest.approx(perplexity(p[fold[i]], t), rel=1e-4) if t else None), t
+
+
+def test_probabilities_sum_to_one(spark):
+    rows = [(a + b + c + d + e, 1 + (ord(a) + ord(e)) % 4 if a < "c" and e != "c" else 0, 0) for a in "abc" for b in "ab" for c in "ab" for d in "ab" for e in "abc"]
+    p = qual.probabilities(spark.createDataFrame(rows, "g string, c0 long, c1 long")).toPandas()
+    assert len(p) == len(rows)
+    for _, own in p.groupby(p.g.str[:4]):  # every code point but a and b has what c has
+        assert own[own.g.str[4] != "c"].p0.sum() + (qual.CODE_POINTS - 2) * own[own.g.str[4] == "c"].p0.item() == pytest.approx(1)
+    np.testing.assert_allclose(p.p1, 1 / qual.CODE_POINTS)
+
+
+def test_decision(spark, scripts):
+    """Quantiles of each language, the fallback of a language without trusted texts, the prior and the decision, by plain code."""
+    texts, docs, fold = scripts
+    docs = docs.withColumn("lang", F.when(F.col("doc_id") >= 57, "zz").otherwise(F.col("lang")))
+    rows = qual.judged(docs, spark.createDataFrame([(i,) for i in range(40)] + [(3,), (None,)], "doc_id long")).toPandas()
+    assert len(rows) == len(texts) + 1
+    quantile = lambda x, q: sorted(x)[max(0, math.ceil(q * len(x)) - 1)]
+    every = rows[rows.trusted].perplexity.dropna()
+    for r in rows.itertuples():
+        own = rows[rows.trusted & (rows.lang.isna() if r.lang is None else rows.lang == r.lang)].perplexity.dropna()
+        own = own if len(own) else every
+        assert r.high == pytest.approx(quantile(own, qual.HIGH) * qual.MARGIN)
+        if r.perplexity != r.perplexity:
+            assert not r.keep
+            continue
+        adjusted = math.exp((r.n_chars * math.log(r.perplexity) + qual.PRIOR * math.log(quantile(own, 0.5))) / (r.n_chars + qual.PRIOR))
+        assert r.adjusted == pytest.approx(adjusted) and r.keep == (adjusted <= r.high)
+    assert set(rows[rows.lang == "zz"].high) == {rows[rows.lang == "zz"].high.iloc[0]} and rows.high.nunique() >= 3
+
+
+def test_rows_of_one_id_are_judged_each(spark, docs_of):
+    rng = random.Random(2)
+    v = vocabulary(rng, 40)
+    good = [" ".join(rng.choice(v) for _ in range(60)) for _ in range(60)]
+    junk = "%%% QQQQ ### XXXX $$$ " * 20
+    docs = docs_of([*good, junk, junk, good[3], None], ids=[*range(60), 3, None, None, None])
+    kept = [(r["doc_id"], r["text"]) for r in qual.kept(docs, spark.createDataFrame([(i,) for i in range(60) if i != 3], "doc_id long")).collect()]
+    assert (3, good[3]) in kept and (None, good[3]) in kept and all(t != junk and t for _, t in kept) and len(kept) >= 58
 
 
 def test_quality(spark, docs_of):

@@ -11,13 +11,15 @@ from .store import dropped, written
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of edges (u, v): label is the same within a component only.
 
-    In a round each node points to its smallest neighbour (itself, if it is smaller) and then to where that points, and what points to
-    the same node becomes one node. A node that isn't smaller than all neighbours disappears, so rounds are logarithmic. Edges are summed up to
-    distinct pairs after each round; a node with many edges is one side of joins whose other side has one row a key."""
+    In a round nodes are in a new random order. Each points to the first of its neighbours and itself and then to where that points, and what points to
+    the same node becomes one node. Whatever the nodes' names and the graph's shape, the nodes left are on average a fixed share of those before (a path's fewer
+    than half), so rounds are logarithmic. Edges are summed up to distinct pairs after each round; a node with many edges is one side of joins whose other side has one row a key."""
     graph = written(edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).where("u <> v").distinct(), "edges")
-    labels = None
+    labels, turn = None, 0
     while not graph.isEmpty():
-        step = graph.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("p"))
+        turn += 1
+        place = lambda x: F.struct(F.xxhash64(F.lit(turn), x).alias("k"), F.col(x).alias("node"))  # noqa: B023, E731
+        step = graph.groupBy("u").agg(F.min(place("v")).alias("best")).select("u", F.least("best", place("u")).getField("node").alias("p"))
         step = written(step, "step")
         up = step.select(F.col("u").alias("_u"), F.col("p").alias("_p"))
         jump = written(step.join(up, F.col("p") == F.col("_u")).select("u", F.col("_p").alias("p")), "jump")

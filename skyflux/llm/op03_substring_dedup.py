@@ -14,9 +14,10 @@ document with a smaller doc_id, and each word that a repeated window covers goes
    WINDOW words or more are reported.
 4. A document's repeated intervals are brought together and its words are cut.
 
-Document ids are broadcast to pick out the texts that a step needs only while they are at most SEND_MAX; beyond that the texts are shuffled.
-Null texts have no words; texts shorter than a window stay. Windows repeated within one document only stay. Copies of one doc_id don't count against
-each other, but all lose what a smaller doc_id has. Words kept are joined by one space. Rows with a null doc_id stay whole. Other columns are not
+Lists of texts that a step needs, with their stretches, are broadcast only while they have at most SEND_MAX texts and SEND_PARTS stretches; beyond that the texts are shuffled.
+Words are compared by 64-bit hashes, each at its place, so two windows are taken for equal wrongly only if hashes of different words agree; segments and single windows are
+told apart by 128 bits (two hashes). Null texts have no words; texts shorter than a window stay. Windows repeated within one document only stay. Rows of one doc_id
+don't count against each other, but each loses what its own text has of a smaller doc_id. Words kept are joined by one space. Rows with a null doc_id stay whole. Other columns are not
 looked at. An empty table gives an empty result.
 """
 
@@ -31,11 +32,11 @@ from pyspark.sql import functions as F
 
 from .fm_index import FMIndex, matched_windows
 from .store import dropped, written
-from .text import Words, grams, mixed, words
+from .text import Words, grams, stretches, words
 
-WINDOW, GRAM, RUN, SHARD, HOT, SEND_MAX = 50, 16, 200, 4000, 4096, 200_000
-_STEP, _BACK = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-OCCURRENCE = ["anchor", "seg", "doc_id", "start", "windows"]
+WINDOW, GRAM, RUN, SHARD, HOT, SEND_MAX, SEND_PARTS = 50, 16, 200, 4000, 4096, 200_000, 1_000_000
+OCCURRENCE = ["anchor", "seg", "doc_id", "text_key", "start", "windows"]
+KINDS = "anchor long, seg long, doc_id long, text_key long, start int, windows int"
 
 
 def _least(h: np.ndarray, n: int) -> np.ndarray:
@@ -48,20 +49,6 @@ def _least(h: np.ndarray, n: int) -> np.ndarray:
     return np.minimum(now[: len(now) - rest], now[rest:]) if rest else now
 
 
-class Prints:
-    """Hashes of any stretch of words, from running sums."""
-
-    def __init__(self, h: np.ndarray):
-        n = len(h)
-        with np.errstate(over="ignore"):
-            power = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, _STEP)]))
-            self.back = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, _BACK)]))
-            self.total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * power[:n])])
-
-    def of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return mixed((self.total[b] - self.total[a]) * self.back[a] + (b - a).astype(np.uint64))
-
-
 def _segments(w: Words, run: int = RUN) -> tuple[np.ndarray, ...]:
     """(row, anchor, first window, windows, hash of its words) of each segment of a chunk."""
     none = np.zeros(0, np.int64)
@@ -80,7 +67,12 @@ def _segments(w: Words, run: int = RUN) -> tuple[np.ndarray, ...]:
     first = np.flatnonzero(inside % run == 0)
     count = np.diff(np.concatenate([first, [len(at)]]))
     start = at[first]
-    return row[first], value[first], start - w.doc[row[first]], count, Prints(w.hash).of(start, start + count + WINDOW - 1)
+    return row[first], value[first], start - w.doc[row[first]], count, stretches(w.hash, start, count + WINDOW - 1)
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and a hash of the text, which tells rows of one doc_id apart."""
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:
@@ -88,56 +80,55 @@ def _occurrences(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for w in words(batch.column(1)):
                 row, anchor, start, count, seg = _segments(w)
-                ids = batch.column(0)[w.lo : w.hi].take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(seg.view(np.int64)), ids, pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32))], OCCURRENCE)
+                ids, keys = (batch.column(i)[w.lo : w.hi].take(pa.array(row)) for i in (0, 2))
+                yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(seg.view(np.int64)), ids, keys, pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32))], OCCURRENCE)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "anchor long, seg long, doc_id long, start int, windows int")
+    return _keyed(docs).mapInArrow(run, KINDS)
 
 
 def _only(docs: DataFrame, needed: DataFrame) -> DataFrame:
-    """docs (doc_id, text) joined with needed (a row for each doc_id)."""
+    """docs (doc_id, text, text_key) joined with needed (doc_id, text_key, parts; one row each), which is sent to the executors while it is small."""
     needed = written(needed, "needed")
-    return docs.select("doc_id", "text").join(F.broadcast(needed) if needed.count() <= SEND_MAX else needed, "doc_id")
+    size = needed.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.size("parts")), F.lit(0)).alias("parts")).first()
+    small = size["rows"] <= SEND_MAX and size["parts"] <= SEND_PARTS
+    return _keyed(docs).join(F.broadcast(needed) if small else needed, ["doc_id", "text_key"])
 
 
 def _single_windows(docs: DataFrame, hot: DataFrame) -> DataFrame:
-    """Occurrences of hot anchors, cut into a segment for each window; anchor and seg are both the hash of its words."""
-    needed = hot.groupBy("doc_id").agg(F.collect_list(F.struct("start", "windows")).alias("parts"))
+    """Occurrences of hot anchors, cut into a segment for each window; anchor and seg are two independent hashes of its words."""
+    needed = hot.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "windows")).alias("parts"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = batch.column(2).to_pylist()
+            parts = batch.column(3).to_pylist()
             for w in words(batch.column(1)):
-                prints = Prints(w.hash)
                 row = [(r, p["start"], p["windows"]) for r in range(w.hi - w.lo) for p in parts[w.lo + r]]
                 if not row:
                     continue
                 r, start, n = np.array(row, np.int64).T
                 at = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
                 r = np.repeat(r, n)
-                ok = w.doc[r] + at + WINDOW <= w.doc[r + 1]  # of another row with this doc_id
-                r, at = r[ok], at[ok]
-                h = pa.array(prints.of(w.doc[r] + at, w.doc[r] + at + WINDOW).view(np.int64))
-                yield pa.RecordBatch.from_arrays([h, h, batch.column(0)[w.lo : w.hi].take(pa.array(r)), pa.array(at.astype(np.int32)), pa.array(np.ones(len(at), np.int32))], OCCURRENCE)
+                both = [pa.array(grams(w.hash, WINDOW, kind)[w.doc[r] + at].view(np.int64)) for kind in (1, 2)]
+                ids, keys = (batch.column(i)[w.lo : w.hi].take(pa.array(r)) for i in (0, 2))
+                yield pa.RecordBatch.from_arrays([*both, ids, keys, pa.array(at.astype(np.int32)), pa.array(np.ones(len(at), np.int32))], OCCURRENCE)
 
-    return _only(docs, needed).select("doc_id", "text", "parts").mapInArrow(run, "anchor long, seg long, doc_id long, start int, windows int")
+    return _only(docs, needed).select("doc_id", "text", "text_key", "parts").mapInArrow(run, KINDS)
 
 
 def _shipped(docs: DataFrame, segments: DataFrame, shards: int) -> DataFrame:
     """shard, anchor, seg, owner and word hashes of the segments, each from its owner's text."""
-    needed = segments.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "seg", "start", "windows")).alias("parts"))
+    needed = segments.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("anchor", "seg", "start", "windows")).alias("parts"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, parts = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             for w in words(batch.column(1)):
-                prints, out = Prints(w.hash), []
+                out = []
                 for r in range(w.hi - w.lo):
-                    a, b = int(w.doc[r]), int(w.doc[r + 1])
+                    a = int(w.doc[r])
                     for p in parts[w.lo + r]:
-                        x, y = a + p["start"], a + p["start"] + p["windows"] + WINDOW - 1
-                        if y <= b and prints.of(np.array([x]), np.array([y])).view(np.int64)[0] == p["seg"]:
-                            out.append((p["anchor"], p["seg"], ids[w.lo + r], w.hash[x:y].tobytes()))
+                        x = a + p["start"]
+                        out.append((p["anchor"], p["seg"], ids[w.lo + r], w.hash[x : x + p["windows"] + WINDOW - 1].tobytes()))
                 yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.binary()))], ["anchor", "seg", "owner", "words"])
 
     rows = _only(docs, needed).select("doc_id", "text", "parts").mapInArrow(run, "anchor long, seg long, owner long, words binary")
@@ -161,12 +152,12 @@ def _searched(table: pa.Table) -> pa.Table:
 
 
 def repeated(docs: DataFrame, shard: int = SHARD, hot: int = HOT) -> DataFrame:
-    """(doc_id, a, b): words a up to b of a document lie in repeated windows. Stretches may overlap."""
+    """(doc_id, text_key, a, b): words a up to b of the rows with this doc_id and text lie in repeated windows. Stretches may overlap."""
     every = written(_occurrences(docs).where("doc_id IS NOT NULL"), "segments")
     twice = every.groupBy("anchor").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y").select("anchor")
     some = written(every.join(twice, "anchor", "left_semi"), "candidates")
     dropped(every)
-    owners = some.groupBy("anchor", "seg").agg(F.min(F.struct("doc_id", "start", "windows")).alias("o")).select("anchor", "seg", "o.*")
+    owners = some.groupBy("anchor", "seg").agg(F.min(F.struct("doc_id", "text_key", "start", "windows")).alias("o")).select("anchor", "seg", "o.*")
     owners = written(owners, "owners")
     sizes = written(owners.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
     crowded = sizes.where(F.col("n") > hot).select("anchor")
@@ -174,16 +165,16 @@ def repeated(docs: DataFrame, shard: int = SHARD, hot: int = HOT) -> DataFrame:
     if not crowded.isEmpty():
         windows = written(_single_windows(docs, some.join(crowded, "anchor", "left_semi")), "windows")
         some = some.join(crowded, "anchor", "left_anti")
-        first = windows.groupBy("seg").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("y")).where("owner < y").select("seg", "owner")
-        parts.append(windows.join(first, "seg").where("doc_id > owner").select("doc_id", F.col("start").alias("a"), (F.col("start") + WINDOW).alias("b")))
+        first = windows.groupBy("anchor", "seg").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("y")).where("owner < y").select("anchor", "seg", "owner")
+        parts.append(windows.join(first, ["anchor", "seg"]).where("doc_id > owner").select("doc_id", "text_key", F.col("start").alias("a"), (F.col("start") + WINDOW).alias("b")))
     mixed_ones = owners.join(sizes.where(F.col("n") <= hot).select("anchor"), "anchor", "left_semi")
     shards = max(1, -(-(sizes.where(F.col("n") <= hot).agg(F.sum("n")).first()[0] or 0) // shard))
     found = _shipped(docs, mixed_ones, shards).groupBy("shard").applyInArrow(_searched, "anchor long, seg long, a int, b int")
     found = written(found, "found")
     of = some.join(owners.select("anchor", "seg", F.col("doc_id").alias("owner")), ["anchor", "seg"])
-    parts.append(of.where("doc_id > owner").select("doc_id", F.col("start").alias("a"), (F.col("start") + F.col("windows") + (WINDOW - 1)).alias("b")))
-    own = of.where("doc_id = owner").select("anchor", "seg", "doc_id", "start")
-    parts.append(own.join(found, ["anchor", "seg"]).select("doc_id", (F.col("start") + F.col("a")).alias("a"), (F.col("start") + F.col("b") + WINDOW).alias("b")))
+    parts.append(of.where("doc_id > owner").select("doc_id", "text_key", F.col("start").alias("a"), (F.col("start") + F.col("windows") + (WINDOW - 1)).alias("b")))
+    own = of.where("doc_id = owner").select("anchor", "seg", "doc_id", "text_key", "start")
+    parts.append(own.join(found, ["anchor", "seg"]).select("doc_id", "text_key", (F.col("start") + F.col("a")).alias("a"), (F.col("start") + F.col("b") + WINDOW).alias("b")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionAll(p)
@@ -206,10 +197,12 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     where docs has such names, theirs begin with underscores."""
     fields = docs.schema.fields
     names = [f.name for f in fields]
-    cut_id, cut_list, n_words, n_removed, kept_text = fresh(["cut_id", "cut_list", "n_words", "n_removed", "kept_text"], names)
-    cuts = written(repeated(docs).groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias(cut_list)).withColumnRenamed("doc_id", cut_id), "cuts")
-    small = cuts.count() <= SEND_MAX and (cuts.agg(F.sum(F.size(cut_list))).first()[0] or 0) <= 8 * SEND_MAX
-    rows = docs.join(F.broadcast(cuts) if small else cuts, docs.doc_id == F.col(cut_id), "left")
+    cut_id, cut_key, cut_list, n_words, n_removed, kept_text = fresh(["cut_id", "cut_key", "cut_list", "n_words", "n_removed", "kept_text"], names)
+    cuts = repeated(docs).groupBy(F.col("doc_id").alias(cut_id), F.col("text_key").alias(cut_key)).agg(F.collect_set(F.struct("a", "b")).alias(cut_list))
+    cuts = written(cuts, "cuts")
+    size = cuts.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.size(cut_list)), F.lit(0)).alias("parts")).first()
+    small = size["rows"] <= SEND_MAX and size["parts"] <= SEND_PARTS
+    rows = docs.join(F.broadcast(cuts) if small else cuts, (docs.doc_id == F.col(cut_id)) & (F.xxhash64(docs.text) == F.col(cut_key)), "left")
     where = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,13 +1,14 @@
 """Exact Jaccard self-join of documents on their 5-word shingles, with its connected components.
 
-Texts have A-Z lower-cased; words are `[^\\x20\\x09-\\x0D]+`. A set holds a text's distinct shingles as 64-bit hashes; equal sets are one class,
-so copies cost one row each and nothing more. Two sets are linked when 100 * |A & B| >= 80 * |A | B|.
+Texts have A-Z lower-cased; words are `[^\\x20\\x09-\\x0D]+`. A set holds a text's distinct shingles as 64-bit hashes; equal sets (by a digest of 128 bits) are one
+class, so copies cost one row each and nothing more. Two sets are linked when 100 * |A & B| >= 80 * |A | B|.
 
 1. Order. Shingles are ordered by hash, frequent ones last. A shingle is frequent if it is in more than FREQUENT sets' prefixes; as many
    as FREQUENT_MAX are sent to the executors, and the bound on the count is raised in powers of two until they are that few. Any order is right.
-2. Prefix lists. Linked sets share a shingle among the first |A| - ceil(0.8 |A|) + 1. Lists are sorted by set size, and
-   hold no positions. A short list gives its pairs, those whose sizes are too far apart are dropped, the others are added up, and a pair stays a candidate if its shared prefix and
-   all that lies behind it could reach the overlap that it needs. A long list only chains its sets in order of size: one edge for each.
+2. Prefix lists. Linked sets share a shingle among the first |A| - ceil(0.8 |A|) + 1. A list holds for each set its size and the shingle's position in it, and
+   is cut into blocks of equal size and position. Blocks are compared before rows: the larger sizes behind a block that can't reach the similarity are jumped over as a whole, and
+   so are blocks whose positions leave too little room for the overlap that their sizes need. Of the rest, the pairs of rows are added up over lists, and a pair stays a candidate if its
+   shared prefix and all that lies behind it could reach the overlap that it needs. A long list only chains its sets in order of size: one edge for each.
 3. Candidate clusters are the components of these edges; no linked pair crosses one. A cluster's sets meet in one task, or, where it has more
    than BLOCK sets, in a task for each pair of blocks of equal or neighbouring size classes.
 4. Answers. In a task a set's overlaps with all others are derived from those of the most similar set that is done already: lists of
@@ -16,7 +17,8 @@ so copies cost one row each and nothing more. Two sets are linked when 100 * |A
 5. Components of the forests are the result.
 
 Null texts and texts without words have no set, are linked with nothing, and are components of their own. Fewer than 5 words are one
-shingle. Repeated rows (also of one doc_id with different texts) all stay. Other columns are not looked at. An empty table gives an empty result.
+shingle. Repeated rows (also of one doc_id with different texts) all stay. Rows with a null doc_id are linked like others; a component's id is its smallest
+doc_id, and null only where all its rows have none. Other columns are not looked at. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,14 +32,16 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .store import dropped, written
-from .text import mixed, shingle_sets, words
+from .text import mixed, pairs_of, shingle_sets, sixteen, words
 
 FREQUENT, FREQUENT_MAX, BLOCK, SEND_MAX = 32, 1_000_000, 1024, 500_000
 _PLAIN = np.zeros(0, np.uint64)
 
 
-def _digest(s: np.ndarray) -> np.uint64:
-    return mixed(mixed(s).sum(keepdims=True) + np.uint64(len(s)))[0]
+def _digest(s: np.ndarray) -> bytes:
+    """16 bytes that tell sets apart: two sums of independent functions of the members."""
+    both = np.array([mixed(s).sum() + np.uint64(len(s)), mixed(s ^ np.uint64(0xD6E8FEB86659FD93)).sum()], np.uint64)
+    return mixed(both).astype(">u8").tobytes()
 
 
 def _is_in(values: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -55,8 +59,13 @@ def _prefix(s: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     return np.concatenate([s[~late], s[late]])[:size] if late.any() else s[:size]
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and a key that tells texts and ids apart; null ids have keys too."""
+    return docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
+
+
 def _sets(docs: DataFrame, shared=None, prefixes: bool = True) -> DataFrame:
-    """doc_id, n_shingles, digest and the prefix of every row; without words: 0, null and null."""
+    """doc_id, key, n_shingles, digest and the prefix of every row; without words: 0, null and null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = shared.value if shared is not None else _PLAIN
@@ -65,16 +74,16 @@ def _sets(docs: DataFrame, shared=None, prefixes: bool = True) -> DataFrame:
                 n, digest, prefix = [], [], []
                 for s in shingle_sets(w):
                     n.append(len(s))
-                    digest.append(_digest(s).view(np.int64) if len(s) else None)
+                    digest.append(_digest(s) if len(s) else None)
                     if prefixes:
                         prefix.append(_prefix(s, frequent) if len(s) else _PLAIN)
-                out = [batch.column(0)[w.lo : w.hi], pa.array(n, pa.int32()), pa.array(digest, pa.int64())]
+                out = [batch.column(0)[w.lo : w.hi], batch.column(2)[w.lo : w.hi], pa.array(n, pa.int32()), pa.array(digest, pa.binary())]
                 if prefixes:
                     offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefix])]).astype(np.int32)
                     out.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(prefix).view(np.int64))))
-                yield pa.RecordBatch.from_arrays(out, ["doc_id", "n_shingles", "digest", "prefix"][: len(out)])
+                yield pa.RecordBatch.from_arrays(out, ["doc_id", "key", "n_shingles", "digest", "prefix"][: len(out)])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles int, digest long" + ", prefix array<bigint>" * prefixes)
+    return _keyed(docs).mapInArrow(run, "doc_id long, key long, n_shingles int, digest binary" + ", prefix array<bigint>" * prefixes)
 
 
 def _frequent(sets: DataFrame, bound: int, most: int) -> np.ndarray:
@@ -90,35 +99,62 @@ def _frequent(sets: DataFrame, bound: int, most: int) -> np.ndarray:
     return np.sort(rows.view(np.uint64))
 
 
+def _needed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least overlap of linked sets of these sizes."""
+    return (4 * (a + b) + 8) // 9
+
+
+def _block_pairs(token: np.ndarray, n: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of short lists (rows in order of token, n, position) from the blocks that aren't skipped."""
+    first = np.flatnonzero(np.concatenate([[True], (token[1:] != token[:-1]) | (n[1:] != n[:-1]) | (at[1:] != at[:-1])])[: len(token)])
+    count = np.diff(np.concatenate([first, [len(token)]]))
+    of, size, place = token[first], n[first], at[first]
+    i, apart, xs, ys = np.arange(len(first)), 0, [], []
+    while len(i):
+        i = i[i + apart < len(first)]
+        j = i + apart
+        near = (of[i] == of[j]) & (5 * size[i] >= 4 * size[j])  # sizes rise: once a block is too large, so are all behind it
+        i, j = i[near], j[near]
+        most = 1 + np.minimum(place[i], place[j]) + np.minimum(size[i] - place[i], size[j] - place[j]) - 1
+        room = most >= _needed(size[i], size[j])
+        a, b = i[room], j[room]
+        each = count[a] * count[b]
+        inside = np.arange(int(each.sum())) - np.repeat(np.cumsum(each) - each, each)
+        x = np.repeat(first[a], each) + inside // np.repeat(count[b], each)
+        y = np.repeat(first[b], each) + inside % np.repeat(count[b], each)
+        xs.append(x[x < y])
+        ys.append(y[x < y])
+        apart += 1
+    return np.concatenate([*xs, np.zeros(0, np.int64)]), np.concatenate([*ys, np.zeros(0, np.int64)])
+
+
 def _edges_of_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (token, n, digest, p), lists one after the other, by n within: (u, v, least count needed, count or null for a chain edge)."""
+    """Rows (token, n, digest, p, at), lists one after the other, by n and at within: (u, v, least count needed, chain edge or not)."""
 
-    def of(token, n, d, p):
+    def of(token, n, p, at, d):
         """Pairs of short lists and chains of long ones."""
-        first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+        first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])[: len(token)])
         size = np.diff(np.concatenate([first, [len(token)]]))
         size = np.repeat(size, size)
         some = size > 1
-        token, n, d, p, long = token[some], n[some].astype(np.int64), d[some], p[some], size[some] > FREQUENT
-        us, vs, needs, chains = [], [], [], []
-        for apart in range(1, min(FREQUENT, len(token))):
-            a = np.flatnonzero((token[:-apart] == token[apart:]) & ~long[apart:]) if apart > 1 else np.flatnonzero(token[:-1] == token[1:])
-            if not len(a) and apart > 1:
-                break
-            b = a + apart
-            near = (5 * n[a] >= 4 * n[b]) & (d[a] != d[b])  # rows lie in order of n
-            a, b = a[near], b[near]
-            us.append(np.minimum(d[a], d[b]))
-            vs.append(np.maximum(d[a], d[b]))
-            needs.append((4 * (n[a] + n[b]) + 8) // 9 - np.maximum(n[a] - p[a], n[b] - p[b]))
-            chains.append(long[a])
-        u, v, need = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (us, vs, needs))
-        chain = np.concatenate(chains) if chains else np.zeros(0, bool)
-        return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array(need.astype(np.int32)), pa.array(chain)], ["u", "v", "need", "chain"])
+        token, n, p, at, d, long = token[some], n[some].astype(np.int64), p[some], at[some].astype(np.int64), d[some], size[some] > FREQUENT
+        short = np.flatnonzero(~long)
+        x, y = _block_pairs(token[short], n[short], at[short])
+        x, y = short[x], short[y]
+        a = np.flatnonzero((token[:-1] == token[1:]) & long[1:])
+        a = a[5 * n[a] >= 4 * n[a + 1]]
+        chain = np.concatenate([np.zeros(len(x), bool), np.ones(len(a), bool)])
+        x, y = np.concatenate([x, a]), np.concatenate([y, a + 1])
+        need = _needed(n[x], n[y]) - np.maximum(n[x] - p[x], n[y] - p[y])
+        u, v = d[x], d[y]
+        swap = (u[:, 0] > v[:, 0]) | (u[:, 0] == v[:, 0]) & (u[:, 1] > v[:, 1])
+        u, v = np.where(swap[:, None], v, u), np.where(swap[:, None], u, v)
+        other = (u != v).any(axis=1)
+        return pa.RecordBatch.from_arrays([sixteen(u[other]), sixteen(v[other]), pa.array(need[other].astype(np.int32)), pa.array(chain[other])], ["u", "v", "need", "chain"])
 
     held = None
     for batch in batches:
-        columns = [batch.column(i).to_numpy() for i in range(4)]
+        columns = [*[batch.column(i).to_numpy() for i in range(4)], pairs_of(batch.column(4))]
         if held is not None:
             columns = [np.concatenate(x) for x in zip(held, columns, strict=True)]
         if not len(columns[0]):
@@ -141,8 +177,9 @@ def _answers(key: tuple, table: pa.Table) -> pa.Table:
     _, k1, b1, k2, b2 = (x.as_py() for x in key)
     cross = (k1, b1) != (k2, b2)
     side = table.column("side").to_numpy()
-    digest, weight = table.column("digest").to_numpy(), table.column("weight").to_numpy()
-    _, keep = np.unique(digest, return_index=True)
+    digest, weight = pairs_of(table.column("digest")), table.column("weight").to_numpy()
+    order = np.lexsort((digest[:, 1], digest[:, 0]))
+    keep = order[np.concatenate([[True], (digest[order[1:]] != digest[order[:-1]]).any(axis=1)])]  # a row that stands there twice is shipped twice
     keep = keep[np.argsort(table.column("n").to_numpy()[keep], kind="stable")]
     blobs = table.column("tokens")
     sets = [np.frombuffer(blobs[int(i)].as_py(), np.uint64) for i in keep]
@@ -189,23 +226,28 @@ def _answers(key: tuple, table: pa.Table) -> pa.Table:
             merged = np.unique(label[near])
             label[np.isin(label, merged)] = merged[0]
             label[y] = merged[0]
-    return pa.table([pa.array(digest), pa.array(digest[label]), pa.array(links)], ["digest", "root", "links"])
+    return pa.table([sixteen(digest), sixteen(digest[label]), pa.array(links)], ["digest", "root", "links"])
 
 
 def joined(docs: DataFrame, frequent: int = FREQUENT, frequent_max: int = FREQUENT_MAX, block: int = BLOCK, send_max: int = SEND_MAX) -> DataFrame:
     """doc_id, n_shingles, component_id and n_links (documents that it is linked with, copies included) of every row."""
+    return _joined(docs, frequent, frequent_max, block, send_max).drop("key")
+
+
+def _joined(docs: DataFrame, frequent: int, frequent_max: int, block: int, send_max: int) -> DataFrame:
+    """As joined(), with the row's key."""
     spark = docs.sparkSession
     sets = written(_sets(docs), "sets")
-    classes = sets.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("weight"), F.first("n_shingles").alias("n"))
+    classes = sets.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("least"), F.min("key").alias("rep"), F.count("*").alias("weight"), F.first("n_shingles").alias("n"))
     classes = written(classes, "classes")
     late = spark.sparkContext.broadcast(_frequent(sets, frequent, frequent_max))
-    members = written(sets.select("doc_id", "n_shingles", "digest"), "members")
+    members = written(sets.select("doc_id", "key", "n_shingles", "digest"), "members")
     dropped(sets)
 
-    lists = _sets(docs, late).where("digest IS NOT NULL").join(classes.select("digest", F.col("rep").alias("doc_id")), ["digest", "doc_id"], "left_semi")
-    lists = lists.select(F.explode("prefix").alias("token"), F.col("n_shingles").alias("n"), "digest", F.size("prefix").alias("p"))
-    lists = lists.repartition("token").sortWithinPartitions("token", "n", "digest")
-    pairs = lists.mapInArrow(_edges_of_lists, "u long, v long, need int, chain boolean")
+    lists = _sets(docs, late).where("digest IS NOT NULL").join(classes.select("digest", F.col("rep").alias("key")), ["digest", "key"], "left_semi")
+    lists = lists.select(F.posexplode("prefix").alias("at", "token"), F.col("n_shingles").alias("n"), "digest", F.size("prefix").alias("p"))
+    lists = lists.select("token", "n", "p", "at", "digest").repartition("token").sortWithinPartitions("token", "n", "at", "digest")
+    pairs = lists.mapInArrow(_edges_of_lists, "u binary, v binary, need int, chain boolean")
     edges = pairs.groupBy("u", "v").agg(F.count("*").alias("c"), F.min("need").alias("need"), F.bool_or("chain").alias("chain")).where("chain OR c >= need").select("u", "v")
     clusters = components(edges)
 
@@ -228,37 +270,40 @@ def joined(docs: DataFrame, frequent: int = FREQUENT, frequent_max: int = FREQUE
     alone = F.array(F.struct(F.lit(-1).alias("k1"), F.lit(0).alias("b1"), F.lit(-1).alias("k2"), F.lit(0).alias("b2"), F.lit(0).alias("side")))
     placed = placed.select("digest", "label", "rep", "weight", F.when(F.col("all") <= block, alone).otherwise(F.concat(same, above, below)).alias("tasks"))
     placed = written(placed, "placed")
-    if placed.count() <= send_max:
+    size = placed.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.size("tasks")), F.lit(0)).alias("tasks")).first()
+    if size["rows"] <= send_max and size["tasks"] <= 4 * send_max:
         placed = F.broadcast(placed)
-    texts = docs.select(F.col("doc_id").alias("rep"), "text").join(placed, "rep")
+    texts = _keyed(docs).select(F.col("key").alias("rep"), "text").join(placed, "rep")
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["digest", "label", "weight", "tasks", "n", "tokens"]
         for batch in batches:
             for w in words(batch.column(0), lower=True):
                 every = list(shingle_sets(w))
-                fits = [len(s) > 0 and int(_digest(s).view(np.int64)) == d for s, d in zip(every, batch.column(1)[w.lo : w.hi].to_pylist(), strict=True)]
+                fits = [len(s) > 0 and _digest(s) == d for s, d in zip(every, batch.column(1)[w.lo : w.hi].to_pylist(), strict=True)]
                 rest = [batch.column(i)[w.lo : w.hi] for i in (1, 2, 3, 4)]
                 out = pa.RecordBatch.from_arrays([*rest, pa.array([len(s) for s in every], pa.int32()), pa.array([s.tobytes() for s in every], pa.binary())], names)
                 yield out.filter(pa.array(fits, pa.bool_()))
 
     kind = placed.schema["tasks"].dataType.simpleString()
-    shipped = texts.select("text", "digest", "label", "weight", "tasks").mapInArrow(sets_of, f"digest long, label long, weight long, tasks {kind}, n int, tokens binary")
+    shipped = texts.select("text", "digest", "label", "weight", "tasks").mapInArrow(sets_of, f"digest binary, label binary, weight long, tasks {kind}, n int, tokens binary")
     shipped = shipped.select("digest", "label", "weight", "n", "tokens", F.explode("tasks").alias("t")).select("digest", "label", "weight", "n", "tokens", "t.*")
-    answers = shipped.groupBy("label", "k1", "b1", "k2", "b2").applyInArrow(_answers, "digest long, root long, links long")
+    answers = shipped.groupBy("label", "k1", "b1", "k2", "b2").applyInArrow(_answers, "digest binary, root binary, links long")
     answers = written(answers, "answers")
     label = components(answers.where("digest <> root").select(F.col("digest").alias("u"), F.col("root").alias("v")))
     links = answers.groupBy("digest").agg(F.sum("links").alias("links"))
-    named = classes.join(label, classes.digest == label.node, "left").select("digest", "rep", "weight", F.coalesce("label", "digest").alias("label"))
-    least = named.groupBy("label").agg(F.min("rep").alias("component_id"))
-    named = named.join(least, "label").join(links, "digest", "left").select("digest", "component_id", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    return members.join(named, "digest", "left").select("doc_id", F.col("n_shingles").cast("bigint").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
-
-
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of docs, all columns, without those whose component has a smaller doc_id."""
-    gone = joined(docs).where("component_id < doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    named = classes.join(label, classes.digest == label.node, "left").select("digest", "least", "weight", F.coalesce("label", "digest").alias("label"))
+    first = named.groupBy("label").agg(F.min("least").alias("component_id"))
+    named = named.join(first, "label").join(links, "digest", "left").select("digest", "component_id", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    return members.join(named, "digest", "left").select("doc_id", F.col("n_shingles").cast("bigint").alias("n_shingles"), F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), "key")
+
+
+def one_of_each(docs: DataFrame, send_max: int = SEND_MAX) -> DataFrame:
+    """The rows of docs, all columns, without those whose component has a smaller doc_id (or one at all, where theirs is null); a row goes for its own text, whatever other rows have
+    its doc_id. Rows without words stay, and so do repeated rows of one id and text."""
+    gone = _joined(docs, FREQUENT, FREQUENT_MAX, BLOCK, send_max).where("component_id < doc_id OR (doc_id IS NULL AND component_id IS NOT NULL)").select(F.col("key").alias("_gone")).distinct()
+    gone = written(gone, "copies")
+    return docs.join(F.broadcast(gone) if gone.count() <= send_max else gone, F.xxhash64("doc_id", "text") == F.col("_gone"), "left_anti")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import words
+from .text import factors, mixed, words
 
 CAPACITY, PER_SOURCE, GROUP_ROWS = 2048, 2, 4096
 SCHEMA = "doc_id long, piece int, n_words long, bin long, bin_offset int, source string, cluster long"
@@ -38,8 +38,8 @@ def measured(docs: DataFrame) -> DataFrame:
             for w in words(batch.column(2), lower=True):
                 count = np.diff(w.doc)
                 place = np.arange(len(w.hash)) - np.repeat(w.doc[:-1], count)
-                mixed = np.concatenate([[0], np.cumsum(w.hash * ((place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)))]).astype(np.uint64)
-                cluster.append((mixed[w.doc[1:]] - mixed[w.doc[:-1]]).view(np.int64))
+                total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(w.hash * factors(int(count.max(initial=0)))[place])])
+                cluster.append(mixed(total[w.doc[1:]] - total[w.doc[:-1]]).view(np.int64))
                 n.append(count)
             if n:
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(n)), batch.column(1), pa.array(np.concatenate(cluster))], ["doc_id", "n_words", "source", "cluster"])

@@ -1,8 +1,8 @@
 """Vectorised words and shingles over Arrow text columns.
 
-Words are the runs of bytes outside 0x20 and 0x09-0x0D. Every word gets a 64-bit polynomial hash
-over a fixed random byte table, so texts are handled as arrays of integers and no Python string is made
-per word. Null texts count as empty.
+Words are the runs of bytes outside 0x20 and 0x09-0x0D. Every word gets a 64-bit multilinear hash: the sum of its
+bytes' random values, each times a random factor of its place in the word, so texts are handled as arrays of integers and no Python string
+is made per word. Factors of places have no rule that repetitive words could meet (as powers of a number have). Null texts count as empty.
 """
 
 from __future__ import annotations
@@ -31,11 +31,12 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _powers(n: int) -> np.ndarray:
-    return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(max(n, 1), _BASE)]))
+def factors(n: int, kind: int = 0) -> np.ndarray:
+    """Random odd factors of the places 0 to n - 1; kinds are independent of each other."""
+    return mixed(mixed(np.arange(1, n + 1, dtype=np.uint64) * _BASE) + np.uint64(2 * kind + 1)) | np.uint64(1)
 
 
-_POW = _powers(255)
+_FACTORS = factors(256)
 
 
 @dataclass
@@ -99,7 +100,7 @@ def _words(lo: int, hi: int, raw: np.ndarray, off: np.ndarray, table: np.ndarray
     at = np.arange(size, dtype=np.int64)
     at -= np.maximum.accumulate(np.where(first, at, 0))
     np.minimum(at, longest, out=at)
-    power = _POW if longest < len(_POW) else _powers(longest)
+    power = _FACTORS if longest < len(_FACTORS) else factors(longest + 1)
     value = table[raw] * power[at]
     value[~full] = 0
     if first_chars:  # only so many characters of a word count
@@ -109,17 +110,40 @@ def _words(lo: int, hi: int, raw: np.ndarray, off: np.ndarray, table: np.ndarray
     return Words(lo, hi, raw, start, end, doc, mixed(np.add.reduceat(value, start)), off)
 
 
-def grams(h: np.ndarray, k: int) -> np.ndarray:
-    """The hash of every k consecutive words; position i starts at word i."""
+def grams(h: np.ndarray, k: int, kind: int | None = None) -> np.ndarray:
+    """The hash of every k consecutive words; position i starts at word i. Kinds are independent hashes of the same words."""
     n = len(h) - k + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    out = h[:n] * _GRAM[0]
+    factor = (_GRAM if k <= len(_GRAM) else factors(k)) if kind is None else factors(k, kind)
+    out = h[:n] * factor[0]
     for j in range(1, k):
-        out += h[j : j + n] * _GRAM[j]
+        out += h[j : j + n] * factor[j]
     return mixed(out)
 
 
+def stretches(h: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The hash of n words from each start on."""
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    first = np.cumsum(n) - n
+    place = np.arange(int(n.sum())) - np.repeat(first, n)
+    value = h[np.repeat(start, n) + place] * factors(int(n.max()), 3)[place]
+    return mixed(np.add.reduceat(value, first) + n.astype(np.uint64))
+
+
+def pairs_of(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """A column of 16 bytes each, as rows of two numbers."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return np.frombuffer(b"".join(column.to_pylist()), ">u8").astype(np.uint64).reshape(-1, 2)
+
+
+def sixteen(pairs: np.ndarray) -> pa.Array:
+    """Rows of two numbers as a column of 16 bytes each."""
+    data = np.ascontiguousarray(pairs.astype(">u8"))
+    return pa.Array.from_buffers(pa.binary(), len(pairs), [None, pa.py_buffer((16 * np.arange(len(pairs) + 1, dtype=np.int32)).tobytes()), pa.py_buffer(data.tobytes())])
+
+
 def shingle_sets(w: Words, k: int = 5) -> Iterator[np.ndarray]:
     """Per row the sorted distinct hashes of its k-word shingles; with fewer words, the sequence as one; without words, none."""
     every = grams(w.hash, k)

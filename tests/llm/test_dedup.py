@@ -168,6 +168,68 @@ def test_few_frequent_shingles_may_be_sent(docs_of, monkeypatch):
     assert [got[i] for i in range(len(texts))] == want
 
 
+def alike(k, n=1024):
+    """Two words that are one under hashes with powers of a number: abba baab..., and the same with a and b changed."""
+    w = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    return [w, w.translate(str.maketrans("ab", "ba"))][k]
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_words_that_poor_hashes_take_for_one(docs_of, n):
+    rng = random.Random(7)
+    body = [rng.choice(vocabulary(rng)) for _ in range(60)]
+    texts = [" ".join([*body[:30], alike(k, n), *body[30:]]) for k in (0, 1)] + [" ".join(alike(k, n) for _ in range(60)) for k in (0, 1)]
+    got = sub.digests(docs_of(texts)).orderBy("doc_id").collect()
+    assert [r["n_removed"] for r in got] == [0, 0, 0, 0]
+    a, b = ([alike(bin(i).count("1") % 2 ^ k, 4) for i in range(1024)] for k in (0, 1))  # the same with words for letters
+    texts = [" ".join(x) for x in ([*(f"x{i}" for i in range(9)), alike(0, n)], [*(f"x{i}" for i in range(9)), alike(1, n)], [alike(0, n)], [alike(1, n)], a[:90], b[:90])]
+    rows = list(enumerate(texts))
+    got = {r["doc_id"]: tuple(r)[1:] for r in jac.joined(docs_of(texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == linked(rows)
+    got = {r["doc_id"]: r["n_removed"] for r in sub.digests(docs_of([" ".join(a), " ".join(b)])).collect()}
+    assert [got[i] for i in (0, 1)] == [x[1] for x in cut([(0, " ".join(a)), (1, " ".join(b))])]
+
+
+def test_repeated_and_null_ids(docs_of):
+    """Rows of one id are told apart by their texts; rows without an id are linked like others."""
+    rng = random.Random(3)
+    v = vocabulary(rng)
+    one, other = ([rng.choice(v) for _ in range(90)] for _ in range(2))
+    near = " ".join([*one[:89], "end"])
+    one, other = " ".join(one), " ".join(other)
+    docs = docs_of([one, near, other, near, None, None, other + " x"], ids=[1, 5, 5, None, None, 7, None])
+    got = sorted((tuple(r) for r in jac.joined(docs).collect()), key=str)
+    n = 86
+    assert got == sorted([(1, n, 1, 2), (5, n, 1, 2), (5, n, 5, 1), (None, n, 1, 2), (None, 0, None, 0), (7, 0, 7, 0), (None, n + 1, 5, 1)], key=str)
+    kept = sorted(((r["doc_id"], r["text"]) for r in jac.one_of_each(docs).collect()), key=str)
+    assert kept == sorted([(1, one), (5, other), (None, None), (7, None)], key=str)
+    passage = " ".join(rng.choice(v) for _ in range(60))
+    a, b = passage + " " + " ".join(rng.choice(v) for _ in range(80)), " ".join(rng.choice(v) for _ in range(140))
+    cuts = {(r["doc_id"], r["n_removed"]) for r in sub.digests(docs_of([passage, a, b], ids=[1, 5, 5])).collect()}
+    assert cuts == {(1, 0), (5, 60), (5, 0)}
+
+
+def test_blocks_skip_no_link():
+    """Pairs of rows of equal lists from blocks: all that sizes and positions allow, and no other."""
+    rng = np.random.default_rng(1)
+    token, n = rng.integers(0, 6, 60), rng.integers(5, 40, 60)
+    at = (rng.random(60) * (n - (4 * n + 4) // 5 + 1)).astype(np.int64)
+    order = np.lexsort((at, n, token))
+    token, n, at = token[order], n[order], at[order]
+    x, y = jac._block_pairs(token, n, at)
+    want = {(i, j) for i in range(60) for j in range(i + 1, 60) if token[i] == token[j] and 5 * n[i] >= 4 * n[j] and 1 + min(at[i], at[j]) + min(n[i] - at[i], n[j] - at[j]) - 1 >= -(-4 * (n[i] + n[j]) // 9)}
+    assert set(zip(x.tolist(), y.tolist(), strict=True)) == want and len(x) == len(want) > 20
+
+
+def test_long_paths_take_few_rounds(spark, monkeypatch):
+    from skyflux.llm import components as module
+
+    made, plain = [], module.written
+    monkeypatch.setattr(module, "written", lambda df, label: (made.append(label), plain(df, label))[1])
+    path = spark.range(10_000).selectExpr("id AS u", "id + 1 AS v")
+    assert components(path).select("label").distinct().count() == 1 and made.count("labels") <= 20
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(1000 + i, 1001 + i) for i in range(60)] + [(5000, 5000 + i) for i in range(50)]

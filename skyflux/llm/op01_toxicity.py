@@ -1,8 +1,8 @@
 """Toxicity of texts behind a noisy-channel deobfuscator.
 
 1. Language model: trigrams of letters (a-z, other letters as one, and a word border) are counted over all texts; 28**3 counts at most.
-2. Channel: a suspicious stretch (a word with digits or signs for letters beside letters, a letter three times or more in a row, or a run of
-   single letters) is a lattice: each symbol stands for itself, for letters that it imitates, for nothing (separators, brackets and the like), for a
+2. Channel: a suspicious stretch (a word with a digit or sign that may stand for a letter, with a separator before a letter, or with a letter three times or more in a row; or a run of
+   three words or more of at most two letters, two of them of one letter) is a lattice: each symbol stands for itself, for letters that it imitates, for nothing (separators, brackets and the like), for a
    word border (separators), or for one more of the letter before it. Viterbi keeps the BEAM best letter strings under language model and channel costs; the READINGS best are the restored words. Stretches
    have any length (the search is linear in it); a symbol, or a symbol and a separator, more than three times in a row stands there three times.
 3. Score: words and all words of the reading with most cues are looked up by their stems (their first STEM letters, without case) among cues, stems that are learnt from
@@ -10,7 +10,8 @@
    Documents that agree in their smallest 5-word shingle count once, so copies prove nothing. The score is the logistic of the prior's logit
    and DAMPED times the text's weights, where a cue that comes c times counts log2(1 + c) times.
 
-The fit takes at most LABELLED labelled rows (those with the smallest hashes of doc_id) and keeps at most CUES cues. Labels, lang, source and
+The fit takes at most LABELLED labelled rows (those with the smallest hashes of doc_id), which bounds the number of cues too. A text's score depends on the model and
+its own text alone, not on its neighbours or the file's layout. Labels, lang, source and
 doc_id are no inputs of a score. Scoring is one pass without a shuffle. Null and empty texts have the prior alone. Without labels there are no cues
 and all scores are 0. Repeated rows stay. Other columns are not looked at.
 """
@@ -30,8 +31,9 @@ from pyspark.sql import functions as F
 from .store import dropped, written
 from .text import _LOWER, _SPACE, Words, _words, offsets_and_bytes, shingle_sets, words
 
-LABELLED, CUES, SUPPORT, LEAST, BEAM, READINGS, HELD_OUT, STEM, DAMPED = 50_000, 2_000, 3, 2.0, 12, 4, 2, 5, 0.5
-THRESHOLD, CACHE, CACHED, FLOOR = 0.3, 100_000, 64, -0.02
+#: SUPPORT and FLOOR have the best F1 of SUPPORT 2, 3, 4 and FLOOR -0.01, -0.02, -0.05 in two-fold cross-validation on training rows.
+LABELLED, SUPPORT, LEAST, BEAM, READINGS, HELD_OUT, STEM, DAMPED = 50_000, 4, 2.0, 12, 4, 2, 5, 0.5
+THRESHOLD, CACHE, CACHED, FLOOR = 0.3, 100_000, 64, -0.01
 #: What a symbol may stand for (fixed values).
 IMITATES = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e"}
 SEPARATORS = frozenset("._-*~'`,/ ")
@@ -70,9 +72,12 @@ def letter_trigrams(docs: DataFrame) -> np.ndarray:
         total = np.zeros(28**3, np.int64)
         for batch in batches:
             off, data = offsets_and_bytes(batch.column(0))
-            for lo in range(int(off[0]), int(off[-1]), 1 << 20):
-                c = _CODE[data[lo : min(lo + (1 << 20) + 2, int(off[-1]))]]
-                total += np.bincount((c[:-2] * 28 + c[1:-1]) * 28 + c[2:], minlength=28**3)
+            lo = 0
+            while lo < len(off) - 1:
+                hi = min(len(off) - 1, max(lo + 1, int(np.searchsorted(off, off[lo] + (1 << 20), "right")) - 1))
+                c = np.insert(_CODE[data[off[lo] : off[hi]]], np.repeat(off[lo : hi + 1] - off[lo], 2), 0)  # two borders around each text, so that no trigram has letters of two
+                total += np.bincount((c[:-2] * 28 + c[1:-1]) * 28 + c[2:], minlength=28**3) if len(c) > 2 else 0
+                lo = hi
         g = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(total[g])], ["g", "c"])
 
@@ -124,24 +129,26 @@ def suspicious(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return none, none, none
     raw = w.raw
     letter, sign = _LETTER[raw], _SIGN[raw]
-    odd = np.zeros(len(raw), bool)
-    odd[:-1] |= sign[:-1] & letter[1:]  # a sign before a letter
-    odd[1:] |= _IMITATES[raw[1:]] & letter[:-1]  # or for one after it
+    joint = np.ones(len(raw) + 1, bool)  # whether a byte belongs with the one before it
+    joint[w.offsets] = False
+    joint = joint[1 : len(raw)]
+    odd = _IMITATES[raw]
+    odd[:-1] |= sign[:-1] & letter[1:] & joint
     low = _CODE[raw]
-    odd[2:] |= (low[2:] == low[1:-1]) & (low[2:] == low[:-2]) & (low[2:] > 0) & (low[2:] < 27)
+    odd[2:] |= (low[2:] == low[1:-1]) & (low[2:] == low[:-2]) & (low[2:] > 0) & (low[2:] < 27) & joint[1:] & joint[:-1]
+    euro = (raw[:-2] == 0xE2) & (raw[1:-1] == 0x82) & (raw[2:] == 0xAC)
+    odd[:-2] |= euro
     has_odd = np.add.reduceat(odd.astype(np.int32), w.start) > 0
-    letters = np.add.reduceat(letter.astype(np.int32), w.start)
     size = w.end - w.start
+    letters = np.add.reduceat(letter.astype(np.int32), w.start)
     row = np.repeat(np.arange(len(w.doc) - 1), np.diff(w.doc))
-    words_at = np.flatnonzero(has_odd & (letters >= 1))
-    one = (size == 1) & ((letters == 1) | _SIGN[raw[w.start]])
-    joined = one.copy()
-    joined[1:] &= row[1:] == row[:-1]
-    begins = one & ~np.concatenate([[False], one[:-1] & (row[1:] == row[:-1])])
-    first = np.flatnonzero(begins)
-    ends = one & ~np.concatenate([one[1:] & (row[1:] == row[:-1]), [False]])
-    last = np.flatnonzero(ends)
-    long = last - first >= 2
+    words_at = np.flatnonzero(has_odd)
+    short = ((size <= 2) & (letters == size)) | ((size == 1) & _SIGN[raw[w.start]])
+    linked = short[1:] & short[:-1] & (row[1:] == row[:-1])
+    first = np.flatnonzero(short & ~np.concatenate([[False], linked]))
+    last = np.flatnonzero(short & ~np.concatenate([linked, [False]]))
+    ones = np.concatenate([[0], np.cumsum(size == 1)])
+    long = (last - first >= 2) & (ones[last + 1] - ones[first] >= 2)
     first, last = first[long], last[long]
     return np.concatenate([row[words_at], row[first]]), np.concatenate([w.start[words_at], w.start[first]]), np.concatenate([w.end[words_at], w.end[last]])
 
@@ -195,7 +202,7 @@ class Model:
         for w in _stems(column):
             at, cue = self.found(w.hash)
             row = np.searchsorted(w.doc, at, "right") - 1
-            plain = Words(w.lo, w.hi, w.raw, *_word_borders(w), w.hash)
+            plain = Words(w.lo, w.hi, w.raw, *_word_borders(w), w.hash, w.offsets)
             more: list[tuple[int, int]] = []
             for r, a, b in zip(*suspicious(plain), strict=True):
                 best = self.cues_in(w.raw[a:b].tobytes().decode("utf-8", "replace"))
@@ -244,7 +251,7 @@ def _evidence(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "stem long, toxic int, group long, n long")
 
 
-def trained(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, cues: int = CUES) -> Model:
+def trained(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, support: int = SUPPORT, floor: float = FLOOR) -> Model:
     """labels: doc_id and toxic (0/1)."""
     chosen = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").select("doc_id", "toxic").orderBy(F.xxhash64("doc_id"), "toxic").limit(labelled)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", F.col("toxic").cast("int").alias("toxic"))
@@ -257,11 +264,11 @@ def trained(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, cues:
         return Model(trigrams, {}, 0.0, 0.0)
     weight = F.ln((F.col("yes") + 0.5) / float(total["yes"])) - F.ln((F.col("no") + 0.5) / float(total["no"]))
     sure = weight - 1 / F.sqrt(F.col("groups"))  # what few documents show counts less
-    found = proof.where("stem IS NOT NULL").withColumn("weight", sure).where((F.col("groups") >= SUPPORT) & (F.col("weight") >= LEAST)).orderBy(F.desc("groups"), F.desc("weight"), "stem").limit(cues).collect()
+    found = proof.where("stem IS NOT NULL").withColumn("weight", sure).where((F.col("groups") >= support) & (F.col("weight") >= LEAST)).orderBy("stem").collect()
     dropped(proof)
     left = [1 - sum(r[x] for r in found) / total[x] for x in ("yes", "no")]
     share = total["groups"] / total["all"]
-    return Model(trigrams, {r["stem"]: r["weight"] for r in found}, max(FLOOR, float(np.log(max(left[0], 1e-9) / left[1]))), float(np.log(share / (1 - share))))
+    return Model(trigrams, {r["stem"]: r["weight"] for r in found}, max(floor, float(np.log(max(left[0], 1e-9) / left[1]))), float(np.log(share / (1 - share))))
 
 
 def scored(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:

@@ -73,13 +73,28 @@ def test_urls(spark):
 
 def test_bloom_holds_all(spark):
     keys = spark.createDataFrame([(f"h{i}.com/",) for i in range(500)], "k string")
-    words = op06_url_filter.blocked_bloom(keys, "k", 16)
     from pyspark.sql import functions as F
 
-    test = op06_url_filter.may_hold(F.col("k"), F.lit(words).cast("array<bigint>"), 16)
-    assert keys.where(test).count() == 500
-    other = spark.createDataFrame([(f"x{i}.org/",) for i in range(2000)], "k string")
-    assert other.where(test).count() < 400
+    bloom = op06_url_filter.blocked_bloom(keys, "k", 16)
+
+    def passing(df):
+        return df.withColumn("block", op06_url_filter.block_of(F.col("k"), 16)).join(bloom, "block").where(op06_url_filter.may_hold(F.col("k"))).count()
+
+    assert passing(keys) == 500
+    assert passing(spark.createDataFrame([(f"x{i}.org/",) for i in range(2000)], "k string")) < 400
+
+
+def test_many_rules_and_long_urls(spark):
+    """More rules than one block, more lengths of paths than are listed, a shuffled filter, very long urls."""
+    rules = [("block" if i % 2 else "allow", f"h{i % 40}.org", "/" + "p" * (i % 90)) for i in range(400)]
+    rules = [*dict((h + p, (v, h, p)) for v, h, p in rules).values()]
+    urls = [f"http://a.h{i % 45}.org/{'p' * (i * 7 % 100)}x" for i in range(300)] + ["http://h1.org/" + "p" * 5000, "http://" + "a." * 300 + "h3.org/ppp"] + ["http://h7.org/pp"] * 500 + [None] * 100
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    table = spark.createDataFrame(rules, "verdict string, host string, path string")
+    want = [judged(u, rules) for u in urls]
+    for lengths, send in ((64, 0), (128, 1000)):
+        got = op06_url_filter.judge_urls(pages, table, max_lengths=lengths, send_max=send).orderBy("page_id").collect()
+        assert [tuple(r)[1:] for r in got] == want
 
 
 def licences(files, templates, threshold):

@@ -69,6 +69,55 @@ def test_borders_in_prose(docs_of, toxic, text):
     assert got["predicted"] == 1 and got["restored"] == ["idiot"]
 
 
+@pytest.mark.parametrize("text", ["a$$", "4$$", "5h1", "bull5", "k i ll", "x" + "-y" * 60, "id i o t", "€x"])
+def test_what_is_decoded(text):
+    for t in (text, f"abc {text}", f"{text} abc"):
+        w = next(tox.words(tox.pa.array(["we", t, "know"])))
+        spans = [(int(r), w.raw[a:b].tobytes().decode()) for r, a, b in zip(*tox.suspicious(w), strict=True)]
+        assert spans == [(1, text)]
+    w = next(tox.words(tox.pa.array(["bull", "5", "x", "i", "ll", "a.", "b"])))
+    assert [w.raw[a:b].tobytes() for _, a, b in zip(*tox.suspicious(w), strict=True)] == [b"5"]
+
+
+def test_scores_do_not_depend_on_neighbours(spark, docs_of, toxic):
+    """Under any order, partitioning, batch size and company."""
+    rng = random.Random(0)
+    texts = [f"{a} {b}" for a in ("we", "a", "1", "", "k i") for b in ("bull5", "idi0t", "ll", "i d", "idiot", "!!", "5")] * 2
+    docs = docs_of(texts)
+    want = {r["doc_id"]: r["score"] for r in tox.scored(docs.coalesce(1), toxic[1]).collect()}
+    assert len({want[i] == want[i + len(texts) // 2] for i in range(len(texts) // 2)}) == 1 and len(set(want.values())) > 3
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        rows = docs.collect()
+        rng.shuffle(rows)
+        got = {r["doc_id"]: r["score"] for r in tox.scored(spark.createDataFrame(rows, docs.schema).repartition(5), toxic[1]).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == want
+    alone = {i: tox.scored(docs.where(f"doc_id = {i}"), toxic[1]).first()["score"] for i in (0, 9, 17)}
+    assert alone == {i: want[i] for i in alone}
+    a, b = (tox.letter_trigrams(docs.coalesce(1)), tox.letter_trigrams(docs.repartition(7)))
+    np.testing.assert_array_equal(a, b)
+
+
+def test_score_by_plain_code(docs_of, toxic):
+    """The whole score, for texts without anything to restore, from the model's weights by stem."""
+    import re
+
+    _, model = toxic
+    rng = random.Random(12)
+    v = [*vocabulary(rng, 50), "idiot", "Idiots", "MORONIC", "scumbag", "pathetic", "élan", "Ärger"]
+    texts = [" ".join(rng.choice(v) + rng.choice(["", ",", ".", "\n"]) for _ in range(rng.randrange(0, 60))) for _ in range(40)] + [None, ""]
+    stem_of = lambda t: int(next(tox._stems(tox.pa.array([t]))).hash[0].view(np.int64))
+    weights = dict(zip(model.stems.view(np.int64).tolist(), model.weights.tolist(), strict=True))
+    got = {r["doc_id"]: r["score"] for r in tox.scored(docs_of(texts), model).collect()}
+    for i, t in enumerate(texts):
+        found = re.findall(r"[A-Za-z\u0080-\U0010FFFF]+", t or "")
+        counts = collections.Counter(stem_of(x[: tox.STEM]) for x in found)
+        logit = model.prior + tox.DAMPED * (model.every * len(found) + sum(weights[s] * math.log2(1 + c) for s, c in counts.items() if s in weights))
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-logit))), t
+
+
 def test_viterbi_finds_the_best_path():
     """Against all readings of a lattice, by cost."""
     model = tox.letter_trigrams_of = np.log(np.random.default_rng(0).dirichlet(np.ones(28), (28, 28)))

@@ -2,35 +2,46 @@
 
 from __future__ import annotations
 
+from itertools import product
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import coordinates, haversine_km, let, off_origin, position_label
+from ..functions.geo import MEAN_EARTH_KM, degrees_of, haversine_km, let, off_origin, places_of, position_label
 from ..functions.timefn import floor_to, parsed
 
 STATIONS_MAX = 100_000
 TOLERANCE_DEG, TOLERANCE_KM = 0.02, 1.0
 CELL_DEG = 0.021  # a little wider than the tolerance, so that rounding at a border costs no pair
-LEGACY_NAME = r"(\w+?)_(\d{8})_(\d{4})_([\d.]+[WE]_[\d.]+[NS]).*\.zip$"
 
 
-def _cells(lat: Column, lon: Column, size: float) -> Column:
-    """The cell of a position and its neighbours, as (row, column)."""
-    near = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    return F.flatten(F.transform(near, lambda i: F.transform(near, lambda j: F.struct((F.floor(lat / size) + i).alias("i"), (F.floor(lon / size) + j).alias("j")))))
+def _floors(coordinates: list[Column], size: float) -> Column:
+    return F.array(*[F.floor(c / size) for c in coordinates])
+
+
+def _around(cell: Column, dimensions: int) -> Column:
+    """A cell and its neighbours in all dimensions."""
+    return F.array(*[F.array(*[F.get(cell, F.lit(d)) + step for d, step in enumerate(steps)]) for steps in product((-1, 0, 1), repeat=dimensions)])
+
 
+def _in_space(lat: Column, lon: Column) -> list[Column]:
+    """Kilometres from the earth's middle; no pole and no date line."""
+    p, q = F.radians(lat), F.radians(lon)
+    return [MEAN_EARTH_KM * F.cos(p) * F.cos(q), MEAN_EARTH_KM * F.cos(p) * F.sin(q), MEAN_EARTH_KM * F.sin(p)]
 
-def nearest(files: DataFrame, stations: DataFrame, distance: Column, tolerance: float, cell: float, on: Column | None = None, key: str = "path") -> DataFrame:
-    """(key, station ord, distance) of the nearest station within the tolerance; ties: the smallest ord.
 
-    An equi-join on grid cells at least as wide as the tolerance, so no pair outside of neighbouring cells is made.
-    files: key, lat, lon; stations: ord, s_lat, s_lon."""
-    cells = stations.withColumn("_c", F.explode(_cells(F.col("s_lat"), F.col("s_lon"), cell)))
-    here = files.withColumn("_c", F.struct(F.floor(F.col("lat") / cell).alias("i"), F.floor(F.col("lon") / cell).alias("j")))
+def nearest(files: DataFrame, stations: DataFrame, distance: Column, tolerance: float, cell: float, on: Column | None = None, key: str = "path", keep: tuple[str, ...] = (), in_space: bool = False) -> DataFrame:
+    """(key, keep, station ord, distance) of the nearest station within the tolerance; ties: the smallest ord.
+
+    An equi-join on grid cells at least as wide as the tolerance (of degrees, or of kilometres in space), so no pair outside of neighbouring cells is made.
+    files: key, lat, lon and keep, which the key decides; stations: ord, s_lat, s_lon."""
+    spot = (lambda a, b: _in_space(F.col(a), F.col(b))) if in_space else (lambda a, b: [F.col(a), F.col(b)])
+    cells = stations.withColumn("_c", _floors(spot("s_lat", "s_lon"), cell)).withColumn("_c", F.explode(_around(F.col("_c"), 3 if in_space else 2)))
+    here = files.withColumn("_c", _floors(spot("lat", "lon"), cell))
     both = here.join(cells, "_c").withColumn("distance", distance).where(F.col("distance") <= tolerance)
     if on is not None:
         both = both.where(on)
-    return both.groupBy(key).agg(F.min_by("ord", F.struct("distance", "ord")).alias("ord"), F.min("distance").alias("distance"))
+    return both.groupBy(key, *keep).agg(F.min_by("ord", F.struct("distance", "ord")).alias("ord"), F.min("distance").alias("distance"))
 
 
 def degrees_apart() -> Column:
@@ -41,29 +52,37 @@ def kilometres_apart() -> Column:
     return haversine_km(F.col("lat"), F.col("lon"), F.col("s_lat"), F.col("s_lon"))
 
 
-def nearest_by_km(files: DataFrame, stations: DataFrame, tolerance: float = TOLERANCE_KM, key: str = "path") -> DataFrame:
-    """By great-circle distance. Cells are 0.1 degrees wide, which holds the tolerance up to latitudes of 84 degrees; beyond, use nearest() with wider cells."""
-    return nearest(files, stations, kilometres_apart(), tolerance, 0.1, key=key)
+def nearest_by_km(files: DataFrame, stations: DataFrame, tolerance: float = TOLERANCE_KM, key: str = "path", distance: Column | None = None) -> DataFrame:
+    """By great-circle distance, anywhere: cells are cubes in space, and a chord is no longer than its arc."""
+    return nearest(files, stations, kilometres_apart() if distance is None else distance, tolerance, 1.001 * tolerance, key=key, in_space=True)
 
 
 def legacy_files(paths: DataFrame, second: str) -> DataFrame:
     """path, version, ts, lat, lon of the second and third generation's files; names that don't fit are left out.
 
+    A name has parts between underscores: the receiver's, eight digits of a day, four of a time, a longitude, a latitude; it ends with .zip.
     second: what the paths of the second generation contain, in lower case."""
     name = F.element_at(F.split(F.regexp_replace("path", r"\\", "/"), "/"), -1)
-    stamp = let(name, lambda n: F.concat(F.regexp_extract(n, LEGACY_NAME, 2), F.regexp_extract(n, LEGACY_NAME, 3)))
-    lat, lon = coordinates(name)
-    of = F.struct(F.when(F.lower("path").contains(second), "SC2").otherwise("SC3").alias("version"), parsed(stamp, "yyyyMMddHHmm").alias("ts"), lat.alias("lat"), lon.alias("lon"))
+
+    def read(parts: Column) -> Column:
+        dated = F.filter(places_of(parts), lambda i: (i >= 3) & F.get(parts, i - 2).rlike(r"^\d{8}$") & F.get(parts, i - 1).rlike(r"^\d{4}$"))
+        return let(F.get(dated, F.lit(0)), lambda i: F.struct(
+            parsed(F.concat(F.get(parts, i - 2), F.get(parts, i - 1)), "yyyyMMddHHmm").alias("ts"), degrees_of(F.get(parts, i + 1), 90, "S").alias("lat"), degrees_of(F.get(parts, i), 180, "W").alias("lon")))
+
+    of = let(F.split(name, "_"), read)
+    version = F.when(F.lower("path").contains(second), "SC2").otherwise("SC3").alias("version")
     # one row of an exploded array of one: a border that keeps filters from copying the parsing
-    out = paths.select("path", F.explode(F.array(of)).alias("f")).select("path", "f.*")
+    out = paths.where(name.endswith(".zip")).select("path", version, F.explode(F.array(of)).alias("f")).select("path", "version", "f.*")
     return out.where(F.col("ts").isNotNull() & F.col("lat").isNotNull() & off_origin(F.col("lat"), F.col("lon")))
 
 
 def legacy_days(paths: DataFrame, stations: DataFrame, cutoff: Column, second: str) -> DataFrame:
     """(ord, day) with files since the cutoff's midnight: a file belongs to the nearest station of its version."""
     files = legacy_files(paths, second).where(F.col("ts") >= floor_to("day", cutoff))
-    near = nearest(files, stations, degrees_apart(), TOLERANCE_DEG, CELL_DEG, F.col("version") == F.col("s_version"))
-    return files.join(near, "path").select("ord", floor_to("day", F.col("ts")).alias("day")).distinct()
+    # what decides the station and the day; files of one place and day are one row from here on
+    places = files.select("version", "lat", "lon", floor_to("day", F.col("ts")).alias("day")).distinct().withColumn("path", F.struct("version", "lat", "lon", "day"))
+    near = nearest(places, stations, degrees_apart(), TOLERANCE_DEG, CELL_DEG, F.col("version") == F.col("s_version"))
+    return near.select("ord", "path.day").distinct()
 
 
 def sc4_days(paths: DataFrame, stations: DataFrame, codes: dict[str, str], cutoff: Column) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -21,6 +23,18 @@ def sections(fs: float, cutoff: float = CUTOFF_HZ) -> list[tuple[np.ndarray, np.
     return out
 
 
+@lru_cache(maxsize=64)
+def _responses(a1: float, a2: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The recursion's answers within a block to each of its samples, and to one unit of the output one and two places before the block."""
+    h = np.zeros(BLOCK + 2)
+    h[1] = 1.0  # h[0] is the value before the impulse
+    for i in range(2, BLOCK + 2):
+        h[i] = -a1 * h[i - 1] - a2 * h[i - 2]
+    h = h[1:]
+    lag = np.subtract.outer(np.arange(BLOCK), np.arange(BLOCK))
+    return np.where(lag >= 0, h[np.abs(lag)], 0.0).T.copy(), h[1:], -a2 * h[:-1]
+
+
 def biquad(x: np.ndarray, b: np.ndarray, a: np.ndarray) -> np.ndarray:
     """One section from rest. Blocks of BLOCK samples are products with the recursion's impulse response; two values pass from block to block."""
     x = np.asarray(x, float)
@@ -30,16 +44,12 @@ def biquad(x: np.ndarray, b: np.ndarray, a: np.ndarray) -> np.ndarray:
     u = b[0] * x
     u[1:] += b[1] * x[:-1]
     u[2:] += b[2] * x[:-2]
-    h = np.zeros(BLOCK + 1)
-    for i in range(BLOCK + 1):
-        h[i] = 1.0 if i == 0 else -a[1] * h[i - 1] - (a[2] * h[i - 2] if i > 1 else 0.0)
-    i = np.arange(BLOCK)
-    response = np.where(i[:, None] >= i, h[np.abs(i[:, None] - i)], 0.0)
-    rows = -(-n // BLOCK)
-    blocks = np.zeros(rows * BLOCK)
+    inside, last, before = _responses(float(a[1]), float(a[2]))
+    if n <= BLOCK:
+        return u @ inside[:n, :n]
+    blocks = np.zeros(-(-n // BLOCK) * BLOCK)
     blocks[:n] = u
-    y = blocks.reshape(rows, BLOCK) @ response.T
-    last, before = h[1 : BLOCK + 1], -a[2] * h[:BLOCK]  # what one unit of y[-1] and of y[-2] leaves in a block
+    y = blocks.reshape(-1, BLOCK) @ inside
     y1 = y2 = 0.0
     for row in y:
         row += last * y1 + before * y2
@@ -76,12 +86,7 @@ def equalised(x: np.ndarray, fs: float = 20.0, cutoff: float = 3.0, gain: float
     edges = np.flatnonzero(np.diff(np.concatenate([[False], known, [False]]).astype(int)))
 
     def one_way(v: np.ndarray) -> np.ndarray:
-        out, before, last = np.empty(len(v)), v[0], 0.0  # a constant input has settled to 0
-        for i, now in enumerate(v):
-            last = b0 * (now - before) - a1 * last
-            before = now
-            out[i] = last
-        return out
+        return biquad(v - v[0], np.array([b0, -b0, 0.0]), np.array([1.0, a1, 0.0]))  # a constant input has settled to 0
 
     for lo, hi in zip(edges[::2], edges[1::2], strict=True):
         part = x[lo:hi]
@@ -92,12 +97,17 @@ def equalised(x: np.ndarray, fs: float = 20.0, cutoff: float = 3.0, gain: float
 def without_slopes(times: pd.DatetimeIndex, x: np.ndarray, threshold: float = 1e3, longest: float = 5.0) -> np.ndarray:
     """Takes out jumps found by slope: the rest of the series goes on with the slope before the jump. Gaps count as `longest` seconds at most.
 
-    Each correction uses values that earlier ones have changed, so rows are visited in order."""
-    x = np.asarray(x, float).copy()
-    seconds = np.concatenate([[np.nan], np.diff(times.asi8) / 10 ** {"s": 0, "ms": 3, "us": 6, "ns": 9}[times.unit]])
-    dt = np.minimum(seconds, longest)
-    slope = np.abs(np.concatenate([[np.nan], np.diff(x)]) / dt)
-    for i in np.flatnonzero(slope > threshold):
-        before = (x[i - 1] - x[i - 2]) / seconds[i - 1] if i > 1 else 0.0
-        x[i:] += before * dt[i] - (x[i] - x[i - 1])
-    return x
+    A jump's step becomes the step before it (as already corrected), scaled by the times between; what the steps have changed by is added up over the series."""
+    x = np.asarray(x, float)
+    if len(x) < 2:
+        return x.copy()
+    gap = np.diff(times.as_unit("ns").asi8) / 1e9  # gap[i] and step[i] lie between values i and i + 1
+    step, short = np.diff(x), np.minimum(gap, longest)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        jumps = np.flatnonzero(np.abs(step / short) > threshold)
+    fixed = step.copy()
+    for i in jumps:
+        fixed[i] = fixed[i - 1] / gap[i - 1] * short[i] if i else 0.0
+    moved = np.zeros(len(step))
+    moved[jumps] = fixed[jumps] - step[jumps]
+    return x + np.concatenate([[0.0], np.cumsum(moved)])

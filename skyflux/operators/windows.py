@@ -87,13 +87,13 @@ def without_jumps(df: DataFrame, keys: list[str], order: list[str], x: str, thre
     return df.withColumn("_jump", jump).withColumn(name, F.col(x) - F.sum("_jump").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_jump")
 
 
-def regular_grid(df: DataFrame, keys: list[str], ts: str, x: str, step: str) -> DataFrame:
+def regular_grid(df: DataFrame, keys: list[str], ts: str, x: str, step: str, order: list[str] | None = None) -> DataFrame:
     """keys, ts and x at every step from a key's first to its last time: the values there, time-weighted lines between.
 
-    Values off the grid have no part, as in a reindex."""
+    Values off the grid have no part, as in a reindex. Of several rows at one time the first in order counts (without an order the one with the smallest value)."""
     ends = df.groupBy(*keys).agg(F.min(ts).alias("_a"), F.max(ts).alias("_b"))
     grid = ends.select(*keys, F.explode(F.sequence("_a", "_b", F.expr(f"INTERVAL {step}"))).alias(ts))
-    found = df.groupBy(*keys, ts).agg(F.first(x).alias(x))
+    found = df.groupBy(*keys, ts).agg((F.min_by(x, F.struct(*order)) if order else F.min(x)).alias(x))
     w = ordered(keys, [ts])
     at = F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ '1980-01-06 00:00:00'"), F.col(ts)).cast("double")
     full = grid.join(found, [*keys, ts], "left").withColumn("_at", at)

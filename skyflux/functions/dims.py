@@ -63,12 +63,18 @@ def prn_of_number(number: Column) -> Column:
     return out
 
 
-def numeric_constellations(df: DataFrame, column: str = "cons") -> DataFrame:
-    """Codes become names if every row of the column is a number; known from the type, or from one aggregate over a text column."""
-    if df.schema[column].dataType.typeName() == "string":
-        if not df.agg(F.coalesce(F.bool_and(F.expr(f"try_cast({column} AS double) IS NOT NULL")), F.lit(True)).alias("all")).first()["all"]:
-            return df
-    return df.withColumn(column, lookup(F.col(column).cast("double").cast("int"), CONSTELLATIONS))
+def numeric_constellations(df: DataFrame, column: str = "cons", by: str = "file_id") -> DataFrame:
+    """Codes become names in every file (value of `by`, where the table has it) whose rows of the column are all numbers; known from the type, or
+    for a text column from an aggregate by file that is joined back. Nothing runs while the plan is built."""
+    if df.schema[column].dataType.typeName() != "string":
+        return df.withColumn(column, lookup(F.col(column).cast("double").cast("int"), CONSTELLATIONS))
+    numbers = F.bool_and(F.col(column).isNull() | F.col(column).try_cast("double").isNotNull())
+    name = lookup(F.col(column).try_cast("double").cast("int"), CONSTELLATIONS)
+    if by not in df.columns:
+        return df.withColumn(column, F.when(df.agg(numbers.alias("all")).scalar(), name).otherwise(F.col(column)))
+    kinds = df.groupBy(F.col(by).alias("_by")).agg(numbers.alias("_numbers"))
+    both = df.join(kinds, F.col(by).eqNullSafe(F.col("_by")), "left")
+    return both.withColumn(column, F.when(F.col("_numbers"), name).otherwise(F.col(column))).select(*df.columns)
 
 
 def with_signals(df: DataFrame, cons: str = "cons") -> DataFrame:

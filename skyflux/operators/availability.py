@@ -1,4 +1,4 @@
-"""Stations, nearest-station joins and data availability. The station table is a dimension of some dozens of rows: its size is checked before it is broadcast."""
+"""Stations, nearest-station joins and data availability."""
 
 from __future__ import annotations
 
@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ..functions.geo import MEAN_EARTH_KM, degrees_of, haversine_km, let, off_origin, places_of, position_label
 from ..functions.timefn import floor_to, parsed
 
-STATIONS_MAX = 100_000
 TOLERANCE_DEG, TOLERANCE_KM = 0.02, 1.0
 CELL_DEG = 0.021  # a little wider than the tolerance, so that rounding at a border costs no pair
 

@@ -137,12 +137,26 @@ def with_tec(df: DataFrame, threshold: float = 1.0) -> DataFrame:
     return df.groupBy(*KEY).applyInPandas(run, kinds)
 
 
+def without_unknown(df: DataFrame) -> DataFrame:
+    """Without rows of the satellite number that stands for none in GLONASS."""
+    return df.where(~F.coalesce((F.col("cons") == "GLO") & (F.col("svid") == 255), F.lit(False)))
+
+
+def without_rate(df: DataFrame) -> DataFrame:
+    """file_id and error of the files whose sampling rate isn't known, which get no products; df as formatted() gives it."""
+    return sampling_rate(df).where("fs IS NULL").select("file_id", F.lit("sampling rate not known").alias("error"))
+
+
+def restored_rows(df: DataFrame, found: DataFrame, row: str) -> DataFrame:
+    """All rows of df with what was found for some of them, by row."""
+    return df.join(found, row, "left")
+
+
 def formatted(df: DataFrame) -> DataFrame:
     """lvl0 with names of constellations, minbin, prn, signals, frequencies, and nulls for zero phases and strengths."""
     from ..functions.clean import zero_to_null
     from ..functions.dims import numeric_constellations, prn, with_signals
 
-    out = numeric_constellations(df)
-    out = out.where(~F.coalesce((F.col("cons") == "GLO") & (F.col("svid") == 255), F.lit(False)))
+    out = without_unknown(numeric_constellations(df))
     out = out.withColumns({"minbin": floor_to("minute", F.col("datetime")), "prn": prn(F.col("cons"), F.col("svid"))})
     return zero_to_null(with_signals(out))

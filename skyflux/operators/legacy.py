@@ -30,6 +30,24 @@ def repaired_filling(y: np.ndarray, fs: float, threshold: float) -> tuple[np.nda
     return (s.iloc[0] + step.cumsum()).to_numpy() if len(s) else s.to_numpy(), slip
 
 
+def repaired_by_next(df: DataFrame, keys: list[str], order: list[str], y: str, fs: float, threshold: float, name: str = "repaired", slip: str = "slip") -> DataFrame:
+    """The series of every key by repaired_filling(), and the mask of slips."""
+    names = df.columns
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(order, kind="stable")
+        series, mask = repaired_filling(rows[y].to_numpy(float), fs, threshold)
+        return rows.assign(**{name: series, slip: mask})[[*names, name, slip]]
+
+    return _mapped(df, keys, run, [(name, "double"), (slip, "boolean")])
+
+
+def paired_signals(rows: DataFrame, keys: list[str], signal: str, value: str, first: str, second: str) -> DataFrame:
+    """keys, a and b: the largest value of two signals at keys that have both."""
+    one, two = (rows.where(F.col(signal) == s).groupBy(*keys).agg(F.max(value).alias(n)) for s, n in ((first, "a"), (second, "b")))
+    return one.join(two, keys)
+
+
 def detrended_by_bins(df: DataFrame, keys: list[str], ts: str, phase: str, fs: float, threshold: float = 10.0, equalise: bool = False) -> DataFrame:
     """The oldest generation: dphi (high-passed radians after repair against 10 s medians, equalised if asked for) and cycleslips. Rows without a phase
     get null and false."""

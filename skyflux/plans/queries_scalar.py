@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import clean, dims, geo, tec, timefn
+from ..operators.detrend import without_unknown
 from ..operators.windows import trimmed
 from ..sources import receivers, stations
 from .observations import SQL, events, r, table
@@ -26,7 +27,7 @@ def numeric_constellation(spark, sf):
 
 def glonass_filter(spark, sf):
     e = events(spark, sf).withColumn("svid", F.when(F.col("user_id") % 5 == 0, 255).otherwise(F.col("svid")))
-    return e.where(~F.coalesce((F.col("cons") == "GLO") & (F.col("svid") == 255), F.lit(False))).select("event_id", "cons", "svid")
+    return without_unknown(e).select("event_id", "cons", "svid")
 
 
 def gps_time(spark, sf):
@@ -144,13 +145,15 @@ def filename_coords(spark, sf):
 
 
 def file_kinds(spark, sf):
-    """The kind of a file by its name, as an expression."""
-    ends = {0: "a.BIN.zip", 1: "a.bin", 2: "a_lvl0.pq", 3: "a_lvl2.parquet", 4: "a.pq", 5: "a.txt"}
-    name = F.lower(dims.lookup((F.col("user_id") % 6).cast("int"), ends))
-    kind = F.lit(None).cast("string")
-    for tail, value in ((r"\.(pq|parquet)$", F.lit("pq")), (r"_lvl[0-3]\.(pq|parquet)$", F.regexp_extract(name, r"_(lvl[0-3])\.", 1)), (r"\.bin$", F.lit("bin")), (r"\.bin\.zip$", F.lit("binzip"))):
-        kind = F.when(name.rlike(tail), value).otherwise(kind)
-    return events(spark, sf).select("event_id", kind.alias("kind"))
+    names = ["a.BIN.zip", "a.bin", "a_lvl0.pq", "a_lvl2.parquet", "a.pq", "a.txt"]
+    kinds = {i: kind for i, n in enumerate(names) if (kind := receivers.get_type(n))}
+    return events(spark, sf).select("event_id", dims.lookup((F.col("user_id") % 6).cast("int"), kinds).alias("kind"))
+
+
+def file_versions(spark, sf):
+    names = ["/d_v324/a.txt", "a_v325.bin", "/x_v326f/y_v325.bin.zip", "a.bin"]
+    versions = {i: v for i, n in enumerate(names) if (v := receivers.get_version(n))}
+    return events(spark, sf).select("event_id", dims.lookup((F.col("user_id") % 4).cast("int"), versions).alias("version"))
 
 
 def log_line_clean(spark, sf):
@@ -211,6 +214,7 @@ QUERIES = {
     "filename_coords": (filename_coords, f"""WITH n AS (SELECT event_id, {_NAME} AS name FROM events), m AS (SELECT event_id, name, nullif(regexp_extract(name, '_([0-9]+(?:\\.[0-9]+)?)([EW])_([0-9]+(?:\\.[0-9]+)?)([NS])', 1), '')::DOUBLE AS lo, regexp_extract(name, '_([0-9]+(?:\\.[0-9]+)?)([EW])_([0-9]+(?:\\.[0-9]+)?)([NS])', 2) AS lh, nullif(regexp_extract(name, '_([0-9]+(?:\\.[0-9]+)?)([EW])_([0-9]+(?:\\.[0-9]+)?)([NS])', 3), '')::DOUBLE AS la, regexp_extract(name, '_([0-9]+(?:\\.[0-9]+)?)([EW])_([0-9]+(?:\\.[0-9]+)?)([NS])', 4) AS th FROM n)
 SELECT event_id, round(CASE WHEN la > 90 THEN la / 1e4 ELSE la END * CASE WHEN th = 'S' THEN -1 ELSE 1 END, 6) + 0.0 AS lat, round(CASE WHEN lo > 180 THEN lo / 1e4 ELSE lo END * CASE WHEN lh = 'W' THEN -1 ELSE 1 END, 6) + 0.0 AS lon, regexp_extract(name, '_v(\\d+)', 1) AS version, CASE WHEN lower(name) LIKE '%receiver2%' THEN 'SC2' ELSE 'SC3' END AS tag FROM m"""),
     "file_kinds": (file_kinds, "SELECT event_id, CASE user_id % 6 WHEN 0 THEN 'binzip' WHEN 1 THEN 'bin' WHEN 2 THEN 'lvl0' WHEN 3 THEN 'lvl2' WHEN 4 THEN 'pq' END AS kind FROM events"),
+    "file_versions": (file_versions, "SELECT event_id, CASE user_id % 4 WHEN 0 THEN 'v324' WHEN 1 THEN 'v325' WHEN 2 THEN 'v326' END AS version FROM events"),
     "log_line_clean": (log_line_clean, "WITH l AS (SELECT event_id, concat(event_type, CASE event_id % 4 WHEN 0 THEN ',,' WHEN 1 THEN ' Error ' ELSE ',' END, user_id::VARCHAR) AS value FROM events) SELECT * FROM l WHERE NOT regexp_matches(value, '\\bError\\b|,,')"),
     "station_dimension": (station_dimension, "SELECT row_number() OVER (ORDER BY s_suppkey % 17 - 8 DESC, s_suppkey) - 1 AS ord, trim(s_name) AS s_name, (s_suppkey % 17 - 8)::DOUBLE AS s_lat, (s_nationkey * 5 % 11)::DOUBLE AS s_lon, CASE WHEN s_suppkey % 4 = 0 THEN '' ELSE 'C' || s_suppkey::VARCHAR END AS s_code, CASE WHEN s_suppkey % 5 = 0 THEN 'UNK' ELSE 'SC3' END AS s_version FROM supplier WHERE s_suppkey % 9 <> 0 AND NOT (s_suppkey % 17 = 8 AND s_nationkey * 5 % 11 = 0)"),
     "tec_carrier": (tec_carrier, "SELECT event_id, round((1575.42e6 * 1575.42e6) * (1227.60e6 * 1227.60e6) / (40.3 * (1575.42e6 * 1575.42e6 - 1227.60e6 * 1227.60e6)) * (value * 1e4 * (299792458.0 / 1575.42e6) - value * 7.8e3 * (299792458.0 / 1227.60e6)) / 1e16, 4) + 0.0 AS tec FROM events"),

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import filters, windows
-from ..operators.detrend import clock_medians
+from ..operators import filters, legacy, windows
+from ..operators.detrend import clock_corrected, clock_medians
 from ..operators.repair import repaired
 from .observations import SQL, events, r
 
@@ -127,17 +126,22 @@ def clock_median(spark, sf):
 
 
 def clock_correct(spark, sf):
-    e = events(spark, sf).withColumns({"hour": F.date_trunc("hour", "ts").cast("timestamp_ntz"), "v1": F.col("value") / 1575.42, "elev": F.col("user_id") % 95})
-    c = clock_medians(e, ["hour"], ["v1"], (F.col("elev") > 0) & (F.col("elev") < 90))
-    return e.join(c, "hour", "left").select("event_id", r(F.col("value") - F.col("clock_term") * 1575.42, "x", 5))
+    e = events(spark, sf).withColumns({"file_id": F.col("event_type"), "datetime": F.date_trunc("hour", "ts").cast("timestamp_ntz"), "cph1": F.col("value"), "detrended_cph1": F.col("value"), "freq_1": F.lit(1575.42), "elev": F.col("user_id") % 95})
+    return clock_corrected(e).select("event_id", r(F.col("detrended_noclk_cph1"), "x", 5))
 
 
 def group_median(spark, sf):
-    """A group's median beside every row, and a reference without SBS whose first rows count for nothing."""
-    e = events(spark, sf)
-    w = Window.partitionBy("day")
-    ref = F.when((F.col("cons") != "SBS") & (F.row_number().over(Window.partitionBy("day").orderBy(*ORDER)) > 3), F.col("value"))
-    return e.withColumn("x", ref).select("event_id", r(F.median("value").over(w), "m"), r(F.median("x").over(w), "m_ref"))
+    """A time's median without SBS beside every row; the first times of a file count for nothing."""
+    e = events(spark, sf).withColumns({"file_id": F.col("user_id") % 5, "datetime": F.date_trunc("hour", "ts").cast("timestamp_ntz"), "dphi": F.col("value")})
+    return legacy.reference_removed(e, skip=3).select("event_id", r(F.col("dphi_ref"), "m"), r(F.col("dphi_true"), "x"))
+
+
+def slip_repair_next(spark, sf):
+    e = legacy.repaired_by_next(events(spark, sf).select("event_id", "user_id", "ts", "value"), KEY, ORDER, "value", 1.0, 60.0)
+    return e.select("event_id", r(F.col("repaired"), "repaired", 4), "slip")
+
+
+_NEXT_SQL = _repair_sql("value", 60.0).replace("coalesce(c1, va + (vb - va) * ((rn - ra)::DOUBLE / nullif(rb - ra, 0)), va, vb)", "coalesce(c1, vb, va)").replace("ns::DOUBLE / n > 0.2 AND n > 10", "false")
 
 
 QUERIES = {
@@ -159,6 +163,7 @@ k AS (SELECT *, last_value(value IGNORE NULLS) OVER p AS va, last_value(CASE WHE
 SELECT user_id, day, round(coalesce(value, va + (vb - va) * ((t - ta) / nullif(tb - ta, 0))), 6) + 0.0 AS value FROM k"""),
     "iir_cascade": (iir_cascade, _iir_sql(10.0)),
     "clock_median": (clock_median, f"WITH {SQL}, v AS (SELECT date_trunc('hour', ts)::TIMESTAMP AS hour, value / 1575.42 AS v FROM obs WHERE user_id % 95 BETWEEN 1 AND 89 UNION ALL SELECT date_trunc('hour', ts)::TIMESTAMP, value * 1.3 / 1227.6 FROM obs WHERE user_id % 95 BETWEEN 1 AND 89 AND cons <> 'SBS') SELECT hour, round(median(v), 9) + 0.0 AS clock_term FROM v GROUP BY hour"),
-    "clock_correct": (clock_correct, f"WITH {SQL}, v AS (SELECT *, date_trunc('hour', ts) AS hour FROM obs), c AS (SELECT hour, median(value / 1575.42) AS t FROM v WHERE user_id % 95 BETWEEN 1 AND 89 GROUP BY hour) SELECT event_id, round(value - t * 1575.42, 5) + 0.0 AS x FROM v LEFT JOIN c ON v.hour = c.hour"),
-    "group_median": (group_median, f"WITH {SQL}, n AS (SELECT *, row_number() OVER (PARTITION BY day ORDER BY ts, event_id) AS rn FROM obs), m AS (SELECT day, median(value) AS m, median(CASE WHEN cons <> 'SBS' AND rn > 3 THEN value END) AS m_ref FROM n GROUP BY day) SELECT event_id, round(m, 6) + 0.0 AS m, round(m_ref, 6) + 0.0 AS m_ref FROM n JOIN m USING (day)"),
+    "clock_correct": (clock_correct, f"WITH {SQL}, v AS (SELECT *, date_trunc('hour', ts) AS hour FROM obs), c AS (SELECT event_type, hour, median(value / 1575.42) AS t FROM v WHERE user_id % 95 BETWEEN 1 AND 89 GROUP BY event_type, hour) SELECT event_id, round(value - t * 1575.42, 5) + 0.0 AS x FROM v LEFT JOIN c USING (event_type, hour)"),
+    "group_median": (group_median, f"WITH {SQL}, n AS (SELECT *, user_id % 5 AS f, date_trunc('hour', ts) AS hour FROM obs), m AS (SELECT f, hour, CASE WHEN row_number() OVER (PARTITION BY f ORDER BY hour) > 3 THEN m END AS m FROM (SELECT f, hour, median(value) AS m FROM n WHERE cons <> 'SBS' GROUP BY f, hour)) SELECT event_id, round(m, 6) + 0.0 AS m, round(value - m, 6) + 0.0 AS x FROM n LEFT JOIN m USING (f, hour)"),
+    "slip_repair_next": (slip_repair_next, _NEXT_SQL),
 }

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import clean, geo
-from ..operators import availability, compare, products, resample
+from ..operators import availability, compare, detrend, legacy, products, resample
 from ..operators.detrend import rate_of
+from ..plans.pipeline import chunk
 from ..plans.pipeline import missing_inputs as missing
+from ..sources import reports
 from .observations import SQL, events, r, table
 
 #: Observations with the columns of an enriched table, by satellite and day.
@@ -73,7 +75,18 @@ def metric_masks(spark, sf):
 
 def well_observed(spark, sf):
     """Series with more than so many values."""
-    return events(spark, sf).groupBy("user_id").agg(F.count(F.when(F.col("event_id") % 6 != 0, 1)).alias("n")).where("n > 55")
+    return reports.well_observed(_enriched(spark, sf), "user_id", "detrended_noclk_cph1", 55)
+
+
+def quality_filter(spark, sf):
+    p = _enriched(spark, sf).withColumn("elev", F.col("user_id") % 95)
+    return products.products(p, ["user_id", "elev"]).where(compare.quality_mask(20, 30, 20)).select("user_id", F.col("n_1").alias("n"))
+
+
+def summary_rows(spark, sf):
+    p = _enriched(spark, sf).withColumns({"prn": F.col("user_id"), "minbin": F.col("day"), "elev": F.col("user_id") % 95, "snr2": F.col("snr1"), "detrended_noclk_cph2": F.col("detrended_noclk_cph1"), "edgegap_mask_cph2": F.col("edgegap_mask_cph1")})
+    s = reports.summary_rows(products.products(p, ["prn", "minbin", "elev"]), share=0.4, least=20)
+    return s.select("prn", "minbin", r(F.col("s4_1"), "s4_1"), r(F.col("sigma_phi_2"), "sigma_phi_2"))
 
 
 def compare_r2(spark, sf):
@@ -122,7 +135,7 @@ def nearest_station(spark, sf):
 
 
 def nearest_station_km(spark, sf):
-    n = availability.nearest(_places(spark, sf), _stations(spark, sf), F.round(availability.kilometres_apart(), 6), 1.0, 0.1)
+    n = availability.nearest_by_km(_places(spark, sf), _stations(spark, sf), distance=F.round(availability.kilometres_apart(), 6))
     return n.select(F.col("path").alias("event_id"), "ord", r(F.col("distance"), "km", 4))
 
 
@@ -144,7 +157,7 @@ def sc4_days(spark, sf):
 
 
 def _days(spark, sf):
-    return events(spark, sf).where("event_type = 'error'").select((F.col("user_id") % 100).alias("ord"), "day").distinct()
+    return events(spark, sf).select((F.col("user_id") * 7 % 100).alias("ord"), "day").distinct()
 
 
 def availability_intervals(spark, sf):
@@ -174,25 +187,22 @@ def missing_inputs(spark, sf):
 
 
 def chunk_assign(spark, sf):
-    """Contiguous parts of a sorted list, as ntile gives them; a report over a file list, which is small."""
-    from pyspark.sql import Window
-
-    return table(spark, sf, "supplier").select("s_suppkey", F.ntile(7).over(Window.orderBy("s_name")).alias("part"))
+    """Contiguous parts of a sorted list of files, which the driver deals to array tasks."""
+    names = sorted(x["s_name"] for x in table(spark, sf, "supplier").select("s_name").toLocalIterator())
+    return spark.createDataFrame([(n, k + 1) for k in range(7) for n in chunk(names, 7, k)], "s_name string, part int")
 
 
 def signal_join(spark, sf):
     """Two signals of one satellite at the same hour."""
-    e = events(spark, sf).select("user_id", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"), "event_type", "value")
-    one = e.where("event_type = 'click'").groupBy("user_id", "hour").agg(F.max("value").alias("a"))
-    two = e.where("event_type = 'view'").groupBy("user_id", "hour").agg(F.max("value").alias("b"))
-    return one.join(two, ["user_id", "hour"]).select("user_id", "hour", "a", "b")
+    e = events(spark, sf).withColumn("hour", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
+    return legacy.paired_signals(e, ["user_id", "hour"], "event_type", "value", "click", "view")
 
 
 def restored_rows(spark, sf):
     """Distinct times are worked on, and all rows get their results back by row."""
     e = events(spark, sf).withColumn("minute", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
     firsts = e.groupBy("user_id", "minute").agg(F.min("event_id").alias("event_id"), F.count("*").alias("n"))
-    return e.select("event_id").join(firsts.select("event_id", "n"), "event_id", "left")
+    return detrend.restored_rows(e.select("event_id"), firsts.select("event_id", "n"), "event_id")
 
 
 def union_by_name(spark, sf):
@@ -222,6 +232,8 @@ QUERIES = {
     "empty_bins": (empty_bins, f"WITH {SQL}, e AS (SELECT user_id, min(day) AS a, max(day) AS b FROM obs GROUP BY user_id), g AS (SELECT user_id, unnest(generate_series(a, b, INTERVAL 1 DAY)) AS day FROM e), c AS (SELECT user_id, day, count(*) AS n FROM obs GROUP BY user_id, day) SELECT g.user_id, g.day, coalesce(n, 0) AS n FROM g LEFT JOIN c ON g.user_id = c.user_id AND g.day = c.day"),
     "metric_masks": (metric_masks, f"WITH {ENRICHED_SQL}, p AS (SELECT user_id, user_id % 95 AS elev, stddev_pop(phase) AS sp, count(phase) AS n, max(mask::INTEGER) AS q, {S4} AS s4 FROM en GROUP BY user_id), m AS (SELECT *, elev > 30 AND elev < 91 AND n::DOUBLE / (SELECT max(n) FROM p) > 0.5 AS ok FROM p) SELECT user_id, round(CASE WHEN ok AND q = 0 THEN sp END, 6) + 0.0 AS sigma_phi_1, round(CASE WHEN ok THEN s4 END, 6) + 0.0 AS s4_2 FROM m"),
     "well_observed": (well_observed, "SELECT user_id, count(CASE WHEN event_id % 6 <> 0 THEN 1 END) AS n FROM events GROUP BY user_id HAVING n > 55"),
+    "quality_filter": (quality_filter, f"WITH {ENRICHED_SQL}, p AS (SELECT user_id, user_id % 95 AS elev, count(phase) AS n, count(*) FILTER (WHERE slip) AS c, max(mask::INTEGER) AS q FROM en GROUP BY user_id) SELECT user_id, n FROM p WHERE elev > 20 AND n > 30 AND q = 0 AND c < 20"),
+    "summary_rows": (summary_rows, f"WITH {ENRICHED_SQL}, p AS (SELECT user_id AS prn, day AS minbin, user_id % 95 AS elev, stddev_pop(phase) AS sp, count(phase) AS n, max(mask::INTEGER) AS q, {S4} AS s4 FROM en GROUP BY user_id, day), k AS (SELECT prn FROM p GROUP BY prn HAVING count(s4) > 20), m AS (SELECT *, elev > 30 AND elev < 91 AND n::DOUBLE / (SELECT max(n) FROM p) > 0.4 AS ok FROM p WHERE prn IN (SELECT prn FROM k)) SELECT prn, minbin, round(CASE WHEN ok THEN s4 END, 6) + 0.0 AS s4_1, round(CASE WHEN ok AND q = 0 THEN sp END, 6) + 0.0 AS sigma_phi_2 FROM m"),
     "compare_r2": (compare_r2, "WITH l AS (SELECT l_orderkey, sum(l_extendedprice * (1 - l_discount) * (1 + l_tax)) AS x, count(*) AS n FROM lineitem GROUP BY l_orderkey), b AS (SELECT o_orderpriority, o_totalprice AS y, x FROM l JOIN orders ON l_orderkey = o_orderkey WHERE n > 1), m AS (SELECT *, avg(y) OVER (PARTITION BY o_orderpriority) AS m FROM b) SELECT o_orderpriority, round(1 - sum(pow(y - x, 2)) / nullif(sum(pow(y - m, 2)), 0), 6) + 0.0 AS r2, count(*) AS n FROM m GROUP BY o_orderpriority"),
     "best_r2_per_bin": (best_r2_per_bin, f"WITH {SQL}, m AS (SELECT *, value * 0.9 + event_id % 5 AS x, avg(value) OVER (PARTITION BY day, user_id) AS m FROM obs), s AS (SELECT day, user_id, round(1 - sum(pow(value - x, 2)) / nullif(sum(pow(value - m, 2)), 0), 9) AS r2, count(*) AS n FROM m GROUP BY day, user_id) SELECT day, first(user_id ORDER BY r2 DESC, user_id) AS user_id, round(max(r2), 6) + 0.0 AS r2 FROM s WHERE n > 2 AND r2 IS NOT NULL GROUP BY day"),
     "quiet_reference": (quiet_reference, f"WITH {SQL}, e AS (SELECT event_type, date_trunc('week', ts) AS week, svid, max(value) AS value FROM obs GROUP BY ALL), a AS (SELECT event_type, count(DISTINCT week) AS n FROM e GROUP BY event_type), m AS (SELECT event_type, svid, max(value) AS most, count(value) AS n FROM e GROUP BY event_type, svid) SELECT event_type, first(svid ORDER BY most, svid) AS svid, round(min(most), 6) + 0.0 AS most FROM m JOIN a USING (event_type, n) GROUP BY event_type"),
@@ -235,7 +247,7 @@ _STATIONS = "st AS (SELECT s_suppkey - 1 AS ord, s_suppkey * 7 % 40 / 100.0::DOU
 _PLACES = "pl AS (SELECT event_id, user_id * 3 % 400 / 1000.0::DOUBLE + 0.0005 AS lat, user_id * 7 % 400 / 1000.0::DOUBLE + 0.0003 AS lon, CASE WHEN user_id % 2 = 0 THEN 'SC2' ELSE 'SC3' END AS version FROM events)"
 _DEG = "sqrt(pow(lat - s_lat, 2) + pow(lon - s_lon, 2))"
 _KM = "2 * 6371.0088 * atan2(sqrt(h), sqrt(1 - h))"
-_DAYS = f"WITH {SQL}, dy AS (SELECT DISTINCT user_id % 100 AS ord, day FROM obs WHERE event_type = 'error')"
+_DAYS = f"WITH {SQL}, dy AS (SELECT DISTINCT user_id * 7 % 100 AS ord, day FROM obs)"
 QUERIES |= {
     "nearest_station": (nearest_station, f"WITH {_STATIONS}, {_PLACES}, d AS (SELECT event_id, ord, round({_DEG}, 9) AS distance FROM pl JOIN st ON version = s_version) SELECT event_id, first(ord ORDER BY distance, ord) AS ord, round(min(distance), 6) + 0.0 AS distance FROM d WHERE distance <= 0.02 GROUP BY event_id"),
     "nearest_station_km": (nearest_station_km, f"WITH {_STATIONS}, {_PLACES}, h AS (SELECT event_id, ord, pow(sin((radians(s_lat) - radians(lat)) / 2), 2) + cos(radians(lat)) * cos(radians(s_lat)) * pow(sin(radians(s_lon - lon) / 2), 2) AS h FROM pl, st), d AS (SELECT event_id, ord, round({_KM}, 6) AS km FROM h) SELECT event_id, first(ord ORDER BY km, ord) AS ord, round(min(km), 4) + 0.0 AS km FROM d WHERE km <= 1 GROUP BY event_id"),
@@ -246,7 +258,7 @@ QUERIES |= {
     "station_labels": (station_labels, f"WITH {_STATIONS} SELECT ord, '[' || s_version || '] ' || s_code || ', ' || s_name || ' (' || printf('%.3f', abs(s_lat)) || '°N, ' || printf('%.3f', abs(s_lon)) || '°E)' AS label FROM st"),
     "missing_fraction": (missing_fraction, f"WITH {SQL}, m AS (SELECT max(value) AS v FROM obs GROUP BY user_id, day) SELECT round(1 - avg((v > 50)::INTEGER), 6) + 0.0 AS missing FROM m"),
     "missing_inputs": (missing_inputs, "SELECT c_name AS path, c_custkey::VARCHAR AS output FROM customer ANTI JOIN (SELECT o_custkey FROM orders WHERE o_totalprice > 150000) ON c_custkey = o_custkey"),
-    "chunk_assign": (chunk_assign, "SELECT s_suppkey, ntile(7) OVER (ORDER BY s_name)::INTEGER AS part FROM supplier"),
+    "chunk_assign": (chunk_assign, "SELECT s_name, ntile(7) OVER (ORDER BY s_name)::INTEGER AS part FROM supplier"),
     "signal_join": (signal_join, "WITH e AS (SELECT user_id, date_trunc('hour', ts)::TIMESTAMP AS hour, event_type, value FROM events), a AS (SELECT user_id, hour, max(value) AS a FROM e WHERE event_type = 'click' GROUP BY ALL), b AS (SELECT user_id, hour, max(value) AS b FROM e WHERE event_type = 'view' GROUP BY ALL) SELECT user_id, hour, a, b FROM a JOIN b USING (user_id, hour)"),
     "restored_rows": (restored_rows, "WITH f AS (SELECT min(event_id) AS event_id, count(*) AS n FROM events GROUP BY user_id, date_trunc('hour', ts)) SELECT e.event_id, f.n FROM events e LEFT JOIN f USING (event_id)"),
     "union_by_name": (union_by_name, "SELECT c_custkey AS k, c_acctbal AS bal, c_mktsegment AS seg FROM customer UNION ALL SELECT s_suppkey, s_acctbal, NULL FROM supplier"),

@@ -4,10 +4,10 @@ events stands for observations: user_id is a satellite's series, ts its time (un
 
 from __future__ import annotations
 
-from . import queries_scalar, queries_series, queries_tables
+from . import queries_receiver, queries_scalar, queries_series, queries_tables
 
 FLAGSHIP = "s4_by_bin"
-_PARTS = (queries_scalar, queries_series, queries_tables)
+_PARTS = (queries_scalar, queries_series, queries_tables, queries_receiver)
 
 
 def queries() -> dict:

@@ -69,6 +69,11 @@ def read_binary(spark: SparkSession, paths: list[str], version: str) -> tuple[Da
     """(records, errors): the records of all files that can be read, and (file_id, error) of the others."""
     if version not in PARSERS:
         raise ValueError(f"no reader for version {version}")
+    return records_of(spark.read.format("binaryFile").load(paths).select("path", "content"), version)
+
+
+def records_of(files: DataFrame, version: str) -> tuple[DataFrame, DataFrame]:
+    """As read_binary(), of files that are rows: path and content."""
     fields, parse = FIELDS[version], PARSERS[version]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -83,30 +88,35 @@ def read_binary(spark: SparkSession, paths: list[str], version: str) -> tuple[Da
                     piece = rows.iloc[lo : lo + PIECE]
                     yield piece[list(fields)].assign(file_id=path, row_id=np.arange(lo, lo + len(piece)), error=None)
 
-    files = spark.read.format("binaryFile").load(paths).select("path", "content")
     schema = ", ".join(f"{n} {t}" for n, t in fields.items()) + ", file_id string, row_id long, error string"
-    out = files.mapInPandas(run, schema)
+    out = files.select("path", "content").mapInPandas(run, schema)
     return out.where("error IS NULL").drop("error"), out.where("error IS NOT NULL").select("file_id", "error")
 
 
 def read_v324(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Text with blanks between fields. row_id is the line's place in its task, after the task's number: in order within a file."""
+    return v324_rows(spark.read.text(paths).select("value", F.input_file_name().alias("file_id")))
+
+
+def v324_rows(lines: DataFrame) -> DataFrame:
+    """Lines (value, file_id) as records."""
     part = F.split(F.trim("value"), r"\s+")
-    lines = spark.read.text(paths).where(F.length(F.trim("value")) > 0)
+    lines = lines.where(F.length(F.trim("value")) > 0)
     kinds = {"week": "int", "cons": "smallint", "svid": "smallint", "elev": "int", "azim": "int"}
     cells = [F.expr(f"try_cast(get(_part, {i}) AS {kinds.get(n, 'double')})").alias(n) for i, n in V324.items()]
-    return lines.select(part.alias("_part"), F.input_file_name().alias("file_id"), F.monotonically_increasing_id().alias("row_id")).select(*cells, "file_id", "row_id")
+    return lines.select(part.alias("_part"), "file_id", F.monotonically_increasing_id().alias("row_id")).select(*cells, "file_id", "row_id")
 
 
 def read_records(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(records, errors) of files of several versions, by the version in each path."""
+    """(records, errors) of files of several versions, by the version in each path; a file of an unknown version is an error of its own."""
     by: dict[str | None, list[str]] = {}
     for p in paths:
         by.setdefault(get_version(p), []).append(p)
-    unknown = sorted(str(v) for v in by if v not in (*PARSERS, "v324"))
-    if unknown:
-        raise ValueError(f"no reader for versions {', '.join(unknown)}")
-    good, bad = [], []
+    unknown = [(p, f"no reader for version {v}") for v in by if v not in (*PARSERS, "v324") for p in by[v]]
+    by = {v: own for v, own in by.items() if v in (*PARSERS, "v324")}
+    good, bad = [], [spark.createDataFrame(unknown, "file_id string, error string")] if unknown else []
+    if not by:
+        good.append(spark.createDataFrame([], ", ".join(f"{n} {t}" for n, t in FIELDS["v325"].items()) + ", file_id string, row_id long"))
     for version, own in by.items():
         if version == "v324":
             good.append(read_v324(spark, own))
@@ -130,9 +140,14 @@ def clean_lines(lines: DataFrame, column: str = "value") -> DataFrame:
 
 def read_sc4(spark: SparkSession, paths: list[str], headers: int = 2) -> DataFrame:
     """Fourth-generation measurements: a row for each signal. Lines that aren't data (headers, dirty ones) have no number in front and go."""
+    return sc4_rows(spark.read.text(paths).select("value", F.input_file_name().alias("file_id")))
+
+
+def sc4_rows(lines: DataFrame) -> DataFrame:
+    """Lines (value, file_id) as measurements."""
     part = F.split("value", ",")
     names = {0: ("TOW", "double"), 1: ("WN", "int"), 2: ("SVID", "string"), 3: ("SIG", "string"), 5: ("PR", "double"), 6: ("Phase", "double"), 8: ("SNR", "double")}
-    lines = clean_lines(spark.read.text(paths)).select(part.alias("_part"), F.input_file_name().alias("file_id"))
+    lines = clean_lines(lines).select(part.alias("_part"), "file_id")
     rows = lines.select(*[F.expr(f"try_cast(trim(get(_part, {i})) AS {t})").alias(n) for i, (n, t) in names.items()], "file_id").where("TOW IS NOT NULL AND WN IS NOT NULL")
     return rows.withColumn("datetime", gps_time(F.col("WN"), F.col("TOW")))
 
@@ -149,9 +164,13 @@ def sc4_wide(rows: DataFrame) -> DataFrame:
 
 def read_ismr(spark: SparkSession, paths: list[str]) -> DataFrame:
     """The commercial receiver's minutes: datetime (start of the minute), PRN, angles, Phi60 and corrected S4."""
-    raw = spark.read.schema(", ".join(f"`{c}` string" for c in ISMR)).csv(paths)
-    rows = raw.select(*[F.expr(f"try_cast(trim(`{c}`) AS double)").alias(c) for c in ISMR])
-    return ismr_products(rows)
+    return ismr_rows(spark.read.text(paths))
+
+
+def ismr_rows(lines: DataFrame) -> DataFrame:
+    """Lines (value) as minutes."""
+    parts = lines.select(F.split("value", ",").alias("_part"))
+    return ismr_products(parts.select(*[F.trim(F.get("_part", F.lit(i))).try_cast("double").alias(c) for i, c in enumerate(ISMR)]))
 
 
 def corrected_s4(total, correction):

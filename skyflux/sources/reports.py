@@ -41,11 +41,16 @@ def availability_figure(labels: DataFrame, intervals: DataFrame, cutoff: datetim
     plt.close(fig)
 
 
+def well_observed(df: DataFrame, key: str, value: str, least: int, name: str = "n") -> DataFrame:
+    """key and number of values, of keys with more than `least`."""
+    return df.groupBy(key).agg(F.count(value).alias(name)).where(F.col(name) > least)
+
+
 def summary_rows(lvl3: DataFrame, elevation: float = 30, share: float = 0.98, least: int = 300) -> DataFrame:
     """What a satellite's summary shows: masked indices in time order, of satellites with more than `least` values of s4_1."""
     from ..functions.clean import metric_masks
 
-    enough = lvl3.groupBy("prn").agg(F.count("s4_1").alias("_n")).where(F.col("_n") > least).select("prn")
+    enough = well_observed(lvl3, "prn", "s4_1", least).select("prn")
     return metric_masks(lvl3, elevation, share).join(enough, "prn", "left_semi").select("prn", "minbin", "elev", "s4_1", "s4_2", "sigma_phi_1", "sigma_phi_2").orderBy("prn", "minbin")
 
 

@@ -33,19 +33,28 @@ def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root).select("path", "modificationTime")
 
 
+def archive_rows(path: str, content: bytes) -> list[pd.DataFrame]:
+    import h5py
+
+    out = []
+    with h5py.File(io.BytesIO(content), "r") as f:
+        for group in f:
+            for sat in f[group]:
+                values = pd.Series(f[group][sat]["NOS1"][0]).astype(float)
+                out.append(pd.DataFrame({"file_id": path, "group": group, "sat": sat, "index": range(len(values)), "NOS1": values}))
+    return out
+
+
 def read_level3(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """file_id, group, sat, index and NOS1 of HDF5 archives; needs h5py on the executors."""
+    """file_id, group, sat, index and NOS1 of HDF5 archives; needs h5py on the executors. A file that can't be read is one row with nulls."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import h5py
-
         for frame in frames:
             for path, content in zip(frame["path"], frame["content"], strict=True):
-                with h5py.File(io.BytesIO(content), "r") as f:
-                    for group in f:
-                        for sat in f[group]:
-                            values = pd.Series(f[group][sat]["NOS1"][0]).astype(float)
-                            yield pd.DataFrame({"file_id": path, "group": group, "sat": sat, "index": range(len(values)), "NOS1": values})
+                try:
+                    yield from archive_rows(path, content)
+                except Exception:  # one bad file mustn't end the others
+                    yield pd.DataFrame({"file_id": [path], "group": [None], "sat": [None], "index": [None], "NOS1": [None]}, dtype=object)
 
     files = spark.read.format("binaryFile").load(paths).select("path", "content")
     return files.mapInPandas(run, "file_id string, group string, sat string, index long, NOS1 double")

@@ -94,6 +94,71 @@ def test_seconds_and_errors(made):
     assert len(errors) == 1 and "bad" in errors.file_id[0]
 
 
+def test_each_file_is_on_its_own(spark, tmp_path):
+    """Unknown versions, damaged files and unknown rates are rows of errors; the others' products are complete. With a workspace all is the same."""
+    receiver_file(tmp_path / "good_v325.bin")
+    (tmp_path / "odd_v999.bin").write_bytes(b"x" * 500)
+    (tmp_path / "torn_lvl0.pq").write_bytes(b"PAR1 no more")
+    rows = receiver_file(tmp_path / "slow_v325.bin")[: 5 * 100]
+    (tmp_path / "slow_v325.bin").write_bytes(rows.tobytes())
+    files = [str(p) for p in sorted(tmp_path.iterdir())]
+    alone = pipeline.process(spark, str(tmp_path / "good_v325.bin")).lvl3.count()
+    for work in (None, str(tmp_path / "work")):
+        out = pipeline.process(spark, files, "lvl3", work)
+        errors = {r["file_id"].rsplit("/", 1)[1]: r["error"] for r in out.errors.collect()}
+        assert set(errors) == {"odd_v999.bin", "torn_lvl0.pq", "slow_v325.bin"} and "rate" in errors["slow_v325.bin"] and "v999" in errors["odd_v999.bin"]
+        lvl3 = out.lvl3.toPandas()
+        assert lvl3.file_id.str.contains("good").sum() == alone and (lvl3[lvl3.file_id.str.contains("good")].n_1 > 0).any()
+
+
+def test_runs_add_up(spark, tmp_path, capsys):
+    """Two runs, and two array tasks, on different files: all products are there, nothing is done twice, and a real convert leaves nothing to do."""
+    from skyflux.__main__ import main
+
+    (tmp_path / "in").mkdir()
+    for i in range(4):
+        receiver_file(tmp_path / "in" / f"r{i}_v325.bin", seed=i)
+    files = sorted(str(p) for p in (tmp_path / "in").iterdir())
+    root, out = str(tmp_path / "in"), str(tmp_path / "out")
+
+    def there(level):
+        return sorted(f.rsplit("/", 1)[1] for f in pipeline.parts_of(spark, f"{out}/{level}"))
+
+    assert main(["process", files[0], "--output", out, "--mode", "lvl3"]) == 0
+    assert main(["process", files[1], "--output", out, "--mode", "lvl3"]) == 0
+    before = spark.read.parquet(f"{out}/lvl3").count()
+    for k in (0, 1):
+        assert main(["process", "--root", root, "--output", out, "--mode", "lvl3", "--tasks", "2", "--task", str(k)]) == 0
+    assert "nothing to do" in capsys.readouterr().out
+    assert there("lvl3") == [f"r{i}_v325.bin" for i in range(4)] and spark.read.parquet(f"{out}/lvl3").count() == 2 * before
+    assert not [p for p in (tmp_path / "out").iterdir() if p.name.startswith("_work")]
+    assert main(["convert", files[2], "--output", out]) == 0
+    got = pipeline.resolve_inputs(spark, root=root, infer_missing=True, output_root=out)
+    assert [g.rsplit("/", 1)[1] for g in got] == ["r0_v325.bin", "r1_v325.bin", "r3_v325.bin"]
+    assert main(["convert", "--root", root, "--infer-missing", "--output", out]) == 0 and there("lvl0") == there("lvl3")
+    assert main(["convert", "--root", root, "--infer-missing", "--output", out]) == 0 and "nothing to do" in capsys.readouterr().out
+
+
+def test_availability_report(spark, tmp_path):
+    """Listing, days, gaps and labels from folders, as the command makes them."""
+    from skyflux.__main__ import main
+    from skyflux.plans.availability import report
+
+    at = tmp_path / "in" / "receiver3"
+    at.mkdir(parents=True)
+    for day in ("20240510", "20240512"):
+        (at / f"receiver3_{day}_0800_87.16004W_14.09419N_v326f.bin.zip").write_text("x")
+    (tmp_path / "in" / "20240511").mkdir()
+    (tmp_path / "in" / "20240511" / "abcd_data.txt").write_text("x")
+    (tmp_path / "s.csv").write_text("name,lat,lon,code,type\nA,14.094,-87.16,H1,SC3\nB,50,10,H2,SC4\n")
+    paths = report(spark, str(tmp_path / "in"), str(tmp_path / "s.csv"), str(tmp_path / "out"), "receiver2", {"abcd": "H2"}, 3, pd.Timestamp("2024-05-13 06:00:00").to_pydatetime())
+    spans, missing, labels = (spark.read.parquet(p).toPandas() for p in paths)
+    assert sorted(zip(spans.ord, spans.start.dt.day, strict=True)) == [(0, 11), (1, 10), (1, 12)] and len(labels) == 2
+    assert len(missing) == 2 * 90 - 3 + 2
+    assert main(["availability", "--root", str(tmp_path / "in"), "--stations", str(tmp_path / "s.csv"), "--output", str(tmp_path / "now"), "--codes", "abcd=H2"]) == 0
+    assert spark.read.parquet(str(tmp_path / "now" / "labels")).count() == 2
+
+
 def test_unknown_rate_gives_nulls(spark, tmp_path):
     rows = receiver_file(tmp_path / "a_v325.bin")[: 5 * 100]
     (tmp_path / "a_v325.bin").write_bytes(rows.tobytes())

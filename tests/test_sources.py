@@ -6,6 +6,7 @@ import zipfile
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from skyflux import schemas
 from skyflux.functions.clean import to_lvl0
@@ -53,8 +54,10 @@ def test_binary_round_trip(spark, tmp_path):
     assert errors.count() == 1 and "bad" in errors.first()["file_id"]
     lvl0 = to_lvl0(rows).toPandas()
     assert len(lvl0) == len(a) + len(b) - 6 and (lvl0.elev == 255).sum() == 6 and "sats" not in lvl0 and "pst3" in lvl0
+    _, errors = receivers.read_records(spark, [str(tmp_path / "one_v325.bin"), "/x/y_v999.bin", "/x/z.bin"])
+    assert {r["file_id"]: r["error"] for r in errors.collect()} == {"/x/y_v999.bin": "no reader for version v999", "/x/z.bin": "no reader for version None"}
     with pytest.raises(ValueError):
-        receivers.read_records(spark, ["/x/y_v999.bin"])
+        receivers.read_binary(spark, ["/x/y_v999.bin"], "v999")
 
 
 def test_text_readers(spark, tmp_path):
@@ -90,6 +93,43 @@ def test_sink_keeps_what_exists(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "t")).count() == 9
 
 
+def test_parts_are_added_and_kept(spark, tmp_path):
+    """A second run adds its files and leaves those there, also if both write at once; overwrite replaces a file's part alone."""
+    path = str(tmp_path / "t")
+
+    def rows(**files):
+        return spark.createDataFrame([(f, i, v) for f, v in files.items() for i in (3, 1, 2)], "file_id string, i int, x int")
+
+    assert sinks.write_parts(rows(a=1, b=1), path, sort=("i",)) == ["a", "b"]
+    assert sinks.write_parts(rows(b=2, c=2), path, sort=("i",)) == ["c"]
+
+    def now():
+        return {r["file_id"]: r["x"] for r in spark.read.parquet(path).groupBy("file_id").agg(F.max("x").alias("x")).collect()}
+
+    assert now() == {"a": 1, "b": 1, "c": 2} and spark.read.parquet(path).count() == 9
+    assert sinks.write_parts(rows(b=3), path, True) == ["b"] and now() == {"a": 1, "b": 3, "c": 2}
+    odd = "file:/x/y z=1%.bin"
+    sinks.write_parts(spark.createDataFrame([(odd, 1, 9)], "file_id string, i int, x int"), path)
+    assert set(sinks.parts_of(spark, path)) == {"a", "b", "c", odd} and now()[odd] == 9
+    one = next((tmp_path / "t" / "file_id=a").glob("part-*"))
+    assert pd.read_parquet(one).i.tolist() == [1, 2, 3]
+    assert not list((tmp_path / "t").glob("_making*"))
+
+
+def test_level3_without_a_reader_or_a_damaged_file(spark, tmp_path):
+    (tmp_path / "x.h5").write_bytes(b"no archive")
+    got = stations.read_level3(spark, [str(tmp_path / "x.h5")]).collect()
+    assert len(got) == 1 and got[0]["group"] is None and got[0]["NOS1"] is None
+
+
+def test_numbers_are_told_by_file(spark):
+    from skyflux.functions.dims import numeric_constellations
+
+    rows = [("a", "0"), ("a", "2"), ("a", None), ("b", "GPS"), ("b", "0"), (None, "6")]
+    got = numeric_constellations(spark.createDataFrame(rows, "file_id string, cons string")).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([("a", "GPS"), ("a", "GAL"), ("a", None), ("b", "GPS"), ("b", "0"), (None, "GLO")], key=str)
+
+
 def test_repeated_times_stay(spark):
     """Seconds of single precision coincide late in the week; rows are told apart by row_id."""
     towe = (np.float32(600000) + np.arange(20, dtype=np.float32) / 20).astype(np.float32)

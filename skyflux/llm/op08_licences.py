@@ -1,18 +1,20 @@
-"""Licence scans in DataFrame functions only: sparse TF-IDF cosine of lines to licence templates, and inheritance from the nearest directory.
-
-1. Terms are the distinct lower-cased words (letters and digits) of the templates; their document frequencies are counted over all lines of all
-   files, and idf = ln((1 + lines) / (1 + lines with the term)) + 1. A term that no template has weighs ln(1 + lines) + 1 in a line's norm.
-2. Lines are compared only if they can reach the threshold: of each template's terms the lightest are left out while their share of
-   its squared norm stays below THRESHOLD squared; a line without any of the rest (anchors) has a smaller cosine. This is exact.
-3. A line's cosine with a template is summed over their common terms; a file's own licence is its best line's best template (ties: the smaller name)
+"""Licence scans in DataFrame functions only: sparse TF-IDF cosine of headers and licence files to licence texts, and inheritance from the nearest directory.
+
+1. Units of a file are its whole text (a licence file), its paragraphs of several lines (headers, wherever lines wrap), and its single lines (a sentence that grants a licence). Templates
+   are whole licence texts, whole standard headers and such sentences.
+2. Terms are the distinct lower-cased words (letters and digits) of the templates; their document frequencies are counted over all lines of all
+   files, and idf = ln((1 + lines) / (1 + lines with the term)) + 1. A term that no template has weighs ln(1 + lines) + 1 in a unit's norm.
+3. Only what can reach the threshold is compared: a cosine with a template is at most the root of the share of the template's squared norm that the unit's terms cover. Files whose
+   terms cover less than THRESHOLD squared of every template are left out at once, then units. This is exact.
+4. A unit's cosine with a template is summed over their common terms; a file's own licence is its best unit's best template (ties: the smaller name)
    at THRESHOLD or more.
-4. Files without a licence of their own inherit from the nearest directory above them that has a licence file, by an equi-join on the ancestors
-   of a file's directory. A licence file is one whose licence lines are at least half of its lines that aren't blank; where a directory has
+5. Files without a licence of their own inherit from the nearest directory above them that has a licence file, by an equi-join on the ancestors
+   of a file's directory. A licence file is one whose whole text is a licence's, or whose licence lines are at least half of its lines that aren't blank; where a directory has
    several, the smallest path decides.
 
-Templates and terms are few (MAX_TERMS at most, else ValueError); everything else stays distributed, and no file's rows meet in one task
-except to be added up. Null texts have no lines, null paths no directory; rows of one path are one file. An empty table gives an empty result. Other
-columns are not looked at.
+Templates are few: their terms and weights are part of the plan. Everything else stays distributed, and no file's rows meet in one task
+except to be added up. Null texts have no units, null paths no directory; each row is a file, also where rows share a path, and repeated rows stay. An empty table gives an empty result. Other
+columns stay only if they are named.
 """
 
 from __future__ import annotations
@@ -22,9 +24,39 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-THRESHOLD, MAX_TERMS = 0.6, 20_000
-#: Licence, and the line that grants it.
+THRESHOLD = 0.6
+_WARRANTY = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+    "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED "
+    "TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING "
+    "NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_BSD2 = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright "
+    "notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation "
+    "and/or other materials provided with the distribution."
+)
+#: Licences, and their texts, standard headers and the sentences that grant them (fixed values).
 TEMPLATES = [
+    ("MIT", "MIT License. Copyright (c). Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without "
+     "restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
+     "subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY "
+     "OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR "
+     "ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("ISC", "ISC License. Copyright (c). Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission "
+     "notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL "
+     "THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS "
+     "ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+    ("BSD-2-Clause", f"BSD 2-Clause License. Copyright (c). All rights reserved. {_BSD2} {_WARRANTY}"),
+    ("BSD-3-Clause", f"BSD 3-Clause License. Copyright (c). All rights reserved. {_BSD2} 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from "
+     f"this software without specific prior written permission. {_WARRANTY}"),
+    ("Apache-2.0", "Copyright. Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at "
+     "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY "
+     "KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+     "your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the "
+     "GNU General Public License for more details. You should have received a copy of the GNU General Public License along with this program. If not, see <https://www.gnu.org/licenses/>."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
@@ -32,102 +64,130 @@ TEMPLATES = [
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Proprietary", "Copyright. All rights reserved."),
-]
-_WORD = r"[^\p{L}\p{N}]+"
+]
+_WORD, _GAP = r"[^\p{L}\p{N}]+", r"\n[ \t\r\n]*\n"
 
 
 def _terms(c: Column) -> Column:
     return F.filter(F.split(F.lower(c), _WORD), lambda x: x != "")
 
 
-def own_licences(files: DataFrame, templates: DataFrame, threshold: float = THRESHOLD, max_terms: int = MAX_TERMS) -> DataFrame:
-    """path, licence, score and is_licence_file of the files with a licence of their own. files: path and text, templates: licence and text."""
-    rows = templates.select("licence", F.explode(_terms(F.col("text"))).alias("term")).groupBy("licence", "term").agg(F.count("*").alias("tf"))
-    terms = sorted(r[0] for r in rows.select("term").distinct().limit(max_terms + 1).collect())
-    if len(terms) > max_terms:
-        raise ValueError(f"more than {max_terms} terms in the templates")
-    listed = F.lit(terms).cast("array<string>")
-    lines = F.filter(F.split("text", "\n"), lambda x: F.length(F.trim(x)) > 0)
-    rows_of = files.where("path IS NOT NULL").select("path", lines.alias("lines"))
-    lines = rows_of.select("path", F.size("lines").alias("n_lines"), F.posexplode("lines").alias("line_no", "line"))
+def _lines(text: Column) -> Column:
+    return F.filter(F.split(text, "\n"), lambda x: F.length(F.trim(x)) > 0)
+
+
+def _covered(terms: Column, table: Column) -> Column:
+    return F.aggregate(terms, F.lit(0.0), lambda total, x: total + F.coalesce(F.try_element_at(table, x), F.lit(0.0)))
+
+
+def _reaches(known: Column, shares: dict[int, dict[str, float]], threshold: float) -> Column:
+    """Whether the terms cover enough of some template's squared norm; shares: of each template, by term. The terms are worked out once."""
+    tables = [F.expr("map(" + ", ".join(f"'{term}', {x!r}D" for term, x in own.items()) + ")") for own in shares.values()]  # folded into literals
+
+    def any_of(terms: Column) -> Column:
+        test = F.lit(False)
+        for table in tables:
+            test = test | (_covered(terms, table) >= threshold**2 - 1e-9)
+        return test
+
+    return F.exists(F.array(known), any_of)
 
+
+def own_licences(files: DataFrame, templates: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """id, path, licence, score and is_licence_file of the files with a licence of their own. files: id, path and text; templates: licence and text."""
+    spark = files.sparkSession
+    numbered = [(i, x["licence"], x["text"]) for i, x in enumerate(sorted(templates.select("licence", "text").collect()))]
+    rows = spark.createDataFrame(numbered, "template int, licence string, text string").select("template", "licence", F.explode(_terms(F.col("text"))).alias("term")).groupBy("template", "licence", "term").agg(F.count("*").alias("tf"))
+    listed = F.split(F.lit(" ".join(sorted({x["term"] for x in rows.select("term").distinct().collect()}))), " ")
+
+    lines = files.select(F.explode(_lines(F.col("text"))).alias("line"))
     known = lines.select(F.explode(F.array_union(F.array_intersect(_terms(F.col("line")), listed), F.array(F.lit("")))).alias("term"))
-    counts = {r["term"]: r["df"] for r in known.groupBy("term").agg(F.count("*").alias("df")).collect()}  # "" stands for any line
+    counts = {x["term"]: x["df"] for x in known.groupBy("term").agg(F.count("*").alias("df")).collect()}  # "" stands for any line
     n = counts.pop("", 0)
-    counts = files.sparkSession.createDataFrame(sorted(counts.items()) or [("", 0)], "term string, df long")
-    idf = F.ln((1 + F.lit(n)) / (1 + F.coalesce("df", F.lit(0)))) + 1
-    vectors = rows.join(F.broadcast(counts), "term", "left").select("licence", "term", (F.col("tf") * idf).alias("weight"), idf.alias("idf"))
-    vectors = [r.asDict() for r in vectors.collect()]  # as many as the templates have words
-    spark = files.sparkSession
-    norms: dict[str, float] = {}
-    for v in vectors:
-        norms[v["licence"]] = norms.get(v["licence"], 0.0) + v["weight"] ** 2
-    anchors, left = set(), {k: threshold**2 * x for k, x in norms.items()}
-    for v in sorted(vectors, key=lambda v: (v["weight"], v["term"])):
-        left[v["licence"]] -= v["weight"] ** 2
-        if left[v["licence"]] <= 0:
-            anchors.add(v["term"])
+    vectors = [(x["template"], x["licence"], x["term"], math.log((1 + n) / (1 + counts.get(x["term"], 0))) + 1, x["tf"]) for x in rows.collect()]  # as many as the templates have words
+    norms: dict[int, float] = {}
+    for t, _, _, idf, tf in vectors:
+        norms[t] = norms.get(t, 0.0) + (tf * idf) ** 2
+    shares: dict[int, dict[str, float]] = {t: {} for t in norms}
+    for t, _, term, idf, tf in vectors:
+        shares[t][term] = (tf * idf) ** 2 / norms[t]
+    weights = spark.createDataFrame([(t, licence, term, tf * idf / norms[t] ** 0.5) for t, licence, term, idf, tf in vectors], "template int, licence string, term string, t_weight double")
+    idfs = spark.createDataFrame(sorted({(term, idf) for _, _, term, idf, _ in vectors}), "term string, idf double")
     unknown = math.log(1 + n) + 1
-    rare = F.lit(sorted(anchors)).cast("array<string>")
-    table = spark.createDataFrame([(v["licence"], v["term"], v["weight"], norms[v["licence"]] ** 0.5) for v in vectors] or [("", "", 0.0, 1.0)], "licence string, term string, weight double, norm double")
-    idfs = spark.createDataFrame(sorted({(v["term"], v["idf"]) for v in vectors}) or [("", 0.0)], "term string, idf double")
 
-    some = lines.withColumn("terms", _terms(F.col("line"))).where(F.arrays_overlap("terms", rare))
-    tf = some.select("path", "n_lines", "line_no", F.explode("terms").alias("term")).groupBy("path", "line_no", "term").agg(F.count("*").alias("tf"), F.max("n_lines").alias("n_lines"))
+    some = files.where(_reaches(F.array_intersect(_terms(F.col("text")), listed), shares, threshold))
+    text, several = F.col("text"), F.col("text").contains("\n")
+    kinds = [("line", _lines(text)), ("block", F.filter(F.split(text, _GAP), lambda x: x.contains("\n"))), ("file", F.when(several, F.array(text)).otherwise(F.array().cast("array<string>")))]
+    units = F.concat(*[_unit(c, kind) for kind, c in kinds])
+    units = some.select("id", "path", F.size(_lines(text)).alias("n_lines"), F.posexplode(units).alias("unit", "u")).select("id", "path", "n_lines", "unit", "u.kind", _terms(F.col("u.x")).alias("terms"))
+    units = units.where(_reaches(F.array_intersect("terms", listed), shares, threshold))
+    tf = units.select("id", "path", "n_lines", "unit", "kind", F.explode("terms").alias("term")).groupBy("id", "unit", "term").agg(F.count("*").alias("tf"), *[F.first(c).alias(c) for c in ("path", "n_lines", "kind")])
     tf = tf.join(F.broadcast(idfs), "term", "left").withColumn("weight", F.col("tf") * F.coalesce("idf", F.lit(unknown)))
-    norm = tf.groupBy("path", "line_no").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("line_norm"), F.max("n_lines").alias("n_lines"))
-    dots = tf.join(F.broadcast(table.select("licence", "term", F.col("weight").alias("t_weight"), "norm")), "term").groupBy("path", "line_no", "licence").agg(F.sum(F.col("weight") * F.col("t_weight") / F.col("norm")).alias("dot"))
-    cosine = dots.join(norm, ["path", "line_no"]).select("path", "line_no", "n_lines", "licence", F.round(F.col("dot") / F.col("line_norm"), 9).alias("score")).where(F.col("score") >= threshold)
-    best = cosine.groupBy("path").agg(F.min_by("licence", F.struct(-F.col("score"), F.col("licence"))).alias("licence"), F.max("score").alias("score"), F.count_distinct("line_no").alias("hits"), F.max("n_lines").alias("n_lines"))
-    return best.select("path", "licence", "score", (2 * F.col("hits") >= F.col("n_lines")).alias("is_licence_file"))
+    norm = tf.groupBy("id", "unit").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"), *[F.first(c).alias(c) for c in ("path", "n_lines", "kind")])
+    dots = tf.select("id", "unit", "term", "weight").join(F.broadcast(weights), "term").groupBy("id", "unit", "template", "licence").agg(F.sum(F.col("weight") * F.col("t_weight")).alias("dot"))
+    cosine = dots.join(norm, ["id", "unit"]).withColumn("score", F.round(F.col("dot") / F.col("norm"), 9)).where(F.col("score") >= threshold)
+    hits = F.count_distinct(F.when(F.col("kind") == "line", F.col("unit")))
+    best = cosine.groupBy("id").agg(F.first("path").alias("path"), F.min_by("licence", F.struct(-F.col("score"), F.col("licence"))).alias("licence"), F.max("score").alias("score"), hits.alias("hits"), F.max("n_lines").alias("n_lines"), F.bool_or(F.col("kind") == "file").alias("whole"))
+    return best.select("id", "path", "licence", "score", (F.col("whole") | (2 * F.col("hits") >= F.col("n_lines"))).alias("is_licence_file"))
+
+
+def _unit(texts: Column, kind: str) -> Column:
+    return F.transform(texts, lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("x")))
 
 
 def _parent(path: Column) -> Column:
     return F.regexp_extract(path, r"(?s)^(.*)/[^/]*$", 1)
 
 
-def licensed(files: DataFrame, templates: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """path, licence, score, found ('own', 'inherited' or null) and licensed_by (the path that it comes from) of every path."""
-    own = own_licences(files, templates, threshold)
-    paths = files.where("path IS NOT NULL").select("path").distinct()
-    homes = own.where("is_licence_file").select(_parent(F.col("path")).alias("dir"), F.struct("path", "licence", "score").alias("of"))
+def licensed(files: DataFrame, templates: DataFrame, threshold: float = THRESHOLD, keep: tuple[str, ...] = ()) -> DataFrame:
+    """keep, path, licence, score, found ('own', 'inherited' or null) and licensed_by (the path that it comes from) of every row."""
+    ident = F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(seed), F.col("path"), F.col("text"))), 16, "0") for seed in (1, 2)])
+    rows = files.select(*keep, "path", "text", ident.alias("id"))
+    own = own_licences(rows.select("id", "path", "text"), templates, threshold)
+    homes = own.where("is_licence_file AND path IS NOT NULL").select(_parent(F.col("path")).alias("dir"), F.struct("path", "licence", "score").alias("of"))
     homes = homes.groupBy("dir").agg(F.min("of").alias("of"))
     parts = F.split(_parent(F.col("path")), "/")
     above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.struct(i.alias("depth"), F.array_join(F.slice(parts, 1, i), "/").alias("dir")))
-    rest = paths.join(own.select("path"), "path", "left_anti").select("path", F.explode(above).alias("a")).select("path", "a.depth", "a.dir")
-    heirs = rest.join(homes, "dir").groupBy("path").agg(F.max_by("of", "depth").alias("of"))
-    found = own.select("path", "licence", "score", F.lit("own").alias("found"), F.col("path").alias("licensed_by"))
-    found = found.unionAll(heirs.select("path", "of.licence", "of.score", F.lit("inherited"), "of.path"))
-    return paths.join(found, "path", "left")
+    ancestors = files.where("path IS NOT NULL").select("path").distinct().select("path", F.explode(above).alias("a")).select("path", "a.depth", "a.dir")
+    heirs = ancestors.join(homes, "dir").groupBy("path").agg(F.max_by("of", "depth").alias("of"))
+    own = own.select("id", F.col("licence").alias("_licence"), F.col("score").alias("_score"))
+    out = rows.drop("text").join(own, "id", "left").join(heirs, "path", "left")
+    mine = F.col("_licence").isNotNull()
+    return out.select(
+        *keep, "path", F.coalesce("_licence", "of.licence").alias("licence"), F.when(mine, F.col("_score")).otherwise(F.col("of.score")).alias("score"),
+        F.when(mine, "own").when(F.col("of").isNotNull(), "inherited").alias("found"), F.when(mine, F.col("path")).otherwise(F.col("of.path")).alias("licensed_by"),
+    )
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    """Documents as files: source/lang/hundred/doc_id.txt."""
+    """Documents as files: source/lang/hundred/doc_id.txt; a null source or language is an empty name, without a doc_id there is no path."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     path = F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")), F.floor(F.col("doc_id") / 100).cast("string"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
     templates = spark.createDataFrame(TEMPLATES, "licence string, text string")
-    out = licensed(docs.select(path.alias("path"), "text"), templates)
-    return out.select(F.regexp_extract("path", r"(-?\d+)\.txt$", 1).cast("bigint").alias("doc_id"), "path", "licence", F.round("score", 6).alias("score"), "found", "licensed_by")
+    out = licensed(docs.select("doc_id", F.when(F.col("doc_id").isNotNull(), path).alias("path"), "text"), templates, keep=("doc_id",))
+    return out.select("doc_id", "path", "licence", F.round("score", 6).alias("score"), "found", "licensed_by")
 
 
-#: The same over all lines, without anchors.
+#: The same over all units of all files.
 _SQL = r"""
-WITH t(licence, text) AS (VALUES {values}),
-tw AS (SELECT licence, term, count(*) AS tf FROM (SELECT licence, unnest(string_split_regex(lower(text), '[^\p{{L}}\p{{N}}]+')) AS term FROM t) WHERE term <> '' GROUP BY ALL),
-f AS (SELECT concat_ws('/', coalesce(source, ''), coalesce(lang, ''), (doc_id // 100)::VARCHAR, doc_id::VARCHAR || '.txt') AS path, doc_id, text FROM documents),
-l AS (SELECT path, unnest(ls) AS line, unnest(range(len(ls))) AS line_no, len(ls) AS n_lines FROM (SELECT path, list_filter(string_split(text, chr(10)), lambda x: length(trim(x)) > 0) AS ls FROM f)),
-lw AS (SELECT path, line_no, n_lines, term, count(*) AS tf FROM (SELECT path, line_no, n_lines, unnest(string_split_regex(lower(line), '[^\p{{L}}\p{{N}}]+')) AS term FROM l) WHERE term <> '' GROUP BY ALL),
-n AS (SELECT count(*) AS n FROM l), df AS (SELECT term, count(*) AS df FROM lw GROUP BY term),
+WITH t AS (SELECT row_number() OVER () AS template, licence, text FROM (VALUES @values) v(licence, text)),
+tw AS (SELECT template, licence, term, count(*) AS tf FROM (SELECT template, licence, unnest(string_split_regex(lower(text), '[^\p{L}\p{N}]+')) AS term FROM t) WHERE term <> '' GROUP BY ALL),
+f AS (SELECT row_number() OVER () AS rid, doc_id, text, CASE WHEN doc_id IS NOT NULL THEN concat_ws('/', coalesce(source, ''), coalesce(lang, ''), (doc_id // 100)::VARCHAR, doc_id::VARCHAR || '.txt') END AS path FROM documents),
+g AS (SELECT rid, text, list_filter(string_split(text, chr(10)), lambda x: length(trim(x)) > 0) AS ls FROM f),
+u0 AS (SELECT rid, 'line' AS kind, unnest(ls) AS x FROM g UNION ALL SELECT rid, 'block', unnest(list_filter(string_split_regex(text, '\n[ \t\r\n]*\n'), lambda x: contains(x, chr(10)))) FROM g UNION ALL SELECT rid, 'file', text FROM g WHERE contains(text, chr(10))),
+u AS (SELECT *, row_number() OVER () AS uid FROM u0),
+uw AS (SELECT rid, uid, kind, term, count(*) AS tf FROM (SELECT rid, uid, kind, unnest(string_split_regex(lower(x), '[^\p{L}\p{N}]+')) AS term FROM u) WHERE term <> '' GROUP BY ALL),
+n AS (SELECT count(*) AS n FROM u WHERE kind = 'line'), df AS (SELECT term, count(*) AS df FROM uw WHERE kind = 'line' GROUP BY term),
 idf AS (SELECT term, ln((1 + n)::DOUBLE / (1 + coalesce(df, 0))) + 1 AS idf FROM (SELECT DISTINCT term FROM tw) LEFT JOIN df USING (term), n),
-tv AS (SELECT licence, term, tf * idf AS w FROM tw JOIN idf USING (term)), tn AS (SELECT licence, sqrt(sum(w * w)) AS norm FROM tv GROUP BY licence),
-lv AS (SELECT path, line_no, n_lines, term, tf * coalesce(idf, ln((1 + n)::DOUBLE) + 1) AS w FROM lw LEFT JOIN idf USING (term), n),
-ln AS (SELECT path, line_no, any_value(n_lines) AS n_lines, sqrt(sum(w * w)) AS norm FROM lv GROUP BY path, line_no),
-c AS (SELECT path, line_no, ln.n_lines, licence, round(dot / tn.norm / ln.norm, 9) AS score FROM (SELECT path, line_no, licence, sum(lv.w * tv.w) AS dot FROM lv JOIN tv USING (term) GROUP BY ALL) JOIN ln USING (path, line_no) JOIN tn USING (licence)),
-own AS (SELECT path, first(licence ORDER BY score DESC, licence) AS licence, max(score) AS score, 2 * count(DISTINCT line_no) >= max(n_lines) AS whole FROM c WHERE score >= 0.6 GROUP BY path),
-home AS (SELECT regexp_replace(path, '/[^/]*$', '') AS dir, first({{'path': path, 'licence': licence, 'score': score}} ORDER BY path) AS o FROM own WHERE whole GROUP BY dir),
-up AS (SELECT f.path, o, length(dir) AS depth FROM f JOIN home ON starts_with(f.path, dir || '/') WHERE f.path NOT IN (SELECT path FROM own)),
-inh AS (SELECT path, first(o ORDER BY depth DESC) AS o FROM up GROUP BY path)
-SELECT f.doc_id, f.path, coalesce(own.licence, inh.o.licence) AS licence, round(coalesce(own.score, inh.o.score), 6) AS score, CASE WHEN own.path IS NOT NULL THEN 'own' WHEN inh.path IS NOT NULL THEN 'inherited' END AS found, CASE WHEN own.path IS NOT NULL THEN f.path ELSE inh.o.path END AS licensed_by
-FROM f LEFT JOIN own ON own.path = f.path LEFT JOIN inh ON inh.path = f.path
+tv AS (SELECT template, licence, term, tf * idf AS w FROM tw JOIN idf USING (term)), tn AS (SELECT template, sqrt(sum(w * w)) AS norm FROM tv GROUP BY template),
+uv AS (SELECT rid, uid, kind, term, tf * coalesce(idf, ln((1 + n)::DOUBLE) + 1) AS w FROM uw LEFT JOIN idf USING (term), n),
+un AS (SELECT uid, sqrt(sum(w * w)) AS norm FROM uv GROUP BY uid),
+c AS (SELECT rid, uid, kind, licence, round(dot / tn.norm / un.norm, 9) AS score FROM (SELECT rid, uid, kind, template, licence, sum(uv.w * tv.w) AS dot FROM uv JOIN tv USING (term) GROUP BY ALL) JOIN un USING (uid) JOIN tn USING (template)),
+own AS (SELECT rid, first(licence ORDER BY score DESC, licence) AS licence, max(score) AS score, bool_or(kind = 'file') AS whole, count(DISTINCT CASE WHEN kind = 'line' THEN uid END) AS hits FROM c WHERE score >= 0.6 GROUP BY rid),
+home AS (SELECT regexp_replace(path, '/[^/]*$', '') AS dir, first({'path': path, 'licence': licence, 'score': score} ORDER BY path, licence, score) AS o FROM own JOIN f USING (rid) JOIN g USING (rid) WHERE path IS NOT NULL AND (whole OR 2 * hits >= len(ls)) GROUP BY dir),
+up AS (SELECT f.rid, o, length(dir) AS depth FROM f JOIN home ON starts_with(f.path, dir || '/') WHERE f.rid NOT IN (SELECT rid FROM own)),
+inh AS (SELECT rid, first(o ORDER BY depth DESC) AS o FROM up GROUP BY rid)
+SELECT f.doc_id, f.path, coalesce(own.licence, inh.o.licence) AS licence, round(coalesce(own.score, inh.o.score), 6) AS score, CASE WHEN own.rid IS NOT NULL THEN 'own' WHEN inh.rid IS NOT NULL THEN 'inherited' END AS found, CASE WHEN own.rid IS NOT NULL THEN f.path ELSE inh.o.path END AS licensed_by
+FROM f LEFT JOIN own USING (rid) LEFT JOIN inh USING (rid)
 """
-SQL = _SQL.format(values=", ".join(f"('{a}', '{b}')" for a, b in TEMPLATES))
+SQL = _SQL.replace("@values", ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in t)) for t in TEMPLATES))

@@ -98,15 +98,18 @@ def test_many_rules_and_long_urls(spark):
 
 
 def licences(files, templates, threshold):
-    """Cosines of all lines with all templates, by dictionaries."""
+    """Cosines of all units with all templates, by dictionaries: (licence, score, licence file or not) of each file."""
 
     def terms(s):
         return [t for t in re.split(r"[^\w]+|_", s.lower()) if t]
 
-    lines = [(p, i, x) for p, t in files for i, x in enumerate(y for y in (t or "").split("\n") if y.strip(" "))]
+    def lines(t):
+        return [y for y in (t or "").split("\n") if y.strip(" ")]
+
+    every = [x for _, t in files for x in lines(t)]
     listed = {w for _, t in templates for w in terms(t)}
-    df = collections.Counter(w for _, _, x in lines for w in set(terms(x)) & listed)
-    n = len(lines)
+    df = collections.Counter(w for x in every for w in set(terms(x)) & listed)
+    n = len(every)
 
     def vector(s):
         return {w: c * (math.log((1 + n) / (1 + (df[w] if w in listed else 0))) + 1) for w, c in collections.Counter(terms(s)).items()}
@@ -114,29 +117,52 @@ def licences(files, templates, threshold):
     def cosine(a, b):
         return sum(a[w] * b.get(w, 0) for w in a) / (math.sqrt(sum(x * x for x in a.values())) * math.sqrt(sum(x * x for x in b.values())) or 1)
 
-    best = {}
-    for p, _, x in lines:
-        for name, t in templates:
-            s = round(cosine(vector(x), vector(t)), 9)
-            if s >= threshold and (p not in best or (-s, name) < best[p]):
-                best[p] = (-s, name)
-    return {p: (name, -s) for p, (s, name) in best.items()}
+    out = []
+    for _, t in files:
+        units = [("line", x) for x in lines(t)] + [("block", x) for x in re.split(r"\n[ \t\r\n]*\n", t or "") if "\n" in x] + ([("file", t)] if "\n" in (t or "") else [])
+        found = [(-round(cosine(vector(x), vector(text)), 9), name, kind, i) for i, (kind, x) in enumerate(units) for name, text in templates]
+        found = [x for x in found if -x[0] >= threshold]
+        if found:
+            hits = len({i for _, _, kind, i in found if kind == "line"})
+            out.append((min(found)[1], -min(found)[0], any(kind == "file" for _, _, kind, _ in found) or 2 * hits >= len(lines(t))))
+        else:
+            out.append(None)
+    return out
+
+
+def wrapped(text, width=72, before=""):
+    import textwrap
+
+    return "\n".join(before + x for x in textwrap.wrap(text, width))
 
 
 def test_licences(spark):
     t = op08_licences.TEMPLATES
+    body = {i: x for i, (_, x) in enumerate(t)}
     files = [
-        ("p/LICENSE", "\n" + t[0][1] + "\n"), ("p/a/b/c.py", "print(1)\nthe work of this"), ("p/a/x.py", "# licensed under the mit license\ncode\ncode\ncode"), ("q/z.py", None), ("q/LICENSE", t[3][1].upper()),
-        ("q/r/s.py", ""), ("top.py", "nothing"), ("w/a.py", t[1][1] + " " + t[1][1]), ("w/b.py", "work licensed public version gnu\n" * 3 + "x"),
+        ("p/LICENSE", "\n" + body[10] + "\n"), ("p/a/b/c.py", "print(1)\nthe work of this"), ("p/a/x.py", "# licensed under the mit license\ncode\ncode\ncode"), ("q/z.py", None), ("q/LICENSE", wrapped(body[3]).upper()),
+        ("q/r/s.py", ""), ("top.py", "nothing"), ("w/a.py", body[8] + " " + body[8]), ("w/b.py", "work licensed public version gnu\n" * 3 + "x"), ("v/LICENSE.txt", "Copyright 2024 Somebody\n\n" + wrapped(body[0], 60)),
+        ("v/deep/er/h.c", "/*\n" + wrapped(body[5], 70, " * ") + "\n */\n\nint main(void) { return 0; }\n" + "x = y;\n" * 30), ("v/deep/er/k.c", "int k;"), ("u/n.py", wrapped(body[4], 76, "# ") + "\n\nimport os\nimport sys\n"), ("w/b.py", "other text of one path"), ("p/LICENSE", "\n" + body[10] + "\n"), (None, body[6]), (None, "x"),
     ]
-    df = spark.createDataFrame([(*f, 1) for f in files] + [("p/LICENSE", files[0][1], 1), (None, "x", 1)], "path string, text string, term int")
+    df = spark.createDataFrame([(i, *f, 1) for i, f in enumerate(files)], "doc int, path string, text string, term int")
     templates = spark.createDataFrame(t, "licence string, text string")
-    got = {r["path"]: r for r in op08_licences.licensed(df, templates).collect()}
-    assert set(got) == {p for p, _ in files}
-    want = licences([*files, files[0]], t, op08_licences.THRESHOLD)
-    assert {p: (r["licence"], pytest.approx(r["score"], abs=1e-6)) for p, r in got.items() if r["found"] == "own"} == want
-    assert got["p/a/b/c.py"]["licensed_by"] == "p/LICENSE" and got["q/r/s.py"]["licence"] == got["q/z.py"]["licence"] == "MIT"
-    assert got["top.py"]["found"] is None
+    got = {r["doc"]: r for r in op08_licences.licensed(df, templates, keep=("doc",)).collect()}
+    want = licences(files, t, op08_licences.THRESHOLD)
+    assert len(got) == len(files)
+    homes = {}
+    for (p, _), w in sorted(zip(files, want, strict=True), key=lambda x: str(x[0][0])):
+        if w and w[2] and p:
+            homes.setdefault(p.rsplit("/", 1)[0], (p, w[0]))
+    for i, ((p, _), w) in enumerate(zip(files, want, strict=True)):
+        r = got[i]
+        if w:
+            assert (r["found"], r["licence"], r["licensed_by"]) == ("own", w[0], p) and r["score"] == pytest.approx(w[1], abs=1e-6)
+            continue
+        above = [d for d in homes if p and p.startswith(d + "/")]
+        assert (r["found"], r["licensed_by"], r["licence"]) == (("inherited", *homes[max(above, key=len)]) if above else (None, None, None))
+    names = {i: got[i]["licence"] for i in got}
+    assert names[4] == "BSD-3-Clause" and names[9] == "MIT" and names[10] == "GPL-3.0" and names[11] == "MIT" and names[12] == "Apache-2.0" and got[11]["found"] == "inherited" and names[15] == "MPL-2.0"
+    assert got[8]["found"] != got[13]["found"] or got[8]["score"] != got[13]["score"]
     assert op08_licences.licensed(df.limit(0), templates).count() == 0
     assert op08_licences.licensed(df, templates.limit(0)).where("found IS NOT NULL").count() == 0
 

@@ -6,7 +6,7 @@ A bin carries two bitmaps of sources (seen once, seen twice) and one of duplicat
 in the bin fewer than PER_SOURCE times and its cluster not at all. A cluster is given by a column, or is all copies of a text up to
 ASCII case and blanks.
 
-Rows are dealt to groups of about GROUP_ROWS by a hash of doc_id, so no source, cluster or language gathers in one task; only
+Rows are dealt to groups of about GROUP_ROWS by a hash of doc_id and words, so no source, cluster, language or null id gathers in one task; only
 (doc_id, words, source, cluster) are moved. Copies in different groups can't meet in a bin. Bins are numbered group * 2^32 + bin, in order of making.
 
 Null and empty texts have no words and take a bin with 0 words in it like others. Null sources are one source. Repeated rows are packed each, and
@@ -100,7 +100,7 @@ def packed(rows: DataFrame, groups: int, capacity: int = CAPACITY, per_source: i
         columns[3] = [(group << 32) + x for x in columns[3]]
         return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["doc_id", "piece", "n_words", "bin", "bin_offset", "source", "cluster"])
 
-    dealt = rows.withColumn("group", F.pmod(F.xxhash64("doc_id", F.lit("group")), F.lit(groups)))
+    dealt = rows.withColumn("group", F.pmod(F.xxhash64("doc_id", "cluster", F.lit("group")), F.lit(groups)))
     return dealt.groupBy("group").applyInArrow(run, SCHEMA)
 
 

@@ -13,13 +13,16 @@ MADE: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a local folder only where none is configured (tests)."""
+    """The cluster's checkpoint folder. Where none is configured, a local folder in local mode (tests), and an error on a cluster, whose machines wouldn't share it."""
     known = spark.conf.get("spark.checkpoint.dir", None)
     if known:
         return known.rstrip("/")
     at = spark.sparkContext._jsc.sc().getCheckpointDir()
     if at.isDefined():
         return at.get().rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
     made = f"file://{tempfile.gettempdir()}/checkpoints/skyflux"
     spark.conf.set("spark.checkpoint.dir", made)
     return made

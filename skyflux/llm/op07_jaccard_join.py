@@ -255,7 +255,8 @@ def _joined(docs: DataFrame, frequent: int, frequent_max: int, block: int, send_
     kinds = written(kinds, "clusters")
     sizes = kinds.groupBy("label", "kind").agg(F.count("*").alias("m"))
     total = sizes.groupBy("label").agg(F.sum("m").alias("all"), F.map_from_entries(F.collect_list(F.struct("kind", F.ceil(F.col("m") / block).cast("int")))).alias("blocks"))
-    placed = kinds.join(total, "label")
+    total = written(total, "totals")
+    placed = kinds.join(F.broadcast(total) if total.count() <= send_max else total, "label")  # one row a cluster: a large cluster's sets stay where they are
     own = F.pmod(F.xxhash64("digest"), F.element_at("blocks", F.col("kind"))).cast("int")
     placed = placed.withColumn("own", own)
 

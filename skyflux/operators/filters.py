@@ -6,6 +6,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 CUTOFF_HZ, BLOCK = 0.1, 256
@@ -66,14 +67,14 @@ def highpass(x: np.ndarray, fs: float, cutoff: float = CUTOFF_HZ) -> np.ndarray:
 
 def highpassed(df: DataFrame, keys: list[str], order: list[str], x: str, fs: float, name: str = "filtered") -> DataFrame:
     """Adds the high-passed series of every key."""
-    names = df.columns
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order, kind="stable")
-        return rows.assign(**{name: highpass(rows[x].to_numpy(float), fs)})[[*names, name]]
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([(c, "ascending") for c in order])
+        series = rows.column(x).to_numpy().astype(float)
+        return rows.append_column(name, pa.array(highpass(series, fs), from_pandas=True))
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.groupBy(*keys).applyInPandas(run, f"{kinds}, `{name}` double")
+    return df.groupBy(*keys).applyInArrow(run, f"{kinds}, `{name}` double")
 
 
 def equalised(x: np.ndarray, fs: float = 20.0, cutoff: float = 3.0, gain: float = 11.0, longest_plain: int = 600) -> np.ndarray:

@@ -3,7 +3,9 @@
 An item of m words may occur with up to k = floor(ratio * m) word edits. Cut into k + 1 pieces, at least one piece is intact in every such
 occurrence. The pieces' leading words (as many as the item's shortest piece has) are kept in a hash table that every document's
 rolling word n-grams are looked up in; each hit names a diagonal, and hits of an item on nearby diagonals give one stretch of
-words, in which Myers' bit-parallel algorithm finds the smallest edit distance of the whole item to any part of it.
+words, in which Myers' bit-parallel algorithm finds the edit distance of the whole item to the best part that ends at each word. Each occurrence is a
+row: the ends with at most k edits are read from left to right, and one that is less than m - k words behind the last kept end (no occurrence is shorter)
+takes its place if it has fewer edits and is passed over if not.
 
 Words are `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased. Items come in blocks of at most BLOCK_ITEMS, each block's pieces are sent to the
 executors and matched with all documents, so what is sent is bounded whatever the list's length. There is no shuffle.
@@ -47,6 +49,17 @@ def myers(pattern: dict[int, int], m: int, text: list[int], k: int) -> list[tupl
     return out
 
 
+def apart(ends: list[tuple[int, int]], gap: int) -> list[tuple[int, int]]:
+    """The best of the ends (end, distance; rising) that are less than gap behind the last kept one."""
+    kept: list[tuple[int, int]] = []
+    for end, distance in ends:
+        if not kept or end - kept[-1][0] >= gap:
+            kept.append((end, distance))
+        elif distance < kept[-1][1]:
+            kept[-1] = (end, distance)
+    return kept
+
+
 class Index:
     """The pieces of a block of items."""
 
@@ -78,7 +91,7 @@ class Index:
             self.tables[g] = (key, np.array([x[1] for x in rows]), np.array([x[2] for x in rows]), seen)
 
     def matches(self, h: np.ndarray, doc: np.ndarray) -> Iterator[tuple[int, ...]]:
-        """(row, item, distance, words of the item, first word, last word), one for each stretch; h: word hashes of all rows, cut at doc."""
+        """(row, item, distance, words of the item, first word, last word), one for each occurrence; h: word hashes of all rows, cut at doc."""
         found = []
         for g, (key, item, offset, seen) in self.tables.items():
             every = grams(h, g)
@@ -95,7 +108,7 @@ class Index:
         row, item, diagonal = np.concatenate(found, axis=1)
         order = np.lexsort((diagonal, item, row))
         row, item, diagonal = row[order].tolist(), item[order].tolist(), diagonal[order].tolist()
-        i = 0
+        i, best = 0, {}
         while i < len(row):
             key, m, k, bits = self.items[item[i]]
             j = i + 1
@@ -103,15 +116,17 @@ class Index:
                 j += 1
             base, size = int(doc[row[i]]), int(doc[row[i] + 1] - doc[row[i]])
             a, b = max(0, diagonal[i] - k), min(size, diagonal[j - 1] + m + k)
-            ends = myers(bits, m, h[base + a : base + b].tolist(), k)
-            if ends:
-                end, distance = min(ends, key=lambda x: (x[1], x[0]))
-                yield row[i], key, distance, m, max(0, a + end - m + 1), a + end
+            for end, distance in myers(bits, m, h[base + a : base + b].tolist(), k):
+                best[a + end] = min(distance, best.get(a + end, k))
+            if j == len(row) or row[j] != row[i] or item[j] != item[i]:
+                for end, distance in apart(sorted(best.items()), m - k):
+                    yield row[i], key, distance, m, max(0, end - m + 1), end
+                best = {}
             i = j
 
 
 def matched(docs: DataFrame, items: DataFrame, key: str = "doc_id", ratio: float = RATIO, block: int = BLOCK_ITEMS) -> DataFrame:
-    """One row for each stretch of a document that holds an item: key, item_id, distance, item_words, first_word and last_word (about: from the match's end)."""
+    """One row for each occurrence of an item in a document: key, item_id, distance, item_words, first_word and last_word (about: from the match's end)."""
     spark = docs.sparkSession
     items = items.select("item_id", "text").where("text IS NOT NULL")
     blocks = max(1, -(-items.count() // block))

@@ -211,6 +211,49 @@ def test_decontamination(spark, docs_of, block):
     assert dec.matched(docs, table.limit(0)).count() == 0 and dec.matched(docs.limit(0), table).count() == 0
 
 
+def occurrences(item, text, k):
+    """(end, distance) by the whole table of edit distances: an end replaces the one kept before it if both can't be occurrences side by side and it is better."""
+    above = list(range(len(item) + 1))
+    out = []
+    for j, word in enumerate(text):
+        row = [0]
+        for i, x in enumerate(item):
+            row.append(min(above[i] + (x != word), above[i + 1] + 1, row[i] + 1))
+        above = row
+        if row[-1] > k:
+            continue
+        if out and j - out[-1][0] < len(item) - k:
+            out[-1] = min(out[-1], (j, row[-1]), key=lambda x: (x[1], x[0]))
+        else:
+            out.append((j, row[-1]))
+    return out
+
+
+def test_every_occurrence(spark, docs_of):
+    rng = random.Random(4)
+    v = vocabulary(rng, 12)
+    items = [[v[0], v[1]] * 5, [rng.choice(v) for _ in range(20)], [rng.choice(v) for _ in range(70)], [v[2]]]
+    texts = [None, "", " ".join(items[0] * 3), " ".join(items[1] * 3), " ".join(items[0] + [v[3]] * 3 + items[0]), " ".join(["x"] * 20_000 + items[2] + ["y"] * 20_000 + items[2])]
+    for _ in range(60):
+        w = []
+        for _ in range(rng.randrange(1, 5)):
+            part = list(rng.choice(items))
+            for _ in range(rng.randrange(0, len(part) // 6 + 1)):
+                part[rng.randrange(len(part))] = rng.choice(v)
+            w += part + [rng.choice(v) for _ in range(rng.choice([0, 0, 3, 30]))]
+        texts.append(" ".join(w))
+    texts += [texts[-1], texts[-2]]
+    ids = [*range(len(texts) - 3), 7, 7, None]  # repeated rows and a null id
+    table = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    want = collections.Counter()
+    for i, t in zip(ids, texts, strict=True):
+        for j, item in enumerate(items):
+            want.update((i, j, d, end) for end, d in occurrences(item, (t or "").split(), int(dec.RATIO * len(item))))
+    got = collections.Counter((r["doc_id"], r["item_id"], r["distance"], r["last_word"]) for r in dec.matched(docs_of(texts, ids), table).collect())
+    assert got == want
+    assert sum(1 for i, j, *_ in want if (i, j) == (2, 0)) == 3 == sum(1 for i, j, *_ in want if (i, j) == (3, 1))
+
+
 def plain_best_fit(items, capacity, per_source):
     bins, out = [], []
     for size, source, cluster in items:

@@ -14,7 +14,8 @@ class, so copies cost one row each and nothing more. Two sets are linked when 10
 4. Answers. In a task a set's overlaps with all others are derived from those of the most similar set that is done already: lists of
    the shingles that only one of both has are subtracted and added. Without a similar one they come from all its lists. Overlaps are exact.
    A task returns a forest of its links and each set's number of links, never the pairs.
-5. Components of the forests are the result.
+5. Components of the forests are the result. Rows get it by their set's digest; the sets with more than one in COMMON of all rows, at most COMMON - 1, are
+   sent to the rows instead, and rows without words meet nowhere.
 
 Null texts and texts without words have no set, are linked with nothing, and are components of their own. Fewer than 5 words are one
 shingle. Repeated rows (also of one doc_id with different texts) all stay. Rows with a null doc_id are linked like others; a component's id is its smallest
@@ -34,7 +35,7 @@ from .components import components
 from .store import dropped, written
 from .text import mixed, pairs_of, shingle_sets, sixteen, words
 
-FREQUENT, FREQUENT_MAX, BLOCK, SEND_MAX = 32, 1_000_000, 1024, 500_000
+FREQUENT, FREQUENT_MAX, BLOCK, SEND_MAX, COMMON = 32, 1_000_000, 1024, 500_000, 1000
 _PLAIN = np.zeros(0, np.uint64)
 
 
@@ -229,12 +230,12 @@ def _answers(key: tuple, table: pa.Table) -> pa.Table:
     return pa.table([sixteen(digest), sixteen(digest[label]), pa.array(links)], ["digest", "root", "links"])
 
 
-def joined(docs: DataFrame, frequent: int = FREQUENT, frequent_max: int = FREQUENT_MAX, block: int = BLOCK, send_max: int = SEND_MAX) -> DataFrame:
+def joined(docs: DataFrame, frequent: int = FREQUENT, frequent_max: int = FREQUENT_MAX, block: int = BLOCK, send_max: int = SEND_MAX, common: int = COMMON) -> DataFrame:
     """doc_id, n_shingles, component_id and n_links (documents that it is linked with, copies included) of every row."""
-    return _joined(docs, frequent, frequent_max, block, send_max).drop("key")
+    return _joined(docs, frequent, frequent_max, block, send_max, common).drop("key")
 
 
-def _joined(docs: DataFrame, frequent: int, frequent_max: int, block: int, send_max: int) -> DataFrame:
+def _joined(docs: DataFrame, frequent: int = FREQUENT, frequent_max: int = FREQUENT_MAX, block: int = BLOCK, send_max: int = SEND_MAX, common: int = COMMON) -> DataFrame:
     """As joined(), with the row's key."""
     spark = docs.sparkSession
     sets = written(_sets(docs), "sets")
@@ -295,14 +296,21 @@ def _joined(docs: DataFrame, frequent: int, frequent_max: int, block: int, send_
     links = answers.groupBy("digest").agg(F.sum("links").alias("links"))
     named = classes.join(label, classes.digest == label.node, "left").select("digest", "least", "weight", F.coalesce("label", "digest").alias("label"))
     first = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = named.join(first, "label").join(links, "digest", "left").select("digest", "component_id", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    return members.join(named, "digest", "left").select("doc_id", F.col("n_shingles").cast("bigint").alias("n_shingles"), F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), "key")
+    named = named.join(first, "label").join(links, "digest", "left").select("digest", "weight", "component_id", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).cast("bigint").alias("n_links"))
+    named = written(named, "named")
+    rows = classes.agg(F.coalesce(F.sum("weight"), F.lit(0))).first()[0]
+    often = F.broadcast(named.where(F.col("weight") * common > rows))
+    alone = members.where("digest IS NULL").withColumns({"component_id": F.col("doc_id"), "n_links": F.lit(0).cast("bigint")})
+    known = members.where("digest IS NOT NULL")
+    rest = known.join(often.select("digest"), "digest", "left_anti").join(named.where(F.col("weight") * common <= rows), "digest")
+    out = [x.select("doc_id", F.col("n_shingles").cast("bigint").alias("n_shingles"), "component_id", "n_links", "key") for x in (alone, known.join(often, "digest"), rest)]
+    return out[0].unionAll(out[1]).unionAll(out[2])
 
 
 def one_of_each(docs: DataFrame, send_max: int = SEND_MAX) -> DataFrame:
     """The rows of docs, all columns, without those whose component has a smaller doc_id (or one at all, where theirs is null); a row goes for its own text, whatever other rows have
     its doc_id. Rows without words stay, and so do repeated rows of one id and text."""
-    gone = _joined(docs, FREQUENT, FREQUENT_MAX, BLOCK, send_max).where("component_id < doc_id OR (doc_id IS NULL AND component_id IS NOT NULL)").select(F.col("key").alias("_gone")).distinct()
+    gone = _joined(docs, send_max=send_max).where("component_id < doc_id OR (doc_id IS NULL AND component_id IS NOT NULL)").select(F.col("key").alias("_gone")).distinct()
     gone = written(gone, "copies")
     return docs.join(F.broadcast(gone) if gone.count() <= send_max else gone, F.xxhash64("doc_id", "text") == F.col("_gone"), "left_anti")
 

@@ -140,12 +140,12 @@ def near_corpus(seed, groups=12):
     return texts
 
 
-@pytest.mark.parametrize(("frequent", "block", "send"), [(32, 1024, 2_000_000), (3, 4, 0), (2, 3, 2_000_000)])
-def test_jaccard(docs_of, monkeypatch, frequent, block, send):
+@pytest.mark.parametrize(("frequent", "block", "send", "common"), [(32, 1024, 2_000_000, 1000), (3, 4, 0, 1), (2, 3, 2_000_000, 60)])
+def test_jaccard(docs_of, monkeypatch, frequent, block, send, common):
     monkeypatch.setattr(jac, "FREQUENT", frequent)
     texts = near_corpus(frequent)
     ids = [5 * i - 30 for i in range(len(texts))]
-    got = {r["doc_id"]: tuple(r)[1:] for r in jac.joined(docs_of(texts, ids), frequent, 1_000_000, block, send).collect()}
+    got = {r["doc_id"]: tuple(r)[1:] for r in jac.joined(docs_of(texts, ids), frequent, 1_000_000, block, send, common).collect()}
     want = linked(list(zip(ids, texts, strict=True)))
     assert sum(w[2] for w in want) > 50
     assert [got[i] for i in ids] == want

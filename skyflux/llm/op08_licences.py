@@ -6,14 +6,14 @@
    files, and idf = ln((1 + lines) / (1 + lines with the term)) + 1. A term that no template has weighs ln(1 + lines) + 1 in a unit's norm.
 3. Only what can reach the threshold is compared: a cosine with a template is at most the root of the share of the template's squared norm that the unit's terms cover. Files whose
    terms cover less than THRESHOLD squared of every template are left out at once, then units. This is exact.
-4. A unit's cosine with a template is summed over their common terms; a file's own licence is its best unit's best template (ties: the smaller name)
+4. A unit's cosine with a template is summed over their common terms, whose numbers are the lengths of runs in its sorted terms; a file's own licence is its best unit's best template (ties: the smaller name)
    at THRESHOLD or more.
 5. Files without a licence of their own inherit from the nearest directory above them that has a licence file, by an equi-join on the ancestors
    of a file's directory. A licence file is one whose whole text is a licence's, or whose licence lines are at least half of its lines that aren't blank; where a directory has
    several, the smallest path decides.
 
-Templates are few: their terms and weights are part of the plan. Everything else stays distributed, and no file's rows meet in one task
-except to be added up. Null texts have no units, null paths no directory; each row is a file, also where rows share a path, and repeated rows stay. An empty table gives an empty result. Other
+Templates are few: their terms and weights are part of the plan. A unit's sparse vector, norm and cosines are worked out within its row, in time n log n of its terms, so that only
+licences found are shuffled. Null texts have no units, null paths no directory; each row is a file, also where rows share a path, and repeated rows stay. An empty table gives an empty result. Other
 columns stay only if they are named.
 """
 
@@ -76,13 +76,50 @@ def _lines(text: Column) -> Column:
     return F.filter(F.split(text, "\n"), lambda x: F.length(F.trim(x)) > 0)
 
 
+def _table(values: dict[str, float]) -> Column:
+    """A map of terms, folded into a literal."""
+    return F.expr("map(" + ", ".join(f"'{term}', {x!r}D" for term, x in values.items()) + ")")
+
+
+def _once(value: Column, then) -> Column:
+    """then(value), with the value worked out once."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
+def _counted(terms: Column) -> Column:
+    """(term, tf) of the distinct terms, from where runs of equal terms start in the sorted ones."""
+
+    def runs(s: Column) -> Column:
+        first = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        return _once(first, lambda at: F.transform(at, lambda i, k: F.struct(F.get(s, i).alias("term"), (F.coalesce(F.get(at, k + 1), F.size(s)) - i).alias("tf"))))
+
+    return F.when(F.size(terms) > 0, _once(F.array_sort(terms), runs))
+
+
+def _scores(terms: Column, idfs: Column, unknown: float, weights: dict[tuple[int, str], dict[str, float]]) -> Column:
+    """(licence, score) of every template: the cosine of a unit's terms with it."""
+    if not weights:
+        return F.array().cast("array<struct<licence:string,score:double>>")
+
+    def cosines(vector: Column) -> Column:
+        norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda total, x: total + F.pow(x["tf"] * F.coalesce(x["idf"], F.lit(unknown)), F.lit(2.0))))
+        known = F.filter(vector, lambda x: x["idf"].isNotNull())
+
+        def dot(own: dict[str, float], of: Column) -> Column:
+            return F.aggregate(of, F.lit(0.0), lambda total, x: total + x["tf"] * x["idf"] * F.coalesce(F.try_element_at(_table(own), x["term"]), F.lit(0.0)))
+
+        return _once(F.struct(norm.alias("norm"), known.alias("known")), lambda v: F.array(*[F.struct(F.lit(licence).alias("licence"), F.round(dot(own, v["known"]) / v["norm"], 9).alias("score")) for (_, licence), own in weights.items()]))
+
+    return _once(F.transform(_counted(terms), lambda x: F.struct(x["term"].alias("term"), x["tf"].alias("tf"), F.try_element_at(idfs, x["term"]).alias("idf"))), cosines)
+
+
 def _covered(terms: Column, table: Column) -> Column:
     return F.aggregate(terms, F.lit(0.0), lambda total, x: total + F.coalesce(F.try_element_at(table, x), F.lit(0.0)))
 
 
 def _reaches(known: Column, shares: dict[int, dict[str, float]], threshold: float) -> Column:
     """Whether the terms cover enough of some template's squared norm; shares: of each template, by term. The terms are worked out once."""
-    tables = [F.expr("map(" + ", ".join(f"'{term}', {x!r}D" for term, x in own.items()) + ")") for own in shares.values()]  # folded into literals
+    tables = [_table(own) for own in shares.values()]
 
     def any_of(terms: Column) -> Column:
         test = F.lit(False)
@@ -111,8 +148,10 @@ def own_licences(files: DataFrame, templates: DataFrame, threshold: float = THRE
     shares: dict[int, dict[str, float]] = {t: {} for t in norms}
     for t, _, term, idf, tf in vectors:
         shares[t][term] = (tf * idf) ** 2 / norms[t]
-    weights = spark.createDataFrame([(t, licence, term, tf * idf / norms[t] ** 0.5) for t, licence, term, idf, tf in vectors], "template int, licence string, term string, t_weight double")
-    idfs = spark.createDataFrame(sorted({(term, idf) for _, _, term, idf, _ in vectors}), "term string, idf double")
+    idfs = _table({term: idf for _, _, term, idf, _ in vectors})
+    weights: dict[tuple[int, str], dict[str, float]] = {}
+    for t, licence, term, idf, tf in vectors:
+        weights.setdefault((t, licence), {})[term] = tf * idf / norms[t] ** 0.5
     unknown = math.log(1 + n) + 1
 
     some = files.where(_reaches(F.array_intersect(_terms(F.col("text")), listed), shares, threshold))
@@ -121,11 +160,8 @@ def own_licences(files: DataFrame, templates: DataFrame, threshold: float = THRE
     units = F.concat(*[_unit(c, kind) for kind, c in kinds])
     units = some.select("id", "path", F.size(_lines(text)).alias("n_lines"), F.posexplode(units).alias("unit", "u")).select("id", "path", "n_lines", "unit", "u.kind", _terms(F.col("u.x")).alias("terms"))
     units = units.where(_reaches(F.array_intersect("terms", listed), shares, threshold))
-    tf = units.select("id", "path", "n_lines", "unit", "kind", F.explode("terms").alias("term")).groupBy("id", "unit", "term").agg(F.count("*").alias("tf"), *[F.first(c).alias(c) for c in ("path", "n_lines", "kind")])
-    tf = tf.join(F.broadcast(idfs), "term", "left").withColumn("weight", F.col("tf") * F.coalesce("idf", F.lit(unknown)))
-    norm = tf.groupBy("id", "unit").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"), *[F.first(c).alias(c) for c in ("path", "n_lines", "kind")])
-    dots = tf.select("id", "unit", "term", "weight").join(F.broadcast(weights), "term").groupBy("id", "unit", "template", "licence").agg(F.sum(F.col("weight") * F.col("t_weight")).alias("dot"))
-    cosine = dots.join(norm, ["id", "unit"]).withColumn("score", F.round(F.col("dot") / F.col("norm"), 9)).where(F.col("score") >= threshold)
+    every = units.select("id", "path", "n_lines", "unit", "kind", _scores(F.col("terms"), idfs, unknown, weights).alias("scores"))
+    cosine = every.select("id", "path", "n_lines", "unit", "kind", F.explode(F.filter("scores", lambda x: x["score"] >= threshold)).alias("s")).select("id", "path", "n_lines", "unit", "kind", "s.*")
     hits = F.count_distinct(F.when(F.col("kind") == "line", F.col("unit")))
     best = cosine.groupBy("id").agg(F.first("path").alias("path"), F.min_by("licence", F.struct(-F.col("score"), F.col("licence"))).alias("licence"), F.max("score").alias("score"), hits.alias("hits"), F.max("n_lines").alias("n_lines"), F.bool_or(F.col("kind") == "file").alias("whole"))
     return best.select("id", "path", "licence", "score", (F.col("whole") | (2 * F.col("hits") >= F.col("n_lines"))).alias("is_licence_file"))

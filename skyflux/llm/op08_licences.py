@@ -24,6 +24,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .store import written
+
 THRESHOLD = 0.6
 _WARRANTY = (
     "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
@@ -179,7 +181,7 @@ def licensed(files: DataFrame, templates: DataFrame, threshold: float = THRESHOL
     """keep, path, licence, score, found ('own', 'inherited' or null) and licensed_by (the path that it comes from) of every row."""
     ident = F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(seed), F.col("path"), F.col("text"))), 16, "0") for seed in (1, 2)])
     rows = files.select(*keep, "path", "text", ident.alias("id"))
-    own = own_licences(rows.select("id", "path", "text"), templates, threshold)
+    own = written(own_licences(rows.select("id", "path", "text"), templates, threshold), "licences")  # read twice
     homes = own.where("is_licence_file AND path IS NOT NULL").select(_parent(F.col("path")).alias("dir"), F.struct("path", "licence", "score").alias("of"))
     homes = homes.groupBy("dir").agg(F.min("of").alias("of"))
     parts = F.split(_parent(F.col("path")), "/")

@@ -30,15 +30,62 @@ class Wavelet:
         return at
 
 
-def _minima(values: np.ndarray) -> np.ndarray:
-    """Row k: the minimum of 2**k values from each place on, where there are so many."""
-    rows, k = [values], 1
-    while 2 * k <= len(values):
-        last = rows[-1].copy()
-        last[: len(values) - k] = np.minimum(last[: len(values) - k], rows[-1][k:])
-        rows.append(last)
-        k *= 2
-    return np.stack(rows)
+class Minima:
+    """Minima of ranges of a sequence in about four times its own space: those from each place to both ends of its block of SIDE, and a sparse table of the blocks'."""
+
+    SIDE = 16
+
+    def __init__(self, values: np.ndarray):
+        self.values = values
+        blocks = -(-len(values) // self.SIDE)
+        padded = np.full(blocks * self.SIDE, np.iinfo(values.dtype).max, values.dtype)
+        padded[: len(values)] = values
+        padded = padded.reshape(blocks, self.SIDE)
+        self.before = np.minimum.accumulate(padded, axis=1).reshape(-1)
+        self.after = np.minimum.accumulate(padded[:, ::-1], axis=1)[:, ::-1].reshape(-1)
+        rows, k = [padded.min(axis=1)], 1
+        while 2 * k <= blocks:
+            last = rows[-1].copy()
+            last[: blocks - k] = np.minimum(last[: blocks - k], rows[-1][k:])
+            rows.append(last)
+            k *= 2
+        self.blocks = np.stack(rows)  # row k: of 2**k blocks from each on, where there are so many
+
+    def least(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """The minimum of each [lo, hi), which isn't empty."""
+        a, b = lo // self.SIDE, (hi - 1) // self.SIDE
+        out = np.minimum(self.after[lo], self.before[hi - 1])
+        far = np.flatnonzero(b - a > 1)
+        if len(far):
+            x, y = a[far] + 1, b[far]
+            k = np.floor(np.log2(y - x)).astype(np.int64)
+            out[far] = np.minimum(out[far], np.minimum(self.blocks[k, x], self.blocks[k, y - (np.int64(1) << k)]))
+        near = np.flatnonzero(a == b)
+        if len(near):
+            x, last = lo[near], hi[near] - 1
+            now = self.values[x]
+            for j in range(1, int((last - x).max()) + 1):
+                now = np.minimum(now, self.values[np.minimum(x + j, last)])
+            out[near] = now
+        return out
+
+    def below(self, at: np.ndarray, bound: np.ndarray, up: bool) -> np.ndarray:
+        """The nearest place from each `at` on, upwards or downwards, whose value is less than the bound. There must be one."""
+        at, sign = at.copy(), 1 if up else -1
+        far = np.flatnonzero((self.after if up else self.before)[at] >= bound)
+        if len(far):
+            b, most = at[far] // self.SIDE + sign, bound[far]
+            for k in reversed(range(len(self.blocks))):
+                step = 1 << k
+                first = b if up else b - step + 1
+                inside = (first >= 0) & (first + step <= self.blocks.shape[1])
+                b += np.where(inside & (self.blocks[k, np.clip(first, 0, self.blocks.shape[1] - 1)] >= most), sign * step, 0)
+            at[far] = b * self.SIDE + (0 if up else self.SIDE - 1)
+        left = np.arange(len(at))
+        while len(left):
+            left = left[self.values[at[left]] >= bound[left]]
+            at[left] += sign
+        return at
 
 
 class FMIndex:
@@ -69,7 +116,7 @@ class FMIndex:
         every = np.arange(int(text.max()) + 1)
         first = np.searchsorted(np.sort(text), every)
         self.offset = first - self.wavelet.walk(every, np.zeros(len(every), np.int64))
-        self.owners = _minima(np.repeat(owner, lengths + 1)[order])
+        self.owners = Minima(np.repeat(owner, lengths + 1)[order])
         shared = np.zeros(total + 1, np.int64)
         a, b = order[:-1].copy(), order[1:].copy()
         for k in reversed(range(len(ranks))):
@@ -79,7 +126,7 @@ class FMIndex:
             a, b = a + step, b + step
         shared[1:total] = np.minimum(a - order[:-1], 127)
         shared[0] = shared[total] = -1
-        self.shared = _minima(shared.astype(np.int8))
+        self.shared = Minima(shared.astype(np.int8))
 
     def extend(self, code: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Backward search: the suffixes that start with a symbol (by code) and go on with one of [lo, hi)."""
@@ -88,19 +135,11 @@ class FMIndex:
 
     def least_owner(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         """The smallest owner of the suffixes in [lo, hi), which isn't empty."""
-        k = np.floor(np.log2(hi - lo)).astype(np.int64)
-        return np.minimum(self.owners[k, lo], self.owners[k, hi - (np.int64(1) << k)])
+        return self.owners.least(lo, hi)
 
     def widened(self, lo: np.ndarray, hi: np.ndarray, depth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All suffixes that share their first `depth` symbols with those in [lo, hi)."""
-        lo, hi = lo.copy(), hi.copy()
-        for k in reversed(range(len(self.shared))):
-            step = 1 << k
-            down = lo - step + 1
-            lo -= np.where((down >= 0) & (self.shared[k, np.maximum(down, 0)] >= depth), step, 0)
-            up = hi + step <= self.n + 1
-            hi += np.where(up & (self.shared[k, np.minimum(hi, self.n)] >= depth), step, 0)
-        return lo, hi
+        return self.shared.below(lo, depth, up=False), self.shared.below(hi, depth, up=True)
 
 
 def matched_windows(index: FMIndex, symbols: np.ndarray, lengths: np.ndarray, owner: np.ndarray, window: int = 50) -> np.ndarray:
@@ -138,7 +177,7 @@ def matched_windows(index: FMIndex, symbols: np.ndarray, lengths: np.ndarray, ow
         at = at - (good | (depth == 0))
         bad = np.flatnonzero(~good & (depth > 0))
         if len(bad):
-            less = np.maximum(index.shared[0, lo[bad]], index.shared[0, hi[bad]]).astype(np.int64)
+            less = np.maximum(index.shared.values[lo[bad]], index.shared.values[hi[bad]]).astype(np.int64)
             less = np.maximum(less, 0)
             zero = less == 0
             lo[bad], hi[bad] = index.widened(lo[bad], hi[bad], less)

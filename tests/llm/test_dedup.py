@@ -11,7 +11,7 @@ import pytest
 from skyflux.llm import op03_substring_dedup as sub
 from skyflux.llm import op07_jaccard_join as jac
 from skyflux.llm.components import components
-from skyflux.llm.fm_index import FMIndex, matched_windows
+from skyflux.llm.fm_index import FMIndex, Minima, matched_windows
 
 from .conftest import vocabulary
 
@@ -73,6 +73,20 @@ def test_substring_edges(docs_of):
     assert len(got) == 3 and sum(r["n_removed"] for r in got) == 0
 
 
+@pytest.mark.parametrize("n", [1, 15, 16, 17, 100, 1000])
+def test_minima(n):
+    rng = np.random.default_rng(n)
+    values = rng.integers(0, 50, n).astype(np.int8)
+    values[0] = values[-1] = -1
+    m = Minima(values)
+    lo = rng.integers(0, n, 500)
+    hi = lo + 1 + rng.integers(0, n - lo)
+    assert m.least(lo, hi).tolist() == [values[a:b].min() for a, b in zip(lo, hi, strict=True)]
+    bound = rng.integers(0, 50, 500)
+    assert m.below(lo, bound, False).tolist() == [int(np.flatnonzero(values[: a + 1] < b)[-1]) for a, b in zip(lo, bound, strict=True)]
+    assert m.below(lo, bound, True).tolist() == [int(a + np.flatnonzero(values[a:] < b)[0]) for a, b in zip(lo, bound, strict=True)]
+
+
 @pytest.mark.parametrize("seed", range(8))
 def test_fm_index(seed):
     rng = np.random.default_rng(seed)

@@ -6,12 +6,12 @@ document with a smaller doc_id, and each word that a repeated window covers goes
 1. Routing. A window's anchor is the smallest hash of its GRAM-word sequences. Windows with equal words have equal anchors, so they are sought among
    the windows of their anchor only. Consecutive windows with one anchor are a segment (at most RUN windows; WINDOW - 1 words longer).
    Segments whose anchor occurs in one document only are dropped.
-2. Pre-aggregation. Segments with equal words are one, owned by the smallest doc_id; in the other documents they are repeated as a whole. An
+2. Pre-aggregation. Segments with equal words are one, owned by the smallest doc_id; one copy stands for those of all larger doc_ids. An
    anchor with more than HOT different segments has its segments cut into single windows, which are summed up in the same way, by a hash of their
    words; a passage in a third of all documents is then one row for each of its windows.
-3. Index. Anchors with two segments or more are dealt to shards of about SHARD segments. A shard builds a compressed FM-index (a wavelet matrix) of
-   its segments and streams them through it: backward search gives matching statistics against smaller owners, and intervals of
-   WINDOW words or more are reported.
+3. Index. All other anchors are dealt to shards of about SHARD segments. A shard builds a compressed FM-index (a wavelet matrix) of
+   its segments and streams them through it, those with copies twice (for their owner, and for a larger doc_id than any): backward search gives matching
+   statistics against smaller owners, and intervals of WINDOW words or more are reported, for the owner and for the copies.
 4. A document's repeated intervals are brought together and its words are cut.
 
 Lists of texts that a step needs, with their stretches, are broadcast only while they have at most SEND_MAX texts and SEND_PARTS stretches; beyond that the texts are shuffled.
@@ -116,8 +116,8 @@ def _single_windows(docs: DataFrame, hot: DataFrame) -> DataFrame:
 
 
 def _shipped(docs: DataFrame, segments: DataFrame, shards: int) -> DataFrame:
-    """shard, anchor, seg, owner and word hashes of the segments, each from its owner's text."""
-    needed = segments.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("anchor", "seg", "start", "windows")).alias("parts"))
+    """shard, anchor, seg, owner, whether there are copies, and word hashes of the segments, each from its owner's text."""
+    needed = segments.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("anchor", "seg", "start", "windows", "copied")).alias("parts"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,27 +128,33 @@ def _shipped(docs: DataFrame, segments: DataFrame, shards: int) -> DataFrame:
                     a = int(w.doc[r])
                     for p in parts[w.lo + r]:
                         x = a + p["start"]
-                        out.append((p["anchor"], p["seg"], ids[w.lo + r], w.hash[x : x + p["windows"] + WINDOW - 1].tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.binary()))], ["anchor", "seg", "owner", "words"])
+                        out.append((p["anchor"], p["seg"], ids[w.lo + r], p["copied"], w.hash[x : x + p["windows"] + WINDOW - 1].tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()))], ["anchor", "seg", "owner", "copied", "words"])
 
-    rows = _only(docs, needed).select("doc_id", "text", "parts").mapInArrow(run, "anchor long, seg long, owner long, words binary")
+    rows = _only(docs, needed).select("doc_id", "text", "parts").mapInArrow(run, "anchor long, seg long, owner long, copied boolean, words binary")
     return rows.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
 
 
 def _searched(table: pa.Table) -> pa.Table:
-    """A shard: its index, all its segments streamed through it, and the repeated stretches of windows (first, last) of each."""
+    """A shard: its index, all its segments streamed through it, and the repeated stretches of windows (first, last) of each, for its owner and for its copies."""
     blobs = table.column("words").to_pylist()
     symbols = np.concatenate([np.frombuffer(b, np.uint64) for b in blobs])
     lengths = np.array([len(b) // 8 for b in blobs], np.int64)
     owner = np.unique(table.column("owner").to_numpy(), return_inverse=True)[1].astype(np.int32)
-    found = matched_windows(FMIndex(symbols, lengths, owner), symbols, lengths, owner, WINDOW)
+    index = FMIndex(symbols, lengths, owner)
+    copied = np.flatnonzero(table.column("copied").to_numpy())
+    asked = np.concatenate([np.arange(len(lengths)), copied])
+    symbols = np.concatenate([symbols, *[np.frombuffer(blobs[i], np.uint64) for i in copied]])
+    lengths, owner = lengths[asked], np.concatenate([owner, np.full(len(copied), len(lengths), np.int32)])
+    found = matched_windows(index, symbols, lengths, owner, WINDOW)
     of = np.repeat(np.arange(len(lengths)), lengths)
     at = np.flatnonzero(found)
     new = np.concatenate([[True], (np.diff(at) > 1) | (of[at[1:]] != of[at[:-1]])]) if len(at) else np.zeros(0, bool)
     last = np.concatenate([new[1:], [True]]) if len(at) else new
     base = np.cumsum(lengths) - lengths
     k = of[at[new]]
-    return pa.table([table.column("anchor").take(pa.array(k)), table.column("seg").take(pa.array(k)), pa.array((at[new] - base[k]).astype(np.int32)), pa.array((at[last] - base[k]).astype(np.int32))], ["anchor", "seg", "a", "b"])
+    which = pa.array(asked[k])
+    return pa.table([table.column("anchor").take(which), table.column("seg").take(which), pa.array(k >= len(table)), pa.array((at[new] - base[k]).astype(np.int32)), pa.array((at[last] - base[k]).astype(np.int32))], ["anchor", "seg", "copy", "a", "b"])
 
 
 def repeated(docs: DataFrame, shard: int = SHARD, hot: int = HOT) -> DataFrame:
@@ -157,9 +163,9 @@ def repeated(docs: DataFrame, shard: int = SHARD, hot: int = HOT) -> DataFrame:
     twice = every.groupBy("anchor").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y").select("anchor")
     some = written(every.join(twice, "anchor", "left_semi"), "candidates")
     dropped(every)
-    owners = some.groupBy("anchor", "seg").agg(F.min(F.struct("doc_id", "text_key", "start", "windows")).alias("o")).select("anchor", "seg", "o.*")
-    owners = written(owners, "owners")
-    sizes = written(owners.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
+    owners = some.groupBy("anchor", "seg").agg(F.min(F.struct("doc_id", "text_key", "start", "windows")).alias("o"), F.max("doc_id").alias("last"))
+    owners = written(owners.select("anchor", "seg", "o.*", (F.col("last") > F.col("o.doc_id")).alias("copied")), "owners")
+    sizes = written(owners.groupBy("anchor").agg(F.count("*").alias("n")), "sizes")
     crowded = sizes.where(F.col("n") > hot).select("anchor")
     parts = []
     if not crowded.isEmpty():
@@ -167,14 +173,12 @@ def repeated(docs: DataFrame, shard: int = SHARD, hot: int = HOT) -> DataFrame:
         some = some.join(crowded, "anchor", "left_anti")
         first = windows.groupBy("anchor", "seg").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("y")).where("owner < y").select("anchor", "seg", "owner")
         parts.append(windows.join(first, ["anchor", "seg"]).where("doc_id > owner").select("doc_id", "text_key", F.col("start").alias("a"), (F.col("start") + WINDOW).alias("b")))
-    mixed_ones = owners.join(sizes.where(F.col("n") <= hot).select("anchor"), "anchor", "left_semi")
+        owners = owners.join(crowded, "anchor", "left_anti")
     shards = max(1, -(-(sizes.where(F.col("n") <= hot).agg(F.sum("n")).first()[0] or 0) // shard))
-    found = _shipped(docs, mixed_ones, shards).groupBy("shard").applyInArrow(_searched, "anchor long, seg long, a int, b int")
+    found = _shipped(docs, owners, shards).groupBy("shard").applyInArrow(_searched, "anchor long, seg long, copy boolean, a int, b int")
     found = written(found, "found")
-    of = some.join(owners.select("anchor", "seg", F.col("doc_id").alias("owner")), ["anchor", "seg"])
-    parts.append(of.where("doc_id > owner").select("doc_id", "text_key", F.col("start").alias("a"), (F.col("start") + F.col("windows") + (WINDOW - 1)).alias("b")))
-    own = of.where("doc_id = owner").select("anchor", "seg", "doc_id", "text_key", "start")
-    parts.append(own.join(found, ["anchor", "seg"]).select("doc_id", "text_key", (F.col("start") + F.col("a")).alias("a"), (F.col("start") + F.col("b") + WINDOW).alias("b")))
+    of = some.join(owners.select("anchor", "seg", F.col("doc_id").alias("owner")), ["anchor", "seg"]).withColumn("copy", F.col("doc_id") > F.col("owner"))
+    parts.append(of.join(found, ["anchor", "seg", "copy"]).select("doc_id", "text_key", (F.col("start") + F.col("a")).alias("a"), (F.col("start") + F.col("b") + WINDOW).alias("b")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionAll(p)

@@ -51,10 +51,10 @@ def product_aggregates(columns: list[str]) -> dict[str, Column]:
     return out
 
 
-def products(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One row for each key; rows with a null key have none."""
-    known = df.where(" AND ".join(f"{k} IS NOT NULL" for k in keys))
-    return known.groupBy(*keys).agg(*[c.alias(n) for n, c in product_aggregates(df.columns).items()])
+def products(df: DataFrame, keys: list[str], null_keys: bool = False, **more: Column) -> DataFrame:
+    """One row for each key, also with other aggregates; rows with a null key have none, or with null_keys nulls are a key like others."""
+    known = df if null_keys else df.where(" AND ".join(f"{k} IS NOT NULL" for k in keys))
+    return known.groupBy(*keys).agg(*[c.alias(n) for n, c in (product_aggregates(df.columns) | more).items()])
 
 
 def with_products(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .store import dropped, written
-from .text import mixed
+from .text import memory_returned, mixed
 
 ORDER, BEFORE, CODE_POINTS = 5, 0xFFFF, 0x110000
 HIGH, MARGIN, PRIOR = 0.99, 1.03, 64
@@ -59,17 +59,40 @@ def _sequence(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     pad = chr(BEFORE) * (ORDER - 1)
     points = np.frombuffer("".join(pad + t for t in texts if t).encode("utf-32-le", "surrogatepass"), np.uint32)
     n = np.array([len(t) if t else 0 for t in texts], np.int64)
-    row = np.repeat(np.arange(len(texts)), n)
+    row = np.repeat(np.arange(len(texts), dtype=np.int32), n)
     skipped = np.cumsum(np.where(n > 0, ORDER - 1, 0))
-    return points, row, np.arange(len(row)) + skipped[row]
+    return points, row, np.arange(len(row)) + np.repeat(skipped, n)
 
 
 def _hashes(points: np.ndarray, at: np.ndarray, seed: int) -> np.ndarray:
     """A hash of the ORDER characters that end at each place."""
-    wide, total = points.astype(np.uint64), np.zeros(len(at), np.uint64)
-    for back in range(ORDER):
-        total += wide[at - back] * _FACTORS[seed][back]
-    return mixed(total)
+    if not len(at):
+        return np.zeros(0, np.uint64)
+    wide, n = points.astype(np.uint64), len(points) - ORDER + 1
+    total = wide[ORDER - 1 :] * _FACTORS[seed][0]
+    for back in range(1, ORDER):
+        total += wide[ORDER - 1 - back : ORDER - 1 - back + n] * _FACTORS[seed][back]
+    return mixed(total[at - (ORDER - 1)])
+
+
+def _lookup(table: np.ndarray):
+    """A function that gives the places of hashes in a sorted table without repeats, or any place for those that it lacks. Hashes are even, so their first bits almost tell the place."""
+    if not len(table):
+        return lambda hashes: np.zeros(len(hashes), np.int64)
+    bits = np.uint64(len(table).bit_length() + 1)
+    lead = (table >> (np.uint64(64) - bits)).astype(np.int64)
+    first = np.minimum(np.searchsorted(lead, np.arange(1 << int(bits))), len(table) - 1).astype(np.int32)
+
+    def places(hashes: np.ndarray) -> np.ndarray:
+        k = first[hashes >> (np.uint64(64) - bits)]
+        left = np.flatnonzero(table[k] < hashes)
+        while len(left):
+            left = left[k[left] + 1 < len(table)]
+            k[left] += 1
+            left = left[table[k[left]] < hashes[left]]
+        return k
+
+    return places
 
 
 def _strings(points: np.ndarray) -> pa.Array:
@@ -83,9 +106,10 @@ def _strings(points: np.ndarray) -> pa.Array:
 
 def _summed(hashes: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
     """One row for each hash: the first row's points, and the sums of the other columns."""
-    order = np.argsort(hashes, kind="stable")
-    first = np.flatnonzero(np.concatenate([[True], np.diff(hashes[order]) != 0]))
-    return (hashes[order][first], columns[0][order[first]], *[np.add.reduceat(c[order], first) for c in columns[1:]])
+    order = np.argsort(hashes)
+    hashes = hashes[order]
+    first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+    return (hashes[first], columns[0][order[first]], *[np.add.reduceat(c[order], first) for c in columns[1:]])
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,13 +126,15 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             points, row, at = _sequence(part.column(0).to_pylist())
             if not len(at):
                 continue
-            label = np.where(part.column(1).to_numpy(zero_copy_only=False), 1 + part.column(2).to_numpy(), 0)[row]
+            label = np.where(part.column(1).to_numpy(zero_copy_only=False), 1 + part.column(2).to_numpy(), 0).astype(np.int8)[row]
             h = _hashes(points, at, 0)
-            order = np.argsort(h, kind="stable")
-            first = np.flatnonzero(np.concatenate([[True], np.diff(h[order]) != 0]))
-            counts = [np.add.reduceat((label[order] == 1 + f).astype(np.int64), first) for f in (0, 1)]
+            order = np.argsort(h)
+            h = h[order]
+            first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+            label = label[order]
+            counts = [np.add.reduceat(label == 1 + f, first, dtype=np.int64) for f in (0, 1)]
             ends = at[order[first]]
-            held.append((h[order[first]], points[ends[:, None] - np.arange(ORDER - 1, -1, -1)], *counts))
+            held.append((h[first], points[ends[:, None] - np.arange(ORDER - 1, -1, -1)], *counts))
             if sum(len(x[0]) for x in held) > limit:
                 held = [merged()]
                 limit = max(MERGE, 2 * len(held[0][0]))
@@ -117,6 +143,9 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lo in range(0, len(c0), 100_000):
             hi = min(len(c0), lo + 100_000)
             yield pa.RecordBatch.from_arrays([_strings(points[lo:hi]), pa.array(np.full(hi - lo, block, np.int32)), pa.array(c0[lo:hi]), pa.array(c1[lo:hi])], ["g", "block", "c0", "c1"])
+        held.clear()
+        del points, c0, c1
+    memory_returned()
 
 
 def _discounts(table: DataFrame) -> list[list[float]]:
@@ -206,21 +235,24 @@ def perplexities(docs: DataFrame, trusted: DataFrame, payload: list[str], block:
         hashes = hashes[order]
         if (np.diff(hashes) == 0).any():
             raise ValueError("two n-grams have one hash")
-        logs = [known.column(f"l{1 - f}").to_numpy()[order].astype(float) for f in (0, 1)]  # a fold is scored by the other one's model
-        codec, out = pa.Codec("zstd"), []
+        logs = np.concatenate([known.column(f"l{1 - f}").to_numpy()[order].astype(float) for f in (0, 1)])  # a fold is scored by the other one's model
+        del points, order
+        codec, out, places = pa.Codec("zstd"), [], _lookup(hashes)
         for size, piece in zip(pieces.column("size").to_pylist(), pieces.column("packed"), strict=True):
             for batch in pa.ipc.open_stream(pa.py_buffer(codec.decompress(piece.as_buffer(), size, asbytes=True))):
                 texts, fold = batch.column(len(names) + 2).to_pylist(), batch.column(len(names) + 1).to_numpy()
                 chars, row, at = _sequence(texts)
                 h = _hashes(chars, at, 1)
-                k = np.minimum(np.searchsorted(hashes, h), max(0, len(hashes) - 1))
+                k = places(h)
                 if len(h) and (not len(hashes) or (hashes[k] != h).any()):
                     raise ValueError("texts have n-grams that weren't counted: docs gave other partitions when it was read again")
                 n = np.bincount(row, minlength=len(texts))
-                sums = np.bincount(row, np.where(fold[row] == 0, logs[0][k], logs[1][k]) if len(k) else None, len(texts))
+                sums = np.bincount(row, logs[k + (fold * len(hashes))[row]] if len(k) else None, len(texts))
                 with np.errstate(divide="ignore", invalid="ignore"):
                     value = np.exp(-sums / n)
                 out.append(pa.RecordBatch.from_arrays([*batch.columns[: len(names) + 1], pa.array(n), pa.array(value, mask=n == 0)], [*names, "trusted", "n_chars", "perplexity"]))
+        del hashes, logs, places, known
+        memory_returned()
         return pa.Table.from_batches(out)
 
     schema = f"{kinds}, trusted boolean, n_chars long, perplexity double"

@@ -7,6 +7,8 @@ is made per word. Factors of places have no rule that repetitive words could mee
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,6 +33,13 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def memory_returned() -> None:
+    """Gives back to the system what a task has freed: Python workers outlive their tasks, and what they hold on to is missing in the next stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not in every C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def factors(n: int, kind: int = 0) -> np.ndarray:
     """Random odd factors of the places 0 to n - 1; kinds are independent of each other."""
     return mixed(mixed(np.arange(1, n + 1, dtype=np.uint64) * _BASE) + np.uint64(2 * kind + 1)) | np.uint64(1)

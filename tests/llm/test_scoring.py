@@ -360,6 +360,18 @@ def test_perplexity(spark, scripts, monkeypatch, block, chunk, send):
             assert r["perplexity"] == (pytest.approx(perplexity(p[fold[i]], t), rel=1e-4) if t else None), t
 
 
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 1000, 4096])
+def test_lookup(n):
+    """Places in a sorted table, also of hashes before, between and behind its own, and where many share their first bits."""
+    rng = np.random.default_rng(n)
+    for table in (rng.integers(0, 2**64, n, dtype=np.uint64), np.arange(n, dtype=np.uint64), 2**64 - 1 - np.arange(n, dtype=np.uint64)):
+        table = np.unique(table)
+        asked = np.concatenate([rng.permutation(table), rng.integers(0, 2**64, 50, dtype=np.uint64), np.array([0, 2**64 - 1], np.uint64)])
+        at = qual._lookup(table)(asked)
+        assert at[: len(table)].tolist() == np.searchsorted(table, asked[: len(table)]).tolist()
+        assert (at >= 0).all() and (at < max(1, len(table))).all()
+
+
 def test_probabilities_sum_to_one(spark):
     rows = [(a + b + c + d + e, 1 + (ord(a) + ord(e)) % 4 if a < "c" and e != "c" else 0, 0) for a in "abc" for b in "ab" for c in "ab" for d in "ab" for e in "abc"]
     p = qual.probabilities(spark.createDataFrame(rows, "g string, c0 long, c1 long")).toPandas()

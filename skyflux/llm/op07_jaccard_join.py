@@ -8,7 +8,9 @@ class, so copies cost one row each and nothing more. Two sets are linked when 10
 2. Prefix lists. Linked sets share a shingle among the first |A| - ceil(0.8 |A|) + 1. A list holds for each set its size and the shingle's position in it, and
    is cut into blocks of equal size and position. Blocks are compared before rows: the larger sizes behind a block that can't reach the similarity are jumped over as a whole, and
    so are blocks whose positions leave too little room for the overlap that their sizes need. Of the rest, the pairs of rows are added up over lists, and a pair stays a candidate if its
-   shared prefix and all that lies behind it could reach the overlap that it needs. A long list only chains its sets in order of size: one edge for each.
+   shared prefix and all that lies behind it could reach the overlap that it needs, and the sets' bitmaps allow it: each bit is the parity of the shingles that fall on it, so two
+   sets differ in at least as many shingles as their bitmaps in bits. The sets of a long list meet in one task with their bitmaps only; it returns a forest of the pairs that could be linked, so lists of sets that
+   only share a common passage make no large clusters. Lists of more than LIST_MAX sets chain them in order of size.
 3. Candidate clusters are the components of these edges; no linked pair crosses one. A cluster's sets meet in one task, or, where it has more
    than BLOCK sets, in a task for each pair of blocks of equal or neighbouring size classes.
 4. Answers. In a task a set's overlaps with all others are derived from those of the most similar set that is done already: lists of
@@ -33,9 +35,10 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .store import dropped, written
-from .text import mixed, pairs_of, shingle_sets, sixteen, words
+from .text import memory_returned, mixed, pairs_of, shingle_sets, sixteen, words
 
 FREQUENT, FREQUENT_MAX, BLOCK, SEND_MAX, COMMON = 32, 1_000_000, 1024, 500_000, 1000
+LIST_MAX, TILE, BITS = 1 << 15, 1024, 256
 _PLAIN = np.zeros(0, np.uint64)
 
 
@@ -45,6 +48,11 @@ def _digest(s: np.ndarray) -> bytes:
     return mixed(both).astype(">u8").tobytes()
 
 
+def _bitmap(s: np.ndarray) -> np.ndarray:
+    """BITS parities as BITS / 64 numbers."""
+    return np.packbits(np.bincount((mixed(s) % np.uint64(BITS)).astype(np.int64), minlength=BITS).astype(np.uint8) & 1).view(np.int64)
+
+
 def _is_in(values: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Membership in a sorted table."""
     if not len(table):
@@ -66,25 +74,27 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, shared=None, prefixes: bool = True) -> DataFrame:
-    """doc_id, key, n_shingles, digest and the prefix of every row; without words: 0, null and null."""
+    """doc_id, key, n_shingles, digest, bitmap and the prefix of every row; without words: 0, nulls and an empty prefix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = shared.value if shared is not None else _PLAIN
         for batch in batches:
             for w in words(batch.column(1), lower=True):
-                n, digest, prefix = [], [], []
+                n, digest, bits, prefix = [], [], [], []
                 for s in shingle_sets(w):
                     n.append(len(s))
                     digest.append(_digest(s) if len(s) else None)
+                    bits.append(_bitmap(s).tobytes() if len(s) and shared is None else None)
                     if prefixes:
                         prefix.append(_prefix(s, frequent) if len(s) else _PLAIN)
-                out = [batch.column(0)[w.lo : w.hi], batch.column(2)[w.lo : w.hi], pa.array(n, pa.int32()), pa.array(digest, pa.binary())]
+                out = [batch.column(0)[w.lo : w.hi], batch.column(2)[w.lo : w.hi], pa.array(n, pa.int32()), pa.array(digest, pa.binary()), pa.array(bits, pa.binary())]
                 if prefixes:
                     offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefix])]).astype(np.int32)
                     out.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(prefix).view(np.int64))))
-                yield pa.RecordBatch.from_arrays(out, ["doc_id", "key", "n_shingles", "digest", "prefix"][: len(out)])
+                yield pa.RecordBatch.from_arrays(out, ["doc_id", "key", "n_shingles", "digest", "bits", "prefix"][: len(out)])
+        memory_returned()
 
-    return _keyed(docs).mapInArrow(run, "doc_id long, key long, n_shingles int, digest binary" + ", prefix array<bigint>" * prefixes)
+    return _keyed(docs).mapInArrow(run, "doc_id long, key long, n_shingles int, digest binary, bits binary" + ", prefix array<bigint>" * prefixes)
 
 
 def _frequent(sets: DataFrame, bound: int, most: int) -> np.ndarray:
@@ -130,10 +140,9 @@ def _block_pairs(token: np.ndarray, n: np.ndarray, at: np.ndarray) -> tuple[np.n
 
 
 def _edges_of_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (token, n, digest, p, at), lists one after the other, by n and at within: (u, v, least count needed, chain edge or not)."""
+    """Rows (token, n, digest, p, at), lists one after the other, by n and at within: (u, v, least count needed, null) of the pairs of short lists, and (set, null, null, token) of the rows of long ones."""
 
     def of(token, n, p, at, d):
-        """Pairs of short lists and chains of long ones."""
         first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])[: len(token)])
         size = np.diff(np.concatenate([first, [len(token)]]))
         size = np.repeat(size, size)
@@ -142,16 +151,14 @@ def _edges_of_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         short = np.flatnonzero(~long)
         x, y = _block_pairs(token[short], n[short], at[short])
         x, y = short[x], short[y]
-        a = np.flatnonzero((token[:-1] == token[1:]) & long[1:])
-        a = a[5 * n[a] >= 4 * n[a + 1]]
-        chain = np.concatenate([np.zeros(len(x), bool), np.ones(len(a), bool)])
-        x, y = np.concatenate([x, a]), np.concatenate([y, a + 1])
         need = _needed(n[x], n[y]) - np.maximum(n[x] - p[x], n[y] - p[y])
         u, v = d[x], d[y]
         swap = (u[:, 0] > v[:, 0]) | (u[:, 0] == v[:, 0]) & (u[:, 1] > v[:, 1])
         u, v = np.where(swap[:, None], v, u), np.where(swap[:, None], u, v)
         other = (u != v).any(axis=1)
-        return pa.RecordBatch.from_arrays([sixteen(u[other]), sixteen(v[other]), pa.array(need[other].astype(np.int32)), pa.array(chain[other])], ["u", "v", "need", "chain"])
+        names, pairs, lists = ["u", "v", "need", "list"], int(other.sum()), int(long.sum())
+        yield pa.RecordBatch.from_arrays([sixteen(u[other]), sixteen(v[other]), pa.array(need[other].astype(np.int32)), pa.nulls(pairs, pa.int64())], names)
+        yield pa.RecordBatch.from_arrays([sixteen(d[long]), pa.nulls(lists, pa.binary()), pa.nulls(lists, pa.int32()), pa.array(token[long].view(np.int64))], names)
 
     held = None
     for batch in batches:
@@ -162,13 +169,51 @@ def _edges_of_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             continue
         cut = len(columns[0]) - int((columns[0][::-1] != columns[0][-1]).argmax()) if columns[0][0] != columns[0][-1] else 0
         if cut:
-            yield of(*[c[:cut] for c in columns])
+            yield from of(*[c[:cut] for c in columns])
         held = [c[cut:] for c in columns]
         if len(held[0]) > 8 * FREQUENT:  # a long list in parts: FREQUENT + 1 rows stay, so that it is known to be long
-            yield of(*held)
+            yield from of(*held)
             held = [c[-FREQUENT - 1 :] for c in held]
     if held is not None:
-        yield of(*held)
+        yield from of(*held)
+    memory_returned()
+
+
+def _forest(table: pa.Table) -> pa.Table:
+    """(u, v): edges that connect what the pairs of a long list's sets that could be linked connect; table: digest, n and bits. Tiles of the pairs are compared in order of size,
+    without those whose sets are too far apart in size or are connected already."""
+    digest, n = pairs_of(table.column("digest")), table.column("n").to_numpy().astype(np.int64)
+    bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(len(n), -1)
+    order = np.lexsort((digest[:, 1], digest[:, 0], n))
+    order = order[np.concatenate([[True], (digest[order[1:]] != digest[order[:-1]]).any(axis=1)])]  # a list that was read in parts has rows twice
+    digest, n, bits = digest[order], n[order], bits[order]
+    m, label = len(n), np.arange(len(n))
+    if m > LIST_MAX:
+        tiles = []
+        u = np.flatnonzero(5 * n[:-1] >= 4 * n[1:])
+        label = np.arange(m) - np.isin(np.arange(m), u + 1)
+    else:
+        tiles = [(a, b) for b in range(0, m, TILE) for a in range(b, -1, -TILE) if 5 * n[min(a + TILE, m) - 1] >= 4 * n[b]]
+    for a, b in tiles:
+        x, y = np.arange(a, min(a + TILE, m)), np.arange(b, min(b + TILE, m))
+        if a < b and label[x[0]] == label[y[0]] and (label[x] == label[x[0]]).all() and (label[y] == label[x[0]]).all():
+            continue
+        apart = np.zeros((len(x), len(y)), np.int64)
+        for k in range(bits.shape[1]):
+            apart += np.bitwise_count(bits[x, k][:, None] ^ bits[y, k])
+        both = n[x][:, None] + n[y]
+        i, j = np.nonzero((apart <= both - 2 * ((4 * both + 8) // 9)) & (5 * n[x][:, None] >= 4 * n[y]) & (x[:, None] < y))
+        i, j = x[i], y[j]
+        while len(i):
+            lower = np.minimum(label[i], label[j])
+            np.minimum.at(label, label[i], lower)
+            np.minimum.at(label, label[j], lower)
+            while (label[label] != label).any():
+                label = label[label]
+            left = label[i] != label[j]
+            i, j = i[left], j[left]
+    other = np.flatnonzero(label != np.arange(m))
+    return pa.table([sixteen(digest[label[other]]), sixteen(digest[other])], ["u", "v"])
 
 
 def _answers(key: tuple, table: pa.Table) -> pa.Table:
@@ -227,6 +272,9 @@ def _answers(key: tuple, table: pa.Table) -> pa.Table:
             merged = np.unique(label[near])
             label[np.isin(label, merged)] = merged[0]
             label[y] = merged[0]
+    if m > BLOCK // 2:
+        del overlap, every, owner, sets
+        memory_returned()
     return pa.table([sixteen(digest), sixteen(digest[label]), pa.array(links)], ["digest", "root", "links"])
 
 
@@ -239,7 +287,7 @@ def _joined(docs: DataFrame, frequent: int = FREQUENT, frequent_max: int = FREQU
     """As joined(), with the row's key."""
     spark = docs.sparkSession
     sets = written(_sets(docs), "sets")
-    classes = sets.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("least"), F.min("key").alias("rep"), F.count("*").alias("weight"), F.first("n_shingles").alias("n"))
+    classes = sets.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("least"), F.min("key").alias("rep"), F.count("*").alias("weight"), F.first("n_shingles").alias("n"), F.first("bits").alias("bits"))
     classes = written(classes, "classes")
     late = spark.sparkContext.broadcast(_frequent(sets, frequent, frequent_max))
     members = written(sets.select("doc_id", "key", "n_shingles", "digest"), "members")
@@ -248,9 +296,22 @@ def _joined(docs: DataFrame, frequent: int = FREQUENT, frequent_max: int = FREQU
     lists = _sets(docs, late).where("digest IS NOT NULL").join(classes.select("digest", F.col("rep").alias("key")), ["digest", "key"], "left_semi")
     lists = lists.select(F.posexplode("prefix").alias("at", "token"), F.col("n_shingles").alias("n"), "digest", F.size("prefix").alias("p"))
     lists = lists.select("token", "n", "p", "at", "digest").repartition("token").sortWithinPartitions("token", "n", "at", "digest")
-    pairs = lists.mapInArrow(_edges_of_lists, "u binary, v binary, need int, chain boolean")
-    edges = pairs.groupBy("u", "v").agg(F.count("*").alias("c"), F.min("need").alias("need"), F.bool_or("chain").alias("chain")).where("chain OR c >= need").select("u", "v")
+    found = lists.mapInArrow(_edges_of_lists, "u binary, v binary, need int, list long").groupBy("u", "v", "list").agg(F.count("*").alias("c"), F.min("need").alias("need"))
+    found = written(found.where("list IS NOT NULL OR c >= need").select("u", "v", "list"), "found")
+    bits = classes.select("digest", "n", "bits")
+    long = found.where("list IS NOT NULL").select(F.col("u").alias("digest"), "list").join(bits, "digest")
+    forest = long.groupBy("list").applyInArrow(lambda table: _forest(table), "u binary, v binary")
+    few = found.where("list IS NULL").select("u", "v")
+    for side in ("u", "v"):
+        few = few.join(bits.select(F.col("digest").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}")), side)
+    at = [F.conv(F.substring(F.hex(F.col(f"bits_{side}")), 16 * k + 1, 16), 16, -10).cast("bigint") for k in range(BITS // 64) for side in ("u", "v")]
+    apart = sum((F.bit_count(x.bitwiseXOR(y)) for x, y in zip(at[::2], at[1::2], strict=True)), F.lit(0))
+    both = F.col("n_u") + F.col("n_v")
+    few = few.where(apart <= both - 2 * F.floor((4 * both + 8) / 9)).select("u", "v")
+    edges = written(few.unionAll(forest).distinct(), "edges")
+    dropped(found)
     clusters = components(edges)
+    dropped(edges)
 
     kinds = clusters.join(classes, clusters.node == classes.digest).select("digest", "label", "rep", "weight", "n", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25))).cast("int").alias("kind"))
     kinds = written(kinds, "clusters")
@@ -286,6 +347,7 @@ def _joined(docs: DataFrame, frequent: int = FREQUENT, frequent_max: int = FREQU
                 rest = [batch.column(i)[w.lo : w.hi] for i in (1, 2, 3, 4)]
                 out = pa.RecordBatch.from_arrays([*rest, pa.array([len(s) for s in every], pa.int32()), pa.array([s.tobytes() for s in every], pa.binary())], names)
                 yield out.filter(pa.array(fits, pa.bool_()))
+        memory_returned()
 
     kind = placed.schema["tasks"].dataType.simpleString()
     shipped = texts.select("text", "digest", "label", "weight", "tasks").mapInArrow(sets_of, f"digest binary, label binary, weight long, tasks {kind}, n int, tokens binary")

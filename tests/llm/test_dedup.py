@@ -6,7 +6,9 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from skyflux.llm import op03_substring_dedup as sub
 from skyflux.llm import op07_jaccard_join as jac
@@ -263,3 +265,39 @@ def test_components(spark):
         of[label].add(find(n))
     assert all(len(x) == 1 for x in of.values()) and len({find(n) for n in got}) == len(of)
     assert set(got) == {x for e in edges if e[0] != e[1] for x in e}
+
+
+def test_lists_of_a_common_passage(spark, monkeypatch):
+    """Sets that share a common passage only stay apart; every linked pair of a list is connected, also over tiles; rows that stand there twice don't matter."""
+    monkeypatch.setattr(jac, "TILE", 16)
+    rng = np.random.default_rng(5)
+    passage, sets = rng.integers(0, 2**64, 8, dtype=np.uint64), []
+    for _ in range(60):
+        own = rng.integers(0, 2**64, int(rng.integers(20, 60)), dtype=np.uint64)
+        for _ in range(int(rng.integers(1, 4))):
+            sets.append(np.unique(np.concatenate([passage, own])))
+            own = np.concatenate([own[2:], rng.integers(0, 2**64, 2, dtype=np.uint64)])
+    table = pa.table({"digest": [jac._digest(s) for s in sets], "n": [len(s) for s in sets], "bits": [jac._bitmap(s).tobytes() for s in sets]})
+    table = pa.concat_tables([table, table.slice(0, 5)])
+    forest = {d: d for d in table.column("digest").to_pylist()}
+
+    def root(d):
+        while forest[d] != d:
+            d = forest[d]
+        return d
+
+    for u, v in zip(*jac._forest(table).to_pydict().values(), strict=True):
+        forest[root(u)] = root(v)
+    digest, linked = table.column("digest").to_pylist(), 0
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            both = len(np.intersect1d(a, b))
+            if 100 * both >= 80 * (len(a) + len(b) - both):
+                linked += 1
+                assert root(digest[i]) == root(digest[j])
+    assert linked > 30 and len({root(d) for d in digest}) > 40
+    d = [jac._bitmap(s) for s in sets[:20]]
+    rows = spark.createDataFrame([(bytearray(x.tobytes()),) for x in d], "b binary")
+    half = [F.conv(F.substring(F.hex("b"), 16 * k + 1, 16), 16, -10).cast("bigint") for k in range(4)]
+    ours = [r[0] for r in rows.select(sum((F.bit_count(x.bitwiseXOR(F.lit(5))) for x in half), F.lit(0))).collect()]
+    assert ours == [sum(bin((int.from_bytes(x.tobytes()[8 * k : 8 * k + 8], "big")) ^ 5).count("1") for k in range(4)) for x in d]

@@ -5,14 +5,17 @@ single precision."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from ..functions.timefn import floor_to
-from .filters import highpass
-from .repair import repair
+from . import blocks
+from .blocks import Batches, Values
 
 KEY, ORDER, L1_MHZ = ["file_id", "prn"], "row_id", 1575.42
 GAP_S, PAD_S = 2.0, 180.0
@@ -42,11 +45,12 @@ def with_file_stats(df: DataFrame) -> DataFrame:
     return df.join(sampling_rate(df).join(freq, "file_id", "right"), "file_id", "left")
 
 
-def edge_gap(seconds: np.ndarray, missing: np.ndarray, fs: float, gap: float = GAP_S, pad: float = PAD_S) -> np.ndarray:
-    """Rows within pad seconds of the ends, of gaps and of missing values."""
+def edge_gap(seconds: np.ndarray, missing: np.ndarray, fs: float, gap: float = GAP_S, pad: float = PAD_S, first: bool = True, last: bool = True) -> np.ndarray:
+    """Rows within pad seconds of the ends (if they are the series' first and last rows), of gaps and of missing values."""
     n, k = len(seconds), round(pad * fs)
     mark = missing.copy()
-    mark[[0, -1]] = True
+    mark[:1] |= first
+    mark[-1:] |= last
     mark[1:] |= np.diff(seconds) > gap
     near = np.concatenate([[0], np.cumsum(mark)])
     at = np.arange(n)
@@ -56,33 +60,64 @@ def edge_gap(seconds: np.ndarray, missing: np.ndarray, fs: float, gap: float = G
 def detrended(df: DataFrame) -> DataFrame:
     """detrended_cph{i} (rad), cycleslips_cph{i} and edgegap_mask_cph{i}. df has datetime, minbin, prn, freq_{i} and cph{i}.
 
-    A grouped map over (file_id, prn): some 300,000 rows at 20 Hz in four hours. Files without a known rate get nulls and false."""
+    A map over each (file_id, prn) in order, in blocks: some 300,000 rows at 20 Hz in four hours, but of any length. Files without a known rate get nulls and false."""
     own = slots(df)
     plain, df = df.columns, with_file_stats(df)
     names = df.columns
     new = [(f"{n}_cph{i}", t) for i in own for n, t in (("detrended", "double"), ("cycleslips", "boolean"), ("edgegap_mask", "boolean"))]
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(ORDER, kind="stable")
-        fs = rows["fs"].iloc[0]
-        seconds = rows["datetime"].to_numpy("datetime64[us]").astype(np.int64) / 1e6
-        for i in own:
-            raw = pd.Series(rows[f"cph{i}"].to_numpy(float))
-            missing = ~np.isfinite(raw.to_numpy())
-            out, slip, mask = np.full(len(raw), np.nan), np.zeros(len(raw), bool), np.zeros(len(raw), bool)
-            if not missing.all() and fs == fs and fs is not None:
-                radians = raw.interpolate(limit_direction="both") * (2 * np.pi)
-                threshold = rows[f"_thr{i}"].iloc[0]
-                y, slip = repair(radians.to_numpy(), fs, threshold if threshold is not None else np.nan)
-                out = highpass(y, fs)
-                mask = edge_gap(seconds, missing, fs)
-                out[missing], slip = np.nan, slip & ~missing
-            rows[f"detrended_cph{i}"] = pd.Series(out, index=rows.index).astype(object).where(~np.isnan(out), None)
-            rows[f"cycleslips_cph{i}"], rows[f"edgegap_mask_cph{i}"] = slip, mask
-        return rows[[*names, *[n for n, _ in new]]]
+    def found(raw: Values, micros: Values, fs: float | None, threshold: float | None) -> tuple[Values, Values, Values] | None:
+        """(detrended, slips, mask) of a phase; None where there are none."""
+        if fs is None or not any(np.isfinite(raw.read(lo, hi)).any() for lo, hi in raw.blocks()):
+            return None
+        y, slip = blocks.repair(blocks.lines(raw, 2 * np.pi), fs, threshold if threshold is not None else np.nan)
+        out, reach, n = blocks.highpass(y, fs), round(PAD_S * fs) + 1, raw.n
+        mask, known, slips = Values(bool), Values(), Values(bool)
+        for lo, hi in raw.blocks():
+            a, e = max(lo - reach, 0), min(hi + reach, n)
+            missing = ~np.isfinite(raw.read(a, e))
+            mask.add(edge_gap(micros.read(a, e) / 1e6, missing, fs, first=a == 0, last=e == n)[lo - a : hi - a])
+            missing = missing[lo - a : hi - a]
+            known.add(np.where(missing, np.nan, out.read(lo, hi)))
+            slips.add(slip.read(lo, hi) & ~missing)
+        return known, slips, mask
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, micros, raw = Batches(), Values(np.int64), {i: Values() for i in own}
+        for batch in batches:
+            if not micros.n:
+                fs, thresholds = batch.column("fs")[0].as_py(), {i: batch.column(f"_thr{i}")[0].as_py() for i in own}
+            rows.add(batch)
+            micros.add(_integers(batch.column("datetime")))
+            for i in own:
+                raw[i].add(_floats(batch.column(f"cph{i}")))
+        results = [found(raw[i], micros, fs, thresholds[i]) for i in own] if micros.n else []
+        for lo, hi, batch in rows:
+            columns = batch.select(names).columns
+            for one in results:
+                if one is None:
+                    columns += [pa.nulls(hi - lo, pa.float64()), *[pa.array(np.zeros(hi - lo, bool))] * 2]
+                else:
+                    columns += [pa.array(x.read(lo, hi), from_pandas=True) for x in one]
+            yield pa.RecordBatch.from_arrays(columns, [*names, *[n for n, _ in new]])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + "".join(f", {n} {t}" for n, t in new)
-    return df.where("prn IS NOT NULL").groupBy(*KEY).applyInPandas(run, kinds).select(*plain, "fs", *[n for n, _ in new])
+    return _in_order(df.where("prn IS NOT NULL")).applyInArrow(run, kinds).select(*plain, "fs", *[n for n, _ in new])
+
+
+def _in_order(df: DataFrame) -> GroupedData:
+    """The rows by KEY, sorted by ORDER within; they come in batches."""
+    return df.repartition(*KEY).sortWithinPartitions(*KEY, ORDER).groupBy(*KEY)
+
+
+def _floats(column: pa.Array) -> np.ndarray:
+    """Nulls are NaN."""
+    return column.cast(pa.float64()).to_numpy(zero_copy_only=False)
+
+
+def _integers(times: pa.Array) -> np.ndarray:
+    """Microseconds; nulls are the least number, as NaT is."""
+    return pc.fill_null(times.cast(pa.timestamp("us", times.type.tz)).cast(pa.int64()), -(2**63)).to_numpy(zero_copy_only=False)
 
 
 def clock_medians(df: DataFrame, keys: list[str], values: list[str], eligible: Column, name: str = "clock_term") -> DataFrame:
@@ -104,7 +139,7 @@ def clock_corrected(df: DataFrame) -> DataFrame:
 def with_tec(df: DataFrame, threshold: float = 1.0) -> DataFrame:
     """tec_cph1j (repaired, without its mean) and tec_rng1j (repaired) for j = 2, 3, where the table has the phases. df has fs.
 
-    A grouped map, as detrended(); files without a known rate and satellites without values get nulls."""
+    A map in blocks, as detrended(); files without a known rate and satellites without values get nulls."""
     from ..functions.tec import carrier_tec, code_tec
 
     pairs = [j for j in (2, 3) if {"cph1", f"cph{j}"} <= set(df.columns)]
@@ -117,24 +152,29 @@ def with_tec(df: DataFrame, threshold: float = 1.0) -> DataFrame:
         df = df.withColumn(f"tec_rng1{j}", code_tec(F.col("rng1"), F.col(f"rng{j}"), f1, fj))
     names = df.columns
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(ORDER, kind="stable")
-        fs = rows["fs"].iloc[0]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, n, known = Batches(), 0, dict.fromkeys([f"{kind}{j}" for j in (1, *pairs) for kind in ("cph", "rng")], False)
+        series = {f"tec_{kind}1{j}": Values() for j in pairs for kind in ("cph", "rng")}
+        for batch in batches:
+            fs = batch.column("fs")[0].as_py() if not n else fs
+            n += batch.num_rows
+            rows.add(batch)
+            for c in known:
+                known[c] = known[c] or not np.isnan(_floats(batch.column(c))).all()
+            for c, x in series.items():
+                x.add(_floats(batch.column(c)))
+        results = {}
         for j in pairs:
             for kind in ("cph", "rng"):
-                x = rows[f"tec_{kind}1{j}"].to_numpy(float)
-                empty = np.isnan(rows[[f"{kind}1", f"{kind}{j}"]].to_numpy(float)).all(axis=0).any()
-                if fs != fs or fs is None or empty:
-                    y = np.full(len(x), np.nan)
-                else:
-                    y, _ = repair(x, fs, threshold)
-                    if kind == "cph" and not np.isnan(y).all():
-                        y = y - np.nanmean(y)
-                rows[f"tec_{kind}1{j}"] = pd.Series(y, index=rows.index).astype(object).where(~np.isnan(y), None)
-        return rows[names]
+                if fs is not None and known[f"{kind}1"] and known[f"{kind}{j}"]:
+                    y, _ = blocks.repair(series[f"tec_{kind}1{j}"], fs, threshold)
+                    results[f"tec_{kind}1{j}"] = blocks.without_mean(y) if kind == "cph" else y
+        for lo, hi, batch in rows:
+            found = {c: pa.array(results[c].read(lo, hi), from_pandas=True) if c in results else pa.nulls(hi - lo, pa.float64()) for c in series}
+            yield pa.RecordBatch.from_arrays([found[c] if c in found else batch.column(c) for c in names], names)
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.groupBy(*KEY).applyInPandas(run, kinds)
+    return _in_order(df).applyInArrow(run, kinds)
 
 
 def without_unknown(df: DataFrame) -> DataFrame:

@@ -36,26 +36,35 @@ def _responses(a1: float, a2: float) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return np.where(lag >= 0, h[np.abs(lag)], 0.0).T.copy(), h[1:], -a2 * h[:-1]
 
 
-def biquad(x: np.ndarray, b: np.ndarray, a: np.ndarray) -> np.ndarray:
-    """One section from rest. Blocks of BLOCK samples are products with the recursion's impulse response; two values pass from block to block."""
+def biquad(x: np.ndarray, b: np.ndarray, a: np.ndarray, state: list[float] | None = None) -> np.ndarray:
+    """One section from rest. Blocks of BLOCK samples are products with the recursion's impulse response; two values pass from block to block.
+
+    state: the last two inputs and outputs before x, the nearer first; they are set to the last ones of x, so that a series can come in parts."""
     x = np.asarray(x, float)
     n = len(x)
     if not n:
         return x
+    x1, x2, y1, y2 = state if state is not None else [0.0] * 4
     u = b[0] * x
     u[1:] += b[1] * x[:-1]
     u[2:] += b[2] * x[:-2]
+    u[0] += b[1] * x1 + b[2] * x2
+    u[1:2] += b[2] * x1
     inside, last, before = _responses(float(a[1]), float(a[2]))
+    ends = [y1, y2]
     if n <= BLOCK:
-        return u @ inside[:n, :n]
-    blocks = np.zeros(-(-n // BLOCK) * BLOCK)
-    blocks[:n] = u
-    y = blocks.reshape(-1, BLOCK) @ inside
-    y1 = y2 = 0.0
-    for row in y:
-        row += last * y1 + before * y2
-        y1, y2 = row[-1], row[-2]
-    return y.reshape(-1)[:n]
+        out = u @ inside[:n, :n] + last[:n] * y1 + before[:n] * y2
+    else:
+        blocks = np.zeros(-(-n // BLOCK) * BLOCK)
+        blocks[:n] = u
+        y = blocks.reshape(-1, BLOCK) @ inside
+        for row in y:
+            row += last * y1 + before * y2
+            y1, y2 = row[-1], row[-2]
+        out = y.reshape(-1)[:n]
+    if state is not None:
+        state[:] = [x[-1], x[-2] if n > 1 else x1, out[-1], out[-2] if n > 1 else ends[0]]
+    return out
 
 
 def highpass(x: np.ndarray, fs: float, cutoff: float = CUTOFF_HZ) -> np.ndarray:

@@ -4,8 +4,10 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from skyflux.operators import filters, windows
-from skyflux.operators.detrend import edge_gap
+from pyspark.sql import functions as F
+
+from skyflux.operators import blocks, filters, windows
+from skyflux.operators.detrend import detrended, edge_gap
 from skyflux.operators.repair import repair, repair_by_bins, repaired
 
 
@@ -69,6 +71,48 @@ def test_filter(fs):
     assert len(filters.highpass(np.zeros(0), fs)) == 0
 
 
+@pytest.mark.parametrize("n", [1, 2, 9, 400, 5000, 40_000])
+def test_blocks_equal_kernels(monkeypatch, n):
+    """Series in blocks, with gaps longer than a block, values beyond numbers and slips, give what the kernels for series in memory give."""
+    monkeypatch.setattr(blocks, "BLOCK", 512)
+    monkeypatch.setattr(blocks, "HELD", 1024)
+    rng = np.random.default_rng(n)
+    for kind in ("plain", "gaps", "first", "slips", "infinite", "none"):
+        y = 0.5 * np.arange(n) + rng.normal(0, 0.01, n) + 40.0 * (np.arange(n) > n // 2)
+        if kind == "gaps":
+            y[rng.random(n) < 0.02] = np.nan
+            y[n // 4 : n // 2] = np.nan
+        elif kind == "first":
+            y[: n // 5] = np.nan
+        elif kind == "slips":
+            y += 30.0 * (rng.random(n) < 0.3)
+        elif kind == "infinite":
+            y[n // 3 : n // 3 + 2] = np.inf
+        elif kind == "none":
+            y[:] = np.nan
+        x = blocks.Values(values=y)
+        np.testing.assert_array_equal(blocks.lines(x, 2.0).read(0, n), pd.Series(y).interpolate(limit_direction="both").to_numpy() * 2.0, err_msg=kind)
+        for series in (y, pd.Series(y).interpolate(limit_direction="both").to_numpy()):
+            want, slip = repair(series, 10.0, 1.0)
+            got, marks = blocks.repair(blocks.Values(values=series), 10.0, 1.0)
+            np.testing.assert_array_equal(marks.read(0, n), slip, err_msg=kind)
+            np.testing.assert_allclose(got.read(0, n), want, rtol=1e-12, err_msg=kind)
+            np.testing.assert_allclose(blocks.highpass(got, 10.0).read(0, n), filters.highpass(want, 10.0), atol=1e-8, err_msg=kind)
+            if not np.isnan(want).all():
+                np.testing.assert_allclose(blocks.without_mean(got).read(0, n), want - np.nanmean(want), atol=1e-8, err_msg=kind)
+
+
+def test_long_series_in_little_memory(spark):
+    """Both maps get a satellite's rows in batches in their order, whatever order they come in, and edges of blocks are no edges of the series."""
+    n = 70_000
+    rows = spark.range(n).select(F.lit("f").alias("file_id"), F.lit("G01").alias("prn"), F.col("id").alias("row_id"), F.timestamp_add("MILLISECOND", F.col("id") * 100, F.expr("TIMESTAMP_NTZ '2024-05-10 00:00:00'")).alias("datetime"), F.when(F.col("id") != 40_000, F.col("id") * 0.5 + 50.0 * (F.col("id") >= 300).cast("int")).alias("cph1"), F.lit(1575.42).alias("freq_1"))
+    rows = rows.withColumn("minbin", F.date_trunc("minute", "datetime").cast("timestamp_ntz")).orderBy(F.xxhash64("row_id"))
+    got = detrended(rows).toPandas().sort_values("row_id")
+    assert np.flatnonzero(got.cycleslips_cph1).tolist() == [0, 300]
+    assert np.flatnonzero(got.edgegap_mask_cph1).tolist() == [*range(1801), *range(40_000 - 1800, 40_001 + 1800), *range(n - 1801, n)]
+    assert got.detrended_cph1.isna().sum() == 1 and got.detrended_cph1.iloc[65_000:66_000].abs().max() < 1e-3
+
+
 def test_edge_gap():
     t = np.arange(6000) / 10.0
     t[3000:] += 3

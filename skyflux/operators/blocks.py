@@ -122,10 +122,10 @@ def repair(y: Values, fs: float, threshold: float) -> tuple[Values, Values]:
         good.add(part)
     if y.n > SHORT and total / y.n > SHARE:
         return y, slips
-    out, carry, good = Values(), 0.0, lines(good)
+    out, carry, good = Values(), np.longdouble(0), lines(good)
     first = y.read(0, 1)
     for lo, hi in good.blocks():
-        part = np.cumsum(np.concatenate([[carry], good.read(lo, hi)]))[1:]
+        part = np.cumsum(np.concatenate([[carry], good.read(lo, hi)]))[1:]  # in extended precision, since errors would grow with the series
         carry = part[-1]
         out.add(first + part)
     return out, slips

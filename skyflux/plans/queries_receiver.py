@@ -82,7 +82,8 @@ def detrended_masks(spark, sf):
 
 
 def tec_repaired(spark, sf):
-    t = detrend.with_tec(detrend.formatted(receiver(spark, sf)).withColumn("fs", F.lit(10.0)))
+    lvl0 = detrend.formatted(receiver(spark, sf)).select(*KEY, "cph1", "cph2", "rng1", "rng2", "freq_1", "freq_2", F.lit(10.0).alias("fs"))  # the map carries all that it is given
+    t = detrend.with_tec(lvl0)
     return t.select(*KEY, r(F.col("tec_cph12"), "carrier", 4), r(F.col("tec_rng12"), "code", 4))
 
 

@@ -1,14 +1,21 @@
 """Repair, filter and mask kernels, and their window forms."""
 
+import math
+import tracemalloc
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from pyspark.sql import functions as F
+from pyspark.sql.group import GroupedData
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from skyflux.operators import blocks, filters, windows
 from skyflux.operators.detrend import detrended, edge_gap
 from skyflux.operators.repair import repair, repair_by_bins, repaired
+from skyflux.plans import queries_receiver
 
 
 def ramp(n=100, at=50, step=40.0):
@@ -113,6 +120,61 @@ def test_long_series_in_little_memory(spark):
     assert got.detrended_cph1.isna().sum() == 1 and got.detrended_cph1.iloc[65_000:66_000].abs().max() < 1e-3
 
 
+def test_long_sums():
+    """A repaired value is the sum of its steps to a unit in the last place, however many there are."""
+    y = np.random.default_rng(2).normal(0, 1000, 200_000)
+    steps = y[1:] - y[:-1]
+    for got in (blocks.repair(blocks.Values(values=y), 10.0, 1e9)[0].read(0, len(y)), repair(y, 10.0, 1e9)[0]):
+        for at in (1000, 65_535, 65_536, 150_000, 199_999):
+            want = math.fsum([y[0], steps[0], *steps[:at]])
+            assert abs(got[at] - want) <= np.spacing(1000.0)
+
+
+def _maps(monkeypatch, query, spark):
+    """(map, columns that it gets) of each grouped map in a query's plan."""
+    found, plain = [], GroupedData.applyInArrow
+
+    def spied(self, run, schema):
+        found.append((run, to_arrow_schema(self._df.schema)))
+        return plain(self, run, schema)
+
+    monkeypatch.setattr(GroupedData, "applyInArrow", spied)
+    query(spark, "/root/testdata/sf0.001")
+    return found
+
+
+def _series(schema, n, size=10_000):
+    for lo in range(0, n, size):
+        at = np.arange(lo, min(lo + size, n))
+        known = {"file_id": ["f"] * len(at), "prn": ["G01"] * len(at), "row_id": at, "datetime": at * 100_000, "fs": np.full(len(at), 10.0), "_thr1": np.ones(len(at)), "_thr2": np.ones(len(at))}
+        own = [at * 0.5 if c.name.startswith(("cph", "rng", "tec")) else known.get(c.name) for c in schema]
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(at), c.type) if x is None else pa.array(x).cast(c.type) for x, c in zip(own, schema, strict=True)], schema=schema)
+
+
+def _peak(run, schema, n):
+    """Bytes of Python's and numpy's memory while a map runs over a series of n rows."""
+    tracemalloc.start()
+    try:
+        assert sum(batch.num_rows for batch in run(_series(schema, n))) == n
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+@pytest.mark.parametrize("query, maps", [("tec_repaired", 1)])
+def test_memory_does_not_grow_with_series(monkeypatch, spark, query, maps):
+    found = _maps(monkeypatch, getattr(queries_receiver, query), spark)
+    assert len(found) == maps
+    for run, schema in found:
+        assert _peak(run, schema, 900_000) < 1.3 * _peak(run, schema, 300_000)
+
+
+def test_tec_carries_only_its_columns(monkeypatch, spark):
+    """All columns that a map gets are sorted, sent to Python and kept until the series ends."""
+    [(_, schema)] = _maps(monkeypatch, queries_receiver.tec_repaired, spark)
+    assert set(schema.names) == {"file_id", "prn", "row_id", "fs", "freq_1", "freq_2", "cph1", "cph2", "rng1", "rng2", "tec_cph12", "tec_rng12"}
+
+
 def test_edge_gap():
     t = np.arange(6000) / 10.0
     t[3000:] += 3

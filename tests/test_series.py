@@ -161,7 +161,7 @@ def _peak(run, schema, n):
         tracemalloc.stop()
 
 
-@pytest.mark.parametrize("query, maps", [("tec_repaired", 1)])
+@pytest.mark.parametrize("query, maps", [("tec_repaired", 1), ("minute_products", 2)])
 def test_memory_does_not_grow_with_series(monkeypatch, spark, query, maps):
     found = _maps(monkeypatch, getattr(queries_receiver, query), spark)
     assert len(found) == maps

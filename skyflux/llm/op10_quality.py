@@ -7,6 +7,7 @@ grows with the corpus and is never collected or broadcast. A text has ORDER - 1
 1. Folds. Every text belongs to one of two folds by its hash. There are two models, each of the trusted texts (labels with quality 1) of one fold, and
    a text is scored by the model of the other one; no text is judged by a model that has learnt it or a copy of it.
 2. Counting. Each task counts the distinct n-grams of its texts, and how often they stand in trusted texts of each fold; these are added up by n-gram.
+   A task holds some MERGE of them and gives them in several parts where it has more.
 3. Probabilities. From ORDER down, each order's table holds all n-grams that scoring needs (suffixes of those in any text) with their counts or
    continuation counts; from 1 up, each is joined with its context's sums and with its suffix's probability.
 4. Scoring. Tasks' texts are put together to blocks of about BLOCK bytes and packed. The probabilities that a block needs (its distinct n-grams) are joined from
@@ -39,17 +40,17 @@ from .text import memory_returned, mixed
 
 ORDER, BEFORE, CODE_POINTS = 5, 0xFFFF, 0x110000
 HIGH, MARGIN, PRIOR = 0.99, 1.03, 64
-BLOCK, CHUNK, MERGE, SEND_MAX = 96 << 20, 1 << 20, 1_500_000, 2_000_000
+BLOCK, CHUNK, PART, MERGE, SEND_MAX = 96 << 20, 1 << 20, 1 << 18, 1_000_000, 2_000_000
 _FACTORS = [mixed(np.arange(1, ORDER + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(s)) | np.uint64(1) for s in (1, 2)]
 
 
-def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """The rows of a batch in parts of about CHUNK bytes of a text column; a longer text is a part of its own."""
+def _slices(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in parts of about so many bytes of a text column; a longer text is a part of its own."""
     size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     lo = 0
     while lo < batch.num_rows:
         before = size[lo - 1] if lo else 0
-        hi = max(lo + 1, int(np.searchsorted(size, before + CHUNK, "right")))
+        hi = max(lo + 1, int(np.searchsorted(size, before + most, "right")))
         yield batch.slice(lo, hi - lo)
         lo = hi
 
@@ -104,24 +105,35 @@ def _strings(points: np.ndarray) -> pa.Array:
     return pa.StringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends.tobytes()), pa.py_buffer(data))
 
 
-def _summed(hashes: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
-    """One row for each hash: the first row's points, and the sums of the other columns."""
-    order = np.argsort(hashes)
-    hashes = hashes[order]
-    first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
-    return (hashes[first], columns[0][order[first]], *[np.add.reduceat(c[order], first) for c in columns[1:]])
-
-
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (text, trusted, fold, block): the task's distinct n-grams with their counts in trusted texts of fold 0 and 1."""
+    """Rows (text, trusted, fold, block): distinct n-grams with their counts in trusted texts of fold 0 and 1. At most some MERGE n-grams are held:
+    a task with more of them gives some several times, and their counts are added up with those of other tasks."""
     held: list[tuple] = []
+    block = 0
 
-    def merged() -> tuple:
-        return _summed(*[np.concatenate(x) for x in zip(*held, strict=True)])
+    def merged() -> None:
+        columns = [list(x) for x in zip(*held, strict=True)]
+        held.clear()
+        hashes = np.concatenate(columns[0])
+        order = np.argsort(hashes)
+        hashes = hashes[order]
+        first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+        out = [hashes[first]]
+        del hashes
+        columns[0].clear()
+        out.append(np.concatenate(columns[1])[order[first]])
+        columns[1].clear()
+        out += [np.add.reduceat(np.concatenate(c)[order], first) for c in columns[2:]]
+        held.append(tuple(out))
+
+    def given() -> Iterator[pa.RecordBatch]:
+        _, points, c0, c1 = held.pop()
+        for lo in range(0, len(c0), 50_000):
+            hi = min(len(c0), lo + 50_000)
+            yield pa.RecordBatch.from_arrays([_strings(points[lo:hi]), pa.array(np.full(hi - lo, block, np.int32)), pa.array(c0[lo:hi]), pa.array(c1[lo:hi])], ["g", "block", "c0", "c1"])
 
-    block, limit = 0, MERGE
     for batch in batches:
-        for part in _slices(batch, 0):
+        for part in _slices(batch, 0, PART):
             block = part.column(3)[0].as_py()
             points, row, at = _sequence(part.column(0).to_pylist())
             if not len(at):
@@ -135,16 +147,13 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts = [np.add.reduceat(label == 1 + f, first, dtype=np.int64) for f in (0, 1)]
             ends = at[order[first]]
             held.append((h[first], points[ends[:, None] - np.arange(ORDER - 1, -1, -1)], *counts))
-            if sum(len(x[0]) for x in held) > limit:
-                held = [merged()]
-                limit = max(MERGE, 2 * len(held[0][0]))
+            if sum(len(x[0]) for x in held) > MERGE:
+                merged()
+                if 2 * len(held[0][0]) > MERGE:
+                    yield from given()
     if held:
-        _, points, c0, c1 = merged()
-        for lo in range(0, len(c0), 100_000):
-            hi = min(len(c0), lo + 100_000)
-            yield pa.RecordBatch.from_arrays([_strings(points[lo:hi]), pa.array(np.full(hi - lo, block, np.int32)), pa.array(c0[lo:hi]), pa.array(c1[lo:hi])], ["g", "block", "c0", "c1"])
-        held.clear()
-        del points, c0, c1
+        merged()
+        yield from given()
     memory_returned()
 
 
@@ -196,7 +205,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows with the block last, in compressed pieces: block, size and bytes."""
     codec = pa.Codec("zstd", compression_level=3)
     for batch in batches:
-        for part in _slices(batch, batch.num_columns - 2):
+        for part in _slices(batch, batch.num_columns - 2, CHUNK):
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, part.schema) as out:
                 out.write_batch(pa.RecordBatch.from_arrays([pa.array(c.to_pylist(), c.type) if c.offset else c for c in part.columns], schema=part.schema))
@@ -206,7 +215,8 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _points(strings: pa.ChunkedArray) -> np.ndarray:
     """The code points of strings of ORDER characters."""
-    return np.frombuffer("".join(strings.to_pylist()).encode("utf-32-le", "surrogatepass"), np.uint32)
+    parts = [c.slice(lo, 10_000) for c in strings.chunks for lo in range(0, len(c), 10_000)]
+    return np.concatenate([np.zeros(0, np.uint32), *[np.frombuffer("".join(x.to_pylist()).encode("utf-32-le", "surrogatepass"), np.uint32) for x in parts]])
 
 
 def perplexities(docs: DataFrame, trusted: DataFrame, payload: list[str], block: int = BLOCK, send_max: int = SEND_MAX) -> DataFrame:
@@ -239,8 +249,8 @@ def perplexities(docs: DataFrame, trusted: DataFrame, payload: list[str], block:
         del points, order
         codec, out, places = pa.Codec("zstd"), [], _lookup(hashes)
         for size, piece in zip(pieces.column("size").to_pylist(), pieces.column("packed"), strict=True):
-            for batch in pa.ipc.open_stream(pa.py_buffer(codec.decompress(piece.as_buffer(), size, asbytes=True))):
-                texts, fold = batch.column(len(names) + 2).to_pylist(), batch.column(len(names) + 1).to_numpy()
+            for part in (x for batch in pa.ipc.open_stream(pa.py_buffer(codec.decompress(piece.as_buffer(), size, asbytes=True))) for x in _slices(batch, len(names) + 2, PART)):
+                texts, fold = part.column(len(names) + 2).to_pylist(), part.column(len(names) + 1).to_numpy()
                 chars, row, at = _sequence(texts)
                 h = _hashes(chars, at, 1)
                 k = places(h)
@@ -250,7 +260,8 @@ def perplexities(docs: DataFrame, trusted: DataFrame, payload: list[str], block:
                 sums = np.bincount(row, logs[k + (fold * len(hashes))[row]] if len(k) else None, len(texts))
                 with np.errstate(divide="ignore", invalid="ignore"):
                     value = np.exp(-sums / n)
-                out.append(pa.RecordBatch.from_arrays([*batch.columns[: len(names) + 1], pa.array(n), pa.array(value, mask=n == 0)], [*names, "trusted", "n_chars", "perplexity"]))
+                own = [c.take(pa.array(np.arange(len(c)))) for c in part.columns[: len(names) + 1]]  # copies: slices would keep the whole piece with its texts
+                out.append(pa.RecordBatch.from_arrays([*own, pa.array(n), pa.array(value, mask=n == 0)], [*names, "trusted", "n_chars", "perplexity"]))
         del hashes, logs, places, known
         memory_returned()
         return pa.Table.from_batches(out)

@@ -3,10 +3,13 @@
 import collections
 import math
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.group_ops import PandasCogroupedOps
 
 from skyflux.llm import op01_toxicity as tox
 from skyflux.llm import op05_decontamination as dec
@@ -372,6 +375,58 @@ def test_lookup(n):
         assert (at >= 0).all() and (at < max(1, len(table))).all()
 
 
+def _texts(n, rows=1, fold=0, size=3000):
+    """Batches of n times `rows` random texts with a great many n-grams, as the counting and the packing get them."""
+    rng = np.random.default_rng(3)
+    for _ in range(n):
+        texts = ["".join(map(chr, rng.integers(0x61, 0x7B, size))) for _ in range(rows)]
+        yield pa.RecordBatch.from_arrays([pa.array(texts), pa.array([True] * rows), pa.array([fold] * rows, pa.int32()), pa.array([0] * rows, pa.int32())], ["text", "trusted", "fold", "block"])
+
+
+def test_counting_holds_few_ngrams(monkeypatch):
+    """The n-grams of a task aren't all held; what it gives in parts adds up to the same counts."""
+    monkeypatch.setattr(qual, "MERGE", 60_000)
+    peaks = []
+    for n in (10, 50):
+        tracemalloc.start()
+        total, parts = 0, 0
+        for batch in qual._counted(_texts(n, rows=10)):
+            total, parts = total + sum(batch.column("c0").to_pylist()), parts + 1
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert total == n * 10 * 3000 and parts > 1
+    assert peaks[1] < 1.2 * peaks[0]
+    got, want = collections.Counter(), collections.Counter()
+    monkeypatch.setattr(qual, "MERGE", 500)
+    for batch in qual._counted(_texts(5, rows=2, size=400)):
+        for g, c in zip(batch.column("g").to_pylist(), batch.column("c0").to_pylist(), strict=True):
+            got[g] += c
+    for batch in _texts(5, rows=2, size=400):
+        for t in batch.column("text").to_pylist():
+            s = chr(qual.BEFORE) * (qual.ORDER - 1) + t
+            want.update(s[i : i + qual.ORDER] for i in range(len(t)))
+    assert got == want
+
+
+def test_scores_do_not_keep_texts(spark, docs_of, monkeypatch):
+    """What a block's task keeps until it ends is its rows' scores, not the texts that they stood beside."""
+    found = []
+    monkeypatch.setattr(PandasCogroupedOps, "applyInArrow", lambda self, run, schema: found.append(run) or spark.createDataFrame([], schema))
+    qual.perplexities(docs_of(["abc"]), spark.createDataFrame([], "doc_id long"), ["doc_id"])
+    batch = next(_texts(1, rows=300))
+    rows = pa.RecordBatch.from_arrays([pa.array(range(300)), *[batch.column(c) for c in ("trusted", "fold", "text", "block")]], ["c0", "trusted", "fold", "text", "block"])
+    known = pa.Table.from_batches(list(qual._counted(iter([batch])))).select(["g"])
+    known = known.append_column("l0", pa.array(np.full(len(known), -2.0, np.float32))).append_column("l1", pa.array(np.full(len(known), -1.0, np.float32)))
+    pieces = pa.Table.from_batches(list(qual._packed(iter([rows]))))
+    tracemalloc.start()
+    out = found[0](pieces, known)
+    kept = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert out.column("c0").to_pylist() == list(range(300)) and set(out.column("n_chars").to_pylist()) == {3000}
+    np.testing.assert_allclose(out.column("perplexity").to_numpy(), np.e)
+    assert kept < 0.3 * 3000 * 300
+
+
 def test_probabilities_sum_to_one(spark):
     rows = [(a + b + c + d + e, 1 + (ord(a) + ord(e)) % 4 if a < "c" and e != "c" else 0, 0) for a in "abc" for b in "ab" for c in "ab" for d in "ab" for e in "abc"]
     p = qual.probabilities(spark.createDataFrame(rows, "g string, c0 long, c1 long")).toPandas()

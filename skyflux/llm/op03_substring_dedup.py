@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .fm_index import FMIndex, matched_windows
 from .store import dropped, written
-from .text import Words, grams, stretches, words
+from .text import Words, grams, memory_returned, stretches, words
 
 WINDOW, GRAM, RUN, SHARD, HOT, SEND_MAX, SEND_PARTS = 50, 16, 200, 4000, 4096, 200_000, 1_000_000
 OCCURRENCE = ["anchor", "seg", "doc_id", "text_key", "start", "windows"]
@@ -82,6 +82,7 @@ def _occurrences(docs: DataFrame) -> DataFrame:
                 row, anchor, start, count, seg = _segments(w)
                 ids, keys = (batch.column(i)[w.lo : w.hi].take(pa.array(row)) for i in (0, 2))
                 yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(seg.view(np.int64)), ids, keys, pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32))], OCCURRENCE)
+        memory_returned()
 
     return _keyed(docs).mapInArrow(run, KINDS)
 
@@ -111,6 +112,7 @@ def _single_windows(docs: DataFrame, hot: DataFrame) -> DataFrame:
                 both = [pa.array(grams(w.hash, WINDOW, kind)[w.doc[r] + at].view(np.int64)) for kind in (1, 2)]
                 ids, keys = (batch.column(i)[w.lo : w.hi].take(pa.array(r)) for i in (0, 2))
                 yield pa.RecordBatch.from_arrays([*both, ids, keys, pa.array(at.astype(np.int32)), pa.array(np.ones(len(at), np.int32))], OCCURRENCE)
+        memory_returned()
 
     return _only(docs, needed).select("doc_id", "text", "text_key", "parts").mapInArrow(run, KINDS)
 
@@ -130,6 +132,7 @@ def _shipped(docs: DataFrame, segments: DataFrame, shards: int) -> DataFrame:
                         x = a + p["start"]
                         out.append((p["anchor"], p["seg"], ids[w.lo + r], p["copied"], w.hash[x : x + p["windows"] + WINDOW - 1].tobytes()))
                 yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()))], ["anchor", "seg", "owner", "copied", "words"])
+        memory_returned()
 
     rows = _only(docs, needed).select("doc_id", "text", "parts").mapInArrow(run, "anchor long, seg long, owner long, copied boolean, words binary")
     return rows.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
@@ -147,6 +150,8 @@ def _searched(table: pa.Table) -> pa.Table:
     symbols = np.concatenate([symbols, *[np.frombuffer(blobs[i], np.uint64) for i in copied]])
     lengths, owner = lengths[asked], np.concatenate([owner, np.full(len(copied), len(lengths), np.int32)])
     found = matched_windows(index, symbols, lengths, owner, WINDOW)
+    del index, symbols, blobs
+    memory_returned()
     of = np.repeat(np.arange(len(lengths)), lengths)
     at = np.flatnonzero(found)
     new = np.concatenate([[True], (np.diff(at) > 1) | (of[at[1:]] != of[at[:-1]])]) if len(at) else np.zeros(0, bool)
@@ -231,6 +236,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
                     texts.append(b" ".join(pieces[at[r] : at[r + 1]]))
                 kept = pa.array(texts, pa.binary()).cast(pa.string())
                 yield pa.RecordBatch.from_arrays([*[batch.column(i)[w.lo : w.hi] for i in range(len(names))], pa.array(n), pa.array(n - (sums[w.doc[1:]] - sums[w.doc[:-1]])), kept], [*names, n_words, n_removed, kept_text])
+        memory_returned()
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     return rows.select(*names, cut_list).mapInArrow(run, f"{kinds}, `{n_words}` long, `{n_removed}` long, `{kept_text}` string")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import grams, words
+from .text import grams, memory_returned, words
 
 RATIO, BLOCK_ITEMS = 0.2, 20_000
 SCHEMA = "item_id long, distance int, item_words int, first_word long, last_word long"
@@ -144,6 +144,7 @@ def matched(docs: DataFrame, items: DataFrame, key: str = "doc_id", ratio: float
                 ids = batch.column(0).take(pa.array([r[0] for r in rows], pa.int64()))
                 types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([ids, *[pa.array([r[i + 1] for r in rows], t) for i, t in enumerate(types)]], [key, "item_id", "distance", "item_words", "first_word", "last_word"])
+            memory_returned()
 
         parts.append(docs.select(key, "text").mapInArrow(run, f"{key} {kind}, {SCHEMA}"))
     return reduce(DataFrame.unionAll, parts)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import factors, mixed, words
+from .text import factors, memory_returned, mixed, words
 
 CAPACITY, PER_SOURCE, GROUP_ROWS = 2048, 2, 4096
 SCHEMA = "doc_id long, piece int, n_words long, bin long, bin_offset int, source string, cluster long"
@@ -43,6 +43,7 @@ def measured(docs: DataFrame) -> DataFrame:
                 n.append(count)
             if n:
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(n)), batch.column(1), pa.array(np.concatenate(cluster))], ["doc_id", "n_words", "source", "cluster"])
+        memory_returned()
 
     return docs.select("doc_id", F.col("source").cast("string").alias("source"), "text").mapInArrow(run, "doc_id long, n_words long, source string, cluster long")
 

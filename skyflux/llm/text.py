@@ -78,7 +78,7 @@ def offsets_and_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return off, data
 
 
-def words(column: pa.Array, lower: bool = False, chunk_bytes: int = 1 << 20) -> Iterator[Words]:
+def words(column: pa.Array, lower: bool = False, chunk_bytes: int = 1 << 18) -> Iterator[Words]:
     """The rows of a text column, in chunks of about chunk_bytes; a longer text is a chunk of its own."""
     off, data = offsets_and_bytes(column)
     n, lo = len(off) - 1, 0

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,7 @@ from skyflux.llm import op03_substring_dedup as sub
 from skyflux.llm import op07_jaccard_join as jac
 from skyflux.llm.components import components
 from skyflux.llm.fm_index import FMIndex, Minima, matched_windows
+from skyflux.llm.text import shingle_sets, words
 
 from .conftest import vocabulary
 
@@ -206,6 +208,21 @@ def test_words_that_poor_hashes_take_for_one(docs_of, n):
     assert [got[i] for i in (0, 1)] == [x[1] for x in cut([(0, " ".join(a)), (1, " ".join(b))])]
 
 
+def test_words_take_little_memory():
+    """A batch of 4 MB takes a small part of it at a time, and the sets don't depend on the parts."""
+    rng = random.Random(4)
+    v = vocabulary(rng)
+    texts = pa.array([" ".join(rng.choices(v, k=500)) for _ in range(1400)])
+    tracemalloc.start()
+    n = sum(len(w.hash) for w in words(texts))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 500 * len(texts) and peak < 24 << 20
+    for few in (texts[:7], pa.array(["a b", None, "", *texts[:3].to_pylist()])):
+        each = [[s.tolist() for w in words(few, chunk_bytes=size) for s in shingle_sets(w)] for size in (1, 4000, 1 << 20)]
+        assert each[0] == each[1] == each[2] and len(each[0]) == len(few)
+
+
 def test_repeated_and_null_ids(docs_of):
     """Rows of one id are told apart by their texts; rows without an id are linked like others."""
     rng = random.Random(3)
